@@ -117,12 +117,31 @@ def haversine_m(lat1, lon1, lat2, lon2, radius: float = EARTH_M) -> Column:
 
 
 def dms_to_degrees(text: str | Column) -> Column:
-    """Decimal degrees from degrees, minutes and seconds separated by anything."""
-    parts = F.regexp_extract_all(col(text), F.lit(r"(\d+(?:\.\d+)?)"), F.lit(1))
-    deg, minute, sec = (F.try_element_at(parts, F.lit(i)).cast("double") for i in (1, 2, 3))
-    size = deg + F.coalesce(minute, F.lit(0.0)) / 60 + F.coalesce(sec, F.lit(0.0)) / 3600
-    negative = F.upper(col(text)).rlike(r"^\s*-|[WS]\s*$")
-    return F.when(negative, -size).otherwise(size)
+    """Decimal degrees from degrees, minutes, seconds and a compass letter; south and west negative."""
+    pattern = r"^\s*(\d+)\D+(\d+)\D+([\d.]+)\D*([NSEW])"
+    part = lambda i: F.regexp_extract(col(text), pattern, i)
+    size = part(1).try_cast("double") + part(2).try_cast("double") / 60 + part(3).try_cast("double") / 3600
+    return F.when(part(4).isin("S", "W"), -size).otherwise(size)
+
+
+def utm_to_degrees(easting: str | Column, northing: str | Column, meridian: float) -> tuple[Column, Column]:
+    """Latitude and longitude of a northern UTM point on the GRS80 ellipsoid (series inverse)."""
+    a, f, k0 = 6378137.0, 1 / 298.257222101, 0.9996
+    n = f / (2 - f)
+    scale = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi, eta = col(northing) / (k0 * scale), (col(easting) - 500000.0) / (k0 * scale)
+    xi2, eta2 = xi, eta
+    for j, b in enumerate(beta, start=1):
+        xi2 = xi2 - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        eta2 = eta2 - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(xi2) / F.cosh(eta2))
+    lat = chi
+    for j, d in enumerate(delta, start=1):
+        lat = lat + d * F.sin(2 * j * chi)
+    lon = F.lit(meridian) + F.degrees(F.atan2(F.sinh(eta2), F.cos(xi2)))
+    return F.degrees(lat), lon
 
 
 # ---- text -----------------------------------------------------------------
