@@ -41,13 +41,13 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[
     edges = cut.groupBy(*keys, "_slab").agg(F.min_by(pack, F.col(order)).alias("_head"),
                                            F.max_by(pack, F.col(order)).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_slab")
-    borders = edges.select(*keys, "_slab", F.lag("_tail").over(across).alias("_before"),
-                           F.lead("_head").over(across).alias("_after"))
-    on = [within[k].eqNullSafe(borders[k]) for k in keys] + [within["_slab"] == borders["_slab"]]
+    borders = edges.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_slab").alias("_eslab"),
+                           F.lag("_tail").over(across).alias("_before"), F.lead("_head").over(across).alias("_after"))
+    on = [F.col(k).eqNullSafe(F.col(f"_e{i}")) for i, k in enumerate(keys)] + [F.col("_slab") == F.col("_eslab")]
     joined = within.join(borders, on, "left")
     prev = F.coalesce(F.col("_p"), F.col("_before"))
     nxt = F.coalesce(F.col("_n"), F.col("_after"))
-    return joined.select(*[within[c] for c in df.columns],
+    return joined.select(*df.columns,
                          *[prev[v].alias(f"prev_{v}") for v in values],
                          *[nxt[v].alias(f"next_{v}") for v in values])
 
@@ -79,9 +79,10 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     ranks = bins.select(*keys, "_b", "_n", (F.col("_cum") - F.col("_c")).alias("_start"), "_cum",
                         F.explode(wanted).alias("w"))
     need = ranks.where((F.floor(F.col("w.pos")) < F.col("_cum")) & (F.ceil(F.col("w.pos")) >= F.col("_start")))
-    need = need.groupBy(*keys, "_b", "_n", "_start").agg(F.collect_set("w").alias("w"))
-    on = [counts[k].eqNullSafe(need[k]) for k in keys] + [counts["_b"] == need["_b"]]
-    part = counts.join(need, on).select(*[counts[k] for k in keys], counts["_b"], "_v", "_c", "_n", "_start", "w")
+    need = need.groupBy(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_b").alias("_eb"), "_n", "_start").agg(
+        F.collect_set("w").alias("w"))
+    on = [F.col(k).eqNullSafe(F.col(f"_e{i}")) for i, k in enumerate(keys)] + [F.col("_b") == F.col("_eb")]
+    part = counts.join(need, on).select(*keys, "_b", "_v", "_c", "_n", "_start", "w")
     run = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = part.withColumn("_hi", F.col("_start") + F.sum("_c").over(run)).withColumn("_lo", F.col("_hi") - F.col("_c"))
     hit = part.select(*keys, "_v", "_lo", "_hi", "_n", F.explode("w").alias("w"))

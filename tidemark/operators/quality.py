@@ -175,9 +175,11 @@ CONUS = (24.0, 50.0, -125.0, -66.0)
 
 
 def _with_note(meta: Column, note: Column) -> Column:
-    parsed = F.coalesce(F.from_json(meta, "map<string,string>"), F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(parsed, lambda k, v: k != "coordinate_fix")
-    return F.to_json(F.map_concat(kept, F.create_map(F.lit("coordinate_fix"), note)))
+    """Append a member to a JSON object's text, leaving its other members as they were written."""
+    body = F.rtrim(F.regexp_replace(F.trim(meta), r"\}$", ""))
+    usable = F.coalesce(F.trim(meta).rlike(r"(?s)^\{.*\}$"), F.lit(False))
+    entry = F.concat(F.lit('"coordinate_fix": "'), note, F.lit('"}'))
+    return (F.when(usable & (body != "{"), F.concat(body, F.lit(", "), entry)).otherwise(F.concat(F.lit("{"), entry)))
 
 
 def repair_coordinates(sites: DataFrame) -> DataFrame:
