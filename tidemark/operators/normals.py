@@ -95,9 +95,9 @@ def rate_windows(windows: DataFrame, keys: Sequence[str], value: str, end: Colum
 
 
 def flow_periods(chosen: DataFrame, gauges: DataFrame, end: Column, days: Sequence[int] = (30, 90, 180, 365), baseline: tuple[int, int] = BASELINE,
-                 min_base: int = 20, min_fallback: int = 10) -> DataFrame:
+                 min_base: int = 20, min_fallback: int = 10, coverage: float = 0.75) -> DataFrame:
     """Segment rating of mean flow over the last k days: the median of its gauges' percentiles."""
-    w = window_means(chosen, ["gauge"], "cfs", end, days)
+    w = window_means(chosen, ["gauge"], "cfs", end, days, coverage)
     r = rate_windows(w, ["gauge"], "mean", end, baseline, min_base, min_fallback).where(F.col("pct").isNotNull())
     return segment_ratings(r.join(gauges, "gauge"), ["segment", "days"])
 

@@ -72,9 +72,9 @@ SELECT * FROM (
  FROM raw_obs r JOIN crosswalk x ON x.source = r.source AND x.source_param = r.source_param WHERE x.variable <> '')""",
     "sites": """
 SELECT (CASE s_suppkey % 5 WHEN 0 THEN 'usgs' WHEN 1 THEN 'usbr_hydrodata' WHEN 2 THEN 'codwr' WHEN 3 THEN 'wqp' ELSE 'usace_cwms' END)
-   || ':' || CASE WHEN s_suppkey % 5 = 3 THEN 'USGS-' || (8000000 + s_suppkey - 3) ELSE CAST(8000000 + s_suppkey AS VARCHAR) END AS site_uid,
+   || ':' || CASE WHEN s_suppkey % 5 = 3 THEN 'USGS-' || (80000000 + s_suppkey - 3) ELSE CAST(80000000 + s_suppkey AS VARCHAR) END AS site_uid,
   CASE s_suppkey % 5 WHEN 0 THEN 'usgs' WHEN 1 THEN 'usbr_hydrodata' WHEN 2 THEN 'codwr' WHEN 3 THEN 'wqp' ELSE 'usace_cwms' END AS source,
-  CASE WHEN s_suppkey % 5 = 3 THEN 'USGS-' || (8000000 + s_suppkey - 3) ELSE CAST(8000000 + s_suppkey AS VARCHAR) END AS native_id,
+  CASE WHEN s_suppkey % 5 = 3 THEN 'USGS-' || (80000000 + s_suppkey - 3) ELSE CAST(80000000 + s_suppkey AS VARCHAR) END AS native_id,
   CASE s_suppkey % 4 WHEN 0 THEN 'RIO ' || upper(n_name) || ' BL DAM ' || (s_suppkey // 5) || ', NM' WHEN 1 THEN 'Rio ' || n_name || ' below Dam ' || (s_suppkey // 5)
      WHEN 2 THEN n_name || ' River abv Bridge ' || (s_suppkey // 5) ELSE n_name || ' Creek nr Ft ' || (s_suppkey // 5) END AS name,
   CASE s_suppkey % 7 WHEN 6 THEN 'well' WHEN 5 THEN 'reservoir' ELSE 'stream' END AS site_type,
@@ -107,8 +107,20 @@ SELECT 'nwps:' || (user_id // 15) AS site_uid, 'nwps' AS source, CASE WHEN event
    'hourly' AS interval, event_id FROM events""",
     # reservoir days: storage from order totals, elevation a rising function of storage
     "reservoir_days": """
-SELECT 'res' || (o_custkey % 24) AS reservoir, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS stor,
+SELECT 'res' || (o_custkey % 6) AS reservoir, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS stor,
    4000.0 + 100.0 * sqrt(avg(o_totalprice) / 500000.0) AS elev, min(o_orderpriority) AS priority FROM orders GROUP BY 1, 2""",
+    # elevation-storage tables of the reservoirs, and reservoir days against them
+    "points": """
+SELECT 'res' || (p_partkey // 100 % 6) AS reservoir, (4000.0 + p_partkey % 100)::DOUBLE AS elevation_ft, min((p_partkey % 100) * 5000.0 + p_size * 300)::DOUBLE AS storage_af FROM part GROUP BY 1, 2""",
+    "segments": """
+SELECT reservoir, e0, s0, lead(e0) OVER w AS e1, lead(s0) OVER w AS s1 FROM (SELECT reservoir, elevation_ft AS e0, max(storage_af) OVER (PARTITION BY reservoir ORDER BY elevation_ft) AS s0 FROM points) WINDOW w AS (PARTITION BY reservoir ORDER BY e0)""",
+    "pairs": """
+SELECT d.reservoir, d.date, d.stor, d.elev, year(d.date) AS y, d.stor - (s0 + (s1 - s0) / (e1 - e0) * (h - e0)) AS off FROM (
+ SELECT r.*, least(greatest(elev, lo), hi) AS h, hi FROM reservoir_days r JOIN (SELECT reservoir, min(e0) AS lo, max(e0) AS hi FROM segments GROUP BY 1) USING (reservoir)) d
+JOIN segments s ON s.reservoir = d.reservoir AND h >= e0 AND (h < e1 OR (h = hi AND e1 = hi))""",
+    "fills": """
+SELECT reservoir, date, stor, CASE WHEN year(date) < 1998 THEN 450000.0 ELSE 420000.0 END AS primary_af, CASE WHEN year(date) < 1996 THEN 'low' WHEN priority = '1-URGENT' THEN 'medium' ELSE 'high' END AS confidence,
+ CASE reservoir WHEN 'res0' THEN 'dry_flood' WHEN 'res1' THEN 'flood_control' ELSE 'supply' END AS role, 480000.0 AS flood_af, 300000.0 AS cons_af FROM reservoir_days""",
     # stream network: a reach flows to half its number
     "flowlines": """
 SELECT p_partkey AS comid, p_partkey AS fromnode, CASE WHEN p_partkey > 0 THEN p_partkey // 2 END AS tonode,
@@ -222,7 +234,7 @@ class Tables:
         k, m5 = F.col("s_suppkey"), F.col("s_suppkey") % 5
         src = (F.when(m5 == 0, "usgs").when(m5 == 1, "usbr_hydrodata").when(m5 == 2, "codwr").when(m5 == 3, "wqp")
                 .otherwise("usace_cwms"))
-        native = F.when(m5 == 3, F.concat(F.lit("USGS-"), (8000000 + k - 3))).otherwise((8000000 + k).cast("string"))
+        native = F.when(m5 == 3, F.concat(F.lit("USGS-"), (80000000 + k - 3))).otherwise((80000000 + k).cast("string"))
         block = F.floor(k / 5)
         name = (F.when(k % 4 == 0, F.concat(F.lit("RIO "), F.upper("n_name"), F.lit(" BL DAM "), block, F.lit(", NM")))
                  .when(k % 4 == 1, F.concat(F.lit("Rio "), "n_name", F.lit(" below Dam "), block))
@@ -281,10 +293,32 @@ class Tables:
     def reservoir_days(self) -> DataFrame:
         mean = F.avg("o_totalprice")
         return self.read("orders").groupBy(
-            F.concat(F.lit("res"), F.col("o_custkey") % 24).alias("reservoir"), F.to_date("o_orderdate").alias("date")
+            F.concat(F.lit("res"), F.col("o_custkey") % 6).alias("reservoir"), F.to_date("o_orderdate").alias("date")
         ).agg(mean.alias("stor"), (4000.0 + 100.0 * F.sqrt(mean / 500000.0)).alias("elev"),
               F.min("o_orderpriority").alias("priority"))
 
+    @cached_property
+    def points(self) -> DataFrame:
+        k = F.col("p_partkey")
+        return self.read("part").groupBy(F.concat(F.lit("res"), F.floor(k / 100) % 6).alias("reservoir"), (4000.0 + k % 100).alias("elevation_ft")).agg(
+            F.min((k % 100) * 5000.0 + F.col("p_size") * 300).alias("storage_af"))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        from tidemark.operators.reservoir import table_lookup
+
+        d = table_lookup(self.reservoir_days, self.points, "elev").where(F.col("table_af").isNotNull())
+        return d.select("reservoir", "date", "stor", "elev", F.year("date").alias("y"), (F.col("stor") - F.col("table_af")).alias("off"))
+
+    @cached_property
+    def fills(self) -> DataFrame:
+        res, y = F.col("reservoir"), F.year("date")
+        return self.reservoir_days.select(
+            "reservoir", "date", "stor", F.when(y < 1998, 450000.0).otherwise(420000.0).alias("primary_af"),
+            F.when(y < 1996, "low").when(F.col("priority") == "1-URGENT", "medium").otherwise("high").alias("confidence"),
+            F.when(res == "res0", "dry_flood").when(res == "res1", "flood_control").otherwise("supply").alias("role"),
+            F.lit(480000.0).alias("flood_af"), F.lit(300000.0).alias("cons_af"))
+
     @cached_property
     def flowlines(self) -> DataFrame:
         k = F.col("p_partkey")
