@@ -138,7 +138,7 @@ SELECT CAST(l_partkey % 12 AS INTEGER) AS iy, CAST(l_suppkey % 10 AS INTEGER) AS
 FROM lineitem GROUP BY 1, 2, 3, 4, 5""",
     # axis-aligned watersheds, one per region
     "boxes": """
-SELECT 'W' || r_regionkey AS unit, -108.2 + r_regionkey * 0.5 AS x0, -107.55 + r_regionkey * 0.5 AS x1, 33.05 + r_regionkey * 0.3 AS y0, 34.6 + r_regionkey * 0.3 AS y1 FROM region""",
+SELECT 'W' || r_regionkey AS unit, -108.23 + r_regionkey * 0.5 AS x0, -107.57 + r_regionkey * 0.5 AS x1, 33.05 + r_regionkey * 0.3 AS y0, 34.6 + r_regionkey * 0.3 AS y1 FROM region""",
 }
 
 
@@ -349,5 +349,5 @@ class Tables:
     def boxes(self) -> DataFrame:
         k = F.col("r_regionkey")
         return self.read("region").select(
-            F.concat(F.lit("W"), k).alias("unit"), (-108.2 + k * 0.5).alias("x0"), (-107.55 + k * 0.5).alias("x1"),
+            F.concat(F.lit("W"), k).alias("unit"), (-108.23 + k * 0.5).alias("x0"), (-107.57 + k * 0.5).alias("x1"),
             (33.05 + k * 0.3).alias("y0"), (34.6 + k * 0.3).alias("y1"))
