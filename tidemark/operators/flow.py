@@ -189,7 +189,5 @@ def river_report(copies: DataFrame, gauges: DataFrame, as_of: Column | None = No
     weeks = gauge_weekly(chosen, min_days)
     ok = weeks.join(eligible_gauges(weeks, min_weeks).select("gauge"), "gauge", "left_semi")
     seg = segment_weekly(ok, gauges, ("river", "segment"))
-    newest = chosen.agg(F.max("date").alias("newest"))
-    # one row: the archive's newest day
-    end = last_complete_week(as_of if as_of is not None else F.col("newest"))
-    return (seg.crossJoin(F.broadcast(newest)).where(F.col("week_start").between(F.date_sub(end, 7 * (weeks_back - 1)), end)).drop("newest"))
+    end = last_complete_week(as_of if as_of is not None else copies.agg(F.max("date")).scalar())
+    return seg.where(F.col("week_start").between(F.date_sub(end, 7 * (weeks_back - 1)), end))

@@ -108,10 +108,10 @@ def flow_periods(chosen: DataFrame, gauges: DataFrame, end: Column, days: Sequen
 def exit_set(daily: DataFrame, stale_days: int = 14) -> DataFrame:
     """Each gauge's newest day, whether it is stale against the newest of all, and the common end day."""
     last = daily.groupBy("gauge").agg(F.max("date").alias("last_date"))
-    newest = last.agg(F.max("last_date").alias("newest"))
-    j = last.join(F.broadcast(newest)).withColumn("stale", F.date_diff("newest", "last_date") > stale_days)
-    end = j.where(~F.col("stale")).agg(F.min("last_date").alias("common_end"))
-    return j.join(F.broadcast(end)).drop("newest")
+    newest = daily.agg(F.max("date")).scalar()
+    j = last.withColumn("stale", F.date_diff(newest, "last_date") > stale_days)
+    end = j.where(~F.col("stale")).agg(F.min("last_date")).scalar()
+    return j.withColumn("common_end", end)
 
 
 def exit_windows(daily: DataFrame, end: Column, days: Sequence[int] = (7, 30, 90, 180, 365), coverage: float = 0.75) -> DataFrame:
@@ -127,9 +127,9 @@ def exit_ratings(windows: DataFrame, end: Column, baseline: tuple[int, int] = BA
 
 def exit_total(windows: DataFrame, gauges_used: DataFrame, end: Column, baseline: tuple[int, int] = BASELINE, min_base: int = 20, min_fallback: int = 10) -> DataFrame:
     """The sum over gauges; a year counts only when every used gauge has it, and so does this year."""
-    n = gauges_used.agg(F.count("*").alias("n_used"))
+    n_used = gauges_used.agg(F.count("*")).scalar()
     all_years = (windows.join(gauges_used.select("gauge"), "gauge", "left_semi").groupBy("days", "year").agg(F.sum("volume_af").alias("volume_af"), F.count("*").alias("n"))
-                 .join(F.broadcast(n)).where(F.col("n") == F.col("n_used")))
+                 .where(F.col("n") == n_used))
     r = rate_windows(all_years, [], "volume_af", end, baseline, min_base, min_fallback)
     return r.withColumnRenamed("value", "volume_af").withColumn("percent_of_median", F.when(F.col("median") > 0, 100 * F.col("volume_af") / F.col("median"))).drop("n_days")
 

@@ -393,8 +393,7 @@ def a28(t):
     li = t.read("lineitem")
     gone = t.read("supplier").where("s_nationkey < 5").select(F.concat(F.lit("A/"), "s_suppkey", F.lit("/3")).alias("key"))
     kept = r.drop_retired(li, gone, ["l_returnflag", "l_suppkey", "l_linenumber"]).agg(F.count("*").alias("kept"))
-    total = li.agg(F.count("*").alias("total"))
-    return kept.join(F.broadcast(total)).select("kept", (F.col("total") - F.col("kept")).alias("dropped"))
+    return kept.select("kept", (li.agg(F.count("*")).scalar() - F.col("kept")).alias("dropped"))
 
 
 @query("A30_scope_filter", """

@@ -129,8 +129,11 @@ SELECT p_partkey AS comid, p_partkey AS fromnode, CASE WHEN p_partkey > 0 THEN p
    'H' || (p_partkey % 20) AS huc8, 'Basin ' || (p_partkey % 20) AS huc8_name FROM part""",
     # a dense daily series per watershed: every calendar day of the order book
     "unit_days": """
-SELECT 'H' || (o_custkey % 6) AS unit, CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) / 1000000.0 AS value,
+SELECT 'H' || (o_custkey % 6) AS unit, CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) / 100.0 AS value,
    count(*) AS n FROM orders GROUP BY 1, 2""",
+    # the same summed over watersheds: a nearly unbroken daily series
+    "state_days": """
+SELECT 'NM' AS unit, date, sum(value) AS value FROM unit_days GROUP BY 1, 2""",
     # grid cells: one value per cell and month
     "grid": """
 SELECT CAST(l_partkey % 12 AS INTEGER) AS iy, CAST(l_suppkey % 10 AS INTEGER) AS ix, 33.0 + (l_partkey % 12) * 0.25 AS lat, -108.0 + (l_suppkey % 10) * 0.25 AS lon,
@@ -138,7 +141,7 @@ SELECT CAST(l_partkey % 12 AS INTEGER) AS iy, CAST(l_suppkey % 10 AS INTEGER) AS
 FROM lineitem GROUP BY 1, 2, 3, 4, 5""",
     # axis-aligned watersheds, one per region
     "boxes": """
-SELECT 'W' || r_regionkey AS unit, -108.23 + r_regionkey * 0.5 AS x0, -107.57 + r_regionkey * 0.5 AS x1, 33.05 + r_regionkey * 0.3 AS y0, 34.6 + r_regionkey * 0.3 AS y1 FROM region""",
+SELECT 'W' || r_regionkey AS unit, -108.23 + r_regionkey * 0.5 AS x0, -107.57 + r_regionkey * 0.5 AS x1, 33.06 + r_regionkey * 0.3 AS y0, 34.61 + r_regionkey * 0.3 AS y1 FROM region""",
 }
 
 
@@ -335,7 +338,11 @@ class Tables:
     def unit_days(self) -> DataFrame:
         return (self.read("orders").groupBy(F.concat(F.lit("H"), F.col("o_custkey") % 6).alias("unit"),
                                             F.to_date("o_orderdate").alias("date"))
-                .agg((F.sum("o_totalprice") / 1000000.0).alias("value"), F.count("*").alias("n")))
+                .agg((F.sum("o_totalprice") / 100.0).alias("value"), F.count("*").alias("n")))
+
+    @cached_property
+    def state_days(self) -> DataFrame:
+        return self.unit_days.groupBy(F.lit("NM").alias("unit"), "date").agg(F.sum("value").alias("value"))
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -350,4 +357,4 @@ class Tables:
         k = F.col("r_regionkey")
         return self.read("region").select(
             F.concat(F.lit("W"), k).alias("unit"), (-108.23 + k * 0.5).alias("x0"), (-107.57 + k * 0.5).alias("x1"),
-            (33.05 + k * 0.3).alias("y0"), (34.6 + k * 0.3).alias("y1"))
+            (33.06 + k * 0.3).alias("y0"), (34.61 + k * 0.3).alias("y1"))
