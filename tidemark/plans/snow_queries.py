@@ -102,11 +102,15 @@ def sday(d):
     return f"(CASE WHEN month({d}) = 2 AND day({d}) = 29 THEN NULL ELSE {d} - make_date({w}::INT - 1, 10, 1) - CASE WHEN {w} % 4 = 0 AND month({d}) BETWEEN 3 AND 9 THEN 1 ELSE 0 END END)"
 
 
-POOL = f"po AS (SELECT unit, {sday('date')} + k AS day, value FROM unit_days, range(-3, 4) r(k) WHERE {wy('date')} BETWEEN 1996 AND 2000 AND NOT (month(date) = 2 AND day(date) = 29)), pq AS (SELECT * FROM po WHERE day BETWEEN 0 AND 364)"
+POOL = f"po AS (SELECT unit, {sday('date')} + k AS day, floor(value) AS value FROM unit_days, range(-3, 4) r(k) WHERE {wy('date')} BETWEEN 1996 AND 2000 AND NOT (month(date) = 2 AND day(date) = 29)), pq AS (SELECT * FROM po WHERE day BETWEEN 0 AND 364)"
+
+
+def whole(t):
+    return daily(t).withColumn("value", F.floor("value").cast("double"))
 
 
 def pool(t):
-    return s.season_pool(daily(t), ["unit"], "value", BASE)
+    return s.season_pool(whole(t), ["unit"], "value", BASE)
 
 
 @query("J17_season_bands", f"""WITH {POOL} SELECT unit, day, count(*) AS n, CASE WHEN count(*) >= 20 THEN round(quantile_cont(value, 0.1), 3) END AS p10, CASE WHEN count(*) >= 20 THEN round(quantile_cont(value, 0.25), 3) END AS p25, CASE WHEN count(*) >= 20 THEN round(quantile_cont(value, 0.5), 3) END AS p50,
@@ -115,11 +119,11 @@ def j17(t):
     return s.season_bands(pool(t), ["unit"])
 
 
-@query("J17_rate", f"""WITH {POOL}, u AS (SELECT unit, date, value, {sday('date')} AS day FROM unit_days WHERE {wy('date')} = 2001), r AS (SELECT u.unit, u.date, u.value, count(p.value) AS n, median(p.value) AS med, 100.0 * (count(*) FILTER (WHERE p.value < u.value) + 0.5 * count(*) FILTER (WHERE p.value = u.value)) / nullif(count(p.value), 0) AS pct
+@query("J17_rate", f"""WITH {POOL}, u AS (SELECT unit, date, floor(value) AS value, {sday('date')} AS day FROM unit_days WHERE {wy('date')} = 2001), r AS (SELECT u.unit, u.date, u.value, count(p.value) AS n, median(p.value) AS med, 100.0 * (count(*) FILTER (WHERE p.value < u.value) + 0.5 * count(*) FILTER (WHERE p.value = u.value)) / nullif(count(p.value), 0) AS pct
   FROM u LEFT JOIN pq p ON p.unit = u.unit AND p.day = u.day GROUP BY 1, 2, 3)
 SELECT unit, strftime(date, '%Y-%m-%d') AS date, round(value, 3) AS now, CASE WHEN n >= 20 THEN round(med, 3) END AS usual, CASE WHEN n >= 20 THEN round(pct, 1) END AS pct, CASE WHEN n >= 20 AND NOT (value < 0.05 AND med < 0.05) THEN {CLS} END AS cls, n >= 20 AND value < 0.05 AND med < 0.05 AS little, n FROM r""")
 def j17r(t):
-    d = daily(t).where(s.water_year("date") == 2001).withColumn("day", s.season_day("date")).join(pool(t), ["unit", "day"], "left")
+    d = whole(t).where(s.water_year("date") == 2001).withColumn("day", s.season_day("date")).join(pool(t), ["unit", "day"], "left")
     return s.rate(d, "value", "pool", "swe").drop("value", "pool", "day")
 
 
