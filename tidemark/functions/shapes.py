@@ -1,6 +1,6 @@
 """Reusable DataFrame patterns that stay whole when one key holds much of the data.
 
-* ``pick_row``: one row per key by aggregation, so map-side combine shrinks a hot key.
+* ``pick_row``: one row per key, cut before the shuffle so that a hot key shrinks where it lies.
 * ``neighbours``: previous and next row of a series, in time slabs instead of one long window.
 * ``exact_percentiles``: exact interpolated percentiles through value bins.
 """
@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = True) -> DataFrame:
-    """The row that is last (or first) per key in a total order, as a combinable aggregate.
-
-    Null keys form one group. Ties beyond ``order`` are settled by the remaining columns, so the
-    answer does not depend on the order rows arrive in."""
-    rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
-    chosen = (F.max if last else F.min)(rank).alias("_row")
-    out = df.groupBy(*keys).agg(chosen)
-    return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    """The row that is last (or first) per key in a total order.
+
+    The planner cuts each key to one row before the shuffle as well as after it (a window group
+    limit), so a key that holds much of the data is reduced where it lies. Null keys form one group;
+    ties beyond ``order`` are settled by the remaining columns, so the answer is the same every run."""
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    way = (lambda c: c.desc_nulls_last()) if last else (lambda c: c.asc_nulls_first())
+    w = Window.partitionBy(*keys).orderBy(*[way(c) for c in (*order, *rest)])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str],

@@ -17,19 +17,23 @@ def daily_flow(df: DataFrame, variable: str = "discharge", zone: str = LOCAL_ZON
 
     Daily rows carry their local date already; sub-daily instants are shifted to the local day. A
     day needs ``min_share`` of the readings its interval promises; with several intervals the finest
-    is used. Stored daily values win, and the two are never averaged together."""
-    v = df.where(F.col("variable") == variable)
-    stored = (v.where((F.col("interval") == "daily") & (F.col("statistic") == "mean"))
-              .groupBy("site_uid", F.to_date("datetime_utc").alias("date"))
-              .agg(F.avg("value").alias("cfs"), F.min("qualifier").alias("qualifier")))
-    per_day = F.create_map(*[x for k, n in READINGS_PER_DAY.items() for x in (F.lit(k), F.lit(n))])
-    local = F.to_date(F.from_utc_timestamp("datetime_utc", zone))
-    fine = (v.where(F.col("interval").isin(*READINGS_PER_DAY)).groupBy("site_uid", local.alias("date"), "interval")
-            .agg(F.avg("value").alias("cfs"), F.count("*").alias("n")).withColumn("expected", per_day[F.col("interval")])
-            .where(F.col("n") >= min_share * F.col("expected")))
-    fine = (fine.groupBy("site_uid", "date").agg(F.max_by("cfs", "expected").alias("cfs"))
-            .join(stored, ["site_uid", "date"], "left_anti").withColumn("qualifier", F.lit(None).cast("string")))
-    return stored.unionByName(fine)
+    is used. Stored daily values win, and the two are never averaged together. All of it is one
+    aggregate with a mean and a count per interval, so the readings are read and shuffled once."""
+    is_day = (F.col("interval") == "daily") & (F.col("statistic") == "mean")
+    v = df.where((F.col("variable") == variable) & (is_day | F.col("interval").isin(*READINGS_PER_DAY)))
+    local = F.when(is_day, F.to_date("datetime_utc")).otherwise(F.to_date(F.from_utc_timestamp("datetime_utc", zone)))
+    of = lambda k: F.when(F.col("interval") == k, F.col("value"))
+    fine = sorted(READINGS_PER_DAY, key=READINGS_PER_DAY.get, reverse=True)
+    g = v.groupBy("site_uid", local.alias("date")).agg(
+        F.avg(of("daily")).alias("daily"), F.count_if(is_day).alias("n_daily"), F.min(F.when(is_day, F.col("qualifier"))).alias("qualifier"),
+        *[F.avg(of(k)).alias(f"m_{k}") for k in fine], *[F.count_if(F.col("interval") == k).alias(f"n_{k}") for k in fine])
+    enough = {k: F.col(f"n_{k}") >= max(min_share * READINGS_PER_DAY[k], 1e-9) for k in fine}
+    cfs = F.when(F.col("n_daily") > 0, F.col("daily"))
+    keep = F.col("n_daily") > 0
+    for k in fine:
+        cfs = cfs.when(enough[k], F.col(f"m_{k}"))
+        keep = keep | enough[k]
+    return g.where(keep).select("site_uid", "date", cfs.alias("cfs"), "qualifier")
 
 
 def despike(df: DataFrame) -> DataFrame:
@@ -66,7 +70,9 @@ def station_day(df: DataFrame, variable: str, hour_utc: int = 7) -> DataFrame:
 def pick_copy(daily: DataFrame, keys: Sequence[str] = ("gauge", "date"), order: Sequence[str] = SOURCE_PRIORITY) -> DataFrame:
     """One copy per gauge and day: the best source, ties by site id."""
     extra = [F.col("site_uid")] if "site_uid" in daily.columns else []
-    return pick_row(daily, list(keys), [priority_of("source", order), *extra], last=False)
+    # days tell rows apart in a sort better than names do
+    by_day = sorted(keys, key=lambda k: k != "date")
+    return pick_row(daily, by_day, [priority_of("source", order), *extra], last=False)
 
 
 def splice(daily: DataFrame, sites: DataFrame, keys: Sequence[str] = ("reservoir", "date")) -> DataFrame:
@@ -95,12 +101,11 @@ def _most_used(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
 
 
 def gauge_weekly(chosen: DataFrame, min_days: int = 4) -> DataFrame:
-    """Weekly mean per gauge with at least ``min_days`` days, and the source used most."""
-    d = chosen.withColumn("week_start", week_start("date"))
-    per = d.groupBy("gauge", "week_start", "source").agg(F.sum("cfs").alias("s"), F.count("*").alias("c"))
-    g = per.groupBy("gauge", "week_start").agg(
-        (F.sum("s") / F.sum("c")).alias("mean_cfs"), F.sum("c").alias("n_days"),
-        F.min_by("source", F.struct(-F.col("c"), F.col("source"))).alias("source_used"))
+    """Weekly mean per gauge with at least ``min_days`` days, and the source used most.
+
+    A gauge has one value a day here, so a group is seven rows at most."""
+    g = chosen.groupBy("gauge", week_start("date").alias("week_start")).agg(
+        F.avg("cfs").alias("mean_cfs"), F.count("*").alias("n_days"), F.mode("source", True).alias("source_used"))
     return g.where(F.col("n_days") >= min_days)
 
 

@@ -255,5 +255,9 @@ def join_flags(df: DataFrame, flags: Sequence[str], drop_if: str) -> DataFrame:
 
 
 def dedup_observations(df: DataFrame, keep: Sequence[Column] | None = None) -> DataFrame:
-    """One row per observation key (null depth equals null depth), the newest run winning."""
-    return pick_row(df, OBS_KEY, list(keep or [F.col("ingest_run_id")]))
+    """One row per observation key (null depth equals null depth), the newest run winning.
+
+    The instant leads the key: sorting starts from an eight-byte value that tells rows apart, where
+    site names of one source share their first letters."""
+    key = ["datetime_utc", *[k for k in OBS_KEY if k != "datetime_utc"]]
+    return pick_row(df, key, list(keep or [F.col("ingest_run_id")]))

@@ -7,7 +7,10 @@ from tidemark.operators import issues as h
 from tidemark.plans.flow_queries import AGAINST, SCREEN, SEG, screened
 from tidemark.plans.registry import query
 
-END = F.lit("2001-11-01").cast("date")
+
+def last_day():
+    return F.lit("2001-11-01").cast("date")
+
 THIN = "thin AS (SELECT * FROM chosen WHERE NOT (CAST(substr(gauge, 2) AS BIGINT) % 2 = 0 AND month(date) IN (1, 2)) AND NOT (gauge = 'G3' AND date BETWEEN DATE '1998-02-01' AND DATE '1998-07-20'))"
 
 
@@ -57,7 +60,7 @@ def h3z(t):
 @query("H4_flatlines", f"""WITH {LV}, lv AS (SELECT * FROM lv0 WHERE cfs <> 0), {RUNS} SELECT gauge, count(*) AS n_runs, max(days) AS longest, strftime(max(z), '%Y-%m-%d') AS last_day, false AS below_dam,
  CASE WHEN DATE '2001-11-01' - max(z) < 200 THEN 'warn' ELSE 'info' END AS severity FROM rn WHERE days >= 4 AND value >= 1 GROUP BY 1""")
 def h4(t):
-    return h.flatlines(levels(t), END, 4, 1.0, 200)
+    return h.flatlines(levels(t), last_day(), 4, 1.0, 200)
 
 
 SPIKY = "spiky AS (SELECT gauge, date, CASE WHEN cfs = 50 AND day(date) = 7 THEN 5000.0 ELSE cfs END AS cfs FROM chosen)"
@@ -110,7 +113,7 @@ def h8n(t):
  HAVING DATE '2001-11-01' - max(date) > 90""")
 def h8e(t):
     n = F.substring("gauge", 2, 9).cast("bigint")
-    return h.ended_records(t.chosen.where(~((n % 2 == 0) & (F.year("date") == 2001))), END)
+    return h.ended_records(t.chosen.where(~((n % 2 == 0) & (F.year("date") == 2001))), last_day())
 
 
 @query("H8_fallback_share", """

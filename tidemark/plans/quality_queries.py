@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality as q
 from tidemark.plans.registry import query
 
-NOW = F.lit("2001-06-30 00:00:00").cast("timestamp")
+
+def now():
+    return F.lit("2001-06-30 00:00:00").cast("timestamp")
 
 
 @query("B1_crosswalk_apply", """
@@ -37,7 +39,7 @@ def b3(t):
 SELECT source, count(*) AS n, count(*) FILTER (WHERE NOT (year(datetime_utc) >= 1996 AND datetime_utc <= TIMESTAMP '2001-06-30' + INTERVAL 2 DAY)) AS dropped
 FROM obs GROUP BY 1""")
 def b4(t):
-    bad = ~q.plausible_date("datetime_utc", NOW, min_year=1996)
+    bad = ~q.plausible_date("datetime_utc", now(), min_year=1996)
     return t.obs.groupBy("source").agg(F.count("*").alias("n"), F.count_if(bad).alias("dropped"))
 
 

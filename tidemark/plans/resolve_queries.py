@@ -6,7 +6,9 @@ from tidemark.functions.literals import fixed
 from tidemark.operators import resolve as d
 from tidemark.plans.registry import query
 
-NULLD = F.lit(None).cast("double")
+
+def no_distance():
+    return F.lit(None).cast("double")
 
 
 def with_meta(t):
@@ -99,7 +101,7 @@ ANCHORED = f"""ex AS ({META} UNION ALL SELECT site_uid, 'usgs:' || substr(native
 
 def anchored(t):
     own = t.sites.where("source = 'wqp'").select(F.col("site_uid").alias("site_uid_a"), F.concat(F.lit("usgs:"), F.substring("native_id", 6, 20)).alias("site_uid_b"), F.lit("same_sensor").alias("link_type"),
-                                                 F.lit("id").alias("evidence"), NULLD.alias("distance_m"), F.lit(0.99).alias("confidence"))
+                                                 F.lit("id").alias("evidence"), no_distance().alias("distance_m"), F.lit(0.99).alias("confidence"))
     return d.settle_by_anchor(d.metadata_links(with_meta(t)).unionByName(own).unionByName(d.proximity_links(t.sites)))
 
 

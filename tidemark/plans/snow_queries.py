@@ -141,13 +141,15 @@ def j18(t):
     return new(t).select("site_uid", "date", "rise", "water", "new")
 
 
-DAY = F.lit("2001-03-15").cast("date")
+def as_of():
+    return F.lit("2001-03-15").cast("date")
+
 TOT = f"""{NEW}, te AS (SELECT w, CASE WHEN w = 2001 THEN DATE '2001-03-15' ELSE make_date(w::INT, 3, 15) END AS e FROM range(1996, 2002) r(w)), tk AS (SELECT w, e, k, CASE k WHEN 'new24' THEN e WHEN 'new7' THEN e - 6 ELSE make_date(w::INT - 1, 10, 1) END AS a FROM te, (VALUES ('new24'), ('new7'), ('newseason')) v(k)),
  tt AS (SELECT site_uid, w AS wy, k AS kind, e AS e, sum(new) AS total FROM tk JOIN nw ON date BETWEEN a AND e AND new IS NOT NULL GROUP BY site_uid, w, k, e, a HAVING count(*) >= 0.3 * (e - a + 1))"""
 
 
 def totals(t):
-    return s.window_totals(new(t), DAY, list(range(1996, 2001)), 0.3)
+    return s.window_totals(new(t), as_of(), list(range(1996, 2001)), 0.3)
 
 
 @query("J19_window_totals", f"WITH {TOT} SELECT site_uid, wy, kind, strftime(e, '%Y-%m-%d') AS \"end\", total::DOUBLE AS total FROM tt")

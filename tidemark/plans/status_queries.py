@@ -11,7 +11,10 @@ from tidemark.plans.network_queries import stations as reach_stations
 from tidemark.plans.normals_queries import CLS, RATED, SEGRATED, rated
 from tidemark.plans.registry import query
 
-NOW = F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+def now():
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+
 THR = """thr AS (SELECT 'nwps:' || s_suppkey AS site_uid, CASE WHEN s_suppkey % 4 = 3 THEN 'm' ELSE 'ft' END AS stage_units, CASE WHEN s_suppkey % 2 = 0 THEN 'cfs' ELSE 'kcfs' END AS flow_units, 20.0 + s_suppkey AS action_stage, CASE WHEN s_suppkey % 3 > 0 THEN 60.0 END AS minor_stage, 120.0 AS moderate_stage, 250.0 AS major_stage,
   CASE WHEN s_suppkey % 2 = 0 THEN 15.0 ELSE 0.015 END AS action_flow, CASE WHEN s_suppkey % 2 = 0 THEN 50.0 ELSE 0.05 END AS minor_flow, CASE WHEN s_suppkey % 2 = 0 THEN 110.0 ELSE 0.11 END AS moderate_flow, CAST(NULL AS DOUBLE) AS major_flow FROM supplier),
  lev AS (SELECT site_uid, CASE WHEN stage_units = 'ft' THEN action_stage END AS a_st, CASE WHEN stage_units = 'ft' THEN minor_stage END AS b_st, CASE WHEN stage_units = 'ft' THEN moderate_stage END AS c_st, CASE WHEN stage_units = 'ft' THEN major_stage END AS d_st,
@@ -31,7 +34,7 @@ def thresholds(t):
 
 
 def readings(t, days):
-    return s.read_window(t.subdaily.withColumn("datetime_utc", F.date_trunc("minute", "datetime_utc")), thresholds(t), NOW, days)
+    return s.read_window(t.subdaily.withColumn("datetime_utc", F.date_trunc("minute", "datetime_utc")), thresholds(t), now(), days)
 
 
 @query("J33_flood_levels", f"WITH {THR.format(days=3)} SELECT site_uid, a_st::DOUBLE AS action_st, b_st::DOUBLE AS minor_st, c_st::DOUBLE AS moderate_st, d_st::DOUBLE AS major_st, round(a_fl, 6)::DOUBLE AS action_fl, round(b_fl, 6)::DOUBLE AS minor_fl, round(c_fl, 6)::DOUBLE AS moderate_fl, CAST(NULL AS DOUBLE) AS major_fl FROM lev")
@@ -60,7 +63,7 @@ def j34(t):
 @query("J35_flood_summary", f"""WITH {THR.format(days=20)}, {ASSESS} SELECT site_uid, {CAT.format(c='top')} AS category, CASE WHEN cur >= 2 AND lt >= TIMESTAMP '2024-01-31' - INTERVAL 6 HOUR THEN {CAT.format(c='cur')} END AS current, strftime(pt, '%Y-%m-%d %H:%M:%S') AS peak_time, ps AS peak_stage, pf AS peak_flow,
  strftime(lt, '%Y-%m-%d %H:%M:%S') AS last_time, ls AS last_stage, CAST(top AS BIGINT) AS rank FROM asd WHERE top >= 2""")
 def j35(t):
-    return s.flood_summary(s.assess(readings(t, 20), thresholds(t)), NOW)
+    return s.flood_summary(s.assess(readings(t, 20), thresholds(t)), now())
 
 
 @query("J35_checked", f"WITH {THR.format(days=3)}, {ASSESS} SELECT count(*) AS checked, strftime(max(lt), '%Y-%m-%d %H:%M:%S') AS latest_reading FROM asd")

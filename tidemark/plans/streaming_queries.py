@@ -11,7 +11,9 @@ from tidemark.plans.tables import Tables
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.streaming import jobs as k
 
-NOW = F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+def now():
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
 
 
 class StreamTables(Tables):
@@ -42,13 +44,13 @@ def minutes(s):
 def k1(t):
     # three days back from midnight; each gauge's state keeps the same span from its own newest reading
     th = thresholds(t)
-    out = replay(t, lambda s: k.flood_status(s.subdaily.where((F.col("variable") == "stage") & (F.col("datetime_utc") > NOW - F.expr("INTERVAL 3 DAYS"))), th), "update")
+    out = replay(t, lambda s: k.flood_status(s.subdaily.where((F.col("variable") == "stage") & (F.col("datetime_utc") > now() - F.expr("INTERVAL 3 DAYS"))), th), "update")
     return k.latest_status(out)
 
 
 @query("K2_latest_readings", """SELECT site_uid, variable, max_by(value, datetime_utc) AS value, strftime(max(datetime_utc), '%Y-%m-%d %H:%M:%S') AS at FROM subdaily GROUP BY 1, 2 HAVING max(datetime_utc) >= TIMESTAMP '2024-01-31' - INTERVAL 36 HOUR""")
 def k2(t):
-    return k.fresh_readings(replay(t, lambda s: k.latest_readings(s.subdaily), "update"), NOW)
+    return k.fresh_readings(replay(t, lambda s: k.latest_readings(s.subdaily), "update"), now())
 
 
 @query("K3_changes", """WITH a AS (SELECT site_uid || '/' || variable AS "key", floor(max_by(value, datetime_utc) / 25) AS s FROM subdaily WHERE datetime_utc < TIMESTAMP '2024-01-20' GROUP BY 1), b AS (SELECT site_uid || '/' || variable AS "key", floor(max_by(value, datetime_utc) / 25) AS s FROM subdaily WHERE NOT (site_uid = 'nwps:3' AND variable = 'stage') GROUP BY 1)
