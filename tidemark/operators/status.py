@@ -115,30 +115,22 @@ def temperature_days(q: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def heat_years(days: DataFrame, min_summer: int = 60, min_years: int = 3, span: int = 7, min_in_span: int = 6) -> DataFrame:
-    """Yearly maximum of the seven-day mean, for sensors with enough years of summer days."""
+    """Yearly maximum of the seven-day mean, for sensors with enough years of summer days.
+
+    Each reading is filed under the days whose trailing window holds it, so every window, also one
+    that ends on a day without a reading, is one combinable aggregate."""
     k = ["name", "segment", "has_max"]
-    summer = days.where(F.month("date").isin(6, 7, 8, 9)).groupBy(*k, F.year("date").alias("year")).agg(F.count("value").alias("n")).where(F.col("n") >= min_summer)
-    enough = summer.groupBy(*k).agg(F.count("*").alias("years")).where(F.col("years") >= min_years)
-    w = Window.partitionBy(*k).orderBy(F.unix_date("date")).rangeBetween(-(span - 1), 0)
-    r = days.withColumn("roll", F.when(F.count("value").over(w) >= min_in_span, F.avg("value").over(w)))
-    # a rolling mean also stands on a day without a reading; such days only repeat neighbours' readings
-    spread = _with_gap_days(days, k, span, min_in_span).unionByName(r.select(*k, "date", "roll"))
-    y = spread.groupBy(*k, F.year("date").alias("year")).agg(F.max("roll").alias("value"))
-    return (y.join(summer.select(*k, "year"), [*k, "year"], "left_semi").join(enough, k)
+    summer = F.month("date").isin(6, 7, 8, 9) & F.col("value").isNotNull()
+    per = days.groupBy(*k, F.year("date").alias("year")).agg(F.count_if(summer).alias("n"), F.max("date").alias("last"))
+    good = F.col("n") >= min_summer
+    enough = per.groupBy(*k).agg(F.count_if(good).alias("years"), F.max("last").alias("last")).where(F.col("years") >= min_years)
+    w = days.withColumn("end", F.explode(F.sequence("date", F.date_add("date", span - 1)))).groupBy(*k, "end").agg(F.count("value").alias("c"), F.avg("value").alias("roll"))
+    w = w.where(F.col("c") >= min_in_span).join(enough, k).where(F.col("end") <= F.col("last"))
+    y = w.groupBy(*k, "years", F.year("end").alias("year")).agg(F.max("roll").alias("value"))
+    return (y.join(per.where(good).select(*k, "year"), [*k, "year"], "left_semi")
             .select("name", "segment", "year", "value", F.when(F.col("has_max"), "7DADM").otherwise("7-day mean").alias("metric"), "years"))
 
 
-def _with_gap_days(days: DataFrame, keys: Sequence[str], span: int, min_in_span: int) -> DataFrame:
-    """Rolling means of the single missing days inside a record that still see enough readings."""
-    w = Window.partitionBy(*keys).orderBy("date")
-    g = days.withColumn("_next", F.lead("date").over(w)).where(F.date_diff("_next", "date") > 1)
-    # only the first span - min_in_span missing days after a reading can hold enough of them
-    g = g.select(*keys, F.explode(F.sequence(F.date_add("date", 1), F.least(F.date_sub("_next", 1), F.date_add("date", span - min_in_span)))).alias("gap"))
-    back = g.withColumn("date", F.explode(F.sequence(F.date_sub("gap", span - 1), F.col("gap"))))
-    j = back.join(days.select(*keys, "date", "value"), [*keys, "date"])
-    return j.groupBy(*keys, F.col("gap").alias("date")).agg(F.count("value").alias("n"), F.avg("value").alias("roll")).where(F.col("n") >= min_in_span).drop("n")
-
-
 def temperature_season(days: DataFrame, this_year: int, min_days: int = 365) -> DataFrame:
     """Percentiles by day of year of earlier years beside this year's value."""
     k = ["name", "segment"]

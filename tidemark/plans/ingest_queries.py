@@ -1,9 +1,13 @@
 """Reshaping queries: given tables are written into provider shapes by Spark, then parsed back."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tidemark.operators.flow import segment_weekly
 from tidemark.plans.registry import query
 from tidemark.schema import OBSERVATIONS
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import archive as a
 from tidemark.sources import reshape as r
 
@@ -443,3 +447,26 @@ def a35(t):
     structures = s.where("s_suppkey % 3 = 0").select(F.concat(F.lit("ab"), "s_suppkey").alias("abbrev"))
     stations = s.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("wdid"), F.concat(F.lit("ab"), "s_suppkey").alias("native_id"))
     return r.diversion_records(d, structures, stations).groupBy("site_uid", "source_param").agg(F.count("*").alias("n"))
+
+
+def scratch(t, name):
+    """A folder of this run in the shared checkpoint area."""
+    return f"{ensure_checkpoint_dir(t.spark)}/{name}/{uuid.uuid4().hex}"
+
+
+@query("A29_reprocess", """SELECT 'hourly' AS kind, CAST(l_suppkey AS VARCHAR) AS site, count(*) AS n, round(sum(l_quantity), 4) AS total FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2 UNION ALL SELECT 'levels', CAST(l_suppkey AS VARCHAR), count(*), round(sum(l_tax), 4) FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1, 2""")
+def a29(t):
+    root, li = scratch(t, "landing"), t.read("lineitem")
+    for kind, rows, value in (("hourly", li.where("l_returnflag = 'A'"), "l_quantity"), ("levels", li.where("l_returnflag <> 'A'"), "l_tax")):
+        rows.select(F.concat_ws(" ", "l_suppkey", value)).write.text(f"{root}/kind={kind}")
+    parse = lambda d: d.select(F.split_part("value", F.lit(" "), F.lit(1)).alias("site"), F.split_part("value", F.lit(" "), F.lit(2)).try_cast("double").alias("value"))
+    return r.reprocess(t.spark, root, {"hourly": parse, "levels": parse}).groupBy("kind", "site").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("A31_publish_marts", """SELECT segment, strftime(week_start, '%Y-%m-%d') AS week_start, round(avg(mean_cfs), 6) AS mean_cfs, count(*) AS n_gauges FROM gauge_weeks JOIN gauges USING (gauge) GROUP BY 1, 2""")
+def a31(t):
+    mart = segment_weekly(t.gauge_weeks, t.gauges).select("segment", "week_start", "mean_cfs", "n_gauges")
+    root = scratch(t, "marts")
+    a.publish_json(mart, f"{root}/weekly")
+    a.publish_csv(mart.select("segment", "n_gauges"), f"{root}/segments")
+    return t.spark.read.schema("segment string, week_start date, mean_cfs double, n_gauges bigint").json(f"{root}/weekly")

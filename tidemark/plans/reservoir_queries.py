@@ -6,6 +6,7 @@ from tidemark.functions.literals import fixed
 from tidemark.operators import balance as b
 from tidemark.operators import reservoir as r
 from tidemark.plans.registry import query
+from tidemark.session import ensure_checkpoint_dir
 
 DAY = lambda s: F.lit(s).cast("date")
 
@@ -125,7 +126,11 @@ def era_years(t):
 
 
 def era_pairs(t):
-    return stepped(t).join(era_years(t).select("reservoir", "y", "era_id"), ["reservoir", "y"])
+    """Days with their era, written once: three operators read it."""
+    if not hasattr(t, "_era_pairs"):
+        ensure_checkpoint_dir(t.spark)
+        t._era_pairs = stepped(t).join(era_years(t).select("reservoir", "y", "era_id"), ["reservoir", "y"]).checkpoint()
+    return t._era_pairs
 
 
 @query("I11_segment_eras", f"WITH {ERASQL} SELECT * FROM er")
@@ -172,7 +177,12 @@ def i14(t):
     return t.read("part").select(k.alias("id"), r.confidence(s % 10 == 0, (k % 45).cast("double"), shift).alias("confidence"))
 
 
-@query("I14_era_capacities")
+@query("I14_era_capacities", f"""WITH {DEPART}, lt AS (SELECT *, max(date) OVER (PARTITION BY reservoir, era_id) AS last FROM ep), es AS (SELECT reservoir, era_id, abs(median(off)) < 900 AND abs(median(off) FILTER (WHERE date >= last - 365)) < 900 AS cur FROM lt GROUP BY 1, 2),
+ rw AS (SELECT d.reservoir, d.pool, d.era_id, cur, round(CASE WHEN cur THEN 0 ELSE gap_ft END, 1) AS gap, 450000.0 + CASE WHEN cur THEN 0 ELSE departure_af END AS v FROM dep d JOIN es USING (reservoir, era_id)), ww AS (SELECT *, CASE WHEN cur THEN 1e6 ELSE 1 / (1 + gap) END AS w FROM rw),
+ pf AS (SELECT *, row_number() OVER k AS i, sum(w) OVER k AS cw, sum(v * w) OVER k AS cv FROM ww WINDOW k AS (PARTITION BY reservoir, pool ORDER BY era_id ROWS UNBOUNDED PRECEDING)), ab AS (SELECT a.reservoir, a.pool, a.i AS ai, b.i AS bi, (b.cv - (a.cv - a.v * a.w)) / (b.cw - (a.cw - a.w)) AS m FROM pf a JOIN pf b ON a.reservoir = b.reservoir AND a.pool = b.pool AND b.i >= a.i),
+ mx AS (SELECT c.reservoir, c.pool, c.i, ab.ai, max(m) AS mm FROM pf c JOIN ab ON ab.reservoir = c.reservoir AND ab.pool = c.pool AND ai <= c.i AND bi >= c.i GROUP BY 1, 2, 3, 4), ft AS (SELECT reservoir, pool, i, round(min(mm)) AS fit FROM mx GROUP BY 1, 2, 3),
+ sh AS (SELECT pf.*, fit, round(CASE WHEN v <> 0 THEN 100 * (fit - v) / v END, 1) AS s FROM pf JOIN ft USING (reservoir, pool, i))
+SELECT reservoir, pool, era_id, round(v)::DOUBLE AS raw_af, fit::DOUBLE AS fit_af, gap::DOUBLE AS gap_ft, s::DOUBLE + 0.0 AS shift_pct, CASE WHEN cur THEN 'current_table' WHEN gap <= 0 AND abs(s) < 0.5 THEN 'high' WHEN gap <= 10 AND abs(s) < 1 THEN 'high' WHEN gap <= 30 AND abs(s) < 2 THEN 'medium' ELSE 'low' END AS confidence FROM sh""")
 def i14e(t):
     pool = t.pairs.select("reservoir").distinct().withColumn("pool_af", F.lit(450000.0))
     summary = r.era_summary(era_pairs(t), pool)

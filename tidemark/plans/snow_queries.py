@@ -34,11 +34,11 @@ def j13(t):
     return bands(t)
 
 
-PM = f"pm AS (SELECT u.unit, u.date, u.value, p50 AS median, CASE WHEN p50 >= 2200 THEN 100 * u.value / p50 END AS pom FROM unit_days u LEFT JOIN bnd b ON b.unit = u.unit AND b.day = {wday('u.date')})"
+PM = f"pm AS (SELECT u.unit, u.date, u.value, p50 AS median, CASE WHEN p50 >= 220000 THEN 100 * u.value / p50 END AS pom FROM unit_days u LEFT JOIN bnd b ON b.unit = u.unit AND b.day = {wday('u.date')})"
 
 
 def rated(t):
-    return s.percent_of_median(daily(t), bands(t), "value", ["unit"], 2200.0)
+    return s.percent_of_median(daily(t), bands(t), "value", ["unit"], 220000.0)
 
 
 @query("J14_percent_of_median", f"WITH {BAND}, {PM} SELECT unit, strftime(date, '%Y-%m-%d') AS date, round(value, 6) AS value, round(median, 6) AS median, round(pom, 6) AS percent_of_median FROM pm")
@@ -54,13 +54,13 @@ def j14p(t):
     return s.peaks(daily(t), ["unit"], "value", 200)
 
 
-SEASON = f"{BAND}, {PM}, {PEAK}, sv AS (SELECT unit, {wy('coalesce(max(date) FILTER (WHERE median >= 2200), max(date))')} AS swy FROM pm GROUP BY 1)"
+SEASON = f"{BAND}, {PM}, {PEAK}, sv AS (SELECT unit, {wy('coalesce(max(date) FILTER (WHERE median >= 220000), max(date))')} AS swy FROM pm GROUP BY 1)"
 
 
 @query("J14_season_rank", f"""WITH {SEASON}, o AS (SELECT pk.unit, peak FROM pk JOIN sv USING (unit) WHERE wy BETWEEN 1996 AND 2000 AND days >= 200 AND wy <> swy), n AS (SELECT pk.* FROM pk JOIN sv ON sv.unit = pk.unit AND wy = swy)
 SELECT n.unit, n.wy AS season_wy, round(n.peak, 6) AS peak, strftime(n.pd, '%Y-%m-%d') AS peak_date, count(*) FILTER (WHERE o.peak > n.peak) + 1 AS rank, count(o.peak) + 1 AS "of", round(median(o.peak), 6) AS median_peak, round(CASE WHEN median(o.peak) > 0 THEN 100 * n.peak / median(o.peak) END, 6) AS percent_of_median_peak FROM n LEFT JOIN o ON o.unit = n.unit GROUP BY n.unit, n.wy, n.peak, n.pd""")
 def j14s(t):
-    seasons = s.season_in_view(rated(t), ["unit"], 2200.0)
+    seasons = s.season_in_view(rated(t), ["unit"], 220000.0)
     return s.season_rank(daily(t), seasons, ["unit"], "value", BASE, 200)
 
 
@@ -73,7 +73,7 @@ def j14c(t):
 @query("J14_season_so_far", f"""WITH {SEASON}, cal AS (SELECT unit, CAST(unnest(generate_series(CAST(make_date(swy::INT - 1, 10, 1) AS TIMESTAMP), CAST(make_date(swy::INT, 9, 30) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM sv)
 SELECT c.unit, strftime(c.date, '%Y-%m-%d') AS date, round(u.value, 6) AS value, round(p10, 6) AS p10, round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75, round(p90, 6) AS p90 FROM cal c LEFT JOIN bnd b ON b.unit = c.unit AND b.day = {wday('c.date')} LEFT JOIN unit_days u ON u.unit = c.unit AND u.date = c.date""")
 def j14f(t):
-    return s.season_so_far(daily(t), bands(t), s.season_in_view(rated(t), ["unit"], 2200.0), ["unit"])
+    return s.season_so_far(daily(t), bands(t), s.season_in_view(rated(t), ["unit"], 220000.0), ["unit"])
 
 
 INDEX = f"""md AS (SELECT unit, month(date) * 100 + day(date) AS k, median(value) AS m FROM unit_days WHERE {wy('date')} BETWEEN 1996 AND 2000 GROUP BY 1, 2 HAVING count(DISTINCT {wy('date')}) >= 2),
@@ -102,11 +102,11 @@ def sday(d):
     return f"(CASE WHEN month({d}) = 2 AND day({d}) = 29 THEN NULL ELSE {d} - make_date({w}::INT - 1, 10, 1) - CASE WHEN {w} % 4 = 0 AND month({d}) BETWEEN 3 AND 9 THEN 1 ELSE 0 END END)"
 
 
-POOL = f"po AS (SELECT unit, {sday('date')} + k AS day, floor(value) AS value FROM unit_days, range(-3, 4) r(k) WHERE {wy('date')} BETWEEN 1996 AND 2000 AND NOT (month(date) = 2 AND day(date) = 29)), pq AS (SELECT * FROM po WHERE day BETWEEN 0 AND 364)"
+POOL = f"po AS (SELECT unit, {sday('date')} + k AS day, floor(value + 0.005) AS value FROM unit_days, range(-3, 4) r(k) WHERE {wy('date')} BETWEEN 1996 AND 2000 AND NOT (month(date) = 2 AND day(date) = 29)), pq AS (SELECT * FROM po WHERE day BETWEEN 0 AND 364)"
 
 
 def whole(t):
-    return daily(t).withColumn("value", F.floor("value").cast("double"))
+    return daily(t).withColumn("value", F.floor(F.col("value") + 0.005).cast("double"))
 
 
 def pool(t):
@@ -119,7 +119,7 @@ def j17(t):
     return s.season_bands(pool(t), ["unit"])
 
 
-@query("J17_rate", f"""WITH {POOL}, u AS (SELECT unit, date, floor(value) AS value, {sday('date')} AS day FROM unit_days WHERE {wy('date')} = 2001), r AS (SELECT u.unit, u.date, u.value, count(p.value) AS n, median(p.value) AS med, 100.0 * (count(*) FILTER (WHERE p.value < u.value) + 0.5 * count(*) FILTER (WHERE p.value = u.value)) / nullif(count(p.value), 0) AS pct
+@query("J17_rate", f"""WITH {POOL}, u AS (SELECT unit, date, floor(value + 0.005) AS value, {sday('date')} AS day FROM unit_days WHERE {wy('date')} = 2001), r AS (SELECT u.unit, u.date, u.value, count(p.value) AS n, median(p.value) AS med, 100.0 * (count(*) FILTER (WHERE p.value < u.value) + 0.5 * count(*) FILTER (WHERE p.value = u.value)) / nullif(count(p.value), 0) AS pct
   FROM u LEFT JOIN pq p ON p.unit = u.unit AND p.day = u.day GROUP BY 1, 2, 3)
 SELECT unit, strftime(date, '%Y-%m-%d') AS date, round(value, 3) AS now, CASE WHEN n >= 20 THEN round(med, 3) END AS usual, CASE WHEN n >= 20 THEN round(pct, 1) END AS pct, CASE WHEN n >= 20 AND NOT (value < 0.05 AND med < 0.05) THEN {CLS} END AS cls, n >= 20 AND value < 0.05 AND med < 0.05 AS little, n FROM r""")
 def j17r(t):
@@ -127,13 +127,13 @@ def j17r(t):
     return s.rate(d, "value", "pool", "swe").drop("value", "pool", "day")
 
 
-NEW = """sn AS (SELECT unit AS site_uid, date, n * 2.0 AS depth, value * 3 / 100 AS swe FROM unit_days), sp AS (SELECT site_uid, min(date) AS a, max(date) AS z FROM sn GROUP BY 1), ca AS (SELECT site_uid, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM sp),
+NEW = """sn AS (SELECT unit AS site_uid, date, n * 2.0 AS depth, value * 3 / 10000 AS swe FROM unit_days), sp AS (SELECT site_uid, min(date) AS a, max(date) AS z FROM sn GROUP BY 1), ca AS (SELECT site_uid, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM sp),
  sd AS (SELECT ca.site_uid, ca.date, depth - lag(depth) OVER w AS rise, swe - lag(swe) OVER w AS water FROM ca LEFT JOIN sn ON sn.site_uid = ca.site_uid AND sn.date = ca.date WINDOW w AS (PARTITION BY ca.site_uid ORDER BY ca.date)),
  nw AS (SELECT *, CASE WHEN rise IS NOT NULL THEN CASE WHEN rise BETWEEN 1 AND 30 AND coalesce(water >= 0.1, false) THEN rise ELSE 0 END END AS new FROM sd)"""
 
 
 def new(t):
-    return s.new_snow(t.unit_days.select(F.col("unit").alias("site_uid"), "date", (F.col("n") * 2.0).alias("depth"), (F.col("value") * 3 / 100).alias("swe")))
+    return s.new_snow(t.unit_days.select(F.col("unit").alias("site_uid"), "date", (F.col("n") * 2.0).alias("depth"), (F.col("value") * 3 / 10000).alias("swe")))
 
 
 @query("J18_new_snow", f"WITH {NEW} SELECT site_uid, strftime(date, '%Y-%m-%d') AS date, rise::DOUBLE AS rise, round(water, 6) AS water, new::DOUBLE AS new FROM nw")
@@ -184,7 +184,9 @@ def j23(t):
     return s.reading_near(daily(t), F.lit("2001-02-20").cast("date"), keys=["unit"])
 
 
-@query("J23_unit_mart")
+@query("J23_unit_mart", f"""WITH p AS (SELECT 'P' || (CAST(substr(unit, 2) AS INTEGER) % 2) AS place, * FROM unit_days), r AS (SELECT unit, max_by(value, date) AS v FROM unit_days WHERE DATE '2001-02-20' - date BETWEEN 0 AND 5 GROUP BY 1),
+ m AS (SELECT place, count(*) AS stations, avg(v) AS mean_reading FROM (SELECT DISTINCT place, unit FROM p) LEFT JOIN r USING (unit) GROUP BY 1), d AS (SELECT DISTINCT place, date FROM p WHERE NOT (month(date) = 2 AND day(date) = 29))
+SELECT m.place AS unit, stations, round(mean_reading, 6) AS mean_reading, CAST(365 AS BIGINT) AS days, count(*) FILTER (WHERE {wy('date')} = 2001) AS this_days, count(*) FILTER (WHERE {wy('date')} = 2000) AS last_days FROM m JOIN d ON d.place = m.place GROUP BY 1, 2, 3""")
 def j23m(t):
     stations = t.unit_days.select(F.col("unit").alias("site_uid")).distinct().withColumn("unit", F.concat(F.lit("P"), F.substring("site_uid", 2, 9).cast("int") % 2))
     readings = s.reading_near(daily(t), F.lit("2001-02-20").cast("date"), keys=["unit"]).withColumnRenamed("unit", "site_uid")

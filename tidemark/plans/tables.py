@@ -129,7 +129,7 @@ SELECT p_partkey AS comid, p_partkey AS fromnode, CASE WHEN p_partkey > 0 THEN p
    'H' || (p_partkey % 20) AS huc8, 'Basin ' || (p_partkey % 20) AS huc8_name FROM part""",
     # a dense daily series per watershed: every calendar day of the order book
     "unit_days": """
-SELECT 'H' || (o_custkey % 6) AS unit, CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) / 100.0 AS value,
+SELECT 'H' || (o_custkey % 6) AS unit, CAST(o_orderdate AS DATE) AS date, sum(o_totalprice) AS value,
    count(*) AS n FROM orders GROUP BY 1, 2""",
     # the same summed over watersheds: a nearly unbroken daily series
     "state_days": """
@@ -338,7 +338,7 @@ class Tables:
     def unit_days(self) -> DataFrame:
         return (self.read("orders").groupBy(F.concat(F.lit("H"), F.col("o_custkey") % 6).alias("unit"),
                                             F.to_date("o_orderdate").alias("date"))
-                .agg((F.sum("o_totalprice") / 100.0).alias("value"), F.count("*").alias("n")))
+                .agg(F.sum("o_totalprice").alias("value"), F.count("*").alias("n")))
 
     @cached_property
     def state_days(self) -> DataFrame:
