@@ -154,7 +154,3 @@ def past_ratings(daily: DataFrame, dates: Sequence[str], keys: Sequence[str], va
     ok = F.size("ref") >= min_years
     pct = F.when(ok, midrank_in(F.col("ref"), F.col("amount")))
     return g.where(F.col("amount").isNotNull()).select(*keys, "stated_on", F.col("_last").alias("window_end"), "amount", pct.alias("percentile"), classify(pct).alias("cls"))
-
-
-def column_or_null(df: DataFrame, name: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.resolve import connected_groups
-from tidemark.operators.spatial import near_lines, points_in_polygons
+from tidemark.operators.spatial import points_in_polygons
 from tidemark.schema import AF_M3, EARTH_AREA_KM, M_TO_IN, MM_TO_IN, SQ_M_PER_SQ_MI
 
 COVER_MM, SNOW_MM = 25.0, 10.0
@@ -185,8 +185,3 @@ def snow_zones(mean: DataFrame, labels: DataFrame, ranges: DataFrame) -> DataFra
     big = grp.groupBy("group").agg(F.count("*").alias("patch_cells"))
     j = m.join(grp, "node").join(big, "group").where(F.col("patch_cells") >= F.col("min_cells"))
     return j.select("range_id", "iy", "ix", "mean", "km", "patch_cells")
-
-
-def river_corridor(cells: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
-    """Cells within a distance of a river line, in the line's units."""
-    return near_lines(cells, lines, "lon", "lat", ["iy", "ix"], radius)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import priority_of, water_year
-from tidemark.functions.literals import fixed
 from tidemark.functions.shapes import exact_percentiles
 from tidemark.operators.flow import _against_used, _most_used
 from tidemark.schema import SOURCE_PRIORITY
@@ -147,7 +146,3 @@ def segment_findings(seg: DataFrame, min_weeks: int = 45) -> DataFrame:
     years = per_year.groupBy("segment").agg(F.count("*").alias("years"), F.max("c").alias("best"))
     none = years.where((F.col("years") >= 3) & (F.col("best") < min_weeks)).select("segment", F.lit("no_yearly").alias("kind"), F.col("best").cast("double").alias("amount"))
     return single.unionByName(none)
-
-
-def hints_table(spark) -> DataFrame:
-    return fixed(spark, UNIT_RATIOS, "ratio double, hint string")

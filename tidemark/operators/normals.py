@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import classify, midrank, water_year, water_year_start, week_of_year
 from tidemark.functions.ratings import array_percentile, baseline_values, midrank_in, year_windows
-from tidemark.functions.shapes import pick_row
 from tidemark.operators.flow import last_complete_week
 from tidemark.schema import CFS_DAY_AF
 
@@ -152,7 +151,3 @@ def water_year_totals(volumes: DataFrame, n_gauges: Column) -> DataFrame:
 
 def year_to_date_days(end: Column) -> Column:
     return F.date_diff(end, water_year_start(end)) + 1
-
-
-def best_copy(daily: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return pick_row(daily, keys, order, last=False)

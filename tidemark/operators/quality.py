@@ -109,11 +109,6 @@ def guard_nulls(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["datetime_utc", "site_uid", "variable", "value"])
 
 
-def date_guard_counts(df: DataFrame, now: Column) -> DataFrame:
-    bad = ~plausible_date("datetime_utc", now)
-    return df.groupBy("source").agg(F.count("*").alias("n"), F.count_if(bad).alias("dropped"))
-
-
 def _bounds(df: DataFrame, registry: DataFrame) -> DataFrame:
     b = registry.select(F.col("variable").alias("_bv"), F.col("unit").alias("reg_unit"), "valid_min", "noise_floor", "valid_max")
     return df.join(b, df["variable"] == b["_bv"], "left").drop("_bv")

@@ -350,7 +350,3 @@ def weekly_history(series: DataFrame) -> DataFrame:
     """Last complete day of each week."""
     wk = F.to_date(F.date_trunc("week", "date"))
     return series.where("complete").groupBy("group", wk.alias("week_start")).agg(F.max("date").alias("date"), F.max_by("storage_af", "date").alias("storage_af"))
-
-
-def median_of(arr: Column) -> Column:
-    return array_percentile(arr, 0.5)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import haversine_m, plain
-from tidemark.functions.shapes import exact_percentiles, pick_row
+from tidemark.functions.shapes import pick_row
 from tidemark.session import ensure_checkpoint_dir
 
 LINK = ["site_uid_a", "site_uid_b", "link_type", "evidence", "distance_m", "confidence"]
@@ -170,11 +170,14 @@ def merge_manual(links: DataFrame, manual: DataFrame) -> DataFrame:
 
 def build_links(sites: DataFrame, manual: DataFrame, radius_m: float = 250.0) -> DataFrame:
     """All links: exact ids, candidates not already exact, anchors, then hand-made rows."""
-    wl = weather_links(sites).unionByName(gauge_id_links(sites))
+    ensure_checkpoint_dir(sites.sparkSession)
+    wl = weather_links(sites).unionByName(gauge_id_links(sites)).checkpoint()
     near = proximity_links(sites, radius_m)
     pair = [F.least("site_uid_a", "site_uid_b").alias("_x"), F.greatest("site_uid_a", "site_uid_b").alias("_y")]
     near = near.select("*", *pair).join(wl.select(*pair).distinct(), ["_x", "_y"], "left_anti").drop("_x", "_y")
-    return merge_manual(settle_by_anchor(metadata_links(sites).unionByName(wl).unionByName(near)), manual)
+    # the candidate list is read by several steps: write it once
+    found = metadata_links(sites).unionByName(wl).unionByName(near).checkpoint()
+    return merge_manual(settle_by_anchor(found).checkpoint(), manual)
 
 
 # ---- names ------------------------------------------------------------------
@@ -357,7 +360,3 @@ def ditch_list(governed: DataFrame, mapped: DataFrame) -> DataFrame:
     m = pick_row(m, ["river", "key"], [F.col("segment")], last=False)
     g = governed.groupBy("river", "key").agg(F.min("name").alias("governed_name"))
     return m.join(g, ["river", "key"], "full_outer").select("river", "key", F.coalesce("governed_name", "mapped_name").alias("name"), "segment", F.col("governed_name").isNotNull().alias("governed"))
-
-
-def median_metres(links: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return exact_percentiles(links, keys, "distance_m", {"p50": 0.5})

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import classify, water_year
-from tidemark.functions.literals import fixed
-from tidemark.functions.ratings import array_percentile
 from tidemark.functions.shapes import exact_percentiles, neighbours
 from tidemark.operators.network import NON_RIVER
 from tidemark.schema import LOCAL_ZONE
@@ -272,11 +270,3 @@ def length_violations(rows: DataFrame, keys: Sequence[str], series: str) -> Data
     """Parallel series of one entity that differ in length."""
     n = rows.groupBy(*keys, series).agg(F.count("*").alias("n")).groupBy(*keys).agg(F.min("n").alias("a"), F.max("n").alias("z"))
     return n.where(F.col("a") != F.col("z")).select(F.concat_ws("/", *keys).alias("subject"), F.lit("series differ in length").alias("rule"))
-
-
-def flood_categories(spark) -> DataFrame:
-    return fixed(spark, [(i, c) for i, c in enumerate(FLOOD, start=1)], "rank int, category string")
-
-
-def array_median(arr: Column) -> Column:
-    return array_percentile(arr, 0.5)

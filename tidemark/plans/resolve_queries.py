@@ -118,6 +118,16 @@ def d6(t):
     return d.merge_manual(near, manual)
 
 
+FULL = ANCHORED.replace("'same_sensor', 'id', NULL, 0.99 FROM sites", "'same_sensor', 'WQP id USGS-<number> is the USGS site number', NULL, 0.99 FROM sites")
+
+
+@query("D6_build_links", f"""WITH {FULL} SELECT site_uid_a, site_uid_b, link_type, evidence, distance_m, confidence::DOUBLE AS confidence FROM st s WHERE link_type <> 'colocated'
+ OR NOT EXISTS (SELECT 1 FROM st x WHERE x.link_type <> 'colocated' AND least(x.site_uid_a, x.site_uid_b) = least(s.site_uid_a, s.site_uid_b) AND greatest(x.site_uid_a, x.site_uid_b) = greatest(s.site_uid_a, s.site_uid_b))""")
+def d6b(t):
+    none = t.sites.limit(0).select(F.lit("a").alias("site_uid_a"), F.lit("b").alias("site_uid_b"), F.lit("c").alias("link_type"), F.lit("d").alias("evidence"))
+    return d.build_links(with_meta(t), none)
+
+
 NAMES = """nm AS (SELECT a.p_partkey AS id, a.p_partkey, a.p_size, 'Rio ' || a.p_name || CASE WHEN a.p_size % 2 = 0 THEN ' bl ' ELSE ' nr ' END || a.p_type || ' Dam' AS name_a, b.p_name || ' River ' || CASE WHEN b.p_size % 3 = 0 THEN 'abv ' ELSE '@' END || b.p_type || CASE WHEN b.p_size % 5 = 0 THEN ' computed' ELSE '' END AS name_b,
   list_distinct(list_concat(string_split(a.p_name, ' '), [lower(a.p_type)])) AS pa, list_distinct(list_concat(list_concat(string_split(b.p_name, ' '), [lower(b.p_type)]), CASE WHEN b.p_size % 5 = 0 THEN ['computed'] ELSE [] END)) AS pb, a.p_size % 2 = 0 AND b.p_size % 3 = 0 AS opp, b.p_size % 5 = 0 AS der
   FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1),
