@@ -31,7 +31,8 @@ def replay(t, build, mode="append"):
     spark = t.spark
     base = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
     stream = build(StreamTables(spark, t.dir))
-    k.to_batches(stream, f"{base}/out", f"{base}/state", mode).awaitTermination()
+    with k.state_partitions(spark):
+        k.to_batches(stream, f"{base}/out", f"{base}/state", mode).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
@@ -32,7 +33,10 @@ def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str
 
 
 def to_batches(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", shape: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Run over what is available and write each micro-batch to ``out/batch=<id>``."""
+    """Run over what is available and write each micro-batch to ``out/batch=<id>``.
+
+    State is split once, when a query first starts, by ``spark.sql.shuffle.partitions``; see
+    ``state_partitions``."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         d = shape(df) if shape else df
@@ -41,6 +45,18 @@ def to_batches(stream: DataFrame, out: str, checkpoint: str, mode: str = "append
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None]:
+    """Start stateful queries inside with their state in ``n`` parts, the cluster's parallelism by default."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 # ---- ingest -----------------------------------------------------------------
 
 
