@@ -5,17 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, neardup, quality, shards
+from tidemark.llm import chat, contamination, neardup, packing, quality, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    out = contamination.scan(documents(spark, sf_dir).select("doc_id", "text"), items)
+    ids = F.array_join(F.transform("items", lambda x: x.cast("string")), ",")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ip AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(generate_series(1, greatest(1, len(w) - 9))) AS p FROM i WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM ip),
+dp AS (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d, (SELECT DISTINCT n FROM iw)),
+m AS (
+  SELECT DISTINCT doc_id, p, n, item_id FROM (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS s FROM dp) JOIN iw USING (n, s)),
+h AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS x FROM m) GROUP BY doc_id),
+g AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id)
+"""
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.clean_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "lost_chars")
@@ -58,5 +98,5 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_neardup, op5_quality_rules, op7_chat_format, op9_jump_shards)}
-ORACLES: dict[str, str] = {"op7_chat_format": OP7_SQL}
+QUERIES = {f.__name__: f for f in (op1_concat_packing, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op7_chat_format, op9_jump_shards)}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL}
