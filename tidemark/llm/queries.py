@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, neardup, packing, quality, shards
+from tidemark.llm import chat, contamination, neardup, packing, quality, shards, suffixes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op1_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -98,5 +103,5 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_concat_packing, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op7_chat_format, op9_jump_shards)}
+QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op7_chat_format, op9_jump_shards)}
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL}
