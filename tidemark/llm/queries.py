@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, neardup, packing, quality, shards, suffixes
+from tidemark.llm import chat, contamination, language, neardup, packing, quality, shards, suffixes
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "lost_chars")
 
 
+def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.train_and_identify(documents(spark, sf_dir))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = F.lit("<|im_end|><|im_start|>assistant ok")
@@ -103,5 +107,5 @@ def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op7_chat_format, op9_jump_shards)}
+QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op9_jump_shards)}
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL}
