@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, language, neardup, packing, quality, shards, suffixes
+from tidemark.llm import chat, contamination, language, neardup, packing, pages, quality, shards, suffixes, urls
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,10 +102,70 @@ FROM p GROUP BY conv_id
 """
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as captures; the day of each follows from its id."""
+    pages_ = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return pages_.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 730).cast("int")))
+
+
+def dated_entries(seen: DataFrame) -> DataFrame:
+    """Lists over the hosts, parent domains and first path segments of the captures, with days that follow from a digest of each."""
+    host, parts = urls.host_of(F.col("url")), urls.segments_of(F.col("url"))
+    names = seen.where("url is not null").select(host.alias("h"), F.get(parts, F.lit(0)).alias("p")).distinct()
+    labels = F.split("h", r"\.")
+    domain = F.array_join(F.slice(labels, 2, F.size(labels)), ".")
+    both = names.select(F.explode(F.array(
+        F.struct(F.lit("adult").alias("list"), F.col("h").alias("pattern")), F.struct(F.lit("malware").alias("list"), F.col("h").alias("pattern")),
+        F.struct(F.lit("family").alias("list"), F.when(F.size(labels) > 3, domain).alias("pattern")),
+        F.struct(F.lit("spam").alias("list"), F.concat("h", F.lit("/"), "p").alias("pattern")))).alias("x")).select("x.*")
+    made = both.where("pattern is not null and pattern != ''").distinct().withColumn("k", F.conv(F.substring(F.md5(F.concat("list", F.lit(":"), "pattern").cast("binary")), 1, 8), 16, 10).cast("bigint"))
+    start, end = F.col("k") % 600, F.col("k") % 600 + 1 + F.floor(F.col("k") / 600) % 200
+    turns = F.array(F.struct(F.lit("add").alias("action"), start.alias("d")), F.struct(F.lit("remove").alias("action"), end.alias("d")), F.struct(F.lit("add").alias("action"), (end + 60).alias("d")))
+    wanted = F.slice(turns, 1, (1 + F.floor(F.col("k") / 7) % 3).cast("int"))
+    return made.where("k % 3 = 0").select("list", "pattern", F.explode(wanted).alias("t")).select(
+        "list", "pattern", "t.action", F.date_add(F.lit("2024-01-01").cast("date"), F.col("t.d").cast("int")).alias("dated"))
+
+
+def op8_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = captures(spark, sf_dir)
+    out = urls.evaluate(seen, dated_entries(seen))
+    return out.select("page_id", "url", F.col("fetched").cast("string").alias("fetched"), "host", "blocked", "n_entries", "lists", "pattern")
+
+
+OP8_SQL = r"""
+WITH c AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 730 AS INTEGER) AS fetched,
+         lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts FROM pages),
+n AS (SELECT DISTINCT host AS h, parts[1] AS p, string_split(host, '.') AS l FROM c WHERE url IS NOT NULL),
+b AS (
+  SELECT 'adult' AS list, h AS pattern FROM n UNION SELECT 'malware', h FROM n
+  UNION SELECT 'family', array_to_string(l[2:], '.') FROM n WHERE len(l) > 3 UNION SELECT 'spam', h || '/' || p FROM n WHERE p IS NOT NULL),
+k AS (SELECT list, pattern, CAST('0x' || substr(md5(list || ':' || pattern), 1, 8) AS BIGINT) AS k FROM b WHERE pattern <> ''),
+s AS (
+  SELECT list, pattern, CAST(k % 600 AS INTEGER) AS d0, CAST(k % 600 + 1 + (k // 600) % 200 AS INTEGER) AS d1, 1 + (k // 7) % 3 AS turns FROM k WHERE k % 3 = 0),
+v AS (
+  SELECT list, pattern, DATE '2024-01-01' + d0 AS f, CASE WHEN turns > 1 THEN DATE '2024-01-01' + d1 END AS t FROM s
+  UNION ALL SELECT list, pattern, DATE '2024-01-01' + d1 + 60, NULL FROM s WHERE turns = 3),
+m AS (
+  SELECT c.page_id, count(*) AS n_entries, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, max(lpad(CAST(length(pattern) AS VARCHAR), 6, '0') || pattern) AS best
+  FROM c JOIN v ON fetched >= f AND (t IS NULL OR fetched < t) AND host <> ''
+   AND (host = pattern OR ends_with(host, '.' || pattern) OR starts_with(host || '/' || array_to_string(parts, '/') || '/', pattern || '/') AND contains(pattern, '/'))
+  GROUP BY c.page_id)
+SELECT page_id, url, CAST(fetched AS VARCHAR) AS fetched, host, m.page_id IS NOT NULL AS blocked, coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists, substr(best, 7) AS pattern
+FROM c LEFT JOIN m USING (page_id)
+"""
+
+
 def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.assign(documents(spark, sf_dir), 40)
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op9_jump_shards)}
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL}
+def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pages.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op8_temporal_url_filter, op9_jump_shards, op10_page_differencing)}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL, "op8_temporal_url_filter": OP8_SQL}
