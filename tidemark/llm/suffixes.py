@@ -101,6 +101,14 @@ def multikey_classes(n: int, columns: int, key) -> np.ndarray:
     return group
 
 
+def by_class(group: np.ndarray, docs: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by class and place, which strings come first in their class, and which start later than that (a repeated row does not)."""
+    order = np.lexsort((places, docs, group))
+    first = np.concatenate([[True], group[order][1:] != group[order][:-1]])
+    head = np.repeat(order[first], np.diff(np.append(np.flatnonzero(first), len(order))))
+    return order, first, (docs[order] != docs[head]) | (places[order] != places[head])
+
+
 def eight_bytes(flat: np.ndarray, at: np.ndarray, left: np.ndarray | int) -> np.ndarray:
     """The eight bytes at places of a padded byte array as big-endian numbers, those beyond ``left`` blanked."""
     raw = np.lib.stride_tricks.sliding_window_view(flat, 8)[at].view(">u8").ravel().astype(np.uint64)
@@ -124,9 +132,8 @@ def repeats(contexts: list[bytes], docs: np.ndarray, places: np.ndarray, length:
         return np.where(left > 0, eight_bytes(flat, np.minimum(begin[rows] + 8 * (c - 1), len(flat) - 8), np.maximum(left, 1)), np.uint64(0))
 
     group = multikey_classes(len(lens), 1 + -(-int(lens.max()) // 8), whole)
-    order = np.lexsort((places, docs, group))
-    copy = np.concatenate([[False], group[order][1:] == group[order][:-1]])
-    copies, kept = order[copy], order[~copy]
+    order, first, later = by_class(group, docs, places)
+    copies, kept = order[later], order[first]
     out = [(docs[copies], places[copies], places[copies] + lens[copies] - length)]
     counts = lens[kept] - length + 1
     total = int(counts.sum())
@@ -136,8 +143,8 @@ def repeats(contexts: list[bytes], docs: np.ndarray, places: np.ndarray, length:
         at = begin[kept][own] + step
         group = multikey_classes(total, -(-length // 8), lambda c, rows: eight_bytes(flat, at[rows] + 8 * c, length - 8 * c))
         d, p = docs[kept][own], places[kept][own] + step
-        order = np.lexsort((p, d, group))
-        found = np.sort(order[1:][group[order][1:] == group[order][:-1]])
+        order, _, later = by_class(group, d, p)
+        found = np.sort(order[later])
         if len(found):
             edge = np.flatnonzero(np.concatenate([[True], (np.diff(found) != 1) | (own[found][1:] != own[found][:-1])]))
             end = np.append(edge[1:], len(found)) - 1
@@ -198,7 +205,7 @@ def suffix_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame
                             had = first.get(context)
                             if had is None:
                                 first[context] = [context if hot else raw[p:p + LEAD], keys[i], x + shift, []]
-                            else:
+                            elif (keys[i], x + shift) != (had[1], had[2]):
                                 had[3] += (keys[i], x + shift)
                 rows = list(first.items())
                 for f, g in slices([len(c) + 8 * len(v[3]) for c, v in rows], TEXT_BATCH):
