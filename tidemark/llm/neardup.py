@@ -1,10 +1,10 @@
 """Near-duplicates by a chosen-path similarity join over MinHash trees.
 
 Every tree deals the documents out by a minwise token of their shingle sets. A node that is small is compared exhaustively on full
-sets; a large one is compared in blocks that all hold the node's first document, and then branches again by further minwise tokens.
-A node whose documents are connected already needs nothing more, so a group of thousands of near copies ends after one or two
-levels instead of giving all its pairs. A pair at the threshold parts in a tree with probability 1 - similarity per level with one
-token and its square with two; independent trees bring the loss of a pair at 0.8 below one in a hundred thousand (0.2 ** 8)."""
+sets; a large one is compared in blocks that all hold the node's first document. What is connected by then needs no comparison among
+itself, so a node that is nearly one group ends with the few others held against all of it, and only a node without such a group
+branches again, by two further minwise tokens. A pair of similarity s parts with probability 1 - s at the first level of a
+tree and (1 - s) ** 2 at each further one; all trees together lose a pair at 0.8 about once in eighty thousand (0.2 ** 7)."""
 
 from __future__ import annotations
 
@@ -22,9 +22,11 @@ from tidemark.llm.common import drop_stored, parallelism, stored, text_of
 
 SHINGLE = 4
 PERCENT = 80
-TREES = 8
-DEPTH = 6
-BLOCK = 48
+TREES = 7
+DEPTH = 4
+BLOCK = 512
+#: A large node is finished exactly if that takes at most so many rows for each of its own.
+FINISH = 8
 COORDS = TREES + TREES * 2 * (DEPTH - 1)
 MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -101,9 +103,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     start[1:] = ~same
     values, owner, row = None, owner[shared], np.cumsum(start[shared]) - 1
     out = np.zeros((k, k), np.int64)
-    for s in range(0, int(row[-1]) + 1 if len(row) else 0, 32768):
-        lo, hi = np.searchsorted(row, (s, s + 32768))
-        m = np.zeros((min(32768, int(row[-1]) + 1 - s), k), np.float32)
+    for s in range(0, int(row[-1]) + 1 if len(row) else 0, 8192):
+        lo, hi = np.searchsorted(row, (s, s + 8192))
+        m = np.zeros((min(8192, int(row[-1]) + 1 - s), k), np.float32)
         m[row[lo:hi] - s, owner[lo:hi]] = 1
         out += (m.T @ m).astype(np.int64)
     return out
@@ -169,40 +171,53 @@ def compare(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
 def grow(level: DataFrame, mins: DataFrame, texts: DataFrame, width: int, percent: int) -> list[DataFrame]:
     """Edges (a, b) between labels from the trees that begin with ``level`` (tree, node, sid, label), branched until every node is
     small, compared, or connected."""
-    edges = []
+    edges, parts = [], F.ceil(F.col("m") / BLOCK)
     for depth in range(1, DEPTH + 1):
         stats = level.groupBy("node").agg(F.count("*").alias("m"), F.min("sid").alias("pivot"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_rows = level.join(stats.where("lo != hi").select("node", "m", "pivot"), "node")
-        blocks = F.ceil(F.col("m") / BLOCK)
-        rows = open_rows.withColumn("block", F.when(F.col("m") <= 2 * BLOCK, 0).otherwise(F.pmod(F.xxhash64("sid", F.lit(depth)), blocks)))
-        head = open_rows.where((F.col("m") > 2 * BLOCK) & (F.col("sid") == F.col("pivot"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        own = F.pmod(F.xxhash64("sid", F.lit(depth)), F.ceil(F.col("m") / BLOCK))
-        rows = rows.union(head.where(F.col("block") != own).select(*rows.columns))
-        if depth == DEPTH:
-            rows = rows.union(all_blocks(open_rows, depth).select(*rows.columns))
-        rows = stored(rows.select("tree", "node", "block", "sid", "label", "m", "pivot"), f"rows{depth}")
-        sizes = rows.agg(F.count("*").alias("n"), F.max("m").alias("m")).first()
-        if not sizes["n"]:
+        rows = level.join(stats.where("lo != hi").select("node", "m", "pivot"), "node")
+        own = F.when(F.col("m") <= 2 * BLOCK, 0).otherwise(F.pmod(F.xxhash64("sid", "node"), parts))
+        every = F.sequence(F.lit(0).cast("bigint"), parts - 1)
+        blocks = F.when((F.col("sid") == F.col("pivot")) & (F.col("m") > 2 * BLOCK), every).otherwise(F.array(own))
+        rows = stored(rows.withColumn("block", F.explode(blocks)).select("tree", "node", "block", "sid", "label", "m", "pivot"), f"rows{depth}")
+        most = rows.agg(F.max("m")).first()[0]
+        if most is None:
             break
         done = stored(compare(rows, texts, width, percent), f"linked{depth}")
         edges.append(done.where("label != new").select(F.col("label").alias("a"), F.col("new").alias("b")).distinct())
-        if sizes["m"] <= 2 * BLOCK or depth == DEPTH:
+        if most <= 2 * BLOCK:
+            break
+        large = rows.where(f"m > {2 * BLOCK}").groupBy("tree", "node", "sid").agg(F.first("m").alias("m"), F.first("pivot").alias("pivot"))
+        large = large.join(done.groupBy("node", "sid").agg(F.min("new").alias("label")), ["node", "sid"])
+        sizes = large.groupBy("node", "label").count()
+        main = sizes.groupBy("node").agg(F.max(F.struct(F.col("count").alias("n"), F.col("label").alias("l"))).alias("x")).select("node", F.col("x.n").alias("n"), F.col("x.l").alias("main"))
+        rest = F.col("m") - F.col("n")
+        large = stored(large.join(main, "node").where("m > n").withColumn("rest", rest).withColumn(
+            "finish", F.lit(depth == DEPTH) | (parts * rest + F.ceil(rest / BLOCK) * F.col("m") <= FINISH * F.col("m"))), f"large{depth}")
+        last = stored(compare(final_blocks(large.where("finish")), texts, width, percent), f"finished{depth}")
+        edges.append(last.where("label != new").select(F.col("label").alias("a"), F.col("new").alias("b")).distinct())
+        if depth == DEPTH or large.where("not finish").isEmpty():
             break
-        large = rows.where(f"m > {2 * BLOCK}").select("tree", "node", "sid").distinct()
-        label = done.groupBy("node", "sid").agg(F.min("new").alias("label"))
         at = F.lit(TREES) + F.col("tree") * 2 * (DEPTH - 1) + 2 * (depth - 1)
-        deeper = large.join(label, ["node", "sid"]).join(mins.select("sid", "mins"), "sid").select(
+        deeper = large.where("not finish").join(mins.select("sid", "mins"), "sid").select(
             "tree", "node", "sid", "label", F.explode(F.array(
                 F.struct(F.lit(0).alias("c"), F.get("mins", at).alias("v")), F.struct(F.lit(1).alias("c"), F.get("mins", at + 1).alias("v")))).alias("x"))
         level = stored(deeper.select("tree", F.xxhash64("node", "x.c", "x.v").alias("node"), "sid", "label"), f"level{depth + 1}")
     return edges
 
 
-def all_blocks(open_rows: DataFrame, depth: int) -> DataFrame:
-    """The exact way for nodes that are still large at full depth: every two blocks of a node meet once."""
-    big = open_rows.where(F.col("m") > 2 * BLOCK).withColumn("parts", F.ceil(F.col("m") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("sid", F.lit(depth)), F.col("parts")))
-    met = big.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).where("other != own")
-    return met.withColumn("block", (F.least("own", "other") + 1) * F.col("parts") + F.greatest("own", "other"))
+def final_blocks(large: DataFrame) -> DataFrame:
+    """The exact end of a large node: its main group in blocks of rows, the rest in blocks of rows, and every block of the rest met
+    with every block of both. The main group, connected already, is not compared with itself."""
+    of_main, of_rest = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("rest") / BLOCK)
+    own = F.pmod(F.xxhash64("sid", "node"), F.when(F.col("label") == F.col("main"), of_main).otherwise(of_rest))
+    # blocks of the rest come first; a pair of blocks (r, b) has r below the blocks of the rest and b at or above r
+    total = of_main + of_rest
+    rows = large.withColumn("own", own)
+    as_main = F.transform(F.sequence(F.lit(0).cast("bigint"), of_rest - 1), lambda r: r * total + of_rest + F.col("own"))
+    ups = F.transform(F.sequence(F.col("own"), total - 1), lambda b: F.col("own") * total + b)
+    downs = F.when(F.col("own") > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("own") - 1), lambda r: r * total + F.col("own"))).otherwise(F.array().cast("array<bigint>"))
+    blocks = F.when(F.col("label") == F.col("main"), as_main).otherwise(F.concat(ups, downs))
+    return rows.withColumn("block", F.explode(blocks)).select("tree", "node", "block", "sid", "label", "m", "pivot")
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -211,6 +226,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     Links are confirmed on full shingle sets. Rows whose sets are equal are one entity, named by its smallest doc_id. Null or
     empty texts have no shingles and are linked with nothing; rows that share a doc_id are one document of the graph, each with its own ``n_shingles``; a
     row without doc_id has no component and is kept. An empty table gives an empty table."""
+    spark = docs.sparkSession
     sketch = stored(sketches(docs, width), "sketch")
     known = sketch.where("doc_id is not null and n > 0")
     sets = stored(known.groupBy("print").agg(F.min("doc_id").alias("sid"), F.first("mins").alias("mins")), "sets")
@@ -223,13 +239,19 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
 
     edges = grow(roots.where("tree = 0").select("tree", "node", "sid", "label"), sets, texts, width, percent)
     again = known.groupBy("doc_id").agg(F.min("print").alias("p"), F.max("print").alias("q")).where("p != q").select("doc_id")
-    twice = known.select("doc_id", "print").join(again, "doc_id", "left_semi").join(sets.select("print", "sid"), "print")
-    edges.append(twice.select(F.col("doc_id").alias("a"), F.col("sid").alias("b")))
-    first = components(union(edges))
+    if not again.isEmpty():
+        twice = known.select("doc_id", "print").join(again, "doc_id", "left_semi").join(sets.select("print", "sid"), "print")
+        edges.append(twice.select(F.col("doc_id").alias("a"), F.col("sid").alias("b")))
+    none = spark.createDataFrame([], "id bigint, root bigint")
+    first = components(union(edges)) if edges else none
     rest = roots.where("tree > 0").join(first.withColumnRenamed("id", "sid"), "sid", "left").select(
         "tree", "node", "sid", F.coalesce("root", "label").alias("label"))
+    # the labels of the other trees are roots by now, so their edges join roots alone
     more = grow(rest, sets, texts, width, percent)
-    found = components(union([first.select(F.col("id").alias("a"), F.col("root").alias("b")), *more])) if more else first
+    second = components(union(more)) if more else none
+    up = second.select(F.col("id").alias("root"), F.col("root").alias("top"))
+    found = first.join(up, "root", "left").select("id", F.coalesce("top", "root").alias("root")).union(
+        second.join(first, "id", "left_anti").select("id", "root"))
     drop_stored(texts)
     drop_stored(roots)
 
