@@ -22,6 +22,10 @@ def _delete(df: DataFrame, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _print(e: DataFrame) -> tuple:
+    return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, root): the smallest node reachable from each node of an edge; a root stands on no row of its own.
 
@@ -32,20 +36,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     estimates pile up; rounds go on until the edges stay the same. Null ends and loops are left out."""
     spark = edges.sparkSession
     folder = f"{(spark.conf.get('spark.checkpoint.dir', None) or ensure_checkpoint_dir(spark)).rstrip('/')}/components-{uuid.uuid4().hex}"
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    e = _round(e, folder, "r0")
-    seen, k = None, 0
+    e = _round(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), folder, "r0")
+    seen, k = _print(e), 0
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).where("u != v")
         k += 1
-        new = _round(small.union(low.select("u", F.col("m").alias("v"))).distinct(), folder, f"r{k}")
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if k > 1:
-            _delete(new, f"{folder}/r{k - 1}")
+        e = _round(small.union(low.select("u", F.col("m").alias("v"))).distinct(), folder, f"r{k}")
+        now = _print(e)
+        _delete(e, f"{folder}/r{k - 1}")
         if now == seen:
-            return new.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        seen, e = now, new
+            return e.select(F.col("u").alias("id"), F.col("v").alias("root"))
+        seen = now
