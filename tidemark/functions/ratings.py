@@ -50,12 +50,12 @@ def baseline_values(years: Column, first: int, last: int, min_base: int, min_fal
 def year_windows(df: DataFrame, keys: Sequence[str], value: str, end: Column, days: Sequence[int | Column], date: str = "date") -> DataFrame:
     """Totals over the k days ending on ``end``'s calendar day of every year, for each k.
 
-    Each row names the (at most two) years whose window holds it, so this is one combinable
-    aggregate: no join of days against windows. Columns: days, year, window_end, total, n, top."""
+    Each row names the years whose window holds it, two for windows of up to a year and one more for
+    each year beyond, so this is one combinable aggregate: no join of days against windows. Columns: days, year, window_end, total, n, top."""
     ks = F.array(*[k if isinstance(k, Column) else F.lit(k) for k in days])
     d = df.where(F.col(value).isNotNull()).withColumn("_end", end)
     d = d.select(*keys, F.col(date).alias("_d"), F.col(value).alias("_v"), "_end",
-                 F.explode(F.array(F.year(date), F.year(date) + 1)).alias("year"), ks.alias("_ks"))
+                 F.explode(F.sequence(F.year(date), F.year(date) + 1 + F.floor(F.array_max(ks) / 366).cast("int"))).alias("year"), ks.alias("_ks"))
     d = d.withColumn("window_end", same_day_in(F.col("year"), F.col("_end"))).where(F.col("year") <= F.year("_end"))
     gap = F.date_diff("window_end", "_d")
     d = d.where(gap >= 0).withColumn("days", F.explode(F.filter("_ks", lambda k: k > gap)))

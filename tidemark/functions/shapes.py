@@ -31,15 +31,17 @@ def neighbours(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[
 
     Rows are windowed within (series, slab), where a slab is a calendar day unless given. The first
     and last rows of each slab form a small edge table, one row per slab, whose own window supplies
-    the values across slab borders. No task therefore holds a whole series of readings."""
+    the values across slab borders. No task therefore holds a whole series of readings. Rows of one
+    instant follow the named values, in the windows and in the edge table alike."""
     slab = F.to_date(F.col(order)) if slab is None else slab
     cut = df.withColumn("_slab", slab)
-    inner = Window.partitionBy(*keys, "_slab").orderBy(order)
+    inner = Window.partitionBy(*keys, "_slab").orderBy(order, *values)
+    place = F.struct(F.col(order), *[F.col(v) for v in values])
     pack = F.struct(*[F.col(v) for v in values])
     within = (cut.withColumn("_p", F.lag(pack).over(inner))
                  .withColumn("_n", F.lead(pack).over(inner)))
-    edges = cut.groupBy(*keys, "_slab").agg(F.min_by(pack, F.col(order)).alias("_head"),
-                                           F.max_by(pack, F.col(order)).alias("_tail"))
+    edges = cut.groupBy(*keys, "_slab").agg(F.min_by(pack, place).alias("_head"),
+                                           F.max_by(pack, place).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_slab")
     borders = edges.select(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col("_slab").alias("_eslab"),
                            F.lag("_tail").over(across).alias("_before"), F.lead("_head").over(across).alias("_after"))

@@ -163,11 +163,13 @@ def label_cells(cells: DataFrame, seeds: DataFrame, reach_km: float) -> DataFram
     A cell further than the widest reach belongs to no range, so seeds are looked up through buckets
     of that reach in place of comparing every cell with every seed."""
     deg = reach_km / KM_PER_DEG
-    # stretched so that the bucket reach holds at the cell's latitude
     s = seeds.select("range_id", F.col("lon").alias("sx"), F.col("lat").alias("sy"))
-    wide = deg * 2.5
-    ring = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    s = s.withColumn("r", F.explode(ring)).select("range_id", "sx", "sy", (F.floor(F.col("sx") / wide) + F.col("r.dx")).alias("bx"), (F.floor(F.col("sy") / wide) + F.col("r.dy")).alias("by"))
+    wide = deg
+    # a seed is filed under the buckets east and west that its reach spans at the latitude furthest from the equator it reaches
+    shrink = F.cos(F.radians(F.least(F.abs("sy") + deg, F.lit(90.0))))
+    reach = F.least(F.ceil(1.0 / F.greatest(shrink, F.lit(1e-9))), F.ceil(F.lit(360.0 / wide))).cast("int")
+    s = s.withColumn("dx", F.explode(F.sequence(-reach, reach))).withColumn("dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+    s = s.select("range_id", "sx", "sy", (F.floor(F.col("sx") / wide) + F.col("dx")).alias("bx"), (F.floor(F.col("sy") / wide) + F.col("dy")).alias("by"))
     c = cells.withColumn("bx", F.floor(F.col("lon") / wide)).withColumn("by", F.floor(F.col("lat") / wide))
     dx, dy = (F.col("lon") - F.col("sx")) * KM_PER_DEG * F.cos(F.radians("lat")), (F.col("lat") - F.col("sy")) * KM_PER_DEG
     d = c.join(s, ["bx", "by"]).withColumn("km", F.sqrt(dx * dx + dy * dy)).where(F.col("km") < reach_km)

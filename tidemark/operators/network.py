@@ -11,18 +11,18 @@ from tidemark.functions.columns import plain, repair_name
 from tidemark.session import ensure_checkpoint_dir
 
 
-def downstream_names(flowlines: DataFrame, max_steps: int = 2000) -> DataFrame:
+def downstream_names(flowlines: DataFrame, max_steps: int | None = None) -> DataFrame:
     """First named reach downstream of every unnamed reach and the steps to it.
 
     Pointer jumping: each round a reach takes over its pointer's pointer, so the walk doubles and
-    needs log2(max_steps) rounds however long the river. Main path at divergences; cycles, dead
-    ends and longer walks give null."""
+    needs as many rounds as the number of reaches has binary digits, at most. Main path at
+    divergences; cycles and dead ends give null, and so do longer walks where ``max_steps`` is given."""
     spark = flowlines.sparkSession
     ensure_checkpoint_dir(spark)
     f = flowlines.select("comid", "fromnode", "tonode", repair_name("gnis_name").alias("own"), F.coalesce(F.col("divergence") == 2, F.lit(False)).alias("minor"))
     first = f.groupBy("fromnode").agg(F.min_by(F.struct("comid", "own"), F.struct("minor", "comid")).alias("n")).select(F.col("fromnode").alias("tonode"), F.col("n.comid").alias("ptr"), F.col("n.own").alias("name"))
     state = f.select("comid", "tonode", "own").join(first, "tonode", "left").select("comid", "own", "ptr", "name", F.when(F.col("ptr").isNotNull(), 1).alias("steps")).checkpoint()
-    for _ in range(max(1, (max_steps - 1).bit_length())):
+    for _ in range(max(1, (max_steps or state.count()).bit_length())):
         waiting = F.col("name").isNull() & F.col("ptr").isNotNull()
         if state.where(waiting & F.col("own").isNull()).limit(1).count() == 0:
             break
@@ -30,7 +30,7 @@ def downstream_names(flowlines: DataFrame, max_steps: int = 2000) -> DataFrame:
         j = state.join(nxt, "ptr", "left")
         state = j.select("comid", "own", F.when(waiting, F.col("ptr2")).otherwise(F.col("ptr")).alias("ptr"), F.when(waiting, F.col("name2")).otherwise(F.col("name")).alias("name"),
                          F.when(waiting, F.col("steps") + F.col("steps2")).otherwise(F.col("steps")).alias("steps")).checkpoint()
-    found = F.col("name").isNotNull() & (F.col("steps") <= max_steps)
+    found = F.col("name").isNotNull() & (F.lit(max_steps is None) | (F.col("steps") <= F.lit(max_steps)))
     return state.where(F.col("own").isNull()).select("comid", F.when(found, F.col("name")).alias("river_name"), F.when(found, F.col("steps")).alias("river_steps"))
 
 

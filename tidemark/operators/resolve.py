@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import haversine_m, plain
+from tidemark.functions.graphs import components
 from tidemark.functions.shapes import pick_row
 from tidemark.session import ensure_checkpoint_dir
 
@@ -297,31 +298,14 @@ def compare_series(obs: DataFrame, pairs: DataFrame) -> DataFrame:
 # ---- groups -----------------------------------------------------------------
 
 
-def connected_groups(nodes: DataFrame, edges: DataFrame, node: str = "site_uid", a: str = "site_uid_a", b: str = "site_uid_b", max_rounds: int = 50) -> DataFrame:
+def connected_groups(nodes: DataFrame, edges: DataFrame, node: str = "site_uid", a: str = "site_uid_a", b: str = "site_uid_b") -> DataFrame:
     """Group of each node: the smallest node it is connected to, edges among given nodes only.
 
-    Each round takes the smallest label of the neighbours (a combinable aggregate, so a hub with a
-    third of all edges is reduced map-side) and then jumps to that label's own label, which roughly
-    squares the reach. Rounds end when no label changed; each is checkpointed to reliable storage."""
-    ensure_checkpoint_dir(nodes.sparkSession)
-    labels = nodes.select(F.col(node).alias("id")).distinct().withColumn("label", F.col("id"))
-    known = labels.select("id")
-    e = edges.select(F.col(a).alias("s"), F.col(b).alias("t")).where(F.col("s") != F.col("t"))
-    e = e.join(known.withColumnRenamed("id", "s"), "s", "left_semi").join(known.withColumnRenamed("id", "t"), "t", "left_semi").select("s", "t")
-    e = e.union(e.select(F.col("t").alias("s"), F.col("s").alias("t"))).distinct().checkpoint()
-    labels = labels.checkpoint()
-    for _ in range(max_rounds):
-        heard = e.join(labels.select(F.col("id").alias("s"), "label"), "s").groupBy(F.col("t").alias("id")).agg(F.min("label").alias("heard"))
-        new = labels.join(heard, "id", "left").select("id", "label", F.least("label", F.coalesce("heard", "label")).alias("new"))
-        hop = new.select(F.col("id").alias("new"), F.col("new").alias("next"))
-        new = new.join(hop, "new", "left").select("id", "label", F.least("new", F.coalesce("next", "new")).alias("new")).checkpoint()
-        changed = new.where(F.col("new") != F.col("label")).limit(1).count()
-        labels = new.select("id", F.col("new").alias("label"))
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"groups still changing after {max_rounds} rounds")
-    return labels.select(F.col("id").alias(node), F.col("label").alias("group"))
+    Long chains, grids and hubs take a few rounds each, in any order of ids; see ``graphs.components``."""
+    ids = nodes.select(F.col(node).alias("id")).distinct()
+    e = edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    e = e.join(ids.withColumnRenamed("id", "a"), "a", "left_semi").join(ids.withColumnRenamed("id", "b"), "b", "left_semi")
+    return ids.join(components(e), "id", "left").select(F.col("id").alias(node), F.coalesce("root", "id").alias("group"))
 
 
 # Words left out when ditch names are compared.

@@ -171,12 +171,20 @@ def reservoirs_on_river(registry: DataFrame, dams_near: DataFrame, min_af: float
 
 
 def station_pairs(a: DataFrame, b: DataFrame, max_km: float = 12.0, max_rise_m: float = 450.0) -> DataFrame:
-    """Stations and observers within a distance and a height difference, through one-degree-fraction cells."""
-    cell = max_km / 80.0
-    ring = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    l = a.select(F.col("site_uid").alias("station"), F.col("lat").alias("la"), F.col("lon").alias("lo"), F.col("elevation_m").alias("ea")).withColumn("cx", F.floor(F.col("lo") / cell)).withColumn("cy", F.floor(F.col("la") / cell))
-    r = (b.select(F.col("site_uid").alias("observer"), F.col("lat").alias("lb"), F.col("lon").alias("ob"), F.col("elevation_m").alias("eb"), F.explode(ring).alias("r"))
-         .withColumn("cx", F.floor(F.col("ob") / cell) + F.col("r.dx")).withColumn("cy", F.floor(F.col("lb") / cell) + F.col("r.dy")).drop("r"))
+    """Stations and observers within a distance and a height difference, through cells as high as the distance.
+
+    An observer is filed under as many cells east and west as the distance spans at its latitude;
+    cells wrap around at the date line."""
+    across = int(360.0 * 111.0 // max_km)
+    cell = 360.0 / across
+    l = (a.select(F.col("site_uid").alias("station"), F.col("lat").alias("la"), F.col("lon").alias("lo"), F.col("elevation_m").alias("ea"))
+         .withColumn("cx", F.pmod(F.floor((F.col("lo") + 180) / cell), F.lit(across))).withColumn("cy", F.floor(F.col("la") / cell)))
+    shrink = F.cos(F.radians(F.least(F.abs("lat") + max_km / 111.0, F.lit(90.0))))
+    reach = F.ceil(F.least(max_km / 111.0 / F.greatest(shrink, F.lit(1e-9)), F.lit(180.0)) / cell)
+    ring = F.sequence(-reach, F.least(reach, across - 1 - reach))
+    r = (b.select(F.col("site_uid").alias("observer"), F.col("lat").alias("lb"), F.col("lon").alias("ob"), F.col("elevation_m").alias("eb"), ring.alias("ring"))
+         .withColumn("dx", F.explode("ring")).withColumn("dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+         .withColumn("cx", F.pmod(F.floor((F.col("ob") + 180) / cell) + F.col("dx"), F.lit(across))).withColumn("cy", F.floor(F.col("lb") / cell) + F.col("dy")).drop("ring", "dx", "dy"))
     j = l.join(r, ["cx", "cy"]).withColumn("km", haversine_m("la", "lo", "lb", "ob") / 1000)
     return j.where((F.col("km") <= max_km) & (F.abs(F.col("ea") - F.col("eb")) <= max_rise_m)).select("station", "observer", "km")
 
@@ -186,7 +194,7 @@ def station_range(stations: DataFrame, range_edges: DataFrame, near_deg: float =
     return within_or_nearest(stations, range_edges, "lon", "lat", ["site_uid"], near_deg, 0.5).select("site_uid", F.col("poly_id").alias("range_id"), "match_type")
 
 
-def river_facts(flowlines: DataFrame, towns: DataFrame, top: int = 8) -> DataFrame:
+def river_facts(flowlines: DataFrame, towns: DataFrame, top: int = 8, top_towns: int = 6) -> DataFrame:
     """Per river: length, drainage at its lowest reach, largest tributaries by junction, and towns in its watersheds.
 
     ``flowlines`` has gnis_id, gnis_name, lengthkm, hydroseq, totdasqkm, streamorde, fromnode, tonode, huc8."""
@@ -200,5 +208,5 @@ def river_facts(flowlines: DataFrame, towns: DataFrame, top: int = 8) -> DataFra
     trib = per.withColumn("k", F.row_number().over(w)).where(F.col("k") <= top).groupBy("gnis_id").agg(F.array_sort(F.collect_list(F.struct("k", "t_name"))).alias("x")).select("gnis_id", F.transform("x", lambda v: v["t_name"]).alias("tributaries"))
     seg = named.select("gnis_id", "huc8").distinct().join(towns, "huc8")
     tw = Window.partitionBy("gnis_id").orderBy(F.desc("area"), "town")
-    tn = seg.withColumn("k", F.row_number().over(tw)).where(F.col("k") <= 6).groupBy("gnis_id").agg(F.array_sort(F.collect_list(F.struct("k", "town"))).alias("x")).select("gnis_id", F.transform("x", lambda v: v["town"]).alias("towns"))
+    tn = seg.withColumn("k", F.row_number().over(tw)).where(F.col("k") <= top_towns).groupBy("gnis_id").agg(F.array_sort(F.collect_list(F.struct("k", "town"))).alias("x")).select("gnis_id", F.transform("x", lambda v: v["town"]).alias("towns"))
     return base.drop("top_order").join(trib, "gnis_id", "left").join(tn, "gnis_id", "left")

@@ -170,8 +170,9 @@ def period_status(rated: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def overview(segments: DataFrame, flow: DataFrame, ratings: DataFrame, dry: DataFrame, temperature: DataFrame, salinity: DataFrame, rain: DataFrame, drought: DataFrame) -> DataFrame:
     """One row per segment: latest flow and class, the year's weeks, dry days, temperature, salinity, rain, drought."""
-    last = F.max("week_start")
-    f = flow.groupBy("segment").agg(F.max_by("mean_cfs", "week_start").alias("flow"), last.alias("week"), F.array_sort(F.collect_list(F.struct("week_start", "mean_cfs"))).alias("spark"))
+    f = flow.groupBy("segment").agg(F.max_by("mean_cfs", "week_start").alias("flow"), F.max("week_start").alias("week"))
+    year = flow.join(f.select("segment", "week"), "segment").where(F.col("week_start") > F.date_sub("week", 364))
+    f = f.join(year.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("week_start", "mean_cfs"))).alias("spark")), "segment")
     r = ratings.groupBy("segment").agg(F.max_by("pct", "week_start").alias("pct"), F.max_by("cls", "week_start").alias("cls"))
     d = dry.groupBy("segment").agg(F.max_by("any_dry_days", "year").alias("dry"), F.median(F.when(F.col("year").between(1991, 2020), F.col("any_dry_days"))).alias("dry_median"))
     s = salinity.groupBy("segment").agg(F.max_by(F.struct("median", "decade"), "decade").alias("sc"))

@@ -130,7 +130,7 @@ def j32d(t):
     return s.quality_days(o, sites)
 
 
-@query("J36_overview", f"""WITH {RATED}, {SEGRATED}, {TQ}, {SAL}, so AS (SELECT DISTINCT segment FROM gauges), sf AS (SELECT segment, week_start, avg(mean_cfs) AS m FROM gauge_weeks JOIN gauges USING (gauge) GROUP BY 1, 2), fl AS (SELECT segment, max_by(m, week_start) AS flow, max(week_start) AS week, count(*) AS spark FROM sf GROUP BY 1),
+@query("J36_overview", f"""WITH {RATED}, {SEGRATED}, {TQ}, {SAL}, so AS (SELECT DISTINCT segment FROM gauges), sf AS (SELECT segment, week_start, avg(mean_cfs) AS m FROM gauge_weeks JOIN gauges USING (gauge) GROUP BY 1, 2), fl AS (SELECT segment, max_by(m, week_start) AS flow, max(week_start) AS week, count(*) FILTER (WHERE week_start > w - INTERVAL 364 DAY) AS spark FROM (SELECT *, max(week_start) OVER (PARTITION BY segment) AS w FROM sf) GROUP BY 1),
  rr AS (SELECT segment, max_by(pct, week_start) AS pct, max_by(cls, week_start) AS cls FROM segrated GROUP BY 1), da AS (SELECT gauge FROM chosen GROUP BY 1 HAVING avg((cfs < 0.1)::INT) >= 0.9), dd AS (SELECT segment, date, count(*) FILTER (WHERE cfs < 0.1) AS n FROM chosen JOIN gauges USING (gauge) WHERE gauge NOT IN (SELECT gauge FROM da) GROUP BY 1, 2),
  dy AS (SELECT segment, year(date) AS y, count(*) FILTER (WHERE n > 0) AS k FROM dd GROUP BY 1, 2), dr AS (SELECT segment, max_by(k, y) AS dry, median(k) FILTER (WHERE y BETWEEN 1991 AND 2020) AS dry_median FROM dy GROUP BY 1), tb AS (SELECT name FROM td WHERE year(date) < 2001 GROUP BY 1 HAVING count(*) > 365),
  tc AS (SELECT name, segment, least(dayofyear(date), 365) AS doy, avg(value) AS v FROM td WHERE year(date) = 2001 AND name IN (SELECT name FROM tb) GROUP BY 1, 2, 3), tk AS (SELECT tc.* FROM tc WHERE EXISTS (SELECT 1 FROM td WHERE td.name = tc.name AND year(td.date) < 2001 AND least(dayofyear(td.date), 365) = tc.doy)), tl AS (SELECT segment, max_by(v, (doy, name)) AS temp FROM tk GROUP BY 1),
