@@ -29,12 +29,21 @@ def test_write_partitions_and_compaction_keep_the_newest_run(frame, spark, regis
     assert {r.year for r in stored.select("year").distinct().collect()} == {2020, 2021}
     report = maintain.compact_partitions(spark, root, staging)
     assert report.agg(F.sum("removed")).first()[0] == 1
-    kept = archive.read_observations(spark, staging).where("year = 2020").orderBy("datetime_utc")
+    kept = archive.read_observations(spark, f"{staging}/data").where("year = 2020").orderBy("datetime_utc")
     assert [r.value for r in kept.collect()] == [1.0, 20.0, 30.0]
     # partition columns prune: the scan of one year names it in its partition filters
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2020" in plan
-    assert maintain.file_sizes(spark, staging).first().files >= 2
+    assert maintain.file_sizes(spark, f"{staging}/data").first().files >= 2
+
+
+def test_compaction_of_named_partitions_reads_no_others(frame, spark, registry, tmp_path):
+    root, staging = str(tmp_path / "obs"), str(tmp_path / "new")
+    archive.append_observations(obs(frame, ["2020-01-01", "2021-01-01"], [1, 3], "r1"), registry, now(), root, "r1")
+    archive.append_observations(obs(frame, ["2020-01-01", "2021-01-01"], [5, 6], "r2"), registry, now(), root, "r2")
+    report = maintain.compact_partitions(spark, root, staging, only=[("usgs", "discharge", 2021)])
+    assert [(r.year, r.rows_before, r.removed) for r in report.collect()] == [(2021, 2, 1)]
+    assert [r.value for r in archive.read_observations(spark, f"{staging}/data").collect()] == [6.0]
 
 
 def test_every_depth_survives_and_null_depths_are_one_key(frame, registry):

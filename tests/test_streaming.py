@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import status
+from tidemark.operators.maintain import compact
 from tidemark.plans.tables import Tables
 from tidemark.streaming import jobs
 
@@ -44,16 +45,20 @@ def test_flood_status_replayed_in_batches_equals_batch(spark, frame, tmp_path):
     assert want["g"].reached == "major" and want["g"].current == "minor"
 
 
-def test_ingest_drops_redelivery_and_keeps_revisions(spark, tmp_path):
+def test_ingest_keeps_late_rows_and_revisions(spark, tmp_path):
     t = Tables(spark, "")
     schema = "source string, site_uid string, source_param string, datetime_utc timestamp, value double, qualifier string, statistic string, interval string, depth_cm double, ingest_run_id string"
     row = lambda d, v, run: ("usgs", "usgs:1", "P1", dt.datetime(2024, 1, d), v, "A", None, None, None, run)
-    for i, rows in enumerate([[row(1, 5.0, "r1"), row(2, -9999.0, "r1"), row(3, 7.0, "r1")], [row(1, 5.0, "r1"), row(1, 6.0, "r2")]]):
+    old = ("usgs", "usgs:1", "P1", dt.datetime(1990, 1, 1), 9.0, "A", None, None, None, "r3")
+    for i, rows in enumerate([[row(1, 5.0, "r1"), row(2, -9999.0, "r1"), row(3, 7.0, "r1")], [row(1, 5.0, "r1"), row(1, 6.0, "r2"), old]]):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/b{i}"))
     stream = jobs.read_files(spark, str(tmp_path / "in/*"), spark.createDataFrame([], schema).schema, files_per_batch=1)
-    jobs.to_batches(jobs.ingest(stream, t.crosswalk, t.registry, F.lit("2024-06-01").cast("timestamp")), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted((r.datetime_utc.day, r.value, r.ingest_run_id) for r in out.collect()) == [(1, 5.0, "r1"), (1, 6.0, "r2"), (3, 7.0, "r1")]
+    now = F.lit("2024-06-01").cast("timestamp")
+    jobs.ingest_to(stream, t.crosswalk, t.registry, now, str(tmp_path / "out"), str(tmp_path / "report"), str(tmp_path / "state")).awaitTermination()
+    out = compact(spark.read.parquet(str(tmp_path / "out")).drop("batch"))
+    assert sorted((r.datetime_utc.year, r.datetime_utc.day, r.value) for r in out.collect()) == [(1990, 1, 9.0), (2024, 1, 6.0), (2024, 3, 7.0)]
+    counts = spark.read.parquet(str(tmp_path / "report")).orderBy("batch").collect()
+    assert [(r.delivered, r.stored, r.dropped) for r in counts] == [(3, 2, 1), (3, 3, 0)]
 
 
 def test_changes_ignore_drift_inside_a_step(frame):

@@ -24,14 +24,23 @@ def compaction_report(df: DataFrame) -> DataFrame:
         F.sum("c").alias("rows_before"), (F.sum("c") - F.count("*")).alias("removed"))
 
 
-def compact_partitions(spark: SparkSession, root: str, staging: str) -> DataFrame:
-    """Compact a stored archive into ``staging``; the caller swaps the folders afterwards.
+def compact_partitions(spark: SparkSession, root: str, staging: str, only: Sequence[tuple[str, str, int]] | None = None) -> DataFrame:
+    """Compact a stored archive, or the (source, variable, year) partitions in ``only``, into ``staging``/data; the caller swaps
+    those folders afterwards.
 
-    The path being read is never overwritten, so a lost executor or a failed job leaves it intact."""
+    Only the named partitions are read. The path being read is never overwritten, so a lost executor or a failed job leaves it
+    intact. The report of rows before and removed is written to ``staging``/report, and so outlives the swap."""
     from tidemark.sources.archive import read_observations, write_partitioned
 
-    write_partitioned(compact(read_observations(spark, root)), staging)
-    return compaction_report(read_observations(spark, root))
+    d = read_observations(spark, root)
+    if only is not None:
+        wanted = F.lit(False)
+        for source, variable, year in only:
+            wanted = wanted | ((F.col("source") == source) & (F.col("variable") == variable) & (F.col("year") == year))
+        d = d.where(wanted)
+    compaction_report(d).write.mode("overwrite").parquet(f"{staging}/report")
+    write_partitioned(compact(d), f"{staging}/data", "overwrite")
+    return spark.read.parquet(f"{staging}/report")
 
 
 def compact_tables(parts: Sequence[DataFrame]) -> DataFrame:

@@ -6,16 +6,24 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.flow import segment_weekly
 from tidemark.plans.registry import query
-from tidemark.schema import OBSERVATIONS
+from tidemark.schema import OBSERVATIONS, STORED
 from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import archive as a
 from tidemark.sources import reshape as r
 
 
+def shared(t, name):
+    """A new folder below the one that all executors share."""
+    return f"{ensure_checkpoint_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("A1_scan_observations", """
 SELECT source, CAST(year AS BIGINT) AS year, count(*) AS n, round(sum(value), 4) AS total FROM obs WHERE source = 'usgs' AND year >= 1998 GROUP BY 1, 2""")
 def a1(t):
-    return t.obs.where("source = 'usgs' AND year >= 1998").groupBy("source", "year").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    root = shared(t, "archive")
+    a.write_partitioned(a.coerce(t.obs, STORED), root)
+    found = a.read_observations(t.spark, root).where("source = 'usgs' AND year >= 1998")
+    return found.groupBy("source", "year").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query("A2_evolving_table", """
@@ -23,7 +31,10 @@ SELECT kind, unit, count(*) AS n FROM (SELECT 'a' AS kind, NULL AS unit FROM ord
 def a2(t):
     o = t.read("orders")
     old, new = o.select(F.lit("a").alias("kind"), "o_orderkey"), o.select("o_orderkey", F.lit("b").alias("kind"), F.col("o_orderstatus").alias("unit"))
-    return a.union_by_name([old, new]).groupBy("kind", "unit").agg(F.count("*").alias("n"))
+    root = shared(t, "group")
+    old.write.parquet(f"{root}/old")
+    new.write.parquet(f"{root}/new")
+    return a.read_table_group(t.spark, [f"{root}/old", f"{root}/new"]).groupBy("kind", "unit").agg(F.count("*").alias("n"))
 
 
 @query("A3_prepare_write", """

@@ -1,10 +1,15 @@
 """Archive upkeep queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import fixed
 from tidemark.operators import maintain as m
 from tidemark.plans.registry import query
+from tidemark.schema import STORED
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources.archive import coerce, read_observations, write_partitioned
 
 LATEST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_uid, variable, datetime_utc, interval, statistic, depth_cm
  ORDER BY ingest_run_id DESC, {tie}) AS rn FROM obs) WHERE rn = 1)"""
@@ -14,7 +19,10 @@ LATEST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_uid,
 SELECT site_uid, CAST(datetime_utc AS VARCHAR) AS datetime_utc, depth_cm, value, ingest_run_id FROM (SELECT *, row_number() OVER (PARTITION BY site_uid, variable, datetime_utc,
   interval, statistic, depth_cm ORDER BY ingest_run_id DESC, value DESC) AS rn FROM obs) WHERE rn = 1""")
 def c1(t):
-    return m.compact(t.obs).select("site_uid", "datetime_utc", "depth_cm", "value", "ingest_run_id")
+    root = f"{ensure_checkpoint_dir(t.spark)}/compact-{uuid.uuid4().hex}"
+    write_partitioned(coerce(t.obs, STORED), f"{root}/archive")
+    m.compact_partitions(t.spark, f"{root}/archive", f"{root}/staging")
+    return read_observations(t.spark, f"{root}/staging/data").select("site_uid", "datetime_utc", "depth_cm", "value", "ingest_run_id")
 
 
 @query("C1_compaction_report", """

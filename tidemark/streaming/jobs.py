@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.quality import apply_crosswalk, drop_missing_codes, guard_dates, guard_nulls
 from tidemark.operators.status import category, flood_levels, reading_rank
-from tidemark.schema import OBS_KEY, OBSERVATIONS
+from tidemark.schema import OBSERVATIONS
 
 
 def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -60,16 +60,28 @@ def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None
 # ---- ingest -----------------------------------------------------------------
 
 
-def ingest(stream: DataFrame, crosswalk: DataFrame, registry: DataFrame, now: Column, lateness: str = "30 days") -> DataFrame:
-    """Guards and mapping as in batch; rows delivered twice are dropped while the watermark covers them.
+def ingest(rows: DataFrame, crosswalk: DataFrame, registry: DataFrame, now: Column) -> DataFrame:
+    """Guards and mapping as in batch, for a stream or one of its batches.
 
-    A revision of a stored value carries a newer run id and passes; compaction later keeps the newest.
-    The tables joined are static, so no state is kept for them."""
-    d = apply_crosswalk(stream, crosswalk, registry)
+    No watermark and no state: a backfill of any age, a late revision and a redelivery are all appended,
+    and compaction keeps the newest run of each key."""
+    d = apply_crosswalk(rows, crosswalk, registry)
     d = drop_missing_codes(guard_dates(guard_nulls(d), now), registry)
-    keyed = d.withWatermark("datetime_utc", lateness).dropDuplicatesWithinWatermark([*OBS_KEY, "ingest_run_id"])
-    cols = [f.name for f in OBSERVATIONS if f.name in keyed.columns]
-    return keyed.select(*cols, F.split_part("site_uid", F.lit(":"), F.lit(1)).alias("source"), F.year("datetime_utc").alias("year"))
+    cols = [f.name for f in OBSERVATIONS if f.name in d.columns]
+    return d.select(*cols, F.split_part("site_uid", F.lit(":"), F.lit(1)).alias("source"), F.year("datetime_utc").alias("year"))
+
+
+def ingest_to(stream: DataFrame, crosswalk: DataFrame, registry: DataFrame, now: Column, out: str, report: str, checkpoint: str) -> StreamingQuery:
+    """Append what passes the guards to ``out`` and count delivered, stored and dropped rows of each batch in ``report``."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        counted = df.agg(F.count("*").alias("delivered"))
+        ingest(df, crosswalk, registry, now).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        stored = df.sparkSession.read.parquet(f"{out}/batch={batch_id}").agg(F.count("*").alias("stored"))
+        both = counted.crossJoin(stored).withColumn("dropped", F.col("delivered") - F.col("stored"))
+        both.write.mode("overwrite").parquet(f"{report}/batch={batch_id}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
 # ---- flood status -----------------------------------------------------------
@@ -183,16 +195,32 @@ def track_changes(spark: SparkSession, status: DataFrame, key: str, steps: dict[
 
 
 # ---- windows ----------------------------------------------------------------
+#
+# Windows run in update mode, so state older than the watermark is let go and each batch writes only what
+# it changed; ``newest`` keeps the last word on each window. Sessions run in append mode: a session is
+# written once, when the watermark has passed its end.
+
+
+def newest(out: DataFrame, keys: list[str]) -> DataFrame:
+    """The last update of each key over the batches written so far."""
+    rest = [c for c in out.columns if c not in (*keys, "batch")]
+    g = out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("s"))
+    return g.select(*keys, "s.*")
+
+
+def exact_mean() -> Column:
+    """Mean of the readings, summed in decimals so that batches in any order give the same double."""
+    return F.avg(F.col("value").cast("decimal(28,10)")).cast("double")
 
 
 def tumbling_means(stream: DataFrame, every: str = "1 day", lateness: str = "2 days", min_share: float = 0.0, expected: int = 24) -> DataFrame:
     """Mean per site, variable and window with enough readings."""
-    g = stream.withWatermark("datetime_utc", lateness).groupBy("site_uid", "variable", F.window("datetime_utc", every).alias("w")).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+    g = stream.withWatermark("datetime_utc", lateness).groupBy("site_uid", "variable", F.window("datetime_utc", every).alias("w")).agg(exact_mean().alias("value"), F.count("*").alias("n"))
     return g.where(F.col("n") >= min_share * expected).select("site_uid", "variable", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "value", "n")
 
 
 def sliding_means(stream: DataFrame, span: str = "7 days", every: str = "1 day", lateness: str = "2 days") -> DataFrame:
-    g = stream.withWatermark("datetime_utc", lateness).groupBy("site_uid", "variable", F.window("datetime_utc", span, every).alias("w")).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+    g = stream.withWatermark("datetime_utc", lateness).groupBy("site_uid", "variable", F.window("datetime_utc", span, every).alias("w")).agg(exact_mean().alias("value"), F.count("*").alias("n"))
     return g.select("site_uid", "variable", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "value", "n")
 
 
