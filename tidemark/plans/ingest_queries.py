@@ -236,11 +236,14 @@ def a14(t):
 
 
 @query("A15_local_to_utc", """
-SELECT o_orderkey AS id, CASE WHEN wall >= TIMESTAMP '1998-04-05 02:00:00' AND wall < TIMESTAMP '1998-10-25 01:00:00' THEN CAST(wall + INTERVAL 6 HOUR AS VARCHAR) ELSE CAST(wall + INTERVAL 7 HOUR AS VARCHAR) END AS datetime_utc,
- CAST(CASE WHEN wall >= TIMESTAMP '1998-04-05 02:00:00' AND wall < TIMESTAMP '1998-10-25 01:00:00' THEN -360 ELSE -420 END AS BIGINT) AS utc_offset_min
-FROM (SELECT o_orderkey, o_orderdate + INTERVAL 13 HOUR AS wall FROM orders WHERE year(o_orderdate) = 1998)""")
+WITH w AS (SELECT o_orderkey AS id, o_orderdate + INTERVAL (o_orderkey % 24) HOUR AS wall FROM orders),
+ c AS (SELECT *, ((wall + INTERVAL 6 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Denver' = wall AS summer, ((wall + INTERVAL 7 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Denver' = wall AS winter FROM w)
+SELECT id, CASE WHEN summer <> winter THEN CAST(wall + INTERVAL (CASE WHEN summer THEN 6 ELSE 7 END) HOUR AS VARCHAR) END AS datetime_utc,
+ CAST(CASE WHEN summer <> winter THEN CASE WHEN summer THEN -360 ELSE -420 END END AS BIGINT) AS utc_offset_min FROM c""")
 def a15(t):
-    d = t.read("orders").where(F.year("o_orderdate") == 1998).select(F.col("o_orderkey").alias("id"), (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 13 HOURS")).alias("wall"))
+    # every hour of the day, so both clock changes of each year are met
+    hours = F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    d = t.read("orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderdate").cast("timestamp") + hours).alias("wall"))
     return r.wall_time_to_utc(d, "wall").drop("wall")
 
 

@@ -16,12 +16,12 @@ def i2(t):
     return t.pairs.withColumn("off", F.round("off", 4))
 
 
-ERAS = """eras AS (SELECT * FROM (SELECT 'res' || (p_partkey % 6) AS reservoir, DATE '1995-06-01' + CAST((p_partkey % 37) * 61 AS INTEGER) AS start, max(p_size) * 1000.0 AS cap, min(p_type) AS label FROM part WHERE p_size > 30 GROUP BY 1, 2))"""
+ERAS = """eras AS (SELECT * FROM (SELECT 'res' || (p_partkey % 6) AS reservoir, DATE '1995-06-01' + CAST((p_partkey % 37) * 61 AS INTEGER) AS start, max(p_size) * 1000.0 AS cap, min(p_type) AS label FROM part GROUP BY 1, 2))"""
 
 
 def eras(t):
     k = F.col("p_partkey")
-    return t.read("part").where("p_size > 30").groupBy(F.concat(F.lit("res"), k % 6).alias("reservoir"), F.date_add(DAY("1995-06-01"), ((k % 37) * 61).cast("int")).alias("start")).agg(
+    return t.read("part").groupBy(F.concat(F.lit("res"), k % 6).alias("reservoir"), F.date_add(DAY("1995-06-01"), ((k % 37) * 61).cast("int")).alias("start")).agg(
         (F.max("p_size") * 1000.0).alias("cap"), F.min("p_type").alias("label"))
 
 
@@ -368,10 +368,10 @@ def i27(t):
 @query("I28_read_terms", """
 SELECT 'reach' AS reach, term, role, kind, strftime(date, '%Y-%m-%d') AS date, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY term, date ORDER BY CASE source WHEN 'usgs' THEN 0 WHEN 'usbr_hydrodata' THEN 1 ELSE 5 END, site_uid) AS rn FROM (
  SELECT CASE l_suppkey % 3 WHEN 0 THEN 'up' WHEN 1 THEN 'down' ELSE 'lake' END AS term, CASE l_suppkey % 3 WHEN 0 THEN 'inflow' WHEN 1 THEN 'outflow' ELSE 'storage' END AS role, CASE l_suppkey % 3 WHEN 2 THEN 'storage' ELSE 'flow' END AS kind, source, site_uid, CAST(datetime_utc AS DATE) AS date, avg(value) AS value
- FROM (SELECT *, CAST(split_part(site_uid, ':', 2) AS BIGINT) AS l_suppkey FROM obs) WHERE l_suppkey < 30 GROUP BY ALL)) WHERE rn = 1""")
+ FROM (SELECT *, CAST(split_part(site_uid, ':', 2) AS BIGINT) AS l_suppkey FROM obs) GROUP BY ALL)) WHERE rn = 1""")
 def i28(t):
     k = F.col("s_suppkey") % 3
-    copies = t.read("supplier").where("s_suppkey < 30").select(
+    copies = t.read("supplier").select(
         F.lit("reach").alias("reach"), F.when(k == 0, "up").when(k == 1, "down").otherwise("lake").alias("term"), F.when(k == 0, "inflow").when(k == 1, "outflow").otherwise("storage").alias("role"),
         F.when(k == 2, "storage").otherwise("flow").alias("kind"), F.when(k == 2, "reservoir_storage").otherwise("discharge").alias("variable"), F.explode(F.array(F.lit("usgs"), F.lit("usbr_hydrodata"), F.lit("codwr"))).alias("p"), "s_suppkey")
     copies = copies.withColumn("site_uid", F.concat_ws(":", "p", "s_suppkey")).drop("p", "s_suppkey")

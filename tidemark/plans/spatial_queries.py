@@ -44,13 +44,13 @@ def e3(t):
     return s.nearest_line(points(t), lines(t), "px", "py", ["id"], 500.0)
 
 
-BOX = "bx AS (SELECT p_partkey AS poly, ((p_partkey * 3571) % 100000 + 0.37)::DOUBLE AS x0, ((p_partkey * 3571) % 100000 + 0.37 + p_size * 40)::DOUBLE AS x1, ((p_partkey * 7177) % 100000 + 0.37)::DOUBLE AS y0, ((p_partkey * 7177) % 100000 + 0.37 + p_size * 30)::DOUBLE AS y1 FROM part WHERE p_size > 25)"
+BOX = "bx AS (SELECT p_partkey AS poly, ((p_partkey * 3571) % 100000 + 0.37)::DOUBLE AS x0, ((p_partkey * 3571) % 100000 + 0.37 + p_size * 40)::DOUBLE AS x1, ((p_partkey * 7177) % 100000 + 0.37)::DOUBLE AS y0, ((p_partkey * 7177) % 100000 + 0.37 + p_size * 30)::DOUBLE AS y1 FROM part)"
 
 
 def box_rows(t):
     k, z = F.col("p_partkey"), F.col("p_size")
     x, y = (k * 3571) % 100000 + 0.37, (k * 7177) % 100000 + 0.37
-    b = t.read("part").where("p_size > 25").select(k.alias("unit"), x.alias("x0"), (x + z * 40).alias("x1"), y.alias("y0"), (y + z * 30).alias("y1"))
+    b = t.read("part").select(k.alias("unit"), x.alias("x0"), (x + z * 40).alias("x1"), y.alias("y0"), (y + z * 30).alias("y1"))
     return s.box_edges(b)
 
 
@@ -86,23 +86,23 @@ X, Y = albers_sql("lon", "lat")
 
 
 @query("E5_match_dams", f"""WITH dams AS (SELECT c_custkey AS id, -109.0 + (c_custkey % 61) * 0.1 AS lon, 32.0 + (c_custkey % 47) * 0.1 AS lat FROM customer), pts AS (SELECT id, {X} AS px, {Y} AS py FROM dams),
- ctr AS (SELECT p_partkey AS poly, -109.0 + (p_partkey % 59) * 0.1 AS lon, 32.0 + (p_partkey % 53) * 0.1 AS lat, p_size FROM part WHERE p_size > 25), bc AS (SELECT poly, p_size, {X} AS cx, {Y} AS cy FROM ctr), bx AS (SELECT poly, cx - p_size * 40 AS x0, cx + p_size * 40 AS x1, cy - p_size * 30 AS y0, cy + p_size * 30 AS y1 FROM bc),
+ ctr AS (SELECT p_partkey AS poly, -109.0 + (p_partkey % 59) * 0.1 AS lon, 32.0 + (p_partkey % 53) * 0.1 AS lat, p_size FROM part), bc AS (SELECT poly, p_size, {X} AS cx, {Y} AS cy FROM ctr), bx AS (SELECT poly, cx - p_size * 40 AS x0, cx + p_size * 40 AS x1, cy - p_size * 30 AS y0, cy + p_size * 30 AS y1 FROM bc),
  {MATCH.format(r=3000)} SELECT id AS nid_id, poly_id, match_type, round(dist, 3)::DOUBLE AS distance_m FROM mm""")
 def e5(t):
     k = F.col("c_custkey")
     dams = t.read("customer").select(k.alias("nid_id"), (-109.0 + (k % 61) * 0.1).alias("lon"), (32.0 + (k % 47) * 0.1).alias("lat"))
     p, z = F.col("p_partkey"), F.col("p_size")
     cx, cy = s.albers(-109.0 + (p % 59) * 0.1, 32.0 + (p % 53) * 0.1)
-    b = t.read("part").where("p_size > 25").select(p.alias("unit"), (cx - z * 40).alias("x0"), (cx + z * 40).alias("x1"), (cy - z * 30).alias("y0"), (cy + z * 30).alias("y1"))
+    b = t.read("part").select(p.alias("unit"), (cx - z * 40).alias("x0"), (cx + z * 40).alias("x1"), (cy - z * 30).alias("y0"), (cy + z * 30).alias("y1"))
     return s.match_dams(dams, s.box_edges(b)).withColumn("distance_m", F.round("distance_m", 3))
 
 
-@query("E6_features_near_river", f"""WITH {PTS}, l0 AS (SELECT * FROM ({LNS[8:-1]}) WHERE p_size > 40), lns AS (SELECT 'r' || (line_id % 5) AS river, * FROM l0), {DIST}, nn AS (SELECT DISTINCT river, 'seg' || (c_nationkey % 4) AS segment, id // 2 AS f, CASE WHEN id // 2 % 6 = 0 THEN 'UNKNOWN' ELSE 'ditch ' || (id // 2 % 40) END AS name FROM ds WHERE dist <= 1500),
+@query("E6_features_near_river", f"""WITH {PTS}, l0 AS (SELECT * FROM ({LNS[8:-1]})), lns AS (SELECT 'r' || (line_id % 5) AS river, * FROM l0), {DIST}, nn AS (SELECT DISTINCT river, 'seg' || (c_nationkey % 4) AS segment, id // 2 AS f, CASE WHEN id // 2 % 6 = 0 THEN 'UNKNOWN' ELSE 'ditch ' || (id // 2 % 40) END AS name FROM ds WHERE dist <= 1500),
  g AS (SELECT river, segment, count(DISTINCT f) AS features, count(DISTINCT name) FILTER (WHERE name <> 'UNKNOWN') AS named FROM nn GROUP BY 1, 2) SELECT river AS line_id, segment, features, CASE WHEN named > 0 THEN named ELSE features END AS "count" FROM g""")
 def e6(t):
     f = F.floor(F.col("id") / 2)
     feats = points(t).select(f.alias("feature_id"), F.when(f % 6 == 0, "UNKNOWN").otherwise(F.concat(F.lit("ditch "), f % 40)).alias("name"), "px", "py", F.concat(F.lit("seg"), F.col("c_nationkey") % 4).alias("segment"))
-    rl = lines(t).where("p_size > 40").withColumn("line_id", F.concat(F.lit("r"), F.col("line_id") % 5))
+    rl = lines(t).withColumn("line_id", F.concat(F.lit("r"), F.col("line_id") % 5))
     return s.features_near_river(feats, rl, 1500.0).select("line_id", "segment", "features", F.col("count").cast("bigint").alias("count"))
 
 

@@ -121,12 +121,12 @@ def j32(t):
 
 
 @query("J32_quality_days", """SELECT 'e' || (user_id // 15) AS site_uid, CASE WHEN event_type = 'click' THEN 'water_temp' ELSE 'specific_conductance' END AS variable, strftime(CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Denver' AS DATE), '%Y-%m-%d') AS date, CASE WHEN event_id % 2 = 0 THEN '15min' ELSE 'irregular' END AS interval,
- CASE WHEN event_id % 3 = 0 THEN 'max' ELSE 'instantaneous' END AS statistic, round(avg(value), 6) AS value FROM events WHERE event_type IN ('click', 'view') AND user_id // 15 < 6 GROUP BY 1, 2, 3, 4, 5""")
+ CASE WHEN event_id % 3 = 0 THEN 'max' ELSE 'instantaneous' END AS statistic, round(avg(value), 6) AS value FROM events WHERE event_type IN ('click', 'view') GROUP BY 1, 2, 3, 4, 5""")
 def j32d(t):
     site = F.concat(F.lit("e"), F.floor(F.col("user_id") / 15))
     o = t.read("events").select(site.alias("site_uid"), F.when(F.col("event_type") == "click", "water_temp").when(F.col("event_type") == "view", "specific_conductance").otherwise("stage").alias("variable"), F.col("ts").cast("timestamp").alias("datetime_utc"),
                                 F.when(F.col("event_id") % 2 == 0, "15min").otherwise("irregular").alias("interval"), F.when(F.col("event_id") % 3 == 0, "max").alias("statistic"), "value")
-    sites = o.select("site_uid").distinct().where(F.substring("site_uid", 2, 9).cast("int") < 6)
+    sites = o.select("site_uid").distinct()
     return s.quality_days(o, sites)
 
 
