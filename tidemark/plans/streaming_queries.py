@@ -22,15 +22,16 @@ ORDER = {"events": "ts", "lineitem": "l_shipdate"}
 class StreamTables(Tables):
     """The same adapters over file streams, some files to a micro-batch."""
 
-    def __init__(self, spark, sf_dir, landed):
+    def __init__(self, spark, sf_dir, landed, arrivals=4):
         super().__init__(spark, sf_dir)
-        self.landed = landed
+        self.landed, self.arrivals = landed, arrivals
 
     def read(self, name):
         if name not in ORDER:
             return super().read(name)
         schema = self.spark.read.parquet(f"{self.dir}/{name}.parquet").schema
-        return k.read_files(self.spark, f"{self.landed}/{name}/*", schema, files_per_batch=8)
+        files = len(self.spark.read.schema(schema).parquet(f"{self.landed}/{name}/*").inputFiles())
+        return k.read_files(self.spark, f"{self.landed}/{name}/*", schema, files_per_batch=max(1, files // self.arrivals))
 
 
 def land(t, name, folder, order=(0, 1, 2, 3), marker_days=0):
@@ -89,6 +90,16 @@ def k3(t):
     return k.changes(before, prints(t.subdaily.where("NOT (site_uid = 'nwps:3' AND variable = 'stage')")))
 
 
+@query("K3_track_changes", """SELECT site_uid || '/' || variable AS "key", 'value=' || CAST(floor(max_by(value, datetime_utc) / 25) AS BIGINT) AS now FROM subdaily GROUP BY 1""")
+def k3t(t):
+    # the last change of each key leads to what its newest reading shows
+    base = f"{ensure_checkpoint_dir(t.spark)}/streams/{uuid.uuid4().hex}"
+    land(t, "events", f"{base}/in")
+    stream = StreamTables(t.spark, t.dir, f"{base}/in").subdaily.select(F.concat_ws("/", "site_uid", "variable").alias("key"), "datetime_utc", "value")
+    k.track_stream(stream, {"value": 25.0}, f"{base}/store", f"{base}/state").awaitTermination()
+    return k.newest(t.spark.read.parquet(f"{base}/store/changes"), ["key"]).select("key", "now")
+
+
 @query("K4_stream_ingest", """
 WITH m AS (SELECT r.source, x.variable, r.site_uid, r.datetime_utc, r.value * x.factor + x."offset" AS value, coalesce(r.statistic, x.statistic) AS statistic, coalesce(r.interval, x.interval) AS interval, coalesce(r.depth_cm, x.depth_cm) AS depth_cm, r.ingest_run_id
   FROM raw_obs r JOIN crosswalk x ON x.source = r.source AND x.source_param = r.source_param LEFT JOIN registry g ON g.variable = x.variable WHERE x.variable <> '' AND r.value IS NOT NULL

@@ -194,6 +194,24 @@ def track_changes(spark: SparkSession, status: DataFrame, key: str, steps: dict[
     return out
 
 
+def track_stream(stream: DataFrame, steps: dict[str, float | None], store: str, checkpoint: str) -> StreamingQuery:
+    """Changes of the newest values of a stream (key, datetime_utc, value), batch by batch, in ``store``/changes.
+
+    The newest reading of each key is a folder per batch, made from the one before and the batch; so is the snapshot
+    that readers see. A batch that runs again overwrites its own folders."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        new = df.select("key", F.col("datetime_utc").alias("at"), "value")
+        if batch_id > 0:
+            new = new.union(spark.read.schema(new.schema).parquet(f"{store}/latest/batch={batch_id - 1}"))
+        newest_rows = new.groupBy("key").agg(F.max("at").alias("at"), F.max_by("value", "at").alias("value"))
+        newest_rows.write.mode("overwrite").parquet(f"{store}/latest/batch={batch_id}")
+        track_changes(spark, spark.read.parquet(f"{store}/latest/batch={batch_id}"), "key", steps, store, batch_id)
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
 # ---- windows ----------------------------------------------------------------
 #
 # Windows run in update mode, so state older than the watermark is let go and each batch writes only what
