@@ -20,6 +20,7 @@ MAX_LOST_PERCENT = 50
 # Characters counted as symbols by the contract.
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LINE_ENDS = (".", "!", "?", "…", "。", "！", "？", ":", ";")
 CLOSERS = "\"'”’»)]"
 BOILERPLATE = re.compile(
@@ -33,8 +34,8 @@ NAV_MARKS = frozenset("|»›·")
 
 def line_fails(line: str) -> str:
     """The rule that a line with a word breaks, or an empty string."""
-    words = line.split()
-    bare = line.strip().rstrip(CLOSERS)
+    words = WORD.findall(line)
+    bare = line.strip(SPACES).rstrip(CLOSERS)
     if sum(w in NAV_MARKS for w in words) * 4 > len(words) or NAVIGATION.search(line):
         return "navigation"
     if BOILERPLATE.search(line):

@@ -28,6 +28,21 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 100)) AS i FROM d WHERE length(h) >= 200)),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM p) WHERE k > 1),
+n AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS new FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM n) GROUP BY doc_id, k),
+g AS (SELECT r.*, h, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r JOIN d USING (doc_id)),
+k AS (
+  SELECT doc_id, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS left_, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans
+  FROM g GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(left_, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -39,6 +54,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM p),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+r AS (SELECT a AS doc_id, min(b) AS component_id FROM c GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM r LEFT JOIN n USING (doc_id)
+"""
+
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -66,6 +96,37 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "lost_chars")
 
 
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d WHERE len(w) > 2)),
+r AS (SELECT doc_id, unnest([i, i + 1, i + 2]) AS x FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS k FROM p) WHERE k > 1),
+h AS (SELECT doc_id, count(DISTINCT x) AS n_repeat_words FROM r GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+m AS (
+  SELECT doc_id, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+         list_count(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: x IN ('|', '»', '›', '·'))) AS marks,
+         length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols, regexp_replace(line, '[\x20\x09-\x0D]', '', 'g') AS solid,
+         regexp_replace(regexp_replace(line, '[\x20\x09-\x0D]+$', ''), '["''”’»)\]]+$', '') AS bare
+  FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+f AS (
+  SELECT doc_id, line, solid, marks * 4 > n
+    OR regexp_matches(line, '(?i)(?:\S\s*(?:\||»|›|/ |·)\s+){3}|^\s*(?:home|menu|next|previous|prev|back|login|sign in|search|share|skip to content)\s*$')
+    OR regexp_matches(line, '(?i)all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados|licensed under|under the .{0,40}licen[cs]e|terms of (?:use|service)|privacy policy|cookie|enable javascript|copyright ©|^©|\(c\) \d{4}|spdx-license')
+    OR (symbols * 5 > n AND symbols > 2)
+    OR (length(regexp_replace(bare, '[^!]', '', 'g')) * 3 > n AND n > 2)
+    OR NOT (regexp_matches(bare, '[.!?…。！？:;]$') OR regexp_matches(line, '[\pL\pN_][.!?…]["''”’»)]*\s+[\pL\pN_]')) AS fails FROM m),
+g AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (fails) AS n_lines_removed, CAST(coalesce(sum(length(solid)) FILTER (fails), 0) AS BIGINT) AS lost_chars
+  FROM f GROUP BY doc_id),
+c AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(lost_chars, 0) AS lost_chars
+  FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_chars <= 50 * word_chars AS kept FROM c
+"""
+
+
 def op6_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.train_and_identify(documents(spark, sf_dir))
 
@@ -168,4 +229,4 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op8_temporal_url_filter, op9_jump_shards, op10_page_differencing)}
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op7_chat_format": OP7_SQL, "op8_temporal_url_filter": OP8_SQL}
+ORACLES: dict[str, str] = {"op2_suffix_dedup": OP2_SQL, "op3_minhash_neardup": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_chat_format": OP7_SQL, "op8_temporal_url_filter": OP8_SQL}
