@@ -224,3 +224,36 @@ def c17(t):
     m.register_catalog(t.spark, {"tm_chosen": t.chosen, "tm_gauges": t.gauges})
     return t.spark.sql("""SELECT g.segment, year(c.date) AS year, avg(c.cfs) AS mean_cfs, count(DISTINCT c.gauge) AS gauges
                           FROM tm_chosen c JOIN tm_gauges g ON g.gauge = c.gauge GROUP BY 1, 2""")
+
+
+def catalog_sql(t, views, text):
+    m.register_catalog(t.spark, {f"tm_{k}": v for k, v in views.items()})
+    return t.spark.sql(text)
+
+
+@query("C17_by_river", """
+SELECT g.river, c.gauge, count(*) AS days, strftime(max(c.date), '%Y-%m-%d') AS last_day, max(c.cfs)::DOUBLE AS peak FROM chosen c JOIN gauges g ON g.gauge = c.gauge GROUP BY 1, 2""")
+def c17r(t):
+    return catalog_sql(t, {"chosen": t.chosen, "gauges": t.gauges}, """
+        SELECT g.river, c.gauge, count(*) AS days, max(c.date) AS last_day, max(c.cfs) AS peak FROM tm_chosen c JOIN tm_gauges g ON g.gauge = c.gauge GROUP BY 1, 2""")
+
+
+@query("C17_capacity_join", """
+WITH cap AS (SELECT 'res' || (p_partkey % 6) AS reservoir, max(p_size) * 10000.0 AS cap FROM part GROUP BY 1)
+SELECT d.reservoir, CAST(year(d.date) AS BIGINT) AS year, round(avg(d.stor), 2) AS mean_af, round(100 * avg(d.stor) / cap.cap, 4)::DOUBLE AS pct FROM reservoir_days d JOIN cap ON cap.reservoir = d.reservoir GROUP BY 1, 2, cap.cap""")
+def c17c(t):
+    cap = t.read("part").groupBy(F.concat(F.lit("res"), F.col("p_partkey") % 6).alias("reservoir")).agg((F.max("p_size") * 10000.0).alias("cap"))
+    return catalog_sql(t, {"reservoir_days": t.reservoir_days, "capacity": cap}, """
+        SELECT d.reservoir, year(d.date) AS year, round(avg(d.stor), 2) AS mean_af, round(100 * avg(d.stor) / c.cap, 4) AS pct
+        FROM tm_reservoir_days d JOIN tm_capacity c ON c.reservoir = d.reservoir GROUP BY d.reservoir, year(d.date), c.cap""")
+
+
+# the capacity at a full-pool elevation, between the two rows of a table that bracket it
+FULL = """SELECT reservoir, max(CASE WHEN elev <= 4060 THEN stor END) AS s0, max(CASE WHEN elev <= 4060 THEN elev END) AS e0, min(CASE WHEN elev >= 4060 THEN stor END) AS s1, min(CASE WHEN elev >= 4060 THEN elev END) AS e1
+ FROM {days} GROUP BY reservoir"""
+PCT = """SELECT d.reservoir, max(d.date) AS last_day, round(100 * max_by(d.stor, d.date) / max(f.s0 + (4060 - f.e0) * (f.s1 - f.s0) / (f.e1 - f.e0)), 4) AS pct_full FROM {days} d JOIN f ON f.reservoir = d.reservoir GROUP BY d.reservoir"""
+
+
+@query("C17_percent_full", f"WITH f AS ({FULL.format(days='reservoir_days')}), p AS ({PCT.format(days='reservoir_days')}) SELECT reservoir, strftime(last_day, '%Y-%m-%d') AS last_day, pct_full FROM p")
+def c17p(t):
+    return catalog_sql(t, {"reservoir_days": t.reservoir_days}, f"WITH f AS ({FULL.format(days='tm_reservoir_days')}) {PCT.format(days='tm_reservoir_days')}")
