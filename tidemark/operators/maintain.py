@@ -210,7 +210,9 @@ def duplicate_keys(df: DataFrame, key: Sequence[str] = tuple(OBS_KEY)) -> DataFr
 
 
 def hygiene(df: DataFrame, sites: DataFrame, registry: DataFrame) -> DataFrame:
-    """One row per check: unknown variables, missing coordinates, missing watershed, zero points, orphans."""
+    """One row per check: unknown variables, missing coordinates, missing watershed, zero points, orphans.
+
+    ``df`` is the table of ``site_variables``, which has each series once, so the observations are not read again."""
     located = F.col("lat").isNotNull() & F.col("huc8").isNull()
     home = F.col("state").isNull() | (F.col("state") == "NM")
     s = sites.agg(

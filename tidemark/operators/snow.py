@@ -225,9 +225,11 @@ def reading_near(df: DataFrame, day: Column, back: int = 5, keys: Sequence[str]
 def unit_mart(stations: DataFrame, readings: DataFrame, daily: DataFrame, seasons: tuple[int, int]) -> DataFrame:
     """Per unit: member stations, mean reading, and this and last season as arrays over the 365 season days.
 
-    ``stations`` maps site_uid to unit; arrays are bounded by the season's length."""
+    ``stations`` maps site_uid to unit; arrays are bounded by the season's length. Several values of a unit
+    on one day give their mean."""
     m = stations.join(readings, "site_uid", "left").groupBy("unit").agg(F.count("*").alias("stations"), F.avg("value").alias("mean_reading"))
     d = daily.withColumn("wy", water_year("date")).withColumn("i", season_day("date")).where(F.col("i").isNotNull() & F.col("wy").isin(*seasons))
+    d = d.groupBy("unit", "wy", "i").agg(F.avg("value").alias("value"))
     a = d.groupBy("unit", "wy").agg(F.map_from_entries(F.collect_list(F.struct("i", "value"))).alias("v"))
     full = F.transform(F.sequence(F.lit(0), F.lit(364)), lambda i: F.try_element_at("v", i))
     s = a.select("unit", "wy", full.alias("values")).groupBy("unit").agg(F.max(F.when(F.col("wy") == max(seasons), F.col("values"))).alias("this_season"), F.max(F.when(F.col("wy") == min(seasons), F.col("values"))).alias("last_season"))

@@ -203,7 +203,7 @@ UNION ALL SELECT 'zero_points', count(*) FROM sites WHERE lat = 0 AND lon = 0
 UNION ALL SELECT 'unknown_variables', count(DISTINCT variable) FROM o WHERE variable NOT IN (SELECT variable FROM registry)
 UNION ALL SELECT 'orphan_sites', count(DISTINCT site_uid) FROM o WHERE site_uid NOT IN (SELECT site_uid FROM sites)""")
 def c15(t):
-    return m.hygiene(t.mapped, t.sites, t.registry)
+    return m.hygiene(m.site_variables(t.mapped), t.sites, t.registry)
 
 
 @query("C16_dictionary", """
