@@ -5,11 +5,30 @@ in the shared folder and reads it again."""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, neardup, packing, quality, suffixes
-from tidemark.llm.common import stored
+from tidemark.llm.common import WRITTEN, drop_paths, stored
+
+
+_left: list[str] = []
+
+
+def after_previous(stage):
+    """The stage, once the intermediate tables of the one before are removed: its result has been written by then."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_paths(spark, _left)
+        before = len(WRITTEN)
+        out = stage(spark, docs, sf_dir)
+        _left[:] = WRITTEN[before:]
+        return out
+
+    return run_stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,16 +36,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.reject(docs)
 
 
+@after_previous
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group at a similarity of 0.8 over five-word shingles stays."""
     return neardup.representatives(docs)
 
 
+@after_previous
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes or more that stand earlier go from the texts."""
     return suffixes.without_repeats(docs)
 
 
+@after_previous
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with ten consecutive words of a benchmark item go."""
     return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

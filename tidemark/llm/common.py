@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,7 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.session import ensure_checkpoint_dir
 
-DOC = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Folders that ``stored`` has written in this driver, for a caller that knows when nothing reads them any more.
+WRITTEN: list[str] = []
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -26,14 +27,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here, so a lost executor repeats nothing before it."""
     path = shared_path(df.sparkSession, name)
+    WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(df: DataFrame) -> None:
     """Remove the files of a ``stored`` table that nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    drop_paths(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def drop_paths(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
