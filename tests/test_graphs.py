@@ -69,3 +69,38 @@ def test_cells_near_the_pole_find_their_seed(frame):
     cells = frame([(0, 0, 70.0, 1.5)], "iy int, ix int, lat double, lon double")
     seeds = frame([("r", 70.0, 0.0)], "range_id string, lat double, lon double")
     assert grids.label_cells(cells, seeds, 60.0).count() == 1
+
+
+def test_a_long_line_costs_as_many_rows_as_it_crosses_buckets(frame):
+    r = random.Random(6)
+    ends = [(0.0, 0.0, 900.0, 700.0), (5.0, 900.0, 5.0, 10.0), (10.0, 3.0, 880.0, 3.0), (100.0, 100.0, 100.0, 100.0), (0.0, 0.0, 1.0, 999.0)]
+    lines = frame([(f"l{i}", *e) for i, e in enumerate(ends)], "line_id string, x0 double, y0 double, x1 double, y1 double")
+    points = [(i, r.uniform(-3, 903), r.uniform(-3, 1003)) for i in range(1500)] + [(2000 + i, x * 9.0, x * 7.0 + 1.2) for i, x in enumerate(range(100))]
+    out = spatial.near_lines(frame(points, "id bigint, px double, py double"), lines, "px", "py", ["id"], 2.0)
+
+    def near(p, e):
+        dx, dy = e[2] - e[0], e[3] - e[1]
+        t = max(0.0, min(1.0, ((p[1] - e[0]) * dx + (p[2] - e[1]) * dy) / (dx * dx + dy * dy or 1)))
+        return ((p[1] - e[0] - t * dx) ** 2 + (p[2] - e[1] - t * dy) ** 2) ** 0.5 <= 2.0
+
+    assert sorted((x.id, x.line_id) for x in out.collect()) == sorted((p[0], f"l{i}") for p in points for i, e in enumerate(ends) if near(p, e))
+
+
+def test_a_polygon_of_many_vertices_is_cut_into_strips(frame):
+    import math
+
+    n = 2000
+    ring = [(math.cos(2 * math.pi * i / n) * (1 + 0.3 * (i % 2)), math.sin(2 * math.pi * i / n) * (1 + 0.3 * (i % 2))) for i in range(n)]
+    edges = frame([("p", *ring[i], *ring[(i + 1) % n]) for i in range(n)], "poly_id string, x0 double, y0 double, x1 double, y1 double")
+    points = [(i, -1.2 + 0.11 * (i % 22), -1.2 + 0.11 * (i // 22)) for i in range(484)]
+    got = {x.id for x in spatial.points_in_polygons(frame(points, "id bigint, px double, py double"), edges, "px", "py", ["id"]).collect()}
+
+    def inside(x, y):
+        k = 0
+        for i in range(n):
+            (a, b), (c, d) = ring[i], ring[(i + 1) % n]
+            if (b > y) != (d > y) and x < a + (y - b) / (d - b) * (c - a):
+                k += 1
+        return k % 2 == 1
+
+    assert got == {i for i, x, y in points if inside(x, y)}

@@ -47,17 +47,31 @@ def box_edges(boxes: DataFrame, key: str = "unit") -> DataFrame:
     return boxes.select(c(key).alias("poly_id"), F.explode(arr).alias("s")).select("poly_id", "s.*")
 
 
+#: Edges of a polygon for each of its horizontal strips.
+STRIP_EDGES = 128
+
+
 def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, ids: Sequence[str], cell: float = 0.5) -> DataFrame:
     """(ids, poly_id) for every polygon a point lies in, by counting edges a ray to the right crosses.
 
     Points meet polygons through the grid cells of the polygon's bounding box, then only the edges of
-    that polygon in the point's own horizontal strip; crossing counts combine before the shuffle."""
-    box = edges.groupBy("poly_id").agg(F.min(F.least("x0", "x1")).alias("bx0"), F.max(F.greatest("x0", "x1")).alias("bx1"), F.min(F.least("y0", "y1")).alias("by0"), F.max(F.greatest("y0", "y1")).alias("by1"))
+    that polygon in the point's own horizontal strip; crossing counts combine before the shuffle. A
+    polygon has a strip for every ``STRIP_EDGES`` of its edges, so the key (polygon, strip) stays small
+    however many vertices a watershed has."""
+    box = edges.groupBy("poly_id").agg(
+        F.min(F.least("x0", "x1")).alias("bx0"), F.max(F.greatest("x0", "x1")).alias("bx1"), F.min(F.least("y0", "y1")).alias("by0"), F.max(F.greatest("y0", "y1")).alias("by1"),
+        F.ceil(F.count("*") / STRIP_EDGES).alias("strips"))
+    box = box.withColumn("high", F.greatest((F.col("by1") - F.col("by0")) / F.col("strips"), F.lit(1e-12)))
+
+    def strip_of(at):
+        return F.least(F.greatest(F.floor((at - F.col("by0")) / F.col("high")), F.lit(0)), F.col("strips") - 1)
+
     cells = (box.withColumn("cx", F.explode(F.sequence(F.floor(F.col("bx0") / cell), F.floor(F.col("bx1") / cell))))
              .withColumn("cy", F.explode(F.sequence(F.floor(F.col("by0") / cell), F.floor(F.col("by1") / cell)))))
     p = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("cx", F.floor(F.col("_px") / cell)).withColumn("cy", F.floor(F.col("_py") / cell))
-    cand = p.join(cells, ["cx", "cy"]).where(F.col("_px").between(F.col("bx0"), F.col("bx1")) & F.col("_py").between(F.col("by0"), F.col("by1"))).select(*ids, "_px", "_py", "poly_id", F.col("cy").alias("strip"))
-    strips = edges.where(F.col("y0") != F.col("y1")).withColumn("strip", F.explode(F.sequence(F.floor(F.least("y0", "y1") / cell), F.floor(F.greatest("y0", "y1") / cell))))
+    cand = p.join(cells, ["cx", "cy"]).where(F.col("_px").between(F.col("bx0"), F.col("bx1")) & F.col("_py").between(F.col("by0"), F.col("by1"))).select(*ids, "_px", "_py", "poly_id", strip_of(F.col("_py")).alias("strip"))
+    strips = edges.where(F.col("y0") != F.col("y1")).join(box.select("poly_id", "by0", "high", "strips"), "poly_id")
+    strips = strips.withColumn("strip", F.explode(F.sequence(strip_of(F.least("y0", "y1")), strip_of(F.greatest("y0", "y1"))))).select("poly_id", "strip", "x0", "y0", "x1", "y1")
     straddles = (F.col("y0") > F.col("_py")) != (F.col("y1") > F.col("_py"))
     right = F.col("_px") < F.col("x0") + (F.col("_py") - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
     hit = cand.join(strips, ["poly_id", "strip"]).where(straddles & right)
@@ -90,11 +104,17 @@ def segment_distance(px: Column, py: Column) -> Column:
 def near_lines(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
     """Smallest distance from each point to each line within ``radius``, in the coordinates' units.
 
-    A segment is filed under every bucket its box grown by the radius touches; a point looks in one
-    bucket only, so no pair is missed and none is met twice from different buckets."""
-    lo = lambda a, b: F.floor((F.least(a, b) - radius) / radius)
-    hi = lambda a, b: F.floor((F.greatest(a, b) + radius) / radius)
-    seg = (lines.withColumn("_bx", F.explode(F.sequence(lo("x0", "x1"), hi("x0", "x1")))).withColumn("_by", F.explode(F.sequence(lo("y0", "y1"), hi("y0", "y1"))))
+    A segment is filed, column by column of buckets, under those its part there comes within the radius
+    of, so a long one costs as many rows as it crosses buckets; a point looks in one bucket only, so no
+    pair is missed and none is met twice from different buckets."""
+    grown = radius * (1 + 1e-6)
+    seg = lines.withColumn("_bx", F.explode(F.sequence(F.floor((F.least("x0", "x1") - grown) / radius), F.floor((F.greatest("x0", "x1") + grown) / radius))))
+    left = F.greatest(F.least("x0", "x1"), F.col("_bx") * radius - grown)
+    right = F.least(F.greatest("x0", "x1"), (F.col("_bx") + 1) * radius + grown)
+    rise = (F.col("y1") - F.col("y0")) / F.nullif(F.col("x1") - F.col("x0"), F.lit(0.0))
+    ya = F.coalesce(F.col("y0") + (left - F.col("x0")) * rise, "y0")
+    yb = F.coalesce(F.col("y0") + (right - F.col("x0")) * rise, "y1")
+    seg = (seg.withColumn("_by", F.explode(F.sequence(F.floor((F.least(ya, yb) - grown) / radius), F.floor((F.greatest(ya, yb) + grown) / radius))))
            .select(line, "x0", "y0", "x1", "y1", "_bx", "_by"))
     p = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("_bx", F.floor(F.col("_px") / radius)).withColumn("_by", F.floor(F.col("_py") / radius))
     d = p.join(seg, ["_bx", "_by"]).withColumn("_d", segment_distance(F.col("_px"), F.col("_py"))).where(F.col("_d") <= radius)
