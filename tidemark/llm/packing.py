@@ -6,6 +6,8 @@ says where in its document and where in its sequence it stands, so that sequence
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,42 +20,97 @@ from tidemark.llm.common import stored, text_of
 
 WINDOW = 2048
 END_ID = 1
-MEMO_WORDS, MEMO_LETTERS = 400_000, 48
+MEMO_WORDS, MEMO_LETTERS = 300_000, 48
 
-#: Ids of single words, by vocabulary file; kept while the worker lives, emptied when full.
-MEMO: dict[str, dict[bytes, bytes]] = {}
+#: Ids of single words, by vocabulary file, kept while the worker lives: the words in use, and those in use before the memo was last full.
+MEMO: dict[str, list[dict[bytes, bytes]]] = {}
 TOKENIZERS: dict = {}
 
 
+#: A word of Latin letters with marks behind it: the pre-tokeniser makes two pieces of it, the normaliser only lower-cases it.
+PLAIN = re.compile(r"([a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as themselves and the others as the characters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+LETTERS = byte_letters()
+
+
 def tokenizer(file: str):
     if file not in TOKENIZERS:
         from tokenizers import Tokenizer
 
         TOKENIZERS[file] = Tokenizer.from_file(file)
-        MEMO[file] = {}
+        MEMO[file] = [{}, {}]
     return TOKENIZERS[file]
 
 
+def plain_ids(model, memo: dict[bytes, bytes], older: dict[bytes, bytes], word: bytes) -> bytes | None:
+    """The ids of a plain word by the vocabulary's model itself; None for words that need the whole tokeniser."""
+    letters = word.rstrip(MARKS)
+    if not letters.isalpha():  # not ASCII letters alone
+        text = word.decode("utf-8", "replace").lower()
+        found = PLAIN.fullmatch(text)
+        if not found:
+            return None
+        letters, word = found[1].encode(), text.encode()
+    if b"<|" in word:
+        return None
+    ids = memo.get(letters) or older.get(letters)
+    if ids is None:
+        text = letters.decode() if letters.isascii() else letters.decode("latin-1").translate(LETTERS)
+        ids = array("I", [t.id for t in model.tokenize(text)]).tobytes() if letters else b""
+        if len(letters) <= MEMO_LETTERS:
+            memo[letters] = ids
+    if len(letters) == len(word):
+        return ids
+    marks = word[len(letters):]
+    more = memo.get(marks)
+    if more is None:
+        more = array("I", [t.id for t in model.tokenize(marks.decode())]).tobytes()
+        if len(marks) <= MEMO_LETTERS:
+            memo[marks] = more
+    return ids + more
+
+
 def encode_texts(file: str, texts: list[str]) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
     The vocabulary's own pre-tokeniser drops white space and joins nothing across it, and its normaliser changes nothing across
-    ASCII white space, so the ids of a text are those of its words in turn; each word is encoded once while the memo holds it."""
+    ASCII white space, so the ids of a text are those of its words in turn; each word is encoded once while the memo holds it. A-Z
+    are lower-cased before as the normaliser would, but for texts that might name a control token."""
     t = tokenizer(file)
-    memo = MEMO[file]
-    words = [x.encode("utf-8", "surrogatepass").split() for x in texts]
-    new = list({w for ws in words for w in ws if w not in memo})
-    if len(memo) + len(new) > MEMO_WORDS:
-        memo.clear()
-        new = list({w for ws in words for w in ws})
+    raws = [x.encode("utf-8", "surrogatepass") for x in texts]
+    words = [(r if b"<|" in r else r.lower()).split() for r in raws]
+    used: set[bytes] = set()
+    for ws in words:
+        used.update(ws)
+    if len(MEMO[file][0]) + len(used) > MEMO_WORDS:
+        MEMO[file] = [{}, MEMO[file][0]]
+    memo, older = MEMO[file]
+    new, model = [], t.model
+    long = [w for w in used if len(w) > MEMO_LETTERS]
+    for w in used.difference(memo):
+        ids = older.get(w) or plain_ids(model, memo, older, w)
+        if ids is None:
+            new.append(w)
+        else:
+            memo[w] = ids
     for s in range(0, len(new), 20_000):
         part = new[s:s + 20_000]
         for w, e in zip(part, t.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-    out = [b"".join([memo[w] for w in ws]) for ws in words]
-    for w in new:
-        if len(w) > MEMO_LETTERS:
-            del memo[w]
+            memo[w] = array("I", e.ids).tobytes()
+    out = [b"".join(map(memo.__getitem__, ws)) for ws in words]
+    for w in long:
+        del memo[w]
     return out
 
 
