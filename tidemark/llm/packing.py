@@ -22,6 +22,9 @@ WINDOW = 2048
 END_ID = 1
 MEMO_WORDS, MEMO_LETTERS = 300_000, 48
 
+#: Rows of three numbers, some 25 MB.
+BROADCAST_ROWS = 1_000_000
+
 #: Ids of single words, by vocabulary file, kept while the worker lives: the words in use, and those in use before the memo was last full.
 MEMO: dict[str, list[dict[bytes, bytes]]] = {}
 TOKENIZERS: dict = {}
@@ -146,13 +149,14 @@ def pack(docs: DataFrame, file: str, window: int = WINDOW, end_id: int = END_ID)
     All sequences but the last are full. ``boundary`` marks the pieces of a sequence that a partition of the input begins or ends
     in. Null or empty text is the end id alone; rows of one doc_id are packed one by one; an empty table gives no pieces.
 
-    The totals are broadcast: they are one row per partition of the input, whatever the documents hold, and each partition is
-    some 100 MB of files."""
+    The totals are one row per partition of the input, whatever the documents hold; up to ``BROADCAST_ROWS`` of them are broadcast,
+    more are joined by shuffle."""
     tokens = stored(tokenised(docs, file, end_id), "tokens")
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
+    few = totals.count() <= BROADCAST_ROWS
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = totals.select("part", "total", before.alias("before"))
-    placed = tokens.join(F.broadcast(offsets), "part").withColumn("at", F.col("before") + F.col("start"))
+    placed = tokens.join(F.broadcast(offsets) if few else offsets, "part").withColumn("at", F.col("before") + F.col("start"))
 
     def cut(k):
         lo = F.greatest(F.col("at"), k * window)
