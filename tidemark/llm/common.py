@@ -53,6 +53,13 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to some rows each, so that a worker holds few texts as Python objects at a time."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+
+
 def add_columns(df: DataFrame, added: list[T.StructField], make: Callable[[dict[str, list]], dict], needs: list[str]) -> DataFrame:
     """Columns computed per Arrow batch. Other columns pass through; one that bears the name of a new column is replaced."""
     new = {f.name.lower() for f in added}
@@ -62,7 +69,7 @@ def add_columns(df: DataFrame, added: list[T.StructField], make: Callable[[dict[
     kinds = [to_arrow_type(f.dataType) for f in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             got = make({c: b.column(x).to_pylist() for c, x in src.items()})
             cols = [b.column(c) for c in keep] + [
                 v if isinstance(v := got[f.name], pa.Array) else pa.array(v, type=k) for f, k in zip(added, kinds, strict=True)]

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, field, stored
+from tidemark.llm.common import add_columns, field, in_slices, stored
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -69,7 +69,7 @@ def profiles(train: DataFrame, size: int = PROFILE) -> DataFrame:
             size_of.pop(lang)
             return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], names=["lang", "gram", "n"])
 
-        for b in batches:
+        for b in in_slices(batches):
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 held.setdefault(lang, []).append(gram_counts(text))
                 size_of[lang] = size_of.get(lang, 0) + len(text)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.graphs import components
-from tidemark.llm.common import drop_stored, parallelism, stored, text_of
+from tidemark.llm.common import drop_stored, in_slices, parallelism, stored, text_of
 
 SHINGLE = 4
 PERCENT = 80
@@ -32,25 +32,12 @@ MULTIPLIERS = np.random.default_rng(20240229).integers(1, 2**63, COORDS, dtype=n
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all when it has grown to a million words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
-
-
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the ``width``-word shingles, A-Z lower-cased; all words as one if there are fewer, none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    w = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     take = min(width, len(words))
     h = np.full(len(w) - take + 1, take, np.uint64)
     for i in range(take):
@@ -72,7 +59,7 @@ def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """(doc_id, n, print, mins) of every row: size and 128-bit fingerprint of the shingle set, and its minwise values."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             n, prints, mins = [], [], []
             for t in b.column(1).to_pylist():
                 s = shingle_set(t, width)

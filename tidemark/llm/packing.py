@@ -16,11 +16,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_of
+from tidemark.llm.common import in_slices, stored, text_of
 
 WINDOW = 2048
 END_ID = 1
-MEMO_WORDS, MEMO_LETTERS = 300_000, 48
+MEMO_WORDS, MEMO_LETTERS = 200_000, 48
 
 #: Rows of three numbers, some 25 MB.
 BROADCAST_ROWS = 1_000_000
@@ -122,7 +122,7 @@ def tokenised(docs: DataFrame, file: str, end_id: int = END_ID) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in in_slices(batches, 2000):
             texts, keys = b.column(1).to_pylist(), b.column(0)
             s = 0
             while s < len(texts):

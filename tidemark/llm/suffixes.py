@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, drop_stored, field, numbered_repeats, parallelism, released, stored, text_of
+from tidemark.llm.common import add_columns, drop_stored, field, in_slices, numbered_repeats, parallelism, released, stored, text_of
 
 LENGTH = 100
 LEAD = 40
@@ -171,7 +171,7 @@ def anchor_prints(docs: DataFrame, length: int) -> DataFrame:
     """(print, doc, place) of all anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches):
             texts, keys, seqs = b.column(2).to_pylist(), b.column(0).to_pylist(), b.column(1).to_pylist()
             for s, e in slices([len(t) for t in texts], TEXT_BATCH):
                 got = [(k, q, *anchors(np.frombuffer(as_bytes(t), np.uint8), length)) for k, q, t in zip(keys[s:e], seqs[s:e], texts[s:e], strict=True)]
@@ -189,7 +189,7 @@ def suffix_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame
     Equal contexts of one batch of texts are handed on once, as that of the first, with (doc, place) of the others in ``copies``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in in_slices(batches, 2000):
             keys, seqs, texts, wanted = (b.column(i).to_pylist() for i in range(4))
             for s, e in slices([len(t) for t in texts], TEXT_BATCH):
                 first: dict[bytes, list] = {}
