@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import field, text_of
+from tidemark.llm.common import field, in_slices, text_of
 
 WIDTH = 10
 #: Bytes of item text that one automaton takes; more items are scanned for in further passes.
@@ -89,7 +89,7 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, batch_bytes: int
     def scanner(held):
         def run(batches):
             auto, info = automaton(held.value, width)
-            for b in batches:
+            for b in in_slices(batches):
                 hits, found = b.column("_hits").to_pylist(), b.column("_found").to_pylist()
                 for i, t in enumerate(b.column(text).to_pylist()):
                     for lo, hi, of in matches(auto, info, [w for w in normal_words(t) if w]):
@@ -104,7 +104,7 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, batch_bytes: int
         kept = kept.mapInArrow(scanner(spark.sparkContext.broadcast(part)), kept.schema)
 
     def finish(batches):
-        for b in batches:
+        for b in in_slices(batches):
             rows = [verdict(*r) for r in zip(b.column(text).to_pylist(), b.column("_hits").to_pylist(), b.column("_found").to_pylist(), strict=True)]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             cols = [b.column(c) for c in own] + [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
