@@ -78,7 +78,7 @@ def test_decontamination_against_brute_force(frame):
 
 def test_language_profiles(frame):
     en, de = "the cat and the dog are in the house with the bird", "der hund und die katze sind in dem haus mit dem vogel"
-    rows = [(i, (en if i % 2 else de) + f" {i}", "en" if i % 2 else "de") for i in range(40)] + [(100, None, "en"), (101, "123 !", "de"), (102, "the house and the bird", None)]
+    rows = [(i, (en if i % 2 else de) + f" {i}", "en" if i % 2 else "de") for i in range(40)] + [(100, None, "en"), (101, "123 ²½ !", "de"), (102, "the house and the bird", None)]
     out = {r.doc_id: r for r in language.train_and_identify(frame(rows, DOCS)).collect()}
     assert all(out[i].lang_pred == rows[i][2] and 0 < out[i].score <= 1 for i in range(40))
     assert all(out[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in out)

@@ -91,7 +91,7 @@ def decide(text: str | None, learned: list[tuple[str, np.ndarray, np.ndarray]],
 
     An n-gram that a profile lacks costs ``size``. ``learned``: language, its n-grams in order, their places."""
     own = ranked(gram_counts(text), size)
-    if not learned or not len(own):
+    if not learned or not len(own) or not any(map(str.isalpha, text)):  # numerals such as a raised two are no letters
         return UNKNOWN, 0.0
     places, best = np.arange(len(own)), None
     for lang, grams, rank in learned:
