@@ -54,6 +54,18 @@ def test_packing_round_trip(frame):
     assert packing.pack(frame([], DOCS), VOCABULARY).count() == 0
 
 
+def test_packing_capitals_beside_control_marks():
+    """Capitals are lower-cased as the normaliser does in texts that hold '<|' too, whatever the memo holds of them already."""
+    t = Tokenizer.from_file(VOCABULARY)
+    texts = ["<|user|> The Foo, THE foo ÀB Straße İx <|assistant|>Of Course!", "The Foo of The course", "if (A <|> B) Return NULL;", "The foo <|endoftext|> The END<|endoftext|>Foo", "<|ENDOFTEXT|> Bar"]
+    for some in ([x] for x in texts), [texts], [texts[::-1]]:
+        for part in some:
+            packing.MEMO.pop(VOCABULARY, None)
+            packing.TOKENIZERS.pop(VOCABULARY, None)
+            got = [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in packing.encode_texts(VOCABULARY, part)]
+            assert got == [t.encode(x, add_special_tokens=False).ids for x in part]
+
+
 # ---- repeated passages ------------------------------------------------------
 
 

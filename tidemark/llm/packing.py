@@ -65,6 +65,8 @@ def plain_ids(model, memo: dict[bytes, bytes], older: dict[bytes, bytes], word:
         if not found:
             return None
         letters, word = found[1].encode(), text.encode()
+    else:  # a text that might name a control token comes with its capitals
+        letters, word = letters.lower(), word.lower()
     if b"<|" in word:
         return None
     ids = memo.get(letters) or older.get(letters)
@@ -89,7 +91,7 @@ def encode_texts(file: str, texts: list[str]) -> list[bytes]:
 
     The vocabulary's own pre-tokeniser drops white space and joins nothing across it, and its normaliser changes nothing across
     ASCII white space, so the ids of a text are those of its words in turn; each word is encoded once while the memo holds it. A-Z
-    are lower-cased before as the normaliser would, but for texts that might name a control token."""
+    are lower-cased before as the normaliser would, in texts that might name a control token only word by word."""
     t = tokenizer(file)
     raws = [x.encode("utf-8", "surrogatepass") for x in texts]
     words = [(r if b"<|" in r else r.lower()).split() for r in raws]
