@@ -111,6 +111,26 @@ def test_repeats_with_repeated_ids_and_no_rows(frame):
     assert suffixes.without_repeats(frame(rows, DOCS)).count() == 3
 
 
+def test_repeats_of_a_passage_in_every_document(spark, frame, monkeypatch):
+    """A context row holds no other places than its own, and one window's rows are dealt over several tasks."""
+    kept = {}
+    keep = suffixes.stored
+    monkeypatch.setattr(suffixes, "HOT", 50)
+    monkeypatch.setattr(suffixes, "stored", lambda df, name: kept.setdefault(name, keep(df, name)))
+    monkeypatch.setattr(suffixes, "drop_stored", lambda df: None)
+    passage = words(40, 21)
+    rows = [(i, words(3, 100 + i) + passage + words(3, 500 + i), "x") for i in range(300)]
+    out = suffixes.remove_repeats(frame(rows, DOCS).repartition(16)).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in out) == removed([r[:2] for r in rows], 100)
+    assert all(len(v) <= 200 if isinstance(v, (bytes, bytearray, list)) else True for r in kept["contexts"].collect() for v in r)
+    assert not any(isinstance(v, list) for r in kept["contexts"].limit(50).collect() for v in r)
+    window = passage[:100].encode()
+    many = spark.createDataFrame([(window, i, 7) for i in range(2000)] + [(window, 0, 7), (window[1:] + b"x", 5, 8)], "context binary, doc bigint, place bigint")
+    kept.clear()
+    assert sorted(map(tuple, suffixes.hot_repeats(many).distinct().collect())) == [(i, 7, 7) for i in range(1, 2000)]
+    assert sum(r.head is not None and bytes(r.head) == window for r in kept["hot"].collect()) > 2
+
+
 def test_multikey_classes():
     import numpy as np
 

@@ -5,10 +5,12 @@ a hundred times over, so suffixes are sampled by content: the window of ``length
 of ``LEAD`` bytes in it, and equal windows pick equal anchors. Anchors whose leading bytes occur once in the corpus can be part of
 no repeat. The suffixes at the others, with the bytes their windows reach, are range-partitioned by leading bytes with sampled
 splitters; each bucket sorts its suffixes by multikey quicksort, eight bytes to a key, first the whole contexts, so that copies fall
-together, and then the windows of those that differ. Leading bytes that stand in very many places (one passage in a third of all
-documents) are cut into their windows before, each with all its bytes as leading key, which splits them. Splitters are whole leading keys: a
-bucket boundary always parts two different keys, so the comparison across it is already made, and equal windows, which have equal
-leading keys, never lie on both sides."""
+together, and then the windows of those that differ. Splitters are whole leading keys: a bucket boundary always parts two different
+keys, so the comparison across it is already made, and equal windows, which have equal leading keys, never lie on both sides.
+
+Leading bytes that stand in very many places (one passage in a third of all documents) are cut into their windows, which equal no
+others. These are range-partitioned by window and place, so that one window fills as many partitions as it needs; a task remembers
+the first of the present window only, and the partitions' first and last windows settle what crosses a boundary."""
 
 from __future__ import annotations
 
@@ -184,74 +186,110 @@ def anchor_prints(docs: DataFrame, length: int) -> DataFrame:
 
 
 def suffix_contexts(docs: DataFrame, marks: DataFrame, length: int) -> DataFrame:
-    """(lead, context, doc, place, copies) for the marked anchors: the bytes their windows reach, from place on.
+    """(lead, context, doc, place, hi) for the marked anchors: the bytes their windows reach, from place on.
 
-    Equal contexts of one batch of texts are handed on once, as that of the first, with (doc, place) of the others in ``copies``."""
+    Windows of hot anchors are single contexts without a lead. Of equal contexts of one batch of texts the first is handed on; the
+    others are known to be repeats and become spans at once: rows without a context, windows from ``place`` to ``hi``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in in_slices(batches, 2000):
             keys, seqs, texts, wanted = (b.column(i).to_pylist() for i in range(4))
             for s, e in slices([len(t) for t in texts], TEXT_BATCH):
-                first: dict[bytes, list] = {}
+                first: dict[bytes, tuple] = {}
+                spans: list[tuple] = []
                 for i in sorted(range(s, e), key=lambda i: (keys[i], seqs[i])):
-                    raw, shift = as_bytes(texts[i]), seqs[i] * SEQ
-                    place, lo, hi, _ = anchors(np.frombuffer(raw, np.uint8), length)
+                    raw, shift, lo = as_bytes(texts[i]), seqs[i] * SEQ, None
+                    place, low, high, _ = anchors(np.frombuffer(raw, np.uint8), length)
                     want = np.array(sorted(wanted[i]), np.int64)
                     spot = np.minimum(np.searchsorted(want >> 1, place + shift), len(want) - 1)
                     hit = np.flatnonzero(want[spot] >> 1 == place + shift)
-                    for p, a, z, hot in zip(place[hit].tolist(), lo[hit].tolist(), hi[hit].tolist(), (want[spot[hit]] & 1).tolist(), strict=True):
+                    for p, a, z, hot in zip(place[hit].tolist(), low[hit].tolist(), high[hit].tolist(), (want[spot[hit]] & 1).tolist(), strict=True):
                         for x, y in ((x, x) for x in range(a, z + 1)) if hot else ((a, z),):
                             context = raw[x:y + length]
                             had = first.get(context)
                             if had is None:
-                                first[context] = [context if hot else raw[p:p + LEAD], keys[i], x + shift, []]
-                            elif (keys[i], x + shift) != (had[1], had[2]):
-                                had[3] += (keys[i], x + shift)
-                rows = list(first.items())
-                for f, g in slices([len(c) + 8 * len(v[3]) for c, v in rows], TEXT_BATCH):
-                    part = rows[f:g]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([v[0] for _, v in part], pa.binary()), pa.array([c for c, _ in part], pa.binary()), pa.array([v[1] for _, v in part], pa.int64()),
-                        pa.array([v[2] for _, v in part], pa.int64()), pa.array([v[3] for _, v in part], pa.list_(pa.int64()))],
-                        names=["lead", "context", "doc", "place", "copies"])
+                                first[context] = None if hot else raw[p:p + LEAD], keys[i], x + shift
+                            elif had[1] != keys[i] or had[2] != x + shift:
+                                if lo is not None and x == hi + 1:
+                                    hi = y
+                                    continue
+                                if lo is not None:
+                                    spans.append((keys[i], lo + shift, hi + shift))
+                                lo, hi = x, y
+                    if lo is not None:
+                        spans.append((keys[i], lo + shift, hi + shift))
+                rows = [(v[0], c, v[1], v[2], None) for c, v in first.items()] + [(None, None, k, lo, hi) for k, lo, hi in spans]
+                for f, g in slices([len(r[1] or b"") + 24 for r in rows], TEXT_BATCH):
+                    cols = zip(*rows[f:g], strict=True)
+                    kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["lead", "context", "doc", "place", "hi"])
 
     rows = docs.select("_id", F.col("_seq").cast("bigint").alias("_seq"), text_of().alias("text"))
     return rows.join(marks, ["_id", "_seq"]).select("_id", "_seq", "text", "marks").mapInArrow(
-        run, "lead binary, context binary, doc bigint, place bigint, copies array<bigint>")
+        run, "lead binary, context binary, doc bigint, place bigint, hi bigint")
+
+
+def hot_repeats(windows: DataFrame) -> DataFrame:
+    """(doc, lo, hi) of the windows (context, doc, place) that occur earlier among the given ones, however many are equal.
+
+    A window's rows lie in order in one partition or in consecutive ones. So a row is a repeat if the one before has the same window,
+    and the first of a partition if the partition before ends with its window, which one row of each partition tells the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = last = None
+        names = ["doc", "lo", "hi", "head", "tail"]
+        for b in batches:
+            docs, lo = [], []
+            for row in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if last is None or row[0] != last[0]:
+                    last = row
+                    head = head or row
+                elif row != last:
+                    docs.append(row[1])
+                    lo.append(row[2])
+            none = pa.nulls(len(lo), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(lo, pa.int64()), pa.array(lo, pa.int64()), none, none], names=names)
+        if head:
+            edge = [pa.array([x], pa.int64()) for x in (head[1], head[2], head[2])] + [pa.array([x], pa.binary()) for x in (head[0], last[0])]
+            yield pa.RecordBatch.from_arrays(edge, names=names)
+
+    spark = windows.sparkSession
+    keys = ["context", "doc", "place"]
+    ordered = windows.select(*keys).repartitionByRange(parallelism(spark), *keys).sortWithinPartitions(*keys)
+    found = stored(ordered.mapInArrow(run, "doc bigint, lo bigint, hi bigint, head binary, tail binary"), "hot")
+    edges = sorted((bytes(r.head), r.doc, r.lo, bytes(r.tail)) for r in found.where("head is not null").collect())
+    crossing = [(b[1], b[2], b[2]) for a, b in zip(edges, edges[1:]) if a[3] == b[0]]
+    spans = found.where("head is null").select("doc", "lo", "hi")
+    return spans.union(spark.createDataFrame(crossing, "doc bigint, lo bigint, hi bigint")) if crossing else spans
 
 
 def bucket_repeats(contexts: DataFrame, length: int) -> DataFrame:
     """(doc, lo, hi): windows that start earlier elsewhere, from buckets of the suffixes' order.
 
-    A bucket comes sorted by leading key and is handled in bounded parts that end where the key changes."""
+    A bucket comes sorted by leading key and is handled in bounded parts that end where the key changes; a key has ``HOT`` rows at
+    most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
 
         def close():
-            docs, lo, hi = [], [], []
-            for _, context, doc, place, copies in held:
-                docs += copies[0::2]
-                lo += copies[1::2]
-                hi += [x + len(context) - length for x in copies[1::2]]
             found = repeats([h[1] for h in held], np.array([h[2] for h in held], np.int64), np.array([h[3] for h in held], np.int64), length)
             held.clear()
-            cols = [np.concatenate([np.array(own, np.int64), f]) for own, f in zip((docs, lo, hi), found, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["doc", "lo", "hi"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["doc", "lo", "hi"])
 
         for b in batches:
-            for row in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 if row[0] != last and size > CONTEXT_BATCH:
                     yield close()
                     size = 0
                 last = row[0]
                 held.append(row)
-                size += len(row[1])
+                size += len(row[1]) + 16
         if held:
             yield close()
 
     spark = contexts.sparkSession
-    ordered = contexts.repartitionByRange(parallelism(spark), "lead").sortWithinPartitions("lead")
+    ordered = contexts.select("lead", "context", "doc", "place").repartitionByRange(parallelism(spark), "lead").sortWithinPartitions("lead")
     return ordered.mapInArrow(run, "doc bigint, lo bigint, hi bigint")
 
 
@@ -302,7 +340,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     released(spark)
     contexts = stored(suffix_contexts(rows, marks, length), "contexts")
     released(spark)
-    spans = stored(bucket_repeats(contexts, length), "spans")
+    known = contexts.where("context is null").select("doc", F.col("place").alias("lo"), "hi")
+    hot = hot_repeats(contexts.where("lead is null and context is not null"))
+    spans = stored(bucket_repeats(contexts.where("lead is not null"), length).union(hot).union(known), "spans")
     drop_stored(contexts)
     drop_stored(marks)
     released(spark)
