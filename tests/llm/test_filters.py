@@ -133,6 +133,16 @@ def test_differencing(frame):
     assert pages.main_text(frame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def test_class_names_never_drop_an_article():
+    def kept(page):
+        return [t for t, k in pages.page_lines(page) if k != pages.CHROME]
+
+    assert kept("<article class='post category-search tag-cookies'><p>Body</article>") == ["Body"]
+    assert kept("<article class='comments'><p>Body</article><div class='has-sidebar'>Text</div>") == ["Body", "Text"]
+    assert kept("<div class=sidebar>Side</div><div id=page class=widget><div class='x menu'><p>In<article><p>Body</article></div>After</div><div class=ad>Buy</div>") == ["In", "Body", "After"]
+    assert kept("<div class=widget><div class=ad>Buy</div><main>Body</main></div>") == ["Body"]
+
+
 # ---- URL filter -------------------------------------------------------------
 
 
