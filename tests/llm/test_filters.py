@@ -143,6 +143,17 @@ def test_class_names_never_drop_an_article():
     assert kept("<div class=widget><div class=ad>Buy</div><main>Body</main></div>") == ["Body"]
 
 
+def test_differencing_of_runs_longer_than_a_bucket(frame):
+    """Pages with equal lines over many buckets have the different pages around them as neighbours, wherever the buckets end."""
+    same = "<div>Top</div><p>Copied.</p><p>Same end</p>"
+    rows = [(i, f"http://h.org/a/{i:03d}", same if 10 <= i < 150 else f"<div>Top</div><p>Own {i}.</p><p>Same end</p>") for i in range(160)]
+    rows += [(1000 + i, f"http://i.org/a/{i:03d}", same) for i in range(60)]
+    for parts in (1, 5):
+        out = {r.page_id: r.text for r in pages.main_text(frame(rows, "page_id bigint, url string, html string").repartition(parts)).collect()}
+        assert {i: out[i] for i in range(160)} == {i: "Copied." if 10 <= i < 150 else f"Own {i}." for i in range(160)}
+        assert len(out) == 220 and {out[1000 + i] for i in range(60)} == {"Top\nCopied.\nSame end"}
+
+
 # ---- URL filter -------------------------------------------------------------
 
 
