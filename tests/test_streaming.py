@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import status
 from tidemark.operators.maintain import compact
+from tidemark.plans import streaming_queries
 from tidemark.plans.tables import Tables
 from tidemark.streaming import jobs
 
@@ -84,3 +85,16 @@ def test_snapshots_are_compared_batch_by_batch(spark, frame, tmp_path):
     kinds = [[r.kind for r in jobs.track_changes(spark, status_rows(v), "key", {"category": None}, str(tmp_path), i).collect()] for i, v in enumerate(["minor", "minor", "major"])]
     assert kinds == [["appears"], [], ["changes"]]
     assert [r.kind for r in jobs.track_changes(spark, status_rows("major"), "key", {"category": None}, str(tmp_path), 2).collect()] == ["changes"]
+
+
+def test_replay_of_slices_with_unequal_numbers_of_files(spark, tmp_path):
+    """No row is older than the watermark when a slice comes in many files, the newest rows first."""
+    hours = spark.range(720).select((F.timestamp_seconds(F.lit(1_704_067_200) - F.col("id") * 3600)).alias("ts"))
+    for i, (lo, hi) in enumerate([(540, 560), (560, 600), (600, 640), (640, 680), (680, 700), (700, 720), (0, 540)]):
+        hours.where(f"ts >= TIMESTAMP_SECONDS({1_704_067_200 - (hi - 1) * 3600}) AND ts <= TIMESTAMP_SECONDS({1_704_067_200 - lo * 3600})").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    t = Tables(spark, str(tmp_path))
+    days = lambda d: d.groupBy(F.window("ts", "1 day").alias("w")).count().select(F.col("w.start").alias("start"), "count")
+    out = streaming_queries.replay(t, lambda s: days(s.read("events").withWatermark("ts", "2 days")), "update")
+    got = {r.start: r["count"] for r in jobs.newest(out, ["start"]).collect()}
+    assert got == {r.start: r["count"] for r in days(t.read("events")).collect()} and sum(got.values()) == 720
+    assert out.select("batch").distinct().count() >= 4

@@ -34,9 +34,9 @@ class StreamTables(Tables):
         return k.read_files(self.spark, f"{self.landed}/{name}/*", schema, files_per_batch=max(1, files // self.arrivals))
 
 
-def land(t, name, folder, order=(0, 1, 2, 3), marker_days=0):
-    """The whole table as files that arrive in slices of its time, in the given order; a slice may come
-    twice. ``marker_days`` adds one row that much later, by which a watermark passes all others."""
+def arrivals(t, name, folder, order=(0, 1, 2, 3), marker_days=0):
+    """The whole table as files that arrive in slices of its time, in the given order, one slice a step; a
+    slice may come twice. ``marker_days`` adds one row that much later, by which a watermark passes all others."""
     src, c = t.read(name), ORDER[name]
     at = F.unix_timestamp(F.col(c).cast("timestamp"))
     lo, hi = src.agg(F.min(at), F.max(at)).first()
@@ -45,19 +45,29 @@ def land(t, name, folder, order=(0, 1, 2, 3), marker_days=0):
     part = F.coalesce(F.least(F.floor((at - lo) * 4 / (hi - lo + 1)), F.lit(3)), F.lit(0))
     for i, p in enumerate(order):
         src.where(part == p).write.parquet(f"{folder}/{name}/arrival={i}")
+        yield i
     if marker_days:
         late = src.orderBy(c).limit(1).withColumn(c, (F.timestamp_seconds(F.lit(hi + marker_days * 86400))).cast(src.schema[c].dataType))
         late.write.parquet(f"{folder}/{name}/arrival={len(order)}")
+        yield len(order)
+
+
+def land(t, name, folder, order=(0, 1, 2, 3)):
+    """All arrivals at once, for streams without a watermark."""
+    for _ in arrivals(t, name, folder, order):
+        pass
 
 
 def replay(t, build, mode="append", table="events", marker_days=0):
-    """Run a stream of several micro-batches to its end and return what its sink holds."""
+    """Run a stream to its end after each arrival, from the same checkpoint, and return what its sink holds.
+
+    One arrival is one micro-batch, whatever its number of files, so the watermark never moves on inside a slice."""
     spark = t.spark
     base = f"{ensure_checkpoint_dir(spark)}/streams/{uuid.uuid4().hex}"
-    land(t, table, f"{base}/in", marker_days=marker_days)
-    stream = build(StreamTables(spark, t.dir, f"{base}/in"))
-    with k.state_partitions(spark):
-        k.to_batches(stream, f"{base}/out", f"{base}/state", mode).awaitTermination()
+    for _ in arrivals(t, table, f"{base}/in", marker_days=marker_days):
+        stream = build(StreamTables(spark, t.dir, f"{base}/in", 1))
+        with k.state_partitions(spark):
+            k.to_batches(stream, f"{base}/out", f"{base}/state", mode).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
