@@ -76,6 +76,16 @@ def test_decontamination_against_brute_force(frame):
 # ---- language ---------------------------------------------------------------
 
 
+def test_decontamination_by_items_without_an_id(frame):
+    quote = "one two three four five six seven eight nine ten"
+    items = frame([(None, quote), (7, "alpha beta")], "item_id bigint, text string")
+    docs = frame([(1, f"so {quote} end", "en"), (2, "Alpha beta " + quote, "en"), (3, "clean", "en")], "doc_id bigint, text string, lang string")
+    for limit in (contamination.BATCH_BYTES, 20):
+        got = {r.doc_id: (r.n_hit, r.n_items, r["items"], r.contaminated) for r in contamination.scan(docs, items, batch_bytes=limit).collect()}
+        assert got == {1: (10, 0, [], True), 2: (12, 1, [7], True), 3: (0, 0, [], False)}
+    assert [r.doc_id for r in contamination.clean(docs, items).collect()] == [3]
+
+
 def test_language_profiles(frame):
     en, de = "the cat and the dog are in the house with the bird", "der hund und die katze sind in dem haus mit dem vogel"
     rows = [(i, (en if i % 2 else de) + f" {i}", "en" if i % 2 else "de") for i in range(40)] + [(100, None, "en"), (101, "123 ²½ !", "de"), (102, "the house and the bird", None)]

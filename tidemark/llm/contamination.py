@@ -34,14 +34,14 @@ def windows(text: str | None, width: int = WIDTH) -> list[bytes]:
     return [b" ".join(words[i:i + width]) for i in range(max(1, len(words) - width + 1))]
 
 
-def automaton(items: list[tuple[int, str]], width: int = WIDTH):
+def automaton(items: list[tuple[int | None, str]], width: int = WIDTH):
     """The automaton, whose matches carry the number of a window, and per window its number of words and its items."""
     import ahocorasick
 
     known: dict[bytes, set[int]] = {}
     for item, text in items:
         for w in windows(text, width):
-            known.setdefault(w, set()).add(item)
+            known.setdefault(w, set()).update(() if item is None else (item,))
     auto, info = ahocorasick.Automaton(ahocorasick.STORE_INTS), []
     for w, of in known.items():
         auto.add_word(f" {w.decode('latin-1')} ", len(info))
@@ -64,9 +64,9 @@ def matches(auto, info: list, words: list[bytes]) -> list[tuple[int, int, tuple]
     return [(int(k) + 1 - info[v][0], int(k) + 1, info[v][1]) for k, (_, v) in zip(last, found, strict=True)]
 
 
-def batches_of(items: DataFrame, batch_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def batches_of(items: DataFrame, batch_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """The items in parts of a bounded size, one part at a time on the driver."""
-    rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), text_of().alias("text")).where("item_id is not null").distinct()
+    rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), text_of().alias("text")).distinct()
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = -(-size * 2 // batch_bytes) if size > batch_bytes else 1
     for k in range(parts):
@@ -79,7 +79,7 @@ def scan(docs: DataFrame, items: DataFrame, width: int = WIDTH, batch_bytes: int
 
     One scan of the texts without a shuffle; the items are held in bounded parts, and only when they exceed one part are the texts
     scanned once for each. Other columns pass through; those named like a result are replaced. Null text has no words and no hits, on either side; items
-    without words are never found; repeated rows get the same result; repeated items count once by item_id."""
+    without words are never found; items without an item_id count for hits and contaminated, not in items and n_items; repeated rows get the same result; repeated items count once by item_id."""
     spark: SparkSession = docs.sparkSession
     names = ["n_words", "n_hit", "n_items", "items", "spans", "contaminated", "_hits", "_found"]
     own = [c for c in docs.columns if c.lower() not in names]
