@@ -99,5 +99,43 @@ def numbered_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.withColumn("_seq", F.coalesce("_seq", F.lit(0))).drop("_hash", "_key", "_of")
 
 
+def numbered(df: DataFrame, group: str, order: list[str], cuts: list[Column], name: str) -> DataFrame:
+    """``df``, written to the shared folder, with ``_i``: each row's place from 0 in its group by ``order``, nulls first.
+
+    Rows are sorted in ranges of (group, cuts), so a group of any size is dealt out; ``cuts`` must follow ``order`` and may be
+    shorter (a prefix of a long text). Places are counted in the stream of a range. A group that goes on in the next range gets the
+    rows before it added: one row a range, made known to the driver, says with which group a range begins and ends. Columns ``_part``
+    and ``_i`` of the input are replaced."""
+    spark, free = df.sparkSession, df.drop("_part", "_i")
+    keys = [F.col(c).asc_nulls_first() for c in [group, *order]]
+    dealt = free.repartitionByRange(parallelism(spark), F.col(group).asc_nulls_first(), *[c.asc_nulls_first() for c in cuts])
+    dealt = dealt.sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, at = None, -1
+        for b in in_slices(batches):
+            places = []
+            for g in b.column(group).to_pylist():
+                last, at = g, at + 1 if g == last else 0
+                places.append(at)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(places, pa.int64())], names=[*b.schema.names, "_i"])
+
+    out = stored(dealt.mapInArrow(count, T.StructType([*dealt.schema.fields, T.StructField("_i", T.LongType())])), name)
+    at = F.struct(F.col(group).isNotNull(), F.col(group), "_i")
+    ends = out.groupBy("_part").agg(F.min_by(F.struct(F.col(group).alias("g")), at).alias("head"), F.max_by(F.struct(F.col(group).alias("g"), "_i"), at).alias("tail"))
+    moved, before, held = [], None, 0
+    for r in sorted(ends.collect()):
+        start = held if before is not None and before == (r.head.g,) else 0
+        if start:
+            moved.append((r._part, r.head.g, start))
+        held, before = r.tail._i + 1 + (start if r.head.g == r.tail.g else 0), (r.tail.g,)
+    if not moved:
+        return out.drop("_part")
+    kind = T.StructType([T.StructField("_in_part", T.IntegerType()), T.StructField("_in_group", df.schema[group].dataType), T.StructField("_add", T.LongType())])
+    adds = F.broadcast(spark.createDataFrame(moved, kind))
+    joined = out.join(adds, (F.col("_part") == F.col("_in_part")) & F.col(group).eqNullSafe(F.col("_in_group")), "left")
+    return joined.withColumn("_i", F.col("_i") + F.coalesce("_add", F.lit(0))).drop("_part", "_in_part", "_in_group", "_add")
+
+
 def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, language, neardup, packing, pages, quality, shards, suffixes, urls
+from tidemark.llm import chat, contamination, language, lines, merkle, neardup, packing, pages, quality, repair, shards, suffixes, urls
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,5 +228,127 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op8_temporal_url_filter, op9_jump_shards, op10_page_differencing)}
-ORACLES: dict[str, str] = {"op2_suffix_dedup": OP2_SQL, "op3_minhash_neardup": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_chat_format": OP7_SQL, "op8_temporal_url_filter": OP8_SQL}
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows of conversations damaged by a digest of (conv_id, turn): dropped, emptied, without sentence ends, repeated, or all user."""
+    text_or = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    how = F.crc32(F.concat(text_or("conv_id"), F.lit(":"), text_or("turn")).cast("binary")) % 20
+    text = F.when(how == 1, "").when(how == 2, F.regexp_replace(text_or("text"), "[.!?]", "")).otherwise(text_or("text"))
+    rows = turns.select("conv_id", "turn", F.when(how == 4, "user").otherwise(text_or("role")).alias("role"), text.alias("text"), how.alias("how"))
+    return rows.where("how != 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("how") == 3, 2).otherwise(1)))).drop("how", "copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.repair(damaged(turns), turns)
+
+
+#: CRC-32 of ASCII text: eight shifts a byte, from the reflected polynomial.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda z: CAST(ascii(z) AS BIGINT))),
+  lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP11_SQL = r"""
+WITH RECURSIVE h AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         CRC32 % 20 AS k FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations)),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS c
+  FROM h WHERE k <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS q FROM n),
+g AS (
+  SELECT conv_id, count(*) AS rows_, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+         count(*) FILTER (q IS NOT NULL AND q || r NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+-- least (cost, audit, lines) in each state; FAR for none
+w AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'a': '', 't': ''} AS s0, {'c': CAST(999999999 AS BIGINT), 'a': '', 't': ''} AS s1,
+         {'c': CAST(999999999 AS BIGINT), 'a': '', 't': ''} AS s2, {'c': CAST(999999999 AS BIGINT), 'a': '', 't': ''} AS s3 FROM conversations
+  UNION ALL
+  SELECT conv_id, i,
+         {'c': m0.c + 4, 'a': m0.a || 'D', 't': m0.t},
+         list_sort([{'c': m1.c + 4, 'a': m1.a || 'D', 't': m1.t}, {'c': m0.c + p + CASE WHEN r = 's' THEN 0 ELSE 999999999 END, 'a': m0.a || 'K', 't': m0.t || role || ':' || text || chr(10)}])[1],
+         list_sort([{'c': m2.c + 4, 'a': m2.a || 'D', 't': m2.t},
+           {'c': u.c + p + CASE WHEN r = 'u' THEN 0 ELSE 999999999 END, 'a': u.a || 'K', 't': u.t || role || ':' || text || chr(10)}, {'c': u.c + p + 3, 'a': u.a || 'R', 't': u.t || 'user:' || text || chr(10)}])[1],
+         list_sort([{'c': m3.c + 4, 'a': m3.a || 'D', 't': m3.t},
+           {'c': m2.c + p + CASE WHEN r = 'a' THEN 0 ELSE 999999999 END, 'a': m2.a || 'K', 't': m2.t || role || ':' || text || chr(10)}, {'c': m2.c + p + 3, 'a': m2.a || 'R', 't': m2.t || 'assistant:' || text || chr(10)}])[1]
+  FROM (
+    SELECT *, s0 AS m0, s1 AS m1, list_sort([m0, m1, m3])[1] AS u FROM (
+      SELECT *, list_sort([s3, {'c': m2.c + 3, 'a': m2.a || 'I', 't': m2.t || 'assistant:' || chr(10)}])[1] AS m3 FROM (
+        SELECT *, list_sort([s2, {'c': x.c + 3, 'a': x.a || 'I', 't': x.t || 'user:' || chr(10)}])[1] AS m2 FROM (
+          SELECT w.conv_id, f.i, s0, s1, s2, s3, role, text, r, CASE WHEN cut THEN 3 ELSE 0 END + CASE WHEN blank OR again THEN 999999999 ELSE 0 END AS p, list_sort([s0, s1, s3])[1] AS x
+          FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1))))),
+e AS (
+  SELECT w.conv_id, list_sort([s0, s3, {'c': s2.c + 3, 'a': s2.a || 'I', 't': s2.t || 'assistant:' || chr(10)}, {'c': s1.c + 6, 'a': s1.a || 'II', 't': s1.t || 'user:' || chr(10) || 'assistant:' || chr(10)}])[1] AS b
+  FROM w LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM w.conv_id WHERE w.i = coalesce(rows_, 0))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, b.c AS cost, b.a AS audit, sha256(CASE WHEN b.t = '' THEN '' ELSE left(b.t, length(b.t) - 1) END) AS repaired_sha256
+FROM e LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM e.conv_id
+""".replace("CRC32", CRC32_SQL.format("s"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.drop_shared_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+l AS (SELECT doc_id, r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+s AS (SELECT key, max(doc_id) AS stays FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+g AS (SELECT k.*, stays IS NOT NULL AND stays <> doc_id AS gone FROM k LEFT JOIN s USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM g GROUP BY r
+"""
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    fields_then = [F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars")) if k == 3 else c for k, c in enumerate(fields)]
+    leaves = documents(spark, sf_dir).select("doc_id", "lang", merkle.leaf_digest(*fields).alias("leaf"), merkle.leaf_digest(*fields_then).alias("claimed"))
+    out = merkle.manifest(leaves)
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), merkle.fold(F.col("claimed"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (SELECT *, CRC32 % 7 = 0 AS bad FROM (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents)),
+f AS (
+  SELECT doc_id, lang, coalesce(strlen(s) || ':' || s, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS n,
+         CASE WHEN bad THEN coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR), '-') END AS n1, coalesce(strlen(text) || ':' || text, '-') AS tail FROM d),
+l AS (SELECT doc_id, lang, sha256(head || n || tail) AS leaf, sha256(head || coalesce(n1, n) || tail) AS claimed FROM f),
+p AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n FROM l),
+v AS (
+  SELECT 0 AS level, tree, i, leaf AS h, n FROM p
+  UNION ALL
+  SELECT any_value(level) + 1, tree, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM v WHERE n > 1 GROUP BY tree, i // 2),
+r AS (SELECT tree, h AS subroot FROM v WHERE n = 1),
+t AS (
+  SELECT 0 AS level, tree AS i, subroot AS h, count(*) OVER () AS n FROM r
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM t WHERE n > 1 GROUP BY i // 2),
+nodes AS (SELECT level, tree, i, h, n FROM v UNION ALL SELECT 1000 + level, -1, i, h, n FROM t),
+c AS (
+  SELECT p.doc_id, p.tree, p.i, leaf, claimed AS folded, subroot, '' AS proof, 0 AS level, p.tree AS part, p.i AS at FROM p JOIN r USING (tree)
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.i, leaf,
+         CASE WHEN x.n = 1 THEN folded WHEN c.at % 2 = 1 THEN sha256(y.h || folded) ELSE sha256(folded || coalesce(y.h, '')) END, subroot, proof || coalesce(y.h, ''),
+         CASE WHEN x.n = 1 THEN 1000 ELSE c.level + 1 END, CASE WHEN x.n = 1 THEN -1 ELSE part END, CASE WHEN x.n = 1 THEN c.tree ELSE c.at // 2 END
+  FROM c JOIN nodes x ON x.level = c.level AND x.tree = c.part AND x.i = c.at
+  LEFT JOIN nodes y ON y.level = c.level AND y.tree = c.part AND y.i = xor(c.at, 1) WHERE NOT (c.level >= 1000 AND x.n = 1)),
+e AS (SELECT *, row_number() OVER (PARTITION BY tree, i ORDER BY level DESC) AS k FROM c)
+SELECT doc_id, leaf, subroot, (SELECT h FROM t WHERE n = 1) AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = (SELECT h FROM t WHERE n = 1) AS verified FROM e WHERE k = 1
+""".replace("CRC32", CRC32_SQL.format("coalesce(s, '')"))
+
+
+QUERIES = {f.__name__: f for f in (op1_concat_packing, op2_suffix_dedup, op3_minhash_neardup, op4_decontamination, op5_quality_rules, op6_rank_order_language, op7_chat_format, op8_temporal_url_filter, op9_jump_shards, op10_page_differencing,
+    op11_conversation_repair, op12_line_dedup, op13_merkle_manifest)}
+ORACLES: dict[str, str] = {"op2_suffix_dedup": OP2_SQL, "op3_minhash_neardup": OP3_SQL, "op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op7_chat_format": OP7_SQL, "op8_temporal_url_filter": OP8_SQL,
+    "op11_conversation_repair": OP11_SQL, "op12_line_dedup": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
