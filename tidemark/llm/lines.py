@@ -10,7 +10,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import numbered_repeats, text_of
+from tidemark.llm.common import numbered_repeats, stored, text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -32,7 +32,9 @@ def drop_shared_lines(docs: DataFrame, least_chars: int = 20, least_docs: int =
     repeated. Other columns pass through; one that bears the name of a new column, or starts with ``_line``, is replaced.
 
     Each (key, document) is one row before keys are counted, so a line in a third of all documents is dealt out by document first and
-    arrives at its count as partial sums. Only places of dropped lines go back to their documents; the text moves once."""
+    arrives at its count as partial sums. Both tables are written, so texts are split once and the join of a common line with its
+    documents lies between plain exchanges, which adaptive execution splits. Only places of dropped lines go back to their documents;
+    the text moves once."""
     new = ("n_lines", "n_dropped", "kept", "_seq")
     rows = docs.select(*[c for c in docs.columns if c.lower() not in new and not c.startswith("_line")])
     rows = numbered_repeats(rows, key, text)
@@ -40,8 +42,8 @@ def drop_shared_lines(docs: DataFrame, least_chars: int = 20, least_docs: int =
     long = F.transform(F.filter(lines, lambda x: F.char_length(x["key"]) >= least_chars), lambda x: F.struct(
         x["at"].alias("at"), F.substring(F.unhex(F.sha2(x["key"], 256)), 1, 16).alias("hash")))
     each = rows.select(F.col(key).alias("_line_doc"), F.col("_seq").alias("_line_seq"), F.explode(long).alias("x")).select("_line_doc", "_line_seq", "x.*")
-    held = each.groupBy("hash", "_line_doc").agg(F.collect_set(F.struct("_line_seq", "at")).alias("places"))
-    shared = held.groupBy("hash").agg(F.count("*").alias("n"), F.max("_line_doc").alias("stays")).where(F.col("n") >= least_docs).drop("n")
+    held = stored(each.groupBy("hash", "_line_doc").agg(F.collect_set(F.struct("_line_seq", "at")).alias("places")), "held")
+    shared = stored(held.groupBy("hash").agg(F.count("*").alias("n"), F.max("_line_doc").alias("stays")).where(F.col("n") >= least_docs).drop("n"), "shared")
     gone = held.join(shared, "hash").where(~F.col("_line_doc").eqNullSafe(F.col("stays"))).select("_line_doc", F.explode("places").alias("p"))
     gone = gone.groupBy("_line_doc", F.col("p._line_seq").alias("_line_seq")).agg(F.collect_list("p.at").alias("_line_gone"))
     out = rows.join(gone, F.col(key).eqNullSafe(F.col("_line_doc")) & (F.col("_seq") == F.col("_line_seq")), "left")
