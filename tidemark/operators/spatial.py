@@ -101,26 +101,90 @@ def segment_distance(px: Column, py: Column) -> Column:
     return F.sqrt(ex * ex + ey * ey)
 
 
-def near_lines(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
-    """Smallest distance from each point to each line within ``radius``, in the coordinates' units.
+def filed(segments: DataFrame, cell: float, margin: float) -> DataFrame:
+    """Segments under the square buckets (_bx, _by) that anything within ``margin`` of them may lie in.
 
-    A segment is filed, column by column of buckets, under those its part there comes within the radius
-    of, so a long one costs as many rows as it crosses buckets; a point looks in one bucket only, so no
-    pair is missed and none is met twice from different buckets."""
-    grown = radius * (1 + 1e-6)
-    seg = lines.withColumn("_bx", F.explode(F.sequence(F.floor((F.least("x0", "x1") - grown) / radius), F.floor((F.greatest("x0", "x1") + grown) / radius))))
-    left = F.greatest(F.least("x0", "x1"), F.col("_bx") * radius - grown)
-    right = F.least(F.greatest("x0", "x1"), (F.col("_bx") + 1) * radius + grown)
+    Column by column of buckets only the segment's part there counts, so a long one costs as many rows as it crosses buckets."""
+    seg = segments.withColumn("_bx", F.explode(F.sequence(F.floor((F.least("x0", "x1") - margin) / cell), F.floor((F.greatest("x0", "x1") + margin) / cell))))
+    left = F.greatest(F.least("x0", "x1"), F.col("_bx") * cell - margin)
+    right = F.least(F.greatest("x0", "x1"), (F.col("_bx") + 1) * cell + margin)
     rise = (F.col("y1") - F.col("y0")) / F.nullif(F.col("x1") - F.col("x0"), F.lit(0.0))
     ya = F.coalesce(F.col("y0") + (left - F.col("x0")) * rise, "y0")
     yb = F.coalesce(F.col("y0") + (right - F.col("x0")) * rise, "y1")
-    seg = (seg.withColumn("_by", F.explode(F.sequence(F.floor((F.least(ya, yb) - grown) / radius), F.floor((F.greatest(ya, yb) + grown) / radius))))
-           .select(line, "x0", "y0", "x1", "y1", "_bx", "_by"))
+    return seg.withColumn("_by", F.explode(F.sequence(F.floor((F.least(ya, yb) - margin) / cell), F.floor((F.greatest(ya, yb) + margin) / cell))))
+
+
+def near_lines(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
+    """Smallest distance from each point to each line within ``radius``, in the coordinates' units.
+
+    A point looks in one bucket only, so no pair is missed and none is met twice from different buckets."""
+    seg = filed(lines, radius, radius * (1 + 1e-6)).select(line, "x0", "y0", "x1", "y1", "_bx", "_by")
     p = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("_bx", F.floor(F.col("_px") / radius)).withColumn("_by", F.floor(F.col("_py") / radius))
     d = p.join(seg, ["_bx", "_by"]).withColumn("_d", segment_distance(F.col("_px"), F.col("_py"))).where(F.col("_d") <= radius)
     return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m"))
 
 
+def segments_apart() -> Column:
+    """Distance between the segments (x0, y0)-(x1, y1) and (_x0, _y0)-(_x1, _y1): zero where they cross."""
+    c = F.col
+
+    def side(px, py, x0, y0, x1, y1):
+        return F.signum((c(x1) - c(x0)) * (c(py) - c(y0)) - (c(y1) - c(y0)) * (c(px) - c(x0)))
+
+    def to_other(px, py):
+        dx, dy = c("_x1") - c("_x0"), c("_y1") - c("_y0")
+        length = dx * dx + dy * dy
+        t = F.when(length > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((px - c("_x0")) * dx + (py - c("_y0")) * dy) / length))).otherwise(0.0)
+        ex, ey = px - (c("_x0") + t * dx), py - (c("_y0") + t * dy)
+        return F.sqrt(ex * ex + ey * ey)
+
+    own, other = ("x0", "y0", "x1", "y1"), ("_x0", "_y0", "_x1", "_y1")
+    apart = (side("_x0", "_y0", *own) * side("_x1", "_y1", *own) < 0) & (side("x0", "y0", *other) * side("x1", "y1", *other) < 0)
+    ends = F.least(segment_distance(c("_x0"), c("_y0")), segment_distance(c("_x1"), c("_y1")), to_other(c("x0"), c("y0")), to_other(c("x1"), c("y1")))
+    return F.when(apart, 0.0).otherwise(ends)
+
+
+def near_segments(features: DataFrame, lines: DataFrame, ids: Sequence[str], radius: float, line: str = "line_id", cell: float | None = None) -> DataFrame:
+    """Smallest distance from each feature (edge rows: ids, x0, y0, x1, y1) to each line within ``radius``.
+
+    Lines are filed with the radius around them, features without: the bucket that holds a feature's nearest point holds the line
+    too. A pair may meet in several buckets; the least distance is a combinable aggregate. ``cell`` is the side of a bucket, the
+    radius unless given; with radius zero only what touches or crosses is found."""
+    cell = cell or radius
+    own = filed(features.select(*ids, "x0", "y0", "x1", "y1"), cell, cell * 1e-6)
+    other = filed(lines.select(line, "x0", "y0", "x1", "y1"), cell, radius * (1 + 1e-6) + cell * 1e-6)
+    other = other.select(line, "_bx", "_by", *[F.col(k).alias(f"_{k}") for k in ("x0", "y0", "x1", "y1")])
+    d = own.join(other, ["_bx", "_by"]).withColumn("_d", segments_apart()).where(F.col("_d") <= radius)
+    return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m"))
+
+
+def vertices(edges: DataFrame, *ids: str) -> DataFrame:
+    """The distinct ends (ids, vx, vy) of edge or segment rows."""
+    ends = F.array(F.struct(F.col("x0").alias("vx"), F.col("y0").alias("vy")), F.struct(F.col("x1").alias("vx"), F.col("y1").alias("vy")))
+    return edges.select(*ids, F.explode(ends).alias("v")).select(*ids, "v.*").distinct()
+
+
+def near_features(features: DataFrame, lines: DataFrame, radius: float, cell: float | None = None, line: str = "line_id") -> DataFrame:
+    """(feature_id, line, distance_m) of lines and areas within ``radius`` of a line.
+
+    ``features``: edge rows feature_id, area (whether the edges close an area), x0, y0, x1, y1. An area that holds a vertex of the
+    line is at distance zero, however far its outline is."""
+    cell = cell or radius
+    outline = near_segments(features, lines, ["feature_id"], radius, line, cell)
+    areas = features.where("area").select(F.col("feature_id").alias("poly_id"), "x0", "y0", "x1", "y1")
+    held = points_in_polygons(vertices(lines.withColumnRenamed(line, "_line"), "_line"), areas, "vx", "vy", ["_line", "vx", "vy"], cell * 16)
+    held = held.select(F.col("poly_id").alias("feature_id"), F.col("_line").alias(line), F.lit(0.0).alias("distance_m")).distinct()
+    return outline.unionByName(held).groupBy("feature_id", line).agg(F.min("distance_m").alias("distance_m"))
+
+
+def meets_polygons(features: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
+    """(feature_id, poly_id) of features that share a point with a polygon: an edge of one meets one of the other, or one holds a
+    vertex of the other."""
+    touch = near_features(features, polygons, 0.0, cell, "poly_id").select("feature_id", "poly_id")
+    inside = points_in_polygons(vertices(features, "feature_id"), polygons, "vx", "vy", ["feature_id", "vx", "vy"], cell * 16).select("feature_id", "poly_id")
+    return touch.unionByName(inside).distinct()
+
+
 def nearest_line(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
     """The one nearest line of each point within the radius, the smaller id on ties."""
     n = near_lines(points, lines, x, y, ids, radius, line)
@@ -151,12 +215,17 @@ def match_dams(dams: DataFrame, water_edges: DataFrame, max_m: float = 3000.0) -
     return within_or_nearest(dams.withColumn("px", px).withColumn("py", py), water_edges, "px", "py", ["nid_id"], max_m, max_m)
 
 
-def features_near_river(features: DataFrame, river_lines: DataFrame, radius: float, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """Features (vertex rows: feature_id, name, px, py and keys) within the radius of a river: count and names per key."""
-    n = near_lines(features, river_lines, "px", "py", ["feature_id", "name", *keys], radius)
-    names = F.sort_array(F.collect_set(F.when(F.upper(F.trim("name")) != "UNKNOWN", F.initcap(F.trim("name")))))
-    d = n.select("line_id", *keys, "feature_id", "name").distinct()
-    g = d.groupBy("line_id", *keys).agg(F.countDistinct("feature_id").alias("features"), names.alias("names"))
+def features_near_river(features: DataFrame, river_lines: DataFrame, segments: DataFrame, radius: float, cell: float | None = None) -> DataFrame:
+    """Features within the radius of a river that meet a segment of its watershed: their number and names per (line_id, segment).
+
+    ``features``: edge rows feature_id, name, area, x0, y0, x1, y1; ``segments``: edge rows segment, x0, y0, x1, y1. Only features
+    near some river are held against the segments. Where no feature has a name the number of features counts."""
+    near = near_features(features, river_lines, radius, cell).select("feature_id", "line_id")
+    some = features.join(near.select("feature_id").distinct(), "feature_id", "left_semi")
+    meets = meets_polygons(some, segments.withColumnRenamed("segment", "poly_id"), cell or radius).withColumnRenamed("poly_id", "segment")
+    named = F.when(F.upper(F.trim("name")) != "UNKNOWN", F.nullif(F.initcap(F.trim("name")), F.lit("")))
+    d = near.join(meets, "feature_id").join(features.select("feature_id", "name").distinct(), "feature_id")
+    g = d.groupBy("line_id", "segment").agg(F.countDistinct("feature_id").alias("features"), F.sort_array(F.collect_set(named)).alias("names"))
     return g.withColumn("count", F.when(F.size("names") > 0, F.size("names")).otherwise(F.col("features")))
 
 
@@ -230,3 +299,27 @@ def river_facts(flowlines: DataFrame, towns: DataFrame, top: int = 8, top_towns:
     tw = Window.partitionBy("gnis_id").orderBy(F.desc("area"), "town")
     tn = seg.withColumn("k", F.row_number().over(tw)).where(F.col("k") <= top_towns).groupBy("gnis_id").agg(F.array_sort(F.collect_list(F.struct("k", "town"))).alias("x")).select("gnis_id", F.transform("x", lambda v: v["town"]).alias("towns"))
     return base.drop("top_order").join(trib, "gnis_id", "left").join(tn, "gnis_id", "left")
+
+
+def segment_facts(river_lines: DataFrame, segments: DataFrame, towns: DataFrame, waterbodies: DataFrame, town_reach: float = 0.06, touch: float = 0.01,
+                  least_area: float = 0.5, cell: float = 0.05) -> DataFrame:
+    """Per (line_id, segment): towns beside the river in the segment and reservoirs that touch it there, largest first.
+
+    ``river_lines``: segment rows with line_id; ``segments``: edge rows with segment. ``towns``: town, area, lon, lat, taken if within
+    ``town_reach`` of the river and inside the segment. ``waterbodies``: edge rows feature_id, name, ftype, area_km2; reservoirs and
+    lakes above ``least_area`` within ``touch`` of the river that share a point with the segment. A segment with neither is left out."""
+    near = near_lines(towns, river_lines, "lon", "lat", ["town", "area", "lon", "lat"], town_reach).where(F.col("distance_m") < town_reach)
+    polygons = segments.withColumnRenamed("segment", "poly_id")
+    places = towns.join(near.select("town", "lon", "lat").distinct(), ["town", "lon", "lat"], "left_semi")
+    inside = points_in_polygons(places, polygons, "lon", "lat", ["town", "lon", "lat"], cell * 16)
+    beside = near.join(inside, ["town", "lon", "lat"]).groupBy("line_id", F.col("poly_id").alias("segment")).agg(
+        F.array_sort(F.collect_set(F.struct((-F.col("area")).alias("k"), F.col("town").alias("name")))).alias("t"))
+    big = waterbodies.where(F.col("ftype").isin("Reservoir", "LakePond") & (F.col("area_km2") > least_area)).withColumn("area", F.lit(True))
+    close = near_features(big, river_lines, touch, cell).select("feature_id", "line_id")
+    held = meets_polygons(big.join(close.select("feature_id").distinct(), "feature_id", "left_semi"), polygons, cell)
+    names = big.where(F.trim("name") != "").select("feature_id", F.trim("name").alias("name"), "area_km2").distinct()
+    # a name that several bodies bear counts once, at its largest
+    lakes = close.join(held, "feature_id").join(names, "feature_id").groupBy("line_id", F.col("poly_id").alias("segment"), "name").agg(F.max("area_km2").alias("a"))
+    lakes = lakes.groupBy("line_id", "segment").agg(F.array_sort(F.collect_list(F.struct((-F.col("a")).alias("k"), "name"))).alias("r"))
+    plain = lambda c: F.transform(F.coalesce(c, F.array().cast("array<struct<k:double,name:string>>")), lambda v: v["name"])
+    return beside.join(lakes, ["line_id", "segment"], "full_outer").select("line_id", "segment", plain("t").alias("towns"), plain("r").alias("reservoirs"))

@@ -97,13 +97,76 @@ def e5(t):
     return s.match_dams(dams, s.box_edges(b)).withColumn("distance_m", F.round("distance_m", 3))
 
 
-@query("E6_features_near_river", f"""WITH {PTS}, l0 AS (SELECT * FROM ({LNS[8:-1]})), lns AS (SELECT 'r' || (line_id % 5) AS river, * FROM l0), {DIST}, nn AS (SELECT DISTINCT river, 'seg' || (c_nationkey % 4) AS segment, id // 2 AS f, CASE WHEN id // 2 % 6 = 0 THEN 'UNKNOWN' ELSE 'ditch ' || (id // 2 % 40) END AS name FROM ds WHERE dist <= 1500),
- g AS (SELECT river, segment, count(DISTINCT f) AS features, count(DISTINCT name) FILTER (WHERE name <> 'UNKNOWN') AS named FROM nn GROUP BY 1, 2) SELECT river AS line_id, segment, features, CASE WHEN named > 0 THEN named ELSE features END AS "count" FROM g""")
+# rivers, ditches and districts with edges far longer than the radii, so that vertices alone do not show what is near
+RIVERS = """rv AS (SELECT 'r' || (p_partkey % 5) AS river, x0, y0, x0 + p_size * 200 + 3 AS x1, y0 + (p_partkey % 50 - 25) * 150 + 7 AS y1 FROM (
+  SELECT p_partkey, p_size, ((p_partkey * 3571) % 100000 + 0.37)::DOUBLE AS x0, ((p_partkey * 7177) % 100000 + 0.61)::DOUBLE AS y0 FROM part WHERE p_size % 4 = 0))"""
+DITCHES = """fs AS (SELECT c_custkey // 2 AS f, CASE WHEN c_custkey // 2 % 6 = 0 THEN ' Unknown' ELSE 'ditch ' || (c_custkey // 2 % 40) END AS name, px AS u0, py AS v0, px + (c_custkey % 40) * 500 + 3 AS u1,
+  py + (c_custkey * 7 % 40 - 20) * 500 + 7 AS v1 FROM (SELECT c_custkey, ((c_custkey * 7919) % 100000)::DOUBLE AS px, ((c_custkey * 104729) % 100000)::DOUBLE AS py FROM customer))"""
+BASINS = "sg AS (SELECT 'seg' || r_regionkey AS segment, r_regionkey * 17000 + 0.5 AS bx0, r_regionkey * 17000 + 30000.5 AS bx1, r_regionkey * 11000 + 0.5 AS by0, r_regionkey * 11000 + 50000.5 AS by1 FROM region)"
+DISTRICTS = """db AS (SELECT s_suppkey AS k, 'District ' || (s_suppkey % 23) AS name, abs(s_acctbal) AS acres, cx AS bx0, cx + 4000 + s_suppkey % 7 * 6000 AS bx1, cy AS by0, cy + 3000 + s_suppkey % 5 * 8000 AS by1
+  FROM (SELECT *, ((s_suppkey * 6007) % 90000 + 0.19)::DOUBLE AS cx, ((s_suppkey * 9173) % 90000 + 0.23)::DOUBLE AS cy FROM supplier))"""
+
+
+def apart_sql(a: tuple, b: tuple) -> str:
+    """Distance between two segments as SQL text."""
+    side = lambda p, s: f"sign(({s[2]} - {s[0]}) * ({p[1]} - {s[1]}) - ({s[3]} - {s[1]}) * ({p[0]} - {s[0]}))"
+    along = lambda p, s: f"least(1.0, greatest(0.0, (({p[0]} - {s[0]}) * ({s[2]} - {s[0]}) + ({p[1]} - {s[1]}) * ({s[3]} - {s[1]})) / (pow({s[2]} - {s[0]}, 2) + pow({s[3]} - {s[1]}, 2))))"
+    to = lambda p, s: f"sqrt(pow({p[0]} - ({s[0]} + {along(p, s)} * ({s[2]} - {s[0]})), 2) + pow({p[1]} - ({s[1]} + {along(p, s)} * ({s[3]} - {s[1]})), 2))"
+    cross = f"{side(a[:2], b)} * {side(a[2:], b)} < 0 AND {side(b[:2], a)} * {side(b[2:], a)} < 0"
+    return f"CASE WHEN {cross} THEN 0.0 ELSE least({to(a[:2], b)}, {to(a[2:], b)}, {to(b[:2], a)}, {to(b[2:], a)}) END"
+
+
+def in_box_sql(x0: str, y0: str, x1: str, y1: str) -> str:
+    """Whether a segment shares a point with the box bx0..by1, by clipping; no segment here is upright or level."""
+    t = lambda b, p, q: f"(({b}) - {p}) / ({q} - {p})"
+    xs, ys = [t(b, x0, x1) for b in ("bx0", "bx1")], [t(b, y0, y1) for b in ("by0", "by1")]
+    return f"greatest(0.0, least({xs[0]}, {xs[1]}), least({ys[0]}, {ys[1]})) <= least(1.0, greatest({xs[0]}, {xs[1]}), greatest({ys[0]}, {ys[1]}))"
+
+
+ON_RIVER = ("x0", "y0", "x1", "y1")
+IN_CORRIDOR = "cr AS (SELECT DISTINCT k, name, acres, river FROM db, rv WHERE " + in_box_sql(*ON_RIVER) + " OR least(" + ", ".join(
+    apart_sql(ON_RIVER, e) for e in (("bx0", "by0", "bx1", "by0"), ("bx1", "by0", "bx1", "by1"), ("bx1", "by1", "bx0", "by1"), ("bx0", "by1", "bx0", "by0"))) + ") <= 900)"
+
+
+def rivers(t):
+    k, z = F.col("p_partkey"), F.col("p_size")
+    r = t.read("part").where(z % 4 == 0).select(F.concat(F.lit("r"), k % 5).alias("line_id"), ((k * 3571) % 100000 + 0.37).alias("x0"), ((k * 7177) % 100000 + 0.61).alias("y0"), z.alias("z"), k.alias("k"))
+    return r.select("line_id", "x0", "y0", (F.col("x0") + F.col("z") * 200 + 3).alias("x1"), (F.col("y0") + (F.col("k") % 50 - 25) * 150 + 7).alias("y1"))
+
+
+def basins(t):
+    k = F.col("r_regionkey")
+    b = t.read("region").select(F.concat(F.lit("seg"), k).alias("unit"), (k * 17000 + 0.5).alias("x0"), (k * 17000 + 30000.5).alias("x1"), (k * 11000 + 0.5).alias("y0"), (k * 11000 + 50000.5).alias("y1"))
+    return s.box_edges(b).withColumnRenamed("poly_id", "segment")
+
+
+def corridor(t):
+    """Districts (k, name, acres) within 900 m of a river, as areas."""
+    k = F.col("s_suppkey")
+    d = t.read("supplier").select(k.alias("unit"), F.concat(F.lit("District "), k % 23).alias("name"), F.abs("s_acctbal").alias("acres"), ((k * 6007) % 90000 + 0.19).alias("x0"), ((k * 9173) % 90000 + 0.23).alias("y0"))
+    d = d.withColumn("x1", F.col("x0") + 4000 + F.col("unit") % 7 * 6000).withColumn("y1", F.col("y0") + 3000 + F.col("unit") % 5 * 8000)
+    edges = s.box_edges(d).withColumnRenamed("poly_id", "feature_id").withColumn("area", F.lit(True))
+    near = s.near_features(edges, rivers(t), 900.0, 2000.0)
+    return near.join(d.select(F.col("unit").alias("feature_id"), "name", "acres"), "feature_id")
+
+
+@query("E6_features_near_river", f"""WITH {RIVERS}, {DITCHES}, {BASINS}, nn AS (SELECT DISTINCT f, river FROM fs, rv WHERE {apart_sql(('u0', 'v0', 'u1', 'v1'), ON_RIVER)} <= 1500), mm AS (SELECT DISTINCT f, segment FROM fs, sg WHERE {in_box_sql('u0', 'v0', 'u1', 'v1')}),
+ g AS (SELECT river, segment, count(DISTINCT f) AS features, count(DISTINCT name) FILTER (WHERE name <> ' Unknown') AS named FROM nn JOIN mm USING (f) JOIN (SELECT DISTINCT f, name FROM fs) USING (f) GROUP BY 1, 2) SELECT river AS line_id, segment, features, CASE WHEN named > 0 THEN named ELSE features END AS "count" FROM g""")
 def e6(t):
-    f = F.floor(F.col("id") / 2)
-    feats = points(t).select(f.alias("feature_id"), F.when(f % 6 == 0, "UNKNOWN").otherwise(F.concat(F.lit("ditch "), f % 40)).alias("name"), "px", "py", F.concat(F.lit("seg"), F.col("c_nationkey") % 4).alias("segment"))
-    rl = lines(t).withColumn("line_id", F.concat(F.lit("r"), F.col("line_id") % 5))
-    return s.features_near_river(feats, rl, 1500.0).select("line_id", "segment", "features", F.col("count").cast("bigint").alias("count"))
+    k, c = F.floor(F.col("id") / 2), F.col("id")
+    ditches = points(t).select(k.alias("feature_id"), F.when(k % 6 == 0, " Unknown").otherwise(F.concat(F.lit("ditch "), k % 40)).alias("name"), F.lit(False).alias("area"), F.col("px").alias("x0"), F.col("py").alias("y0"),
+                               (F.col("px") + c % 40 * 500 + 3).alias("x1"), (F.col("py") + (c * 7 % 40 - 20) * 500 + 7).alias("y1"))
+    return s.features_near_river(ditches, rivers(t), basins(t), 1500.0).select("line_id", "segment", "features", F.col("count").cast("bigint").alias("count"))
+
+
+@query("E6_districts_near_river", f"WITH {RIVERS}, {DISTRICTS}, {IN_CORRIDOR} SELECT river AS line_id, name, round(sum(acres), 2) AS acres FROM cr GROUP BY 1, 2")
+def e6c(t):
+    return s.district_acres(corridor(t)).withColumn("acres", F.round("acres", 2))
+
+
+@query("E6_systems_near_river", f"WITH {RIVERS}, {DISTRICTS}, {IN_CORRIDOR} SELECT * FROM (SELECT river AS line_id, name || '/' || k AS name, acres AS area, row_number() OVER (PARTITION BY river ORDER BY acres DESC, name || '/' || k) AS place FROM cr) WHERE place <= 8")
+def e6s(t):
+    return s.top_by_area(corridor(t).select("line_id", F.concat_ws("/", "name", "feature_id").alias("name"), F.col("acres").alias("area")))
 
 
 @query("E6_district_acres", "SELECT 'r' || (o_custkey % 7) AS line_id, o_orderpriority AS name, round(sum(o_totalprice), 2) AS acres FROM orders GROUP BY 1, 2")
@@ -168,3 +231,23 @@ def e10(t):
     towns = t.read("customer").select(F.concat(F.lit("H"), F.col("c_custkey") % 25).alias("huc8"), F.col("c_name").alias("town"), F.col("c_acctbal").alias("area"))
     d = s.river_facts(f, towns)
     return d.select("gnis_id", F.round("length_km", 4).alias("length_km"), "drainage_km2", F.array_join("tributaries", "; ").alias("tributaries"), F.array_join("towns", "; ").alias("towns"))
+
+
+@query("E10_segment_facts", f"""WITH rv0 AS (SELECT 'r' || (p_partkey % 5) AS river, x0, y0, x0 + p_size * 200 + 3 AS x1, y0 + (p_partkey % 50 - 25) * 150 + 7 AS y1 FROM (
+  SELECT p_partkey, p_size, ((p_partkey * 3571) % 100000 + 0.37)::DOUBLE AS x0, ((p_partkey * 7177) % 100000 + 0.61)::DOUBLE AS y0 FROM part WHERE p_size % 4 = 0)), {PTS}, {DISTRICTS}, {BASINS}, lns AS (SELECT * FROM rv0), {DIST},
+ tw AS (SELECT river, segment, string_agg(town, '; ' ORDER BY area DESC, town) AS towns FROM (SELECT DISTINCT river, segment, 'Town ' || (c_custkey // 3) AS town, abs(c_acctbal) AS area
+   FROM (SELECT DISTINCT river, id FROM ds WHERE dist < 600) n JOIN customer ON c_custkey = id JOIN pts USING (id) JOIN sg ON px > bx0 AND px < bx1 AND py > by0 AND py < by1) GROUP BY 1, 2),
+ rv AS (SELECT * FROM rv0), big AS (SELECT * FROM db WHERE k % 3 <> 0 AND (bx1 - bx0) * (by1 - by0) / 1e6 > 40), cr AS (SELECT DISTINCT k, name, river FROM (SELECT * FROM big), rv WHERE {in_box_sql(*ON_RIVER)} OR least({", ".join(
+    apart_sql(ON_RIVER, e) for e in (("bx0", "by0", "bx1", "by0"), ("bx1", "by0", "bx1", "by1"), ("bx1", "by1", "bx0", "by1"), ("bx0", "by1", "bx0", "by0")))}) <= 250),
+ rs AS (SELECT river, segment, string_agg(name, '; ' ORDER BY a DESC, name) AS reservoirs FROM (SELECT river, segment, big.name, max((big.bx1 - big.bx0) * (big.by1 - big.by0) / 1e6) AS a FROM cr JOIN big USING (k) JOIN sg ON big.bx0 <= sg.bx1 AND big.bx1 >= sg.bx0 AND big.by0 <= sg.by1 AND big.by1 >= sg.by0 GROUP BY 1, 2, 3) GROUP BY 1, 2)
+SELECT coalesce(tw.river, rs.river) AS line_id, coalesce(tw.segment, rs.segment) AS segment, coalesce(towns, '') AS towns, coalesce(reservoirs, '') AS reservoirs FROM tw FULL JOIN rs ON tw.river = rs.river AND tw.segment = rs.segment""")
+def e10s(t):
+    k = F.col("s_suppkey")
+    d = t.read("supplier").select(k.alias("unit"), F.concat(F.lit("District "), k % 23).alias("name"), F.when(k % 3 == 0, "Swamp").when(k % 3 == 1, "Reservoir").otherwise("LakePond").alias("ftype"), ((k * 6007) % 90000 + 0.19).alias("x0"), ((k * 9173) % 90000 + 0.23).alias("y0"))
+    d = d.withColumn("x1", F.col("x0") + 4000 + F.col("unit") % 7 * 6000).withColumn("y1", F.col("y0") + 3000 + F.col("unit") % 5 * 8000)
+    about = d.select(F.col("unit").alias("feature_id"), "name", "ftype", ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / 1e6).alias("area_km2"))
+    bodies = s.box_edges(d).withColumnRenamed("poly_id", "feature_id").join(about, "feature_id")
+    c = F.col("c_custkey")
+    towns = points(t).join(t.read("customer").select(c.alias("id"), F.abs("c_acctbal").alias("area")), "id").select(F.concat(F.lit("Town "), F.floor(F.col("id") / 3)).alias("town"), "area", F.col("px").alias("lon"), F.col("py").alias("lat"))
+    out = s.segment_facts(rivers(t), basins(t), towns, bodies, 600.0, 250.0, 40.0, 2000.0)
+    return out.select("line_id", "segment", F.array_join("towns", "; ").alias("towns"), F.array_join("reservoirs", "; ").alias("reservoirs"))
