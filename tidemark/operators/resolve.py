@@ -28,15 +28,36 @@ def _links(df: DataFrame) -> DataFrame:
     return df.select(*LINK)
 
 
+def metadata_values(sites: DataFrame, key_holds: str) -> DataFrame:
+    """(site_uid, value): the texts and whole numbers in ``raw_metadata`` whose nearest key holds ``key_holds``, at any depth.
+
+    The metadata are parsed once into variants and opened level by level: members of an object bring their own key, members of a list
+    keep that of the list. Each level is checkpointed with what is still nested only, so a level costs what lies below it; levels end
+    when nothing is nested any more. Metadata that are no JSON give nothing; a key inside a text is part of the text."""
+    ensure_checkpoint_dir(sites.sparkSession)
+    spark = sites.sparkSession
+    level = sites.where(F.contains(F.lower("raw_metadata"), F.lit(key_holds))).select(
+        "site_uid", F.lit("").alias("key"), F.try_parse_json("raw_metadata").alias("node")).where("node IS NOT NULL")
+    found = None
+    while True:
+        inner = spark.tvf.variant_explode(F.col("node").outer()).select(F.col("key").alias("own"), F.col("value").alias("inner"))
+        opened = level.lateralJoin(inner).select("site_uid", F.coalesce("own", "key").alias("key"), F.col("inner").alias("node"), F.schema_of_variant("inner").alias("kind"))
+        opened = opened.checkpoint()
+        plain = opened.where(F.col("kind").isin("STRING", "BIGINT") & F.contains(F.lower("key"), F.lit(key_holds)))
+        plain = plain.select("site_uid", F.try_variant_get("node", "$", "string").alias("value"))
+        found = plain if found is None else found.unionAll(plain)
+        level = opened.where(F.startswith("kind", F.lit("OBJECT")) | F.startswith("kind", F.lit("ARRAY"))).select("site_uid", "key", "node")
+        if level.isEmpty():
+            return found
+
+
 def metadata_links(sites: DataFrame) -> DataFrame:
-    """Exact links by a USGS number found under any metadata key that mentions USGS, at any depth."""
-    found = F.regexp_extract_all("raw_metadata", F.lit(r'(?i)"[^"]*usgs[^"]*"\s*:\s*(\[[^\]\[{}]*\]|"[^"]*"|\d+)'), F.lit(1))
-    parts = F.flatten(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda v: F.split(F.regexp_replace(v, r'[\[\]"\s]', ""), ",")))
-    own = F.when(F.col("source").isin(*NATIVE_IS_USGS), F.array("native_id")).otherwise(F.array().cast("array<string>"))
-    ids = F.filter(F.transform(F.concat(parts, own), lambda v: F.regexp_extract(v, USGS_ID, 1)), lambda v: v != "")
-    d = sites.where(F.col("source") != "usgs").select("site_uid", "source", F.explode(F.array_distinct(ids)).alias("n"))
+    """Exact links by a USGS number found under any metadata key that mentions USGS, at any depth, or in the native id of some feeds."""
+    own = sites.where(F.col("source").isin(*NATIVE_IS_USGS)).select("site_uid", F.col("native_id").alias("value"))
+    values = metadata_values(sites.where(F.col("source") != "usgs"), "usgs").unionByName(own)
+    ids = values.select("site_uid", F.regexp_extract(F.trim("value"), USGS_ID, 1).alias("n")).where("n != ''").distinct()
     known = sites.where(F.col("source") == "usgs").select(F.col("native_id").alias("n"))
-    j = d.join(known, "n", "left_semi")
+    j = sites.where(F.col("source") != "usgs").select("site_uid", "source").join(ids, "site_uid").join(known, "n", "left_semi")
     return _links(j.select(F.col("site_uid").alias("site_uid_a"), F.concat(F.lit("usgs:"), "n").alias("site_uid_b"),
                            F.when(F.col("source").isin(*MIRRORS_USGS), "same_sensor").otherwise("same_location_different_sensor").alias("link_type"),
                            F.lit("usgs id in provider metadata").alias("evidence"), F.lit(None).cast("double").alias("distance_m"), F.lit(0.95).alias("confidence")))

@@ -27,6 +27,34 @@ def d1(t):
     return d.metadata_links(with_meta(t))
 
 
+# shapes of metadata with an id at other depths: nested lists, objects under the key, a key inside a text, numbers, no JSON at all
+NESTED = [
+    '{"usgs_ids": ["a", ["%s"]]}', '{"note": "x \\"usgs\\": %s"}', '{"usgs": {"id": "%s"}}', '{"a": [{"b": [[{"My_USGS_no": %s}]]}]}', '{"usgs": {"x": 1, "usgsSite": [" USGS-%s "]}}',
+    '{"usgs": "%s", "broken": ', '{"usgs_ids": [true, 1.5, null, {"usgs": [[[["%s"]]]]}]}', '{"USGS": "%s.5", "other_usgs": "id %s"}', '["usgs", "%s"]']
+
+
+def nested_meta(t):
+    """The sites with metadata of those shapes in turn."""
+    m5, n = F.col("s_suppkey") % 5, (80000000 + F.col("s_suppkey") - F.col("s_suppkey") % 5).cast("string")
+    shape = F.floor(F.col("s_suppkey") / 5) % len(NESTED)
+    meta = F.lit(None).cast("string")
+    for k, text in enumerate(NESTED):
+        meta = F.when(shape == k, F.replace(F.lit(text), F.lit("%s"), n)).otherwise(meta)
+    return t.sites.withColumn("raw_metadata", meta).where(m5 != 3)
+
+
+SHAPES_SQL = "CASE s_suppkey // 5 % {} {} END".format(len(NESTED), " ".join("WHEN {} THEN replace('{}', '%s', CAST(80000000 + s_suppkey - s_suppkey % 5 AS VARCHAR))".format(k, x) for k, x in enumerate(NESTED)))
+
+
+@query("D1_nested_metadata", fr"""WITH m AS (SELECT site_uid, source, {SHAPES_SQL} AS j FROM sites WHERE s_suppkey % 5 <> 3),
+ v AS (SELECT m.site_uid, m.source, regexp_extract(x.fullkey, '[.]"?([^."\[\]]+)"?(?:\[[0-9]+\])*$', 1) AS k, trim(x.atom ->> '$') AS a FROM (SELECT site_uid, source, CASE WHEN json_valid(j) THEN j ELSE '{{}}' END AS jj FROM m) m, json_tree(m.jj) x WHERE x.type IN ('VARCHAR', 'BIGINT', 'UBIGINT')),
+ i AS (SELECT DISTINCT site_uid, source, regexp_extract(a, '^(?:USGS-)?([0-9]{{8,15}})$', 1) AS n FROM v WHERE contains(lower(k), 'usgs') AND source <> 'usgs')
+SELECT site_uid AS site_uid_a, 'usgs:' || n AS site_uid_b, CASE WHEN source IN ('usbr_hydrodata', 'codwr', 'usace_cwms') THEN 'same_sensor' ELSE 'same_location_different_sensor' END AS link_type, 'usgs id in provider metadata' AS evidence, CAST(NULL AS DOUBLE) AS distance_m, 0.95::DOUBLE AS confidence
+FROM i WHERE n IN (SELECT native_id FROM sites WHERE source = 'usgs')""")
+def d1n(t):
+    return d.metadata_links(nested_meta(t))
+
+
 WEATHER = """w AS (SELECT c_custkey // 4 AS g, ['noaa_ghcnh','noaa_ghcnd','noaa_isd','uscrn'][c_custkey % 4 + 1] AS source, CASE c_custkey % 4 WHEN 2 THEN '72' || (c_custkey // 4) || '-' || lpad(CAST(c_custkey // 4 AS VARCHAR), 5, '0') WHEN 3 THEN 'crn' || (c_custkey // 4)
   ELSE CASE WHEN c_custkey // 4 % 3 = 0 THEN 'USC' || (c_custkey // 4) ELSE 'USW000' || lpad(CAST(c_custkey // 4 AS VARCHAR), 5, '0') END END AS nid, c_custkey FROM customer),
  ws AS (SELECT source || ':' || nid AS site_uid, * FROM w),
