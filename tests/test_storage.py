@@ -1,9 +1,13 @@
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import maintain, quality
 from tidemark.plans.tables import Tables
-from tidemark.sources import archive
+from tidemark.schema import STORED
+from tidemark.sources import archive, manifest
 
 OBS = "site_uid string, variable string, datetime_utc timestamp, value double, interval string, statistic string, depth_cm double, ingest_run_id string"
 
@@ -124,3 +128,94 @@ def test_marts_round_trip(frame, spark, tmp_path):
     archive.publish_csv(d, str(tmp_path / "c"))
     back = {r.k: r.asDict().get("v") for r in spark.read.json(str(tmp_path / "j")).collect()}
     assert back == {1: 2.0, 2: None} and spark.read.option("header", "true").csv(str(tmp_path / "c")).count() == 2
+
+
+# ---- rewriting under a manifest ---------------------------------------------
+
+
+def loads(frame, root):
+    """Two loads: discharge of 2020 in both, 2021 and stage in the first only."""
+    def rows(some, run):
+        d = frame([(s, v, d, x, "daily", "mean", None, run) for s, v, d, x in some], OBS)
+        return archive.coerce(d.withColumn("source", F.split_part("site_uid", F.lit(":"), F.lit(1))).withColumn("year", F.year("datetime_utc")), STORED)
+
+    first = [("usgs:1", "discharge", "2020-01-01", 1.0), ("usgs:1", "discharge", "2020-01-02", -999.0), ("usgs:1", "discharge", "2021-01-01", 3.0), ("nrcs:a b", "stage", "2020-01-01", 4.0)]
+    manifest.write(rows(first, "r1"), root, "load1", maintain.PARTITIONS)
+    manifest.write(rows([("usgs:1", "discharge", "2020-01-01", 10.0)], "r2"), root, "load2", maintain.PARTITIONS)
+
+
+def stamps(root):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/version=*/**/*.parquet", recursive=True)}
+
+
+def values(spark, root):
+    return sorted((r.variable, r.year, r.value) for r in archive.read_observations(spark, root).collect())
+
+
+def test_compaction_rewrites_partitions_of_several_files_only(frame, spark, tmp_path):
+    root = str(tmp_path / "obs")
+    loads(frame, root)
+    before = stamps(root)
+    assert maintain.compact_archive(spark, root, "c1") == ["source=usgs/variable=discharge/year=2020"]
+    assert values(spark, root) == [("discharge", 2020, -999.0), ("discharge", 2020, 10.0), ("discharge", 2021, 3.0), ("stage", 2020, 4.0)]
+    assert {f: t for f, t in stamps(root).items() if f in before} == before
+    # nothing left to do; the job's name can be used again without effect
+    assert maintain.compact_archive(spark, root, "c2") == [] and maintain.compact_archive(spark, root, "c1") == ["source=usgs/variable=discharge/year=2020"]
+    assert manifest.clean(spark, root) == 2 and len(values(spark, root)) == 4
+    assert not any("version=load2" in f for f in stamps(root))
+
+
+def test_a_driver_lost_before_the_swap(frame, spark, registry, tmp_path, monkeypatch):
+    root = str(tmp_path / "obs")
+    loads(frame, root)
+    before, files = values(spark, root), stamps(root)
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(manifest, "swap", lost)
+    with pytest.raises(KeyboardInterrupt):
+        maintain.purge_archive(spark, root, registry, "p1")
+    monkeypatch.undo()
+    assert values(spark, root) == before and manifest.pending(spark, root) == ["p1"]
+    # cleaning keeps what waits for its swap
+    assert manifest.clean(spark, root) == 0
+    assert maintain.purge_archive(spark, root, registry, "p1") == ["source=usgs/variable=discharge/year=2020"]
+    assert values(spark, root) == [x for x in before if x[2] != -999.0] and manifest.pending(spark, root) == []
+    assert not manifest.swap(spark, root, "p1")
+    assert {f: t for f, t in stamps(root).items() if f in files} == files
+
+
+def test_a_version_left_unfinished_is_not_read(frame, spark, tmp_path):
+    root = str(tmp_path / "obs")
+    loads(frame, root)
+    before = values(spark, root)
+    manifest.stage(archive.read_observations(spark, root), root, "half", maintain.PARTITIONS, ["source=usgs/variable=discharge/year=2020"])
+    os.remove(f"{root}/version=half/_SUCCESS")
+    assert not manifest.swap(spark, root, "half") and values(spark, root) == before
+    assert manifest.clean(spark, root) == 1 and not os.path.exists(f"{root}/version=half")
+
+
+def test_relabelled_rows_join_a_partition_that_is_not_rewritten(frame, spark, registry, tmp_path):
+    root = str(tmp_path / "obs")
+    loads(frame, root)
+    rules = frame([(1, "nrcs:a b", None, "", "discharge"), (2, "*", None, "", "swe")], "rule_no int, site_uid string, source_param string, qualifier string, variable string").where("rule_no = 1")
+    rules = rules.withColumn("source_param", F.lit("p"))
+    d = archive.read_observations(spark, root).withColumn("source_param", F.lit("p"))
+    manifest.write(d.where("source = 'nrcs'").withColumn("variable", F.lit("stage")), root, "load3", maintain.PARTITIONS)
+    manifest.write(d.where("source = 'nrcs'").withColumn("variable", F.lit("discharge")).withColumn("source_param", F.lit("q")), root, "load4", maintain.PARTITIONS)
+    assert maintain.relabel_archive(spark, root, rules, registry, "m1") == ["source=nrcs/variable=stage/year=2020"]
+    got = archive.read_observations(spark, root).where("source = 'nrcs'").groupBy("variable").count().collect()
+    # the row without a parameter stays, the one with it moves beside the row that was there
+    assert {r.variable: r["count"] for r in got} == {"stage": 1, "discharge": 2}
+    assert manifest.live(spark, root).where("partition = 'source=nrcs/variable=discharge/year=2020'").count() == 2
+
+
+def test_readers_of_an_archive_read_only_what_is_in_force(frame, spark, tmp_path):
+    root = str(tmp_path / "obs")
+    loads(frame, root)
+    maintain.compact_archive(spark, root, "c1")
+    names = {os.path.basename(os.path.dirname(f)) + ("!" if "version=c1" in f else "") for f in archive.read_observations(spark, root).inputFiles()}
+    assert names == {"year=2020!", "year=2021", "year=2020"}
+    plan = archive.read_observations(spark, root).where("year = 2021")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and archive.read_observations(spark, root).where("year = 2021").count() == 1

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.shapes import pick_row
-from tidemark.operators.quality import dedup_observations, override_variable, with_missing_code
-from tidemark.schema import OBS_KEY
+from tidemark.operators.quality import dedup_observations, drop_missing_codes, override_variable, with_missing_code
+from tidemark.schema import OBS_KEY, STORED
+from tidemark.sources import manifest
 
 
 def compact(df: DataFrame) -> DataFrame:
@@ -34,15 +35,40 @@ def compact_partitions(spark: SparkSession, root: str, staging: str, only: Seque
 
     d = read_observations(spark, root)
     if only is not None:
-        wanted = F.lit(False)
-        for source, variable, year in only:
-            wanted = wanted | ((F.col("source") == source) & (F.col("variable") == variable) & (F.col("year") == year))
-        d = d.where(wanted)
+        wanted = spark.createDataFrame(list(only), "source string, variable string, year int")
+        d = d.join(F.broadcast(wanted), ["source", "variable", "year"], "left_semi").select(*d.columns)
     compaction_report(d).write.mode("overwrite").parquet(f"{staging}/report")
     write_partitioned(compact(d), f"{staging}/data", "overwrite")
     return spark.read.parquet(f"{staging}/report")
 
 
+PARTITIONS = ["source", "variable", "year"]
+
+
+def compact_archive(spark: SparkSession, root: str, job: str) -> list[str]:
+    """Compact the partitions of an archive with a manifest that are read from more than one file, and put the result in force.
+
+    ``job`` names the version; a job that was lost is run again under its name and goes on where it stopped."""
+    listed = manifest.files(spark, root).select(manifest.partition_of(F.col("path")).alias("partition"), F.regexp_extract("path", "/version=([^/]+)/", 1).alias("version"))
+    many = listed.join(manifest.live(spark, root), ["partition", "version"], "left_semi").groupBy("partition").count().where("count > 1")
+    return manifest.rewrite(spark, root, STORED, job, many, compact, PARTITIONS)
+
+
+def purge_archive(spark: SparkSession, root: str, registry: DataFrame, job: str) -> list[str]:
+    """Remove no-data markers from a stored archive; only partitions that hold one are rewritten."""
+    stored = manifest.read(spark, root, STORED).withColumn("partition", manifest.held_in())
+    marked = with_missing_code(stored, registry).where("is_missing_code")
+    return manifest.rewrite(spark, root, STORED, job, marked, lambda d: drop_missing_codes(d, registry), PARTITIONS)
+
+
+def relabel_archive(spark: SparkSession, root: str, rules: DataFrame, registry: DataFrame, job: str) -> list[str]:
+    """Move series of a stored archive to the variable the rules name: the partitions they leave are rewritten, those they enter
+    gain a version."""
+    stored = manifest.read(spark, root, STORED).withColumn("partition", manifest.held_in())
+    moved = relabel(stored, rules, registry).where("moved_from IS NOT NULL")
+    return manifest.rewrite(spark, root, STORED, job, moved, lambda d: relabel(d, rules, registry).select(*STORED.names), PARTITIONS)
+
+
 def compact_tables(parts: Sequence[DataFrame]) -> DataFrame:
     """Union appended parts by name and drop exact duplicates."""
     out = parts[0]

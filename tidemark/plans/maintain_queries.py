@@ -9,7 +9,22 @@ from tidemark.operators import maintain as m
 from tidemark.plans.registry import query
 from tidemark.schema import STORED
 from tidemark.session import ensure_checkpoint_dir
-from tidemark.sources.archive import coerce, read_observations, write_partitioned
+from tidemark.sources import manifest
+from tidemark.sources.archive import coerce, read_observations
+
+def stored_archive(t, *loads):
+    """An archive with a manifest, written in some loads."""
+    root = f"{ensure_checkpoint_dir(t.spark)}/archive-{uuid.uuid4().hex}"
+    for k, df in enumerate(loads):
+        manifest.write(coerce(df, STORED), root, f"load{k}", m.PARTITIONS)
+    return root
+
+
+def rows_by_partition(t, root, job):
+    """Rows of each partition in force, and those that lie in files of the job."""
+    rows = read_observations(t.spark, root).withColumn("of_job", F.col("_metadata.file_path").contains(f"version={job}/"))
+    return rows.groupBy(*m.PARTITIONS).agg(F.count("*").alias("n"), F.count_if("of_job").alias("n_rewritten"))
+
 
 LATEST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_uid, variable, datetime_utc, interval, statistic, depth_cm
  ORDER BY ingest_run_id DESC, {tie}) AS rn FROM obs) WHERE rn = 1)"""
@@ -19,10 +34,11 @@ LATEST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_uid,
 SELECT site_uid, CAST(datetime_utc AS VARCHAR) AS datetime_utc, depth_cm, value, ingest_run_id FROM (SELECT *, row_number() OVER (PARTITION BY site_uid, variable, datetime_utc,
   interval, statistic, depth_cm ORDER BY ingest_run_id DESC, value DESC) AS rn FROM obs) WHERE rn = 1""")
 def c1(t):
-    root = f"{ensure_checkpoint_dir(t.spark)}/compact-{uuid.uuid4().hex}"
-    write_partitioned(coerce(t.obs, STORED), f"{root}/archive")
-    m.compact_partitions(t.spark, f"{root}/archive", f"{root}/staging")
-    return read_observations(t.spark, f"{root}/staging/data").select("site_uid", "datetime_utc", "depth_cm", "value", "ingest_run_id")
+    # two loads into the same partitions
+    second = F.col("ingest_run_id").endswith("2") | F.col("ingest_run_id").endswith("5")
+    root = stored_archive(t, t.obs.where(~second), t.obs.where(second))
+    m.compact_archive(t.spark, root, "compact")
+    return read_observations(t.spark, root).select("site_uid", "datetime_utc", "depth_cm", "value", "ingest_run_id")
 
 
 @query("C1_compaction_report", """
@@ -66,6 +82,28 @@ def c4(t):
     return m.relabel(t.obs, rules, t.registry).groupBy("variable", "moved_from").agg(F.count("*").alias("n"))
 
 
+@query("C3_purge_stored", f"""
+WITH f AS (SELECT m.*, year(m.datetime_utc) AS y, coalesce({CODE}, false) AS bad FROM mapped m LEFT JOIN registry g ON g.variable = m.variable)
+SELECT source, variable, y AS year, count(*) AS n, CAST(sum(CASE WHEN (source, variable, y) IN (SELECT (source, variable, y) FROM f WHERE bad) THEN 1 ELSE 0 END) AS BIGINT) AS n_rewritten FROM f WHERE NOT bad GROUP BY ALL""")
+def c3s(t):
+    root = stored_archive(t, t.mapped.withColumn("year", F.year("datetime_utc")))
+    m.purge_archive(t.spark, root, t.registry, "purge")
+    return rows_by_partition(t, root, "purge")
+
+
+MOVED = """SELECT source, year, CASE WHEN qualifier = 'F' AND site_uid = 'usgs:3' THEN 'diversion' WHEN site_uid = 'codwr:5' THEN 'return_flow' ELSE variable END AS variable, variable AS old FROM obs"""
+
+
+@query("C4_relabel_stored", f"""WITH r AS ({MOVED}), t AS (SELECT DISTINCT source, old, year FROM r WHERE variable <> old)
+SELECT source, variable, CAST(year AS BIGINT) AS year, count(*) AS n, CAST(sum(CASE WHEN (source, old, year) IN (SELECT (source, old, year) FROM t) THEN 1 ELSE 0 END) AS BIGINT) AS n_rewritten FROM r GROUP BY source, variable, year""")
+def c4s(t):
+    root = stored_archive(t, t.obs)
+    rules = fixed(t.spark, [(1, "usgs:3", "00060", "F", "diversion"), (2, "codwr:5", "00060", "", "return_flow")],
+                  "rule_no int, site_uid string, source_param string, qualifier string, variable string")
+    m.relabel_archive(t.spark, root, rules, t.registry, "relabel")
+    return rows_by_partition(t, root, "relabel")
+
+
 @query("C5_rewrite_ids", """
 SELECT regexp_replace(site_uid, ':USGS-', ':') AS site_uid, site_uid LIKE '%:USGS-%' AS changed FROM sites""")
 def c5(t):

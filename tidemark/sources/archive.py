@@ -10,10 +10,15 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import dedup_observations, drop_missing_codes, guard_dates, guard_nulls
 from tidemark.schema import OBSERVATIONS, STORED
+from tidemark.sources import manifest
 
 
 def read_observations(spark: SparkSession, root: str) -> DataFrame:
-    """The archive with its fixed columns; source, variable and year prune partitions."""
+    """The archive with its fixed columns; source, variable and year prune partitions.
+
+    Under a root that has a manifest the versions in force are read, and nothing else is listed."""
+    if manifest.current(spark, root):
+        return manifest.read(spark, root, STORED)
     return spark.read.schema(STORED).parquet(root)
 
 
