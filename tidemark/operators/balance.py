@@ -10,6 +10,48 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import water_year
 from tidemark.operators.flow import daily_flow, pick_copy
 from tidemark.schema import CFS_DAY_AF
+from tidemark.session import ensure_checkpoint_dir
+
+
+def first_stop_below(flowlines: DataFrame, stops: DataFrame) -> DataFrame:
+    """(comid, stop): for every reach the first reach of ``stops`` (comid) downstream of it on the main path, null where there is none.
+
+    Pointer jumping that ends at a stop: a reach whose pointer has found its stop takes it over, any other takes over the pointer's
+    pointer, so rounds are the digits of the longest way. Cycles find none."""
+    ensure_checkpoint_dir(flowlines.sparkSession)
+    f = flowlines.select("comid", "fromnode", "tonode", F.coalesce(F.col("divergence") == 2, F.lit(False)).alias("minor"))
+    first = f.groupBy("fromnode").agg(F.min_by("comid", F.struct("minor", "comid")).alias("ptr")).withColumnRenamed("fromnode", "tonode")
+    at = stops.select(F.col("comid").alias("ptr"), F.col("comid").alias("stop")).distinct()
+    state = f.join(first, "tonode", "left").join(at, "ptr", "left").select("comid", "ptr", "stop").checkpoint()
+    for _ in range(max(1, state.count().bit_length())):
+        waiting = F.col("stop").isNull() & F.col("ptr").isNotNull()
+        if state.where(waiting).isEmpty():
+            break
+        ahead = state.select(F.col("comid").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("stop").alias("stop2"))
+        j = state.join(ahead, "ptr", "left")
+        state = j.select("comid", F.when(waiting, F.col("ptr2")).otherwise(F.col("ptr")).alias("ptr"), F.coalesce("stop", "stop2").alias("stop")).checkpoint()
+    return state.select("comid", "stop")
+
+
+def network_terms(flowlines: DataFrame, gauges: DataFrame, reservoirs: DataFrame) -> DataFrame:
+    """The balances the network allows, as terms (reach, term, role, kind, gauge, reservoir).
+
+    ``gauges``: gauge, comid; ``reservoirs``: reservoir, comid. Every gauge with something measured above it closes a reach that bears
+    its name: the nearest gauges on all branches above flow in, it flows out, and reservoirs on the way add storage and evaporation. A
+    reservoir on a gauge's own reach lies above the gauge. Of several gauges on one reach the smallest counts."""
+    held = gauges.groupBy("comid").agg(F.min("gauge").alias("gauge"))
+    below = first_stop_below(flowlines, held)
+    name = held.select(F.col("comid").alias("stop"), F.col("gauge").alias("reach"))
+    text = lambda c: F.lit(c)
+    none = F.lit(None).cast("string")
+    inflow = held.join(below.where("stop != comid"), "comid").join(name, "stop").select(
+        "reach", F.col("gauge").alias("term"), text("inflow").alias("role"), text("flow").alias("kind"), F.col("gauge").cast("string").alias("gauge"), none.alias("reservoir"))
+    own = held.select("comid", F.col("comid").alias("own"))
+    lakes = reservoirs.join(below, "comid").join(own, "comid", "left").withColumn("stop", F.coalesce("own", "stop")).join(name, "stop")
+    part = lambda role, kind: lakes.select("reach", F.concat_ws("/", "reservoir", text(role)).alias("term"), text(role), text(kind), none, F.col("reservoir").cast("string"))
+    inner = inflow.unionAll(part("storage", "storage")).unionAll(part("evaporation", "volume"))
+    outflow = inner.select("reach").distinct().select("reach", F.col("reach").alias("term"), text("outflow"), text("flow"), F.col("reach").cast("string"), none)
+    return inner.unionAll(outflow)
 
 
 def read_terms(df: DataFrame, terms: DataFrame) -> DataFrame:

@@ -346,23 +346,41 @@ def i26(t):
     return r.weekly_history(series(t)).withColumn("storage_af", F.round("storage_af", 4))
 
 
-TERMS = [("reach", t, role, kind, gauge) for t, role, kind, gauge in (("up", "inflow", "flow", "G0"), ("side", "inflow", "flow", "G1"), ("down", "outflow", "flow", "G2"), ("lake", "storage", "storage", "G3"), ("evap", "evaporation", "volume", "G4"), ("reported", "reference", "volume", "G5"))]
-
-
-@query("I27_water_balance", """
-WITH tm AS (SELECT * FROM (VALUES ('up','inflow','flow','G0'), ('side','inflow','flow','G1'), ('down','outflow','flow','G2'), ('lake','storage','storage','G3'), ('evap','evaporation','volume','G4')) v(term, role, kind, gauge)),
- s AS (SELECT term, role, kind, date, cfs AS v FROM chosen JOIN tm USING (gauge)), pr AS (SELECT DISTINCT CAST(date_trunc('month', date) AS DATE) AS a, last_day(date) AS z FROM chosen WHERE gauge IN ('G0', 'G1', 'G2', 'G3', 'G4', 'G5')),
- fl AS (SELECT term, CAST(date_trunc('month', date) AS DATE) AS a, avg(v) AS m, count(*) AS n FROM s WHERE kind <> 'storage' GROUP BY 1, 2), hd AS (SELECT term, last_day(date) AS z, max_by(v, date) AS v FROM s WHERE kind = 'storage' AND last_day(date) - date <= 3 GROUP BY 1, 2),
- g AS (SELECT pr.a, pr.z, tm.*, n / (pr.z - pr.a + 1)::DOUBLE AS cov, CASE WHEN kind = 'storage' THEN c.v - o.v WHEN n / (pr.z - pr.a + 1)::DOUBLE >= 0.5 THEN m * (pr.z - pr.a + 1) * CASE WHEN kind = 'flow' THEN 1.983471 ELSE 1 END END AS x
-  FROM pr CROSS JOIN tm LEFT JOIN fl ON fl.term = tm.term AND fl.a = pr.a LEFT JOIN hd c ON c.term = tm.term AND c.z = pr.z LEFT JOIN hd o ON o.term = tm.term AND o.z = pr.a - 1),
- q AS (SELECT a, z, count(*) FILTER (WHERE x IS NULL) = 0 AS complete, min(coalesce(cov, 0)) FILTER (WHERE kind <> 'storage') AS min_coverage, coalesce(sum(x) FILTER (WHERE role = 'inflow'), 0) AS i, coalesce(sum(x) FILTER (WHERE role = 'outflow'), 0) AS o, coalesce(sum(x) FILTER (WHERE role = 'storage'), 0) AS ds,
-  coalesce(sum(x) FILTER (WHERE role = 'evaporation'), 0) AS ev FROM g GROUP BY 1, 2)
-SELECT 'reach' AS reach, strftime(a, '%Y-%m-%d') AS start, strftime(z, '%Y-%m-%d') AS "end", z - a + 1 AS days, complete, round(min_coverage, 6) AS min_coverage, CASE WHEN complete THEN round(i, 6) END AS inflow_af, CASE WHEN complete THEN round(o, 6) END AS outflow_af, CASE WHEN complete THEN round(ds, 6) END AS storage_change_af,
- CASE WHEN complete THEN round(ev, 6) END AS evaporation_af, CASE WHEN complete THEN round(o + ds + ev, 6) END AS implied_inflow_af, CASE WHEN complete THEN round(i - o - ds - ev, 6) END AS unaccounted_af, CASE WHEN complete AND i > 0 THEN round(100 * (i - o - ds - ev) / i, 6) END AS unaccounted_pct FROM q""")
+# gauges on every third reach of the network, reservoirs at some others; evaporation is a share of the storage
+REACHES = """gl AS (SELECT gauge, comid FROM (SELECT gauge, 3 * CAST(substr(gauge, 2) AS BIGINT) + 2 AS comid FROM gauges) JOIN flowlines USING (comid)), rl AS (SELECT DISTINCT reservoir, 4 * CAST(substr(reservoir, 4) AS BIGINT) + 5 AS comid FROM fills),
+ wk(src, what, cur) AS (SELECT gauge, 'g', comid // 2 FROM gl UNION ALL SELECT reservoir, 'r', comid FROM rl UNION ALL SELECT src, what, cur // 2 FROM wk WHERE cur > 0 AND cur NOT IN (SELECT comid FROM gl)),
+ be AS (SELECT src, what, gauge AS reach FROM wk JOIN gl ON comid = cur),
+ tm AS (SELECT reach, src AS term, 'inflow' AS role, 'flow' AS kind, src AS gauge, NULL AS reservoir FROM be WHERE what = 'g' UNION ALL SELECT DISTINCT reach, reach, 'outflow', 'flow', reach, NULL FROM be
+  UNION ALL SELECT reach, src || '/storage', 'storage', 'storage', NULL, src FROM be WHERE what = 'r' UNION ALL SELECT reach, src || '/evaporation', 'evaporation', 'volume', NULL, src FROM be WHERE what = 'r')"""
+
+
+def network_terms(t):
+    gauges = t.gauges.select("gauge", (3 * F.substring("gauge", 2, 12).cast("bigint") + 2).alias("comid")).distinct()
+    lakes = t.fills.select("reservoir", (4 * F.substring("reservoir", 4, 12).cast("bigint") + 5).alias("comid")).distinct()
+    return b.network_terms(t.flowlines, gauges, lakes)
+
+
+@query("I27_reach_terms", f"WITH RECURSIVE {REACHES} SELECT * FROM tm")
+def i27t(t):
+    return network_terms(t)
+
+
+@query("I27_water_balance", f"""
+WITH RECURSIVE {REACHES}, s AS (SELECT reach, term, tm.role, kind, date, cfs AS v FROM chosen JOIN tm USING (gauge) UNION ALL SELECT reach, term, tm.role, kind, date, CASE kind WHEN 'volume' THEN stor / 5000 ELSE stor END FROM fills JOIN tm USING (reservoir)),
+ pr AS (SELECT DISTINCT reach, CAST(date_trunc('month', date) AS DATE) AS a, last_day(date) AS z FROM s),
+ fl AS (SELECT reach, term, CAST(date_trunc('month', date) AS DATE) AS a, avg(v) AS m, count(*) AS n FROM s WHERE kind <> 'storage' GROUP BY 1, 2, 3), hd AS (SELECT reach, term, last_day(date) AS z, max_by(v, date) AS v FROM s WHERE kind = 'storage' AND last_day(date) - date <= 3 GROUP BY 1, 2, 3),
+ g AS (SELECT pr.reach, pr.a, pr.z, tm.term, tm.role, tm.kind, n / (pr.z - pr.a + 1)::DOUBLE AS cov, CASE WHEN kind = 'storage' THEN c.v - o.v WHEN n / (pr.z - pr.a + 1)::DOUBLE >= 0.5 THEN m * (pr.z - pr.a + 1) * CASE WHEN kind = 'flow' THEN 1.983471 ELSE 1 END END AS x
+  FROM pr JOIN tm ON tm.reach = pr.reach LEFT JOIN fl ON fl.reach = pr.reach AND fl.term = tm.term AND fl.a = pr.a LEFT JOIN hd c ON c.reach = pr.reach AND c.term = tm.term AND c.z = pr.z LEFT JOIN hd o ON o.reach = pr.reach AND o.term = tm.term AND o.z = pr.a - 1),
+ q AS (SELECT reach, a, z, count(*) FILTER (WHERE x IS NULL) = 0 AS complete, min(coalesce(cov, 0)) FILTER (WHERE kind <> 'storage') AS min_coverage, coalesce(sum(x) FILTER (WHERE role = 'inflow'), 0) AS i, coalesce(sum(x) FILTER (WHERE role = 'outflow'), 0) AS o, coalesce(sum(x) FILTER (WHERE role = 'storage'), 0) AS ds,
+  coalesce(sum(x) FILTER (WHERE role = 'evaporation'), 0) AS ev FROM g GROUP BY 1, 2, 3)
+SELECT reach, strftime(a, '%Y-%m-%d') AS start, strftime(z, '%Y-%m-%d') AS "end", z - a + 1 AS days, complete, round(min_coverage, 6) AS min_coverage, CASE WHEN complete THEN round(i, 2) END AS inflow_af, CASE WHEN complete THEN round(o, 2) END AS outflow_af, CASE WHEN complete THEN round(ds, 2) END AS storage_change_af,
+ CASE WHEN complete THEN round(ev, 2) END AS evaporation_af, CASE WHEN complete THEN round(o + ds + ev, 2) END AS implied_inflow_af, CASE WHEN complete THEN round(i - o - ds - ev, 2) END AS unaccounted_af, CASE WHEN complete AND i > 0 THEN round(100 * (i - o - ds - ev) / i, 2) END AS unaccounted_pct FROM q""")
 def i27(t):
-    terms = fixed(t.spark, TERMS, "reach string, term string, role string, kind string, gauge string")
-    s = t.chosen.join(terms, "gauge").select("reach", "term", "role", "kind", "date", F.col("cfs").alias("value"))
-    return b.balance(s, terms, "month", 0.5)
+    terms = network_terms(t)
+    flow = t.chosen.join(terms, "gauge").select("reach", "term", "role", "kind", "date", F.col("cfs").alias("value"))
+    lake = t.fills.select("reservoir", "date", "stor").join(terms, "reservoir").select("reach", "term", "role", "kind", "date", F.when(F.col("kind") == "volume", F.col("stor") / 5000).otherwise(F.col("stor")).alias("value"))
+    out = b.balance(flow.unionByName(lake), terms, "month", 0.5)
+    return out.select(*[F.round(c, 2).alias(c) if c.endswith(("_af", "_pct")) else F.col(c) for c in out.columns])
 
 
 @query("I28_read_terms", """
