@@ -18,18 +18,62 @@ COVER_MM, SNOW_MM = 25.0, 10.0
 KM_PER_DEG = 111.0
 
 
-def sub_points(cells: DataFrame, dlat: float, dlon: float, sub: int = 8) -> DataFrame:
-    """Centres of the sub-cells of each cell."""
-    steps = F.sequence(F.lit(0), F.lit(sub - 1))
-    off = lambda i, d: ((F.col(i) + 0.5) / sub - 0.5) * d
-    return (cells.select("iy", "ix", "lat", "lon").distinct().withColumn("_i", F.explode(steps)).withColumn("_j", F.explode(steps))
-            .select("iy", "ix", "_i", "_j", (F.col("lon") + off("_j", dlon)).alias("x"), (F.col("lat") + off("_i", dlat)).alias("y")))
+def scan_frame(cells: DataFrame, dlat: float, dlon: float, sub: int) -> dict[str, float]:
+    """Where the scan lines of a regular grid lie: ``sub`` lines and ``sub`` columns of centres a cell. Indices rise with coordinates."""
+    if dlat <= 0 or dlon <= 0:
+        raise ValueError("cell sizes must be positive: rows ascend by latitude, columns by longitude")
+    r = cells.agg(F.min("iy").alias("iy"), F.max("iy").alias("iy1"), F.min_by("lat", "iy").alias("lat"), F.min("ix").alias("ix"), F.max("ix").alias("ix1"), F.min_by("lon", "ix").alias("lon")).first()
+    if r.iy is None:
+        return {}
+    high, wide = dlat / sub, dlon / sub
+    return {"iy": r.iy, "ix": r.ix, "lines": (r.iy1 - r.iy + 1) * sub, "columns": (r.ix1 - r.ix + 1) * sub, "high": high, "wide": wide,
+            "y": r.lat - dlat / 2 + high / 2, "x": r.lon - dlon / 2 + wide / 2}
+
+
+def scan_spans(edges: DataFrame, frame: dict[str, float]) -> DataFrame:
+    """(poly_id, line, a, b): the runs of centres a <= column < b that lie inside each polygon on each scan line.
+
+    An edge is filed under the lines it crosses; on a line the crossings in order open and close the polygon in turn (a running
+    parity), so a run costs two crossings however many centres it covers."""
+    first, last = F.ceil((F.least("y0", "y1") - frame["y"]) / frame["high"]), F.ceil((F.greatest("y0", "y1") - frame["y"]) / frame["high"]) - 1
+    lo, hi = F.greatest(first, F.lit(0)), F.least(last, F.lit(frame["lines"] - 1))
+    cut = edges.withColumn("line", F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
+    at = F.col("x0") + (frame["y"] + F.col("line") * frame["high"] - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
+    column = F.least(F.greatest(F.ceil((at - frame["x"]) / frame["wide"]), F.lit(0)), F.lit(frame["columns"]))
+    w = Window.partitionBy("poly_id", "line").orderBy("at")
+    k = cut.select("poly_id", "line", at.alias("at"), column.alias("a")).withColumn("k", F.row_number().over(w)).withColumn("b", F.lead("a").over(w))
+    return k.where((F.col("k") % 2 == 1) & (F.col("a") < F.col("b"))).select("poly_id", "line", "a", "b")
+
+
+def span_cells(spans: DataFrame, frame: dict[str, float], sub: int) -> DataFrame:
+    """(poly_id, iy, ix, n): centres of the spans in each cell.
+
+    A span is at most six steps of a count along its row of cells: up and down at the cells it cuts, and once for all cells it covers
+    whole. Steps are summed before they move; their running sum is constant from one step to the next, and only there are cells
+    written out."""
+    fa, fb = F.expr(f"a div {sub}"), F.expr(f"b div {sub}")
+    ra, rb = F.col("a") % sub, F.col("b") % sub
+    # centres up to a column, as a step function: what lies before b less what lies before a
+    step = lambda at, n: F.struct(at.alias("c"), n.cast("bigint").alias("n"))
+    steps = F.array(step(fa, sub - ra), step(fa + 1, ra), step(fb, rb - sub), step(fb + 1, -rb))
+    e = spans.select("poly_id", F.expr(f"line div {sub}").alias("row"), F.explode(steps).alias("s")).select("poly_id", "row", "s.*")
+    e = e.groupBy("poly_id", "row", "c").agg(F.sum("n").alias("n")).where("n != 0")
+    w = Window.partitionBy("poly_id", "row").orderBy("c")
+    runs = e.withColumn("n", F.sum("n").over(w)).withColumn("z", F.lead("c").over(w)).where("n > 0")
+    each = runs.select("poly_id", (F.col("row") + frame["iy"]).alias("iy"), F.explode(F.sequence("c", F.col("z") - 1)).alias("c"), "n")
+    return each.select("poly_id", "iy", (F.col("c") + frame["ix"]).alias("ix"), "n")
 
 
 def cell_weights(cells: DataFrame, edges: DataFrame, dlat: float, dlon: float, sub: int = 8) -> DataFrame:
-    """Share of each cell inside each polygon, by the sub-cell centres that fall in it."""
-    hit = points_in_polygons(sub_points(cells, dlat, dlon, sub), edges, "x", "y", ["iy", "ix", "_i", "_j"])
-    return hit.groupBy(F.col("poly_id").alias("unit"), "iy", "ix").agg((F.count("*") / F.lit(float(sub * sub))).alias("weight"))
+    """Share of each cell inside each polygon, by the sub-cell centres that fall in it.
+
+    Scan lines find them: work follows the edges' cells and the runs between crossings, not the centres of the grid."""
+    own = cells.select("iy", "ix", "lat", "lon").distinct()
+    frame = scan_frame(own, dlat, dlon, sub)
+    if not frame:
+        return own.select(F.lit("").alias("unit"), "iy", "ix", F.lit(0.0).alias("weight")).limit(0)
+    inside = span_cells(scan_spans(edges, frame), frame, sub).join(own.select("iy", "ix"), ["iy", "ix"])
+    return inside.select(F.col("poly_id").alias("unit"), "iy", "ix", (F.col("n") / F.lit(float(sub * sub))).alias("weight"))
 
 
 def polygon_cells(edges: DataFrame, dlat: float, dlon: float) -> DataFrame:
@@ -66,14 +110,29 @@ def stale_years(files: DataFrame, manifest: DataFrame, same_method: Column) -> D
     return files.join(done, ["year", "file", "size", "mtime"], "left_anti")
 
 
+def joined_spans(spans: DataFrame) -> DataFrame:
+    """(line, a, b): the runs that any of the polygons covers, overlaps joined."""
+    w = Window.partitionBy("line").orderBy("a", "b")
+    reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    d = spans.withColumn("new", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
+    return d.withColumn("k", F.sum("new").over(w)).groupBy("line", "k").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("k")
+
+
 def select_units(cells: DataFrame, unit_edges: DataFrame, state_edges: DataFrame, used: DataFrame, dlat: float, dlon: float, min_share: float = 0.01, sub: int = 4) -> DataFrame:
-    """Units with at least a share of their area in the state, or used by a river report."""
-    ids = ["iy", "ix", "_i", "_j"]
-    pts = sub_points(cells, dlat, dlon, sub)
-    inside = points_in_polygons(pts, state_edges, "x", "y", ids).select(*ids).distinct().withColumn("_in", F.lit(1))
-    u = points_in_polygons(pts, unit_edges, "x", "y", ids).join(inside, ids, "left")
-    g = u.groupBy(F.col("poly_id").alias("unit")).agg((F.count("_in") / F.count("*")).alias("state_fraction"))
+    """Units with at least a share of their area in the state, or used by a river report.
+
+    The runs of a unit meet those of the state on the same scan line; what they share is counted by cell like the unit itself."""
+    own = cells.select("iy", "ix", "lat", "lon").distinct()
+    frame = scan_frame(own, dlat, dlon, sub)
     r = used.select("unit").distinct().withColumn("in_river_reports", F.lit(True))
+    if not frame:
+        return r.select("unit", F.lit(0.0).alias("state_fraction"), "in_river_reports")
+    units, state = scan_spans(unit_edges, frame), joined_spans(scan_spans(state_edges, frame))
+    both = units.join(state.select("line", F.col("a").alias("sa"), F.col("b").alias("sb")), "line")
+    both = both.select("poly_id", "line", F.greatest("a", "sa").alias("a"), F.least("b", "sb").alias("b")).where("a < b")
+    held = lambda spans: span_cells(spans, frame, sub).join(own.select("iy", "ix"), ["iy", "ix"]).groupBy("poly_id").agg(F.sum("n").alias("n"))
+    g = held(units).join(held(both).withColumnRenamed("n", "m"), "poly_id", "left")
+    g = g.select(F.col("poly_id").alias("unit"), (F.coalesce("m", F.lit(0)) / F.col("n")).alias("state_fraction"))
     j = g.join(r, "unit", "full_outer").withColumn("state_fraction", F.coalesce("state_fraction", F.lit(0.0))).withColumn("in_river_reports", F.coalesce("in_river_reports", F.lit(False)))
     return j.where((F.col("state_fraction") >= min_share) | F.col("in_river_reports"))
 
