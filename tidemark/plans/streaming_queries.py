@@ -75,13 +75,15 @@ def minutes(s):
     return s.subdaily.withColumn("datetime_utc", F.date_trunc("minute", "datetime_utc"))
 
 
-@query("K1_flood_status", f"""WITH {THR.format(days=3).replace("rdg AS (SELECT site_uid, date_trunc('minute', datetime_utc) AS time, max(value) FILTER (WHERE variable = 'stage') AS stage, max(value) FILTER (WHERE variable = 'discharge') AS flow", "rdg AS (SELECT site_uid, datetime_utc AS time, max(value) AS stage, CAST(NULL AS DOUBLE) AS flow").replace("WHERE variable IN ('stage', 'discharge') AND date_trunc('minute', datetime_utc) >=", "WHERE variable = 'stage' AND datetime_utc >")},
+@query("K1_flood_status", f"""WITH {THR.format(days=4000)
+    .replace("rk AS (SELECT r.*,", "nw AS (SELECT site_uid, max(time) AS top_time FROM rdg GROUP BY 1), rk AS (SELECT r.*,")
+    .replace("FROM rdg r JOIN lev USING (site_uid))", "FROM rdg r JOIN lev USING (site_uid) JOIN nw USING (site_uid) WHERE time > top_time - INTERVAL 3 DAY AND top_time + INTERVAL 3 DAY > (SELECT max(time) FROM rdg) - INTERVAL 6 HOUR)")},
  {ASSESS} SELECT site_uid, {CAT.format(c='top')} AS reached, {CAT.format(c='cur')} AS current, strftime(pt, '%Y-%m-%d %H:%M:%S') AS peak_time, ps AS peak_stage, pf AS peak_flow, strftime(lt, '%Y-%m-%d %H:%M:%S') AS last_time, ls AS last_stage FROM asd""")
 def k1(t):
-    # three days back from midnight; each gauge's state keeps the same span from its own newest reading
+    # every reading streams by; the state of a gauge holds the three days up to its newest
     th = thresholds(t)
-    out = replay(t, lambda s: k.flood_status(s.subdaily.where((F.col("variable") == "stage") & (F.col("datetime_utc") > now() - F.expr("INTERVAL 3 DAYS"))), th), "update")
-    return k.latest_status(out)
+    with k.typed_state(t.spark):
+        return k.latest_status(replay(t, lambda s: k.flood_status(minutes(s), th), "update"))
 
 
 @query("K2_latest_readings", """SELECT site_uid, variable, max_by(value, datetime_utc) AS value, strftime(max(datetime_utc), '%Y-%m-%d %H:%M:%S') AS at FROM subdaily GROUP BY 1, 2 HAVING max(datetime_utc) >= TIMESTAMP '2024-01-31' - INTERVAL 36 HOUR""")

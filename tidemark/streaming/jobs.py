@@ -5,7 +5,6 @@ batch that is run again after a lost executor or driver leaves one copy of its o
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -14,8 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.operators.quality import apply_crosswalk, drop_missing_codes, guard_dates, guard_nulls
 from tidemark.operators.status import category, flood_levels, reading_rank
@@ -87,55 +86,97 @@ def ingest_to(stream: DataFrame, crosswalk: DataFrame, registry: DataFrame, now:
 # ---- flood status -----------------------------------------------------------
 
 STATUS = "site_uid string, top int, current int, peak_time timestamp, peak_stage double, peak_flow double, last_time timestamp, last_stage double"
-KEEP = "readings string"
+STATUS_NAMES = [f.split()[0] for f in STATUS.split(", ")]
 
 
-def _assess(rows: pd.DataFrame) -> dict[str, Any]:
-    """Status of one gauge's window, the same rule as the batch operator."""
-    d = rows.sort_values("time").reset_index(drop=True)
-    held = d["rank"].rolling(2, min_periods=2).min().fillna(0).astype(int)
-    top = int(held.max())
-    key = d["stage"] if d["stage"].notna().any() else d["flow"]
-    pool = key[(d["rank"] >= top) & key.notna()]
-    p = d.loc[pool.idxmax()] if len(pool) else d.iloc[-1]
-    last = d.iloc[-1]
-    return {"top": top, "current": int(held.iloc[-1]), "peak_time": p["time"], "peak_stage": p["stage"], "peak_flow": p["flow"], "last_time": last["time"], "last_stage": last["stage"]}
+@contextmanager
+def typed_state(spark: SparkSession) -> Iterator[None]:
+    """Start queries inside with the state store that typed state and timers need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _largest(a: float | None, b: float | None) -> float | None:
+    return b if a is None else a if b is None else max(a, b)
+
+
+def _held_status(readings: dict[int, tuple]) -> tuple:
+    """Highest rank held over two readings in a row, the one held now, the peak and the last reading, of {instant: (stage, flow, rank)}."""
+    times = sorted(readings)
+    pairs = [min(readings[a][2], readings[b][2]) for a, b in zip(times, times[1:], strict=False)]
+    top = max(pairs, default=0)
+    part = 0 if any(r[0] is not None for r in readings.values()) else 1
+    pool = [t for t in times if readings[t][2] >= top and readings[t][part] is not None]
+    peak = max(pool, key=lambda t: (readings[t][part], -t)) if pool else times[-1]
+    at = lambda us: pd.Timestamp(us, unit="us")
+    return top, pairs[-1] if pairs else 0, at(peak), readings[peak][0], readings[peak][1], at(times[-1]), readings[times[-1]][0]
+
+
+class GaugeWindow(StatefulProcessor):
+    """The readings of one gauge over the last days, by instant, and its status whenever some arrive.
+
+    A row of the map is written when an instant is new or gains a value, and removed when it leaves the window. One event-time timer
+    stands at the instant at which the newest reading leaves it: a gauge that is silent until then is forgotten, and says so by a row
+    without a rank."""
+
+    def __init__(self, days: int):
+        self.keep = days * 86_400_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.readings = handle.getMapState("readings", "us bigint", "stage double, flow double, rank int")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        arrived: dict[int, tuple] = {}
+        for f in rows:
+            us = f["time"].astype("datetime64[us]").astype("int64")
+            for at, stage, flow, rank in zip(us, f["stage"], f["flow"], f["rank"], strict=True):
+                old = arrived.get(at, (None, None, 0))
+                arrived[at] = _largest(old[0], None if pd.isna(stage) else stage), _largest(old[1], None if pd.isna(flow) else flow), max(old[2], int(rank))
+        held = {k[0]: tuple(v) for k, v in self.readings.iterator()} if self.readings.exists() else {}
+        newest = max([*arrived, *held])
+        for at in [t for t in held if t <= newest - self.keep]:
+            self.readings.removeKey((at,))
+            del held[at]
+        for at, (stage, flow, rank) in arrived.items():
+            if at > newest - self.keep:
+                old = held.get(at)
+                now = (_largest(old[0], stage), _largest(old[1], flow), max(old[2], rank)) if old else (stage, flow, rank)
+                if now != old:
+                    self.readings.updateValue((at,), now)
+                    held[at] = now
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer((newest + self.keep) // 1000)
+        yield pd.DataFrame([(key[0], *_held_status(held))], columns=STATUS_NAMES)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.readings.clear()
+        yield pd.DataFrame([(key[0], *[None] * 7)], columns=STATUS_NAMES)
+
+    def close(self) -> None:
+        pass
 
 
 def flood_status(stream: DataFrame, thresholds: DataFrame, days: int = 3, lateness: str = "6 hours") -> DataFrame:
-    """Flood status per gauge, updated as readings arrive.
-
-    State is the gauge's readings of the last ``days``, a few hundred at most, so a late reading
-    inside the window changes the answer just as it would in batch. A gauge silent for the whole
-    window is forgotten."""
-    keep_us = days * 86_400_000_000
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        old = [json.loads(state.get[0])] if state.exists else []
-        rows = [pd.DataFrame(o, columns=["us", "stage", "flow", "rank"]) for o in old]
-        for f in frames:
-            f = f.assign(us=f["time"].astype("datetime64[us]").astype("int64"))
-            rows.append(f[["us", "stage", "flow", "rank"]])
-        d = pd.concat([r for r in rows if len(r)], ignore_index=True).astype({"stage": "float64", "flow": "float64"})
-        # stage and flow of one instant arrive as two rows
-        d = d[d["us"] > d["us"].max() - keep_us].groupby("us", as_index=False).max()
-        state.update((json.dumps([[int(u), None if pd.isna(a) else a, None if pd.isna(b) else b, int(r)] for u, a, b, r in d.itertuples(index=False, name=None)]),))
-        state.setTimeoutTimestamp(max(int(d["us"].max() // 1000) + keep_us // 1000, state.getCurrentWatermarkMs() + 1))
-        out = _assess(d.assign(time=pd.to_datetime(d["us"], unit="us")))
-        yield pd.DataFrame([{"site_uid": key[0], **out}])
+    """Flood status per gauge from its stage and flow readings, updated as they arrive.
 
+    State is the gauge's readings of the last ``days`` up to its newest one, so a late reading inside the window changes the answer
+    just as it would in batch. To be started inside ``typed_state``."""
     v = lambda k: F.when(F.col("variable") == k, F.col("value"))
     r = stream.where(F.col("variable").isin("stage", "discharge")).select("site_uid", F.col("datetime_utc").alias("time"), v("stage").alias("stage"), v("discharge").alias("flow"))
     r = r.withWatermark("time", lateness).join(flood_levels(thresholds), "site_uid").select("site_uid", "time", "stage", "flow", reading_rank().alias("rank"))
-    return r.groupBy("site_uid").applyInPandasWithState(update, STATUS, KEEP, "update", GroupStateTimeout.EventTimeTimeout)
+    return r.groupBy("site_uid").transformWithStateInPandas(GaugeWindow(days), STATUS, "Update", "EventTime")
 
 
 def latest_status(out: DataFrame) -> DataFrame:
-    """Newest status of each gauge over the batches written so far."""
-    d = out.groupBy("site_uid").agg(F.max_by(F.struct(*[F.col(c) for c in out.columns if c != "site_uid"]), "batch").alias("s")).select("site_uid", "s.*")
+    """Newest status of each gauge over the batches written so far; gauges that fell silent are left out."""
+    d = out.groupBy("site_uid").agg(F.max_by(F.struct(*[F.col(c) for c in out.columns if c != "site_uid"]), "batch").alias("s")).select("site_uid", "s.*").where("top IS NOT NULL")
     return d.select("site_uid", category(F.col("top")).alias("reached"), category(F.col("current")).alias("current"), "peak_time", "peak_stage", "peak_flow", "last_time", "last_stage")
 
 
