@@ -124,24 +124,26 @@ def near_lines(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequenc
     return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m"))
 
 
-def segments_apart() -> Column:
-    """Distance between the segments (x0, y0)-(x1, y1) and (_x0, _y0)-(_x1, _y1): zero where they cross."""
+def with_distance(pairs: DataFrame) -> DataFrame:
+    """Add ``_d``, the distance between the segments (x0, y0)-(x1, y1) and (_x0, _y0)-(_x1, _y1) of a row: zero where they cross.
+
+    In steps of small columns: each is used more than once, and one nested expression would outgrow what the JVM compiles."""
     c = F.col
 
-    def side(px, py, x0, y0, x1, y1):
-        return F.signum((c(x1) - c(x0)) * (c(py) - c(y0)) - (c(y1) - c(y0)) * (c(px) - c(x0)))
+    def along(vx, vy, dx, dy):
+        return F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), (vx * c(dx) + vy * c(dy)) / F.nullif(c(dx) * c(dx) + c(dy) * c(dy), F.lit(0.0)))), F.lit(0.0))
 
-    def to_other(px, py):
-        dx, dy = c("_x1") - c("_x0"), c("_y1") - c("_y0")
-        length = dx * dx + dy * dy
-        t = F.when(length > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((px - c("_x0")) * dx + (py - c("_y0")) * dy) / length))).otherwise(0.0)
-        ex, ey = px - (c("_x0") + t * dx), py - (c("_y0") + t * dy)
-        return F.sqrt(ex * ex + ey * ey)
+    def off(vx, vy, t, dx, dy):
+        ex, ey = vx - c(t) * c(dx), vy - c(t) * c(dy)
+        return ex * ex + ey * ey
 
-    own, other = ("x0", "y0", "x1", "y1"), ("_x0", "_y0", "_x1", "_y1")
-    apart = (side("_x0", "_y0", *own) * side("_x1", "_y1", *own) < 0) & (side("x0", "y0", *other) * side("x1", "y1", *other) < 0)
-    ends = F.least(segment_distance(c("_x0"), c("_y0")), segment_distance(c("_x1"), c("_y1")), to_other(c("x0"), c("y0")), to_other(c("x1"), c("y1")))
-    return F.when(apart, 0.0).otherwise(ends)
+    d = pairs.withColumns({"_ax": c("x1") - c("x0"), "_ay": c("y1") - c("y0"), "_bx_": c("_x1") - c("_x0"), "_by_": c("_y1") - c("_y0"), "_wx": c("_x0") - c("x0"), "_wy": c("_y0") - c("y0")})
+    starts = ((c("_wx"), c("_wy"), "_ax", "_ay"), (c("_wx") + c("_bx_"), c("_wy") + c("_by_"), "_ax", "_ay"), (-c("_wx"), -c("_wy"), "_bx_", "_by_"), (c("_ax") - c("_wx"), c("_ay") - c("_wy"), "_bx_", "_by_"))
+    d = d.withColumns({f"_t{k}": along(*v) for k, v in enumerate(starts)} | {"_turn": F.nullif(c("_ax") * c("_by_") - c("_ay") * c("_bx_"), F.lit(0.0))})
+    d = d.withColumns({f"_e{k}": off(v[0], v[1], f"_t{k}", v[2], v[3]) for k, v in enumerate(starts)}
+                      | {"_u": (c("_wx") * c("_by_") - c("_wy") * c("_bx_")) / c("_turn"), "_v": (c("_wx") * c("_ay") - c("_wy") * c("_ax")) / c("_turn")})
+    crosses = F.coalesce((c("_u") > 0) & (c("_u") < 1) & (c("_v") > 0) & (c("_v") < 1), F.lit(False))
+    return d.select(*pairs.columns, F.when(crosses, 0.0).otherwise(F.sqrt(F.least("_e0", "_e1", "_e2", "_e3"))).alias("_d"))
 
 
 def near_segments(features: DataFrame, lines: DataFrame, ids: Sequence[str], radius: float, line: str = "line_id", cell: float | None = None) -> DataFrame:
@@ -154,8 +156,10 @@ def near_segments(features: DataFrame, lines: DataFrame, ids: Sequence[str], rad
     own = filed(features.select(*ids, "x0", "y0", "x1", "y1"), cell, cell * 1e-6)
     other = filed(lines.select(line, "x0", "y0", "x1", "y1"), cell, radius * (1 + 1e-6) + cell * 1e-6)
     other = other.select(line, "_bx", "_by", *[F.col(k).alias(f"_{k}") for k in ("x0", "y0", "x1", "y1")])
-    d = own.join(other, ["_bx", "_by"]).withColumn("_d", segments_apart()).where(F.col("_d") <= radius)
-    return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m"))
+    apart = lambda a, b: F.greatest(F.least(f"{a}0", f"{a}1") - F.greatest(f"{b}0", f"{b}1"), F.least(f"{b}0", f"{b}1") - F.greatest(f"{a}0", f"{a}1")) <= radius
+    d = with_distance(own.join(other, ["_bx", "_by"]).where(apart("x", "_x") & apart("y", "_y")))
+    # a filter on the distance of each pair would be pushed into the join as one huge expression; a filter on the least one is not
+    return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m")).where(F.col("distance_m") <= radius)
 
 
 def vertices(edges: DataFrame, *ids: str) -> DataFrame:
