@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -53,11 +55,22 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def give_back() -> None:
+    """Hand memory that is free again to the system: workers are used by one stage after the other, and each would keep its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without this call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to some rows each, so that a worker holds few texts as Python objects at a time."""
+    """Arrow batches cut to some rows each, so that a worker holds few texts as Python objects at a time; free memory goes back at
+    the end."""
     for b in batches:
         for s in range(0, b.num_rows, rows):
             yield b.slice(s, rows)
+    b = None  # noqa: F841
+    give_back()
 
 
 def add_columns(df: DataFrame, added: list[T.StructField], make: Callable[[dict[str, list]], dict], needs: list[str]) -> DataFrame:

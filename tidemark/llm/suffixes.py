@@ -28,7 +28,7 @@ LEAD = 40
 #: Occurrences beyond which leading bytes are cut into windows.
 HOT = 20_000
 #: Bytes of texts, and of contexts, that a task handles at a time.
-TEXT_BATCH, CONTEXT_BATCH = 8_000_000, 4_000_000
+TEXT_BATCH, CONTEXT_BATCH = 4_000_000, 4_000_000
 #: Places in the later texts of one doc_id follow those of the first at this distance.
 SEQ = 1 << 40
 
