@@ -1,10 +1,11 @@
 import glob
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import maintain, quality
+from tidemark.operators import grids, maintain, quality
 from tidemark.plans.tables import Tables
 from tidemark.schema import STORED
 from tidemark.sources import archive, manifest
@@ -219,3 +220,23 @@ def test_readers_of_an_archive_read_only_what_is_in_force(frame, spark, tmp_path
     assert names == {"year=2020!", "year=2021", "year=2020"}
     plan = archive.read_observations(spark, root).where("year = 2021")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and archive.read_observations(spark, root).where("year = 2021").count() == 1
+
+
+def test_only_years_whose_files_changed_are_remade(frame, spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    kinds = frame([], "k string, total double, year int").schema
+    sums = lambda d: d.groupBy("k", "year").agg(F.sum("v").alias("total"))
+    write = lambda rows: frame(rows, "k string, v double, year int").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(source)
+    run = lambda method="m1": grids.recompute_years(spark, source, root, kinds, method, sums)
+    totals = lambda: {(r.k, r.year): r.total for r in manifest.read(spark, root, kinds).collect()}
+    write([("a", 1.0, 2020), ("a", 2.0, 2021), ("b", 3.0, 2022)])
+    assert run() == [2020, 2021, 2022] and run() == []
+    before = stamps(root)
+    write([("a", 5.0, 2021), ("c", 6.0, 2023)])
+    assert run() == [2021, 2023] and totals() == {("a", 2020): 1.0, ("a", 2021): 5.0, ("b", 2022): 3.0, ("c", 2023): 6.0}
+    assert {f: t for f, t in stamps(root).items() if f in before} == before
+    assert sum("year=2020" in f for f in stamps(root)) == 1
+    # a year whose files are gone leaves the result
+    shutil.rmtree(f"{source}/year=2022")
+    assert run() == [2022] and ("b", 2022) not in totals()
+    assert run("m2") == [2020, 2021, 2023] and len(totals()) == 3 and run("m2") == []

@@ -5,14 +5,16 @@ and joined to the values on the cell key, so values are aggregated before they a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.resolve import connected_groups
 from tidemark.operators.spatial import points_in_polygons
 from tidemark.schema import AF_M3, EARTH_AREA_KM, M_TO_IN, MM_TO_IN, SQ_M_PER_SQ_MI
+from tidemark.sources import manifest
 
 COVER_MM, SNOW_MM = 25.0, 10.0
 KM_PER_DEG = 111.0
@@ -110,6 +112,32 @@ def stale_years(files: DataFrame, manifest: DataFrame, same_method: Column) -> D
     return files.join(done, ["year", "file", "size", "mtime"], "left_anti")
 
 
+def recompute_years(spark: SparkSession, source: str, root: str, schema: T.StructType, method: str, make: Callable[[DataFrame], DataFrame]) -> list[int]:
+    """Bring a result by year (columns of ``schema``, year among them) up to date with the files it is made from; the years remade.
+
+    ``source`` holds Parquet files in ``year=`` folders. Beside the result lies a table of the files it was made from: path, size and
+    time of change, and the method. Years with a file that is new, changed or gone are remade by ``make``, all of them under another
+    method; only their files are read. The other years' files stay as they are. Results go in force by the manifest first and the
+    table of files is written after, so a driver lost in between repeats the same years."""
+    now = manifest.files(spark, source).select(F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int").alias("year"), "path", "size", "changed")
+    kinds = "year int, path string, size bigint, changed timestamp, method string"
+    runs = sorted(int(k) for k in manifest.children(spark, f"{root}/_made") if manifest.exists(spark, f"{root}/_made/{k}/_SUCCESS"))
+    seen = spark.read.schema(kinds).parquet(f"{root}/_made/{runs[-1]:08d}") if runs else spark.createDataFrame([], kinds)
+    same = seen.where(F.col("method") == method).drop("method")
+    # one row a year at most
+    stale = sorted(r.year for r in now.exceptAll(same).union(same.exceptAll(now)).union(seen.where(F.col("method") != method).drop("method")).select("year").distinct().collect())
+    if not stale:
+        return []
+    state = now.agg(F.sum(F.xxhash64("path", "size", "changed").cast("decimal(38,0)"))).first()[0] or 0
+    version = f"made-{(runs or [0])[-1] + 1}-{abs(int(state)):x}"
+    held = [r.year for r in now.select("year").distinct().collect() if r.year in stale]
+    rows = make(spark.read.option("basePath", source).parquet(*[f"{source}/year={y}" for y in held])) if held else spark.createDataFrame([], schema)
+    manifest.stage(rows.select(*schema.names), root, version, ["year"], [f"year={y}" for y in stale])
+    manifest.swap(spark, root, version)
+    now.withColumn("method", F.lit(method)).coalesce(1).write.mode("overwrite").parquet(f"{root}/_made/{(runs or [0])[-1] + 1:08d}")
+    return stale
+
+
 def joined_spans(spans: DataFrame) -> DataFrame:
     """(line, a, b): the runs that any of the polygons covers, overlaps joined."""
     w = Window.partitionBy("line").orderBy("a", "b")

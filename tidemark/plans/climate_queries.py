@@ -1,12 +1,17 @@
 """Grid, precipitation, temperature and drought queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import climate as c
 from tidemark.operators import grids as g
 from tidemark.operators.spatial import box_edges
 from tidemark.plans.normals_queries import CLS
 from tidemark.plans.registry import query
+from tidemark.session import ensure_checkpoint_dir
+from tidemark.sources import manifest
 
 STEP = 0.25
 SUBS = """sub AS (SELECT iy, ix, lon + ((j + 0.5) / {n} - 0.5) * 0.25 AS x, lat + ((i + 0.5) / {n} - 0.5) * 0.25 AS y FROM (SELECT DISTINCT iy, ix, lat, lon FROM grid), range(0, {n}) a(i), range(0, {n}) b(j))"""
@@ -54,6 +59,25 @@ def j5(t):
     return g.stale_years(files, man, F.col("method") == 2)
 
 
+@query("J5_incremental", f"""WITH {W}, g2 AS (SELECT iy, ix, date, CASE WHEN year(date) % 3 = 0 THEN value * 2 ELSE value END AS value FROM grid)
+SELECT unit, CAST(year(date) AS BIGINT) AS year, strftime(date, '%Y-%m-%d') AS date, round(sum(value * weight) / sum(weight), 6) AS value, count(*) AS cells, year(date) % 3 = 0 AS remade FROM g2 JOIN wts USING (iy, ix) WHERE value IS NOT NULL GROUP BY unit, date""")
+def j5i(t):
+    # a result over all years, then new files for every third year, and the result again
+    base = f"{ensure_checkpoint_dir(t.spark)}/incremental-{uuid.uuid4().hex}"
+    grid = t.grid.withColumn("year", F.year("date"))
+    w = weights(t)
+    kinds = T._parse_datatype_string("unit string, date date, value double, cells bigint, year int")
+    make = lambda d: g.zonal_mean(d, w).withColumn("year", F.year("date"))
+    again = lambda: g.recompute_years(t.spark, f"{base}/in", f"{base}/out", kinds, "v1", make)
+    write = lambda d: d.hint("rebalance", F.col("year")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(f"{base}/in")
+    write(grid)
+    again()
+    write(grid.where("year % 3 = 0").withColumn("value", F.col("value") * 2))
+    again()
+    out = manifest.read(t.spark, f"{base}/out", kinds)
+    return out.select("unit", "year", "date", "value", "cells", F.col("_metadata.file_path").contains("version=made-2-").alias("remade"))
+
+
 @query("J6_select_units", f"""WITH {SUBS.format(n=4)}, st AS (SELECT * FROM sub WHERE x > -108.1 AND x < -107.0 AND y > 33.1 AND y < 34.2), a AS (SELECT unit, count(*) AS n, count(*) FILTER (WHERE x > -108.1 AND x < -107.0 AND y > 33.1 AND y < 34.2) AS i FROM sub JOIN boxes ON x > x0 AND x < x1 AND y > y0 AND y < y1 GROUP BY 1)
 SELECT unit, i / n::DOUBLE AS state_fraction, unit = 'W4' AS in_river_reports FROM a WHERE i / n::DOUBLE >= 0.01 OR unit = 'W4'""".replace("i / n::DOUBLE AS state_fraction", "round(i / n::DOUBLE, 6) AS state_fraction"))
 def j6(t):

@@ -23,19 +23,19 @@ def _path(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
+def exists(spark: SparkSession, folder: str) -> bool:
     fs, path = _path(spark, folder)
     return fs.exists(path)
 
 
-def _children(spark: SparkSession, folder: str) -> list[str]:
+def children(spark: SparkSession, folder: str) -> list[str]:
     fs, path = _path(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
 
 
 def current(spark: SparkSession, root: str) -> int:
     """Number of the manifest in force, 0 for none: the largest whose write was finished."""
-    return max([int(n) for n in _children(spark, f"{root}/_manifest") if _exists(spark, f"{root}/_manifest/{n}/_SUCCESS")], default=0)
+    return max([int(n) for n in children(spark, f"{root}/_manifest") if exists(spark, f"{root}/_manifest/{n}/_SUCCESS")], default=0)
 
 
 def live(spark: SparkSession, root: str) -> DataFrame:
@@ -78,7 +78,7 @@ def stage(df: DataFrame, root: str, version: str, by: Sequence[str], touched: Se
     What it replaces is written before the rows, so a finished version can always be swapped in. A version that was left unfinished
     is written anew; a finished one is kept, so that a repeated job goes on at the swap."""
     spark = df.sparkSession
-    if _exists(spark, f"{root}/version={version}/_SUCCESS"):
+    if exists(spark, f"{root}/version={version}/_SUCCESS"):
         return
     spark.createDataFrame([(p,) for p in touched], "partition string").coalesce(1).write.mode("overwrite").parquet(f"{root}/_replaces/{version}")
     (df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).option("compression", "zstd")
@@ -87,9 +87,9 @@ def stage(df: DataFrame, root: str, version: str, by: Sequence[str], touched: Se
 
 def pending(spark: SparkSession, root: str) -> list[str]:
     """Finished versions that no manifest has named yet: jobs lost between staging and swap."""
-    seen = {r.version for k in _children(spark, f"{root}/_manifest") for r in spark.read.schema(LIVE).parquet(f"{root}/_manifest/{k}").select("version").distinct().collect()}
-    staged = [v.split("=", 1)[1] for v in _children(spark, root) if v.startswith("version=")]
-    return [v for v in staged if v not in seen and _exists(spark, f"{root}/version={v}/_SUCCESS")]
+    seen = {r.version for k in children(spark, f"{root}/_manifest") for r in spark.read.schema(LIVE).parquet(f"{root}/_manifest/{k}").select("version").distinct().collect()}
+    staged = [v.split("=", 1)[1] for v in children(spark, root) if v.startswith("version=")]
+    return [v for v in staged if v not in seen and exists(spark, f"{root}/version={v}/_SUCCESS")]
 
 
 def swap(spark: SparkSession, root: str, version: str) -> bool:
@@ -115,7 +115,7 @@ def rewrite(spark: SparkSession, root: str, schema: T.StructType, version: str,
     """Change the rows of the ``touched`` partitions (column partition, as ``held_in`` gives it) and swap the result in; the other partitions are not read.
 
     Rows that ``change`` moves to a partition outside ``touched`` are added to it. Returns the touched partitions."""
-    if _exists(spark, f"{root}/version={version}/_SUCCESS"):
+    if exists(spark, f"{root}/version={version}/_SUCCESS"):
         names = [r.partition for r in spark.read.parquet(f"{root}/_replaces/{version}").collect()]
     else:
         names = sorted(unquote(r.partition) for r in touched.select("partition").distinct().collect())
@@ -130,7 +130,7 @@ def clean(spark: SparkSession, root: str) -> int:
 
     To be run when no reader of an older manifest and no writer is at work."""
     kept, waiting, gone = {(r.version, r.partition) for r in live(spark, root).collect()}, pending(spark, root), 0
-    for v in (x.split("=", 1)[1] for x in _children(spark, root) if x.startswith("version=")):
+    for v in (x.split("=", 1)[1] for x in children(spark, root) if x.startswith("version=")):
         if v in waiting:
             continue
         dead = [""] if v not in {k for k, _ in kept} else [
@@ -139,7 +139,7 @@ def clean(spark: SparkSession, root: str) -> int:
             fs, path = _path(spark, f"{root}/version={v}/{p}")
             fs.delete(path, True)
             gone += 1
-    for k in _children(spark, f"{root}/_manifest"):
+    for k in children(spark, f"{root}/_manifest"):
         if int(k) != current(spark, root):
             fs, path = _path(spark, f"{root}/_manifest/{k}")
             fs.delete(path, True)
