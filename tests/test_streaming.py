@@ -36,8 +36,9 @@ def test_flood_status_replayed_in_batches_equals_batch(spark, frame, tmp_path):
     first, rest = [r for r in rows if r[2].hour < 5 and r not in late], [r for r in rows if r[2].hour >= 5]
     th = thresholds(frame)
     stream = land(spark, str(tmp_path / "in"), [first, rest, late])
-    q = jobs.to_batches(jobs.flood_status(stream, th), str(tmp_path / "out"), str(tmp_path / "state"), "update")
-    q.awaitTermination()
+    with jobs.typed_state(spark):
+        q = jobs.to_batches(jobs.flood_status(stream, th), str(tmp_path / "out"), str(tmp_path / "state"), "update")
+        q.awaitTermination()
     got = {r.site_uid: r for r in jobs.latest_status(spark.read.parquet(str(tmp_path / "out"))).collect()}
     wide = spark.createDataFrame(rows, SCHEMA).groupBy("site_uid", F.col("datetime_utc").alias("time")).agg(F.max(F.when(F.col("variable") == "stage", F.col("value"))).alias("stage"), F.max(F.when(F.col("variable") == "discharge", F.col("value"))).alias("flow"))
     want = {r.site_uid: r for r in status.assess(wide, th).collect()}
@@ -64,8 +65,8 @@ def test_ingest_keeps_late_rows_and_revisions(spark, tmp_path):
 
 def test_changes_ignore_drift_inside_a_step(frame):
     steps = {"category": None, "depth": 2.0}
-    a = jobs.fingerprint(frame([("x", "minor", 10.1), ("y", "major", 4.0), ("z", None, 1.0)], "key string, category string, depth double"), "key", steps)
-    b = jobs.fingerprint(frame([("x", "minor", 11.9), ("y", "moderate", 4.0), ("w", None, 9.0)], "key string, category string, depth double"), "key", steps)
+    a = jobs.visible_state(frame([("x", "minor", 10.1), ("y", "major", 4.0), ("z", None, 1.0)], "key string, category string, depth double"), "key", steps)
+    b = jobs.visible_state(frame([("x", "minor", 11.9), ("y", "moderate", 4.0), ("w", None, 9.0)], "key string, category string, depth double"), "key", steps)
     assert {(r.key, r.kind) for r in jobs.changes(a, b).collect()} == {("y", "changes"), ("z", "clears"), ("w", "appears")}
 
 
@@ -73,11 +74,51 @@ def test_publishing_is_limited_and_stale_pages_renew(frame):
     now = F.lit("2026-05-01 12:00:00").cast("timestamp")
     some, none = frame([("a",)], "key string"), frame([("a",)], "key string").limit(0)
     log = lambda *t: frame([(x,) for x in t], "published_at timestamp")
-    ask = lambda ch, cur, lg: jobs.decide(ch, cur, lg, now).first().why
+    ask = lambda ch, cur, lg: jobs.publish_choice(ch, cur, lg, now).first().why
     assert ask(some, some, log("2026-05-01 11:00:00")) == "changed"
     assert ask(none, some, log("2026-05-01 11:00:00")) == "unchanged"
     assert ask(none, some, log("2026-05-01 05:00:00")) == "stale" and ask(none, none, log("2026-04-01 05:00:00")) == "unchanged"
-    assert ask(some, some, log(*[f"2026-05-01 0{i}:00:00" for i in range(6)])) == "daily limit"
+    assert ask(some, some, log(*[f"2026-05-01 0{i}:00:00" for i in range(6)])) == "limit"
+
+
+def test_publications_survive_a_batch_that_runs_again(spark, tmp_path):
+    """A limit of two a day, an age of six hours, and the same log when the last batches are run again from their checkpoint."""
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    schema = "key string, datetime_utc timestamp, value double"
+    steps = [[("g", at(0), 1.0)], [("g", at(1), 1.4)], [("g", at(2), 2.5)], [("g", at(3), 9.0)], [("h", at(24), 1.0)], [("g", at(29), 9.5)], [("g", at(31), 9.6)], [("g", at(32), 9.7), ("g", at(32), 9.1)]]
+    for i, rows in enumerate(steps):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/b{i}"))
+    read = lambda: jobs.read_files(spark, str(tmp_path / "in/*"), spark.createDataFrame([], schema).schema, files_per_batch=1)
+    run = lambda: jobs.publish_stream(read(), {"value": 1.0}, str(tmp_path / "store"), str(tmp_path / "state"), limit=2).awaitTermination()
+    log = lambda: [(r.why, r.in_period, r.shown) for r in spark.read.parquet(str(tmp_path / "store/log")).orderBy("batch").collect()]
+    run()
+    want = [("changed", 0, 0), ("unchanged", 1, 0), ("changed", 1, 2), ("limit", 2, 2), ("changed", 0, 4), ("unchanged", 1, 4), ("stale", 1, 6), ("limit", 2, 6)]
+    assert log() == want
+    # the commits of the last three batches are lost: they run again
+    for folder, lost in (("commits", (5, 6, 7)), ("offsets", (6, 7))):
+        for i in lost:
+            for name in (f"{i}", f".{i}.crc"):
+                (tmp_path / "state" / folder / name).unlink()
+    run()
+    assert log() == want
+
+
+def test_a_silent_gauge_is_forgotten(spark, frame, tmp_path):
+    """A timer fires when the watermark passes the end of a gauge's window; readings of one instant meet in any order and batch."""
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    batches = [[("g", "stage", at(0), 9.0), ("g", "stage", at(1), 9.0), ("h", "stage", at(0), 5.0)], [("h", "discharge", at(0), 310.0), ("h", "discharge", at(1), 320.0), ("h", "stage", at(1), 8.0)],
+               [("h", "stage", at(90), 1.0)], [("h", "stage", at(91), 1.0)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"in/b{i}"))
+    with jobs.typed_state(spark), jobs.state_partitions(spark, 2):
+        stream = jobs.flood_status(jobs.read_files(spark, str(tmp_path / "in/*"), SCHEMA, files_per_batch=1), thresholds(frame))
+        jobs.to_batches(stream, str(tmp_path / "out"), str(tmp_path / "state"), "update").awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    by_batch = {(r.site_uid, r.batch): r.top for r in out.collect()}
+    # moderate by flow once stage and flow of an hour are together; the old flood is out of h's window at the end, g fell silent
+    assert by_batch["g", 0] == 2 and by_batch["h", 1] == 3
+    assert [(r.site_uid, r.reached) for r in jobs.latest_status(out).collect()] == [("h", None)]
+    assert any(k == "g" and top is None for (k, _), top in by_batch.items())
 
 
 def test_snapshots_are_compared_batch_by_batch(spark, frame, tmp_path):

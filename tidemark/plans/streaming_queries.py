@@ -34,21 +34,28 @@ class StreamTables(Tables):
         return k.read_files(self.spark, f"{self.landed}/{name}/*", schema, files_per_batch=max(1, files // self.arrivals))
 
 
-def arrivals(t, name, folder, order=(0, 1, 2, 3), marker_days=0):
+#: Files of an arrival where one arrival has to be one micro-batch of a single run.
+FILES = 4
+
+
+def arrivals(t, name, folder, order=None, marker_days=0, parts=4, files=None):
     """The whole table as files that arrive in slices of its time, in the given order, one slice a step; a
-    slice may come twice. ``marker_days`` adds one row that much later, by which a watermark passes all others."""
+    slice may come twice. ``files`` fixes the number of files of a slice. ``marker_days`` adds one row that much later, by which a
+    watermark passes all others."""
     src, c = t.read(name), ORDER[name]
+    order = order or tuple(range(parts))
     at = F.unix_timestamp(F.col(c).cast("timestamp"))
     lo, hi = src.agg(F.min(at), F.max(at)).first()
     if lo is None:
         lo = hi = 0
-    part = F.coalesce(F.least(F.floor((at - lo) * 4 / (hi - lo + 1)), F.lit(3)), F.lit(0))
+    part = F.coalesce(F.least(F.floor((at - lo) * parts / (hi - lo + 1)), F.lit(parts - 1)), F.lit(0))
     for i, p in enumerate(order):
-        src.where(part == p).write.parquet(f"{folder}/{name}/arrival={i}")
+        rows = src.where(part == p)
+        (rows.repartition(files) if files else rows).write.parquet(f"{folder}/{name}/arrival={i:02d}")
         yield i
     if marker_days:
         late = src.orderBy(c).limit(1).withColumn(c, (F.timestamp_seconds(F.lit(hi + marker_days * 86400))).cast(src.schema[c].dataType))
-        late.write.parquet(f"{folder}/{name}/arrival={len(order)}")
+        late.write.parquet(f"{folder}/{name}/arrival={len(order):02d}")
         yield len(order)
 
 
@@ -96,7 +103,7 @@ SELECT "key", 'value=' || CAST(a.s AS BIGINT) AS was, 'value=' || CAST(b.s AS BI
 def k3(t):
     def prints(d):
         g = d.groupBy("site_uid", "variable").agg(F.max_by("value", "datetime_utc").alias("value")).withColumn("key", F.concat_ws("/", "site_uid", "variable"))
-        return k.fingerprint(g, "key", {"value": 25.0})
+        return k.visible_state(g, "key", {"value": 25.0})
 
     before = prints(t.subdaily.where("datetime_utc < TIMESTAMP '2024-01-20'"))
     return k.changes(before, prints(t.subdaily.where("NOT (site_uid = 'nwps:3' AND variable = 'stage')")))
@@ -112,6 +119,29 @@ def k3t(t):
     return k.newest(t.spark.read.parquet(f"{base}/store/changes"), ["key"]).select("key", "now")
 
 
+SLICES = 12
+
+
+@query("K3_publications", f"""WITH RECURSIVE s AS (SELECT variable AS "key", datetime_utc AS tm, value, least({SLICES - 1}, (floor(epoch(datetime_utc))::BIGINT - lo) * {SLICES} // (hi - lo + 1)) AS b
+  FROM subdaily, (SELECT min(floor(epoch(datetime_utc))::BIGINT) AS lo, max(floor(epoch(datetime_utc))::BIGINT) AS hi FROM subdaily)),
+ bs AS (SELECT i AS b FROM range(0, {SLICES}) r(i)), l AS (SELECT bs.b, "key", max(tm) AS tm, max_by(value, (tm, value)) AS v FROM bs JOIN s ON s.b <= bs.b GROUP BY 1, 2),
+ f AS (SELECT b, max(tm) AS now, string_agg("key" || '=' || CAST(floor(v / 60) AS BIGINT), ',' ORDER BY "key") AS view FROM l GROUP BY 1),
+ p AS (SELECT b, now, view AS shown, now AS last, 1 AS n, 'changed' AS why, CAST(0 AS BIGINT) AS in_period FROM f WHERE b = 0
+  UNION ALL SELECT b, now, CASE WHEN w IN ('changed', 'stale') THEN view ELSE shown END, CASE WHEN w IN ('changed', 'stale') THEN now ELSE last END, c + CASE WHEN w IN ('changed', 'stale') THEN 1 ELSE 0 END, w, CAST(c AS BIGINT)
+  FROM (SELECT *, CASE WHEN c >= 2 THEN 'limit' WHEN view <> shown THEN 'changed' WHEN floor(epoch(now)) - floor(epoch(last)) > 50 * 3600 THEN 'stale' ELSE 'unchanged' END AS w
+    FROM (SELECT f.b, f.now, f.view, p.shown, p.last, CASE WHEN date_trunc('week', f.now) = date_trunc('week', p.now) THEN p.n ELSE 0 END AS c FROM p JOIN f ON f.b = p.b + 1)))
+SELECT CAST(b AS BIGINT) AS batch, strftime(now, '%Y-%m-%d %H:%M:%S') AS at, why IN ('changed', 'stale') AS publish, why, in_period FROM p""")
+def k3p(t):
+    # twelve arrivals over a month, two publications a week at most
+    base = f"{ensure_checkpoint_dir(t.spark)}/streams/{uuid.uuid4().hex}"
+    for _ in arrivals(t, "events", f"{base}/in", parts=SLICES, files=FILES):
+        pass
+    one = StreamTables(t.spark, t.dir, f"{base}/in", SLICES)
+    stream = one.subdaily.select(F.col("variable").alias("key"), "datetime_utc", "value")
+    k.publish_stream(stream, {"value": 60.0}, f"{base}/store", f"{base}/state", 2, "week", 50.0).awaitTermination()
+    return t.spark.read.parquet(f"{base}/store/log").select("batch", "at", "publish", "why", "in_period")
+
+
 @query("K4_stream_ingest", """
 WITH m AS (SELECT r.source, x.variable, r.site_uid, r.datetime_utc, r.value * x.factor + x."offset" AS value, coalesce(r.statistic, x.statistic) AS statistic, coalesce(r.interval, x.interval) AS interval, coalesce(r.depth_cm, x.depth_cm) AS depth_cm, r.ingest_run_id
   FROM raw_obs r JOIN crosswalk x ON x.source = r.source AND x.source_param = r.source_param LEFT JOIN registry g ON g.variable = x.variable WHERE x.variable <> '' AND r.value IS NOT NULL

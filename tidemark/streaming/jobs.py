@@ -197,7 +197,7 @@ def fresh_readings(out: DataFrame, now: Column, max_age_hours: int = 36) -> Data
 # ---- change detection -------------------------------------------------------
 
 
-def fingerprint(df: DataFrame, key: str, steps: dict[str, float | None]) -> DataFrame:
+def visible_state(df: DataFrame, key: str, steps: dict[str, float | None]) -> DataFrame:
     """What a reader can see move: values cut to steps, so drift inside a step changes nothing."""
     cells = [F.concat(F.lit(f"{c}="), F.coalesce((F.col(c) if s is None else F.floor(F.col(c) / s)).cast("string"), F.lit("-"))) for c, s in steps.items()]
     return df.select(F.col(key).alias("key"), F.concat_ws("|", *cells).alias("print"))
@@ -210,22 +210,25 @@ def changes(shown: DataFrame, current: DataFrame) -> DataFrame:
     return a.join(b, "key", "full_outer").where(~F.col("was").eqNullSafe(F.col("now"))).select("key", "was", "now", kind.alias("kind"))
 
 
-def decide(changed: DataFrame, current: DataFrame, log: DataFrame, now: Column, per_day: int = 6, max_age_hours: float | None = 6.0) -> DataFrame:
-    """One row: whether to publish and why. ``log`` has published_at of every earlier publication."""
+def publish_choice(changed: DataFrame, current: DataFrame, log: DataFrame, now: Column, limit: int = 6, period: str = "day", max_age_hours: float | None = 6.0) -> DataFrame:
+    """One row: whether to publish and why. ``log`` has published_at of every earlier publication, ``limit`` holds for a period.
+
+    The limit comes first; then what changed since the last publication; then, while there is something to show, its age."""
     n = changed.agg(F.count("*")).scalar()
     on = current.agg(F.count("*")).scalar()
-    j = log.agg(F.count_if(F.to_date("published_at") == F.to_date(now)).alias("today"), F.max("published_at").alias("last"))
+    inside = F.date_trunc(period, F.col("published_at")) == F.date_trunc(period, now)
+    j = log.agg(F.count_if(inside).alias("in_period"), F.max("published_at").alias("last"))
     age = (F.unix_timestamp(now) - F.unix_timestamp("last")) / 3600
     stale = F.lit(False) if max_age_hours is None else F.coalesce((on > 0) & (age > max_age_hours), F.lit(False))
-    why = F.when(F.col("today") >= per_day, "daily limit").when(n > 0, "changed").when(stale, "stale").otherwise("unchanged")
-    return j.select(why.isin("changed", "stale").alias("publish"), why.alias("why"), "today", n.alias("changes"))
+    why = F.when(F.col("in_period") >= limit, "limit").when(n > 0, "changed").when(stale, "stale").otherwise("unchanged")
+    return j.select(why.isin("changed", "stale").alias("publish"), why.alias("why"), "in_period", n.alias("changes"))
 
 
 def track_changes(spark: SparkSession, status: DataFrame, key: str, steps: dict[str, float | None], store: str, batch_id: int) -> DataFrame:
     """Compare a batch's status with the snapshot of the batch before, keep the new snapshot and the changes.
 
     Both are folders named by batch, so running a batch again overwrites its own output only."""
-    now = fingerprint(status, key, steps)
+    now = visible_state(status, key, steps)
     now.write.mode("overwrite").parquet(f"{store}/snapshot/batch={batch_id}")
     cur = spark.read.parquet(f"{store}/snapshot/batch={batch_id}")
     schema = "key string, print string"
@@ -253,6 +256,42 @@ def track_stream(stream: DataFrame, steps: dict[str, float | None], store: str,
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+LOG = "batch bigint, at timestamp, publish boolean, why string, in_period bigint, changes bigint, shown bigint"
+
+
+def publish_stream(stream: DataFrame, steps: dict[str, float | None], store: str, checkpoint: str, limit: int = 6, period: str = "day", max_age_hours: float | None = 6.0) -> StreamingQuery:
+    """Decide batch by batch whether the newest values of a stream (key, datetime_utc, value) are published; the log is ``store``/log.
+
+    State between batches is three tables of one folder a batch: the newest reading of each key, what a reader would see of it, and
+    the log, whose row says which batch's view is the published one. The time of a batch is its newest reading's. A batch reads only
+    folders of earlier batches and overwrites its own, so running it again after a lost executor or driver decides the same."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        new = df.select("key", F.col("datetime_utc").alias("at"), "value")
+        if batch_id > 0:
+            new = new.union(spark.read.schema(new.schema).parquet(f"{store}/latest/batch={batch_id - 1}"))
+        rows = new.groupBy("key").agg(F.max("at").alias("at"), F.max_by("value", F.struct("at", "value")).alias("value"))
+        rows.write.mode("overwrite").parquet(f"{store}/latest/batch={batch_id}")
+        latest = spark.read.schema(rows.schema).parquet(f"{store}/latest/batch={batch_id}")
+        view = visible_state(latest, "key", steps)
+        view.write.mode("overwrite").parquet(f"{store}/visible/batch={batch_id}")
+        log = spark.createDataFrame([], LOG)
+        if batch_id > 0:
+            log = spark.read.schema(LOG).parquet(f"{store}/log").where(F.col("batch") < batch_id)
+        # the published view and the time of this batch: two values
+        shown = log.agg(F.max_by("shown", "batch")).first()[0]
+        now = F.lit(latest.agg(F.max("at")).first()[0])
+        before = view.limit(0) if shown is None else spark.read.schema(view.schema).parquet(f"{store}/visible/batch={shown}")
+        current = spark.read.schema(view.schema).parquet(f"{store}/visible/batch={batch_id}")
+        past = log.where("publish").select(F.col("at").alias("published_at"))
+        choice = publish_choice(changes(before, current), current, past, now, limit, period, max_age_hours)
+        row = choice.select(now.cast("timestamp").alias("at"), "publish", "why", "in_period", "changes", F.when(F.col("publish"), F.lit(batch_id)).otherwise(F.lit(shown)).cast("bigint").alias("shown"))
+        row.write.mode("overwrite").parquet(f"{store}/log/batch={batch_id}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
 # ---- windows ----------------------------------------------------------------
 #
 # Windows run in update mode, so state older than the watermark is let go and each batch writes only what
