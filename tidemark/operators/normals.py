@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import classify, midrank, water_year, water_year_start, week_of_year
@@ -105,48 +105,53 @@ def flow_periods(chosen: DataFrame, gauges: DataFrame, end: Column, days: Sequen
 
 
 def exit_set(daily: DataFrame, stale_days: int = 14) -> DataFrame:
-    """Each gauge's newest day, whether it is stale against the newest of all, and the common end day."""
-    last = daily.groupBy("gauge").agg(F.max("date").alias("last_date"))
-    newest = daily.agg(F.max("date")).scalar()
-    j = last.withColumn("stale", F.date_diff(newest, "last_date") > stale_days)
-    end = j.where(~F.col("stale")).agg(F.min("last_date")).scalar()
-    return j.withColumn("common_end", end)
+    """Each gauge's newest day, whether it is stale against the newest of its river, and the river's common end day.
+
+    ``daily``: river, gauge, date, cfs, for any number of rivers at once. A river has a handful of exit gauges."""
+    of_river = Window.partitionBy("river")
+    last = daily.groupBy("river", "gauge").agg(F.max("date").alias("last_date"))
+    j = last.withColumn("stale", F.date_diff(F.max("last_date").over(of_river), "last_date") > stale_days)
+    return j.withColumn("common_end", F.min(F.when(~F.col("stale"), F.col("last_date"))).over(of_river))
 
 
 def exit_windows(daily: DataFrame, end: Column, days: Sequence[int] = (7, 30, 90, 180, 365), coverage: float = 0.75) -> DataFrame:
     """Volume in acre-feet of each gauge's window in every year: mean times days times the day factor."""
-    w = window_means(daily, ["gauge"], "cfs", end, days, coverage)
+    w = window_means(daily, ["river", "gauge"], "cfs", end, days, coverage)
     return w.withColumn("volume_af", F.col("mean") * F.col("days") * CFS_DAY_AF)
 
 
+def with_share_of_median(rated: DataFrame) -> DataFrame:
+    return rated.withColumnRenamed("value", "volume_af").withColumn("percent_of_median", F.when(F.col("median") > 0, 100 * F.col("volume_af") / F.col("median")))
+
+
 def exit_ratings(windows: DataFrame, end: Column, baseline: tuple[int, int] = BASELINE, min_base: int = 20, min_fallback: int = 10) -> DataFrame:
-    r = rate_windows(windows, ["gauge"], "volume_af", end, baseline, min_base, min_fallback)
-    return r.withColumnRenamed("value", "volume_af").withColumn("percent_of_median", F.when(F.col("median") > 0, 100 * F.col("volume_af") / F.col("median")))
+    return with_share_of_median(rate_windows(windows, ["river", "gauge"], "volume_af", end, baseline, min_base, min_fallback))
 
 
 def exit_total(windows: DataFrame, gauges_used: DataFrame, end: Column, baseline: tuple[int, int] = BASELINE, min_base: int = 20, min_fallback: int = 10) -> DataFrame:
-    """The sum over gauges; a year counts only when every used gauge has it, and so does this year."""
-    n_used = gauges_used.agg(F.count("*")).scalar()
-    all_years = (windows.join(gauges_used.select("gauge"), "gauge", "left_semi").groupBy("days", "year").agg(F.sum("volume_af").alias("volume_af"), F.count("*").alias("n"))
-                 .where(F.col("n") == n_used))
-    r = rate_windows(all_years, [], "volume_af", end, baseline, min_base, min_fallback)
-    return r.withColumnRenamed("value", "volume_af").withColumn("percent_of_median", F.when(F.col("median") > 0, 100 * F.col("volume_af") / F.col("median"))).drop("n_days")
+    """The sum over a river's gauges (``gauges_used``: river, gauge); a year counts only when every one has it, and so does this year."""
+    used = gauges_used.groupBy("river").agg(F.count("*").alias("used"))
+    years = windows.join(gauges_used.select("river", "gauge"), ["river", "gauge"], "left_semi").groupBy("river", "days", "year").agg(F.sum("volume_af").alias("volume_af"), F.count("*").alias("n"))
+    whole = years.join(used, "river").where(F.col("n") == F.col("used")).drop("used")
+    return with_share_of_median(rate_windows(whole, ["river"], "volume_af", end, baseline, min_base, min_fallback)).drop("n_days")
 
 
 def water_year_volumes(daily: DataFrame, last_complete: int, coverage: float = 0.9) -> DataFrame:
     """Volume per gauge and complete water year; years below coverage, or begun before the record, are null."""
-    first = daily.groupBy("gauge").agg(F.min("date").alias("_first"))
-    g = daily.withColumn("wy", water_year("date")).where(F.col("wy") <= last_complete).groupBy("gauge", "wy").agg(F.avg("cfs").alias("m"), F.count("*").alias("n")).join(first, "gauge")
+    first = daily.groupBy("river", "gauge").agg(F.min("date").alias("_first"))
+    years = daily.withColumn("wy", water_year("date")).where(F.col("wy") <= last_complete)
+    g = years.groupBy("river", "gauge", "wy").agg(F.avg("cfs").alias("m"), F.count("*").alias("n")).join(first, ["river", "gauge"])
     start = F.make_date(F.col("wy") - 1, F.lit(10), F.lit(1))
     length = F.date_diff(F.make_date(F.col("wy"), F.lit(9), F.lit(30)), start) + 1
     ok = (F.col("_first") <= start) & (F.col("n") >= coverage * length)
-    return g.select("gauge", "wy", "n", F.when(ok, F.col("m") * length * CFS_DAY_AF).alias("volume_af"))
+    return g.select("river", "gauge", "wy", "n", F.when(ok, F.col("m") * length * CFS_DAY_AF).alias("volume_af"))
 
 
-def water_year_totals(volumes: DataFrame, n_gauges: Column) -> DataFrame:
-    """Sum per water year, null unless every gauge has a volume."""
-    g = volumes.groupBy("wy").agg(F.sum("volume_af").alias("s"), F.count("volume_af").alias("n"))
-    return g.select("wy", F.when(F.col("n") == n_gauges, F.col("s")).alias("total_af"))
+def water_year_totals(volumes: DataFrame, gauges: DataFrame) -> DataFrame:
+    """Sum per river and water year, null unless every gauge of the river (``gauges``: river, gauge) has a volume."""
+    want = gauges.select("river", "gauge").distinct().groupBy("river").agg(F.count("*").alias("want"))
+    g = volumes.groupBy("river", "wy").agg(F.sum("volume_af").alias("s"), F.count("volume_af").alias("n"))
+    return g.join(want, "river").select("river", "wy", F.when(F.col("n") == F.col("want"), F.col("s")).alias("total_af"))
 
 
 def year_to_date_days(end: Column) -> Column:

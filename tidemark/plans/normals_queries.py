@@ -102,15 +102,19 @@ def i5(t):
     return n.flow_periods(t.chosen, t.gauges.drop("river"), day("2001-10-31"), baseline=BASE, min_base=4, min_fallback=3, coverage=0.5)
 
 
-EXITS = "ex AS (SELECT gauge, date, cfs FROM chosen WHERE gauge IN (SELECT gauge FROM gauges WHERE river = 'R0') AND NOT (gauge = 'G1' AND date > DATE '2001-09-01'))"
+EXITS = "gr AS (SELECT DISTINCT gauge, river FROM gauges), ex AS (SELECT river, gauge, date, cfs FROM chosen JOIN gr USING (gauge) WHERE NOT (gauge = 'G1' AND date > DATE '2001-09-01'))"
 
 
 def exits(t):
-    return (t.chosen.join(t.gauges.where("river = 'R0'").select("gauge"), "gauge", "left_semi").where(~((F.col("gauge") == "G1") & (F.col("date") > "2001-09-01"))).select("gauge", "date", "cfs"))
+    """Daily flow of every river's gauges; one gauge of the first river stops reporting early."""
+    return t.chosen.join(t.gauges.select("gauge", "river").distinct(), "gauge").where(~((F.col("gauge") == "G1") & (F.col("date") > "2001-09-01"))).select("river", "gauge", "date", "cfs")
 
 
-@query("I29_exit_set", f"""WITH {EXITS}, l AS (SELECT gauge, max(date) AS l FROM ex GROUP BY 1), m AS (SELECT *, (SELECT max(l) FROM l) - l > 14 AS stale FROM l)
-SELECT gauge, strftime(l, '%Y-%m-%d') AS last_date, stale, strftime((SELECT min(l) FROM m WHERE NOT stale), '%Y-%m-%d') AS common_end FROM m""")
+LAST = "la AS (SELECT river, gauge, max(date) AS l, max(max(date)) OVER (PARTITION BY river) AS nw FROM ex GROUP BY 1, 2), st AS (SELECT *, nw - l > 14 AS stale FROM la)"
+
+
+@query("I29_exit_set", f"""WITH {EXITS}, {LAST}
+SELECT river, gauge, strftime(l, '%Y-%m-%d') AS last_date, stale, strftime(min(l) FILTER (WHERE NOT stale) OVER (PARTITION BY river), '%Y-%m-%d') AS common_end FROM st""")
 def i29e(t):
     return n.exit_set(exits(t))
 
@@ -118,32 +122,32 @@ def i29e(t):
 XW = windows("ex", "gauge", "cfs", "2001-08-31", (7, 30, 90), 0.5)
 
 
-@query("I29_exit_ratings", f"""WITH {EXITS}, {XW}, wq AS (SELECT k0 AS gauge, year, days, mean * days * 1.983471 AS volume_af, n FROM wm), {rating("wq", ["gauge"], "volume_af", 2001, 1995, 1999, 4, 3)}
-SELECT gauge, CAST(days AS BIGINT) AS days, round(value, 6) AS volume_af, n_days, basis, round(pct, 6) AS pct, round(median, 6) AS median, n_years, cls, round(CASE WHEN median > 0 THEN 100 * value / median END, 6) AS percent_of_median FROM rt""")
+@query("I29_exit_ratings", f"""WITH {EXITS}, {XW}, wq AS (SELECT river, k0 AS gauge, year, days, mean * days * 1.983471 AS volume_af, n FROM wm JOIN gr ON gr.gauge = k0), {rating("wq", ["river", "gauge"], "volume_af", 2001, 1995, 1999, 4, 3)}
+SELECT river, gauge, CAST(days AS BIGINT) AS days, round(value, 6) AS volume_af, n_days, basis, round(pct, 6) AS pct, round(median, 6) AS median, n_years, cls, round(CASE WHEN median > 0 THEN 100 * value / median END, 6) AS percent_of_median FROM rt""")
 def i29(t):
     d = day("2001-08-31")
-    r = n.exit_ratings(n.exit_windows(exits(t), d, (7, 30, 90), 0.5), d, BASE, 4, 3)
-    return r.withColumn("volume_af", F.col("volume_af")).withColumn("median", F.col("median")).withColumn("percent_of_median", F.col("percent_of_median"))
+    return n.exit_ratings(n.exit_windows(exits(t), d, (7, 30, 90), 0.5), d, BASE, 4, 3)
 
 
-@query("I29_exit_total", f"""WITH {EXITS}, {XW}, wq AS (SELECT days, year, sum(mean * days * 1.983471) AS volume_af, count(*) AS n FROM wm WHERE k0 <> 'G1' GROUP BY 1, 2 HAVING count(*) = (SELECT count(DISTINCT gauge) FROM ex WHERE gauge <> 'G1')),
- {rating("wq", [], "volume_af", 2001, 1995, 1999, 4, 3)} SELECT CAST(days AS BIGINT) AS days, round(value, 6) AS volume_af, basis, round(pct, 6) AS pct, round(median, 6) AS median, n_years, cls, round(CASE WHEN median > 0 THEN 100 * value / median END, 6) AS percent_of_median FROM rt""")
+@query("I29_exit_total", f"""WITH {EXITS}, {XW}, {LAST}, us AS (SELECT river, gauge FROM st WHERE NOT stale), nu AS (SELECT river, count(*) AS u FROM us GROUP BY 1),
+ wq AS (SELECT river, days, year, volume_af, n FROM (SELECT river, days, year, sum(mean * days * 1.983471) AS volume_af, count(*) AS n FROM wm JOIN us ON us.gauge = k0 GROUP BY 1, 2, 3) JOIN nu USING (river) WHERE n = u),
+ {rating("wq", ["river"], "volume_af", 2001, 1995, 1999, 4, 3)} SELECT river, CAST(days AS BIGINT) AS days, round(value, 3) AS volume_af, basis, round(pct, 6) AS pct, round(median, 3) AS median, n_years, cls, round(CASE WHEN median > 0 THEN 100 * value / median END, 3) AS percent_of_median FROM rt""")
 def i29t(t):
     d = day("2001-08-31")
-    used = n.exit_set(exits(t)).where("NOT stale")
+    used = n.exit_set(exits(t)).where("NOT stale").select("river", "gauge")
     r = n.exit_total(n.exit_windows(exits(t), d, (7, 30, 90), 0.5), used, d, BASE, 4, 3)
-    return r.withColumn("volume_af", F.col("volume_af")).withColumn("median", F.col("median")).withColumn("percent_of_median", F.col("percent_of_median"))
+    return r.select(*[F.round(c, 3).alias(c) if c in ("volume_af", "median", "percent_of_median") else F.col(c) for c in r.columns])
 
 
-WY = f"""{EXITS}, ff AS (SELECT gauge, min(date) AS f FROM ex GROUP BY 1), wy AS (SELECT gauge, year(date) + (month(date) >= 10)::INT AS wy, avg(cfs) AS m, count(*) AS n FROM ex GROUP BY 1, 2 HAVING year(max(date)) + (month(max(date)) >= 10)::INT <= 2001),
- vol AS (SELECT gauge, wy, n, CASE WHEN f <= make_date(wy::INT - 1, 10, 1) AND n >= 0.6 * (make_date(wy::INT, 9, 30) - make_date(wy::INT - 1, 10, 1) + 1) THEN m * (make_date(wy::INT, 9, 30) - make_date(wy::INT - 1, 10, 1) + 1) * 1.983471 END AS volume_af FROM wy JOIN ff USING (gauge))"""
+WY = f"""{EXITS}, ff AS (SELECT gauge, min(date) AS f FROM ex GROUP BY 1), wy AS (SELECT river, gauge, year(date) + (month(date) >= 10)::INT AS wy, avg(cfs) AS m, count(*) AS n FROM ex GROUP BY 1, 2, 3 HAVING year(max(date)) + (month(max(date)) >= 10)::INT <= 2001),
+ vol AS (SELECT river, gauge, wy, n, CASE WHEN f <= make_date(wy::INT - 1, 10, 1) AND n >= 0.6 * (make_date(wy::INT, 9, 30) - make_date(wy::INT - 1, 10, 1) + 1) THEN m * (make_date(wy::INT, 9, 30) - make_date(wy::INT - 1, 10, 1) + 1) * 1.983471 END AS volume_af FROM wy JOIN ff USING (gauge))"""
 
 
-@query("I29_water_years", f"WITH {WY} SELECT gauge, wy, n, round(volume_af, 6) AS volume_af FROM vol")
+@query("I29_water_years", f"WITH {WY} SELECT river, gauge, wy, n, round(volume_af, 4) AS volume_af FROM vol")
 def i29w(t):
-    return n.water_year_volumes(exits(t), 2001, 0.6).withColumn("volume_af", F.col("volume_af"))
+    return n.water_year_volumes(exits(t), 2001, 0.6).withColumn("volume_af", F.round("volume_af", 4))
 
 
-@query("I29_water_year_total", f"WITH {WY} SELECT wy, round(CASE WHEN count(volume_af) = 10 THEN sum(volume_af) END, 6) AS total_af FROM vol GROUP BY 1")
+@query("I29_water_year_total", f"WITH {WY}, wt AS (SELECT river, count(*) AS want FROM gr GROUP BY 1) SELECT river, wy, round(CASE WHEN count(volume_af) = any_value(want) THEN sum(volume_af) END, 3) AS total_af FROM vol JOIN wt USING (river) GROUP BY 1, 2")
 def i29y(t):
-    return n.water_year_totals(n.water_year_volumes(exits(t), 2001, 0.6), F.lit(10)).withColumn("total_af", F.col("total_af"))
+    return n.water_year_totals(n.water_year_volumes(exits(t), 2001, 0.6), t.gauges).withColumn("total_af", F.round("total_af", 3))
