@@ -32,6 +32,38 @@ SECOND = ("# next block\nagency_cd\tsite_no\tdatetime\t9_72019_00002\t9_72019_00
           "USGS\t3148\t2009-08-26\t4.80\tA\t4.90\tA\nUSGS\t3148\t2009-08-27\t\t\t4.95\tA\n")
 
 
+def test_headers_reach_lines_many_splits_on(spark, tmp_path):
+    """A block over many splits, blocks inside one, a file that ends in a header, rows as the plain reader in order gives them."""
+    files = {}
+    for name, sizes in (("a", [3000, 1, 0, 40]), ("b", [5, 900, 0])):
+        text = "# stray comment\nUSGS\tbefore any header\n"
+        for k, n in enumerate(sizes):
+            extra = "\tx" if k % 2 else ""
+            text += f"# site {k}\n#\nagency_cd\tsite_no\tdatetime\tv{k}{extra}\n5s\t15s\t20d\t14n{extra and chr(9) + '3s'}\n"
+            text += "".join(f"USGS\t{k:08d}\t2020-01-{1 + i % 28:02d}\t{i}{extra and chr(9) + 'q'}\n" for i in range(n)) + "USGS\tshort\n\n"
+        files[name] = text
+        (tmp_path / f"{name}.rdb").write_text(text)
+    want = []
+    for text in files.values():
+        head = None
+        for line in text.split("\n"):
+            part = line.split("\t")
+            if part[0] == "agency_cd":
+                head = part
+            elif head and part[0] == "USGS" and len(part) == len(head):
+                want.append(tuple(sorted(zip(head, part, strict=True))))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        lines = r.read_header_lines(spark, str(tmp_path))
+        splits = lines.select("file", "start").distinct().count()
+        got = r.parse_header_lines(lines).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert splits > 20 and sorted(tuple(sorted(x.fields.items())) for x in got) == sorted(want) and len(want) == 3946
+
+
 def test_header_blocks_of_different_width(spark, tmp_path):
     (tmp_path / "a.rdb").write_text(HEAD + SECOND)
     rows = r.parse_header_blocks(r.read_header_blocks(spark, str(tmp_path)))

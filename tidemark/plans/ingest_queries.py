@@ -187,9 +187,11 @@ def a10(t):
     li = t.read("lineitem").select("l_orderkey", F.concat_ws("\t", F.lit("USGS"), (F.col("l_orderkey") % 1000).cast("string"), F.date_format("l_shipdate", "yyyy-MM-dd"), "l_quantity", "l_returnflag").alias("line"))
     col = F.when(F.col("l_orderkey") % 2 == 0, "1_00060_00003").otherwise("7_72019_00001")
     head = F.concat(F.lit("agency_cd\tsite_no\tdatetime\t"), col, F.lit("\t"), col, F.lit("_cd\n5s\t15s\t20d\t14n\t10s\n"))
-    # an order has a handful of lines, so a block is small
+    # an order has a handful of lines, so a block can be written as one text; it is read line by line
     blocks = li.groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list("line")), "\n").alias("body")).select(F.concat(F.lit("# comment\n"), head, "body").alias("value"))
-    return r.header_block_values(r.parse_header_blocks(blocks))
+    folder = f"{ensure_checkpoint_dir(t.spark)}/header-lines-{uuid.uuid4().hex}"
+    blocks.write.text(folder)
+    return r.header_block_values(r.parse_header_lines(r.read_header_lines(t.spark, folder)))
 
 
 ROUND_HOUR = "date_trunc('hour', ts + INTERVAL 30 MINUTE)"

@@ -145,6 +145,41 @@ def parse_header_blocks(blocks: DataFrame, text: str = "value") -> DataFrame:
             .select(*keep, F.map_from_arrays("head", cells).alias("fields")))
 
 
+# The first fields that mark a header line, and the line of field widths below one.
+HEADER_FIELDS = ["agency_cd", "site_no"]
+WIDTH_LINE = r"^\d+[sdn](\t\d+[sdn])*$"
+
+
+def read_header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text whose column header changes per site, one row a line: file, start of the split it was read in, place in that split, value."""
+    d = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return d.withColumn("place", F.monotonically_increasing_id())
+
+
+def with_header(lines: DataFrame) -> DataFrame:
+    """Data lines with the header in force (``head``, an array), whatever splits the two lie in.
+
+    A file is read in splits, and a header may stand many splits before its last line. One pass keeps the last header of each split, a
+    row a split; a prefix over a file's splits carries it on; inside a split lines take the last header before them, else the carried
+    one. Groups are splits, so no task holds a file or a site's block. Lines before the first header are dropped, as are comments,
+    widths and lines that do not have the header's number of fields."""
+    first = F.split_part("value", F.lit("\t"), F.lit(1))
+    head = F.when(first.isin(*HEADER_FIELDS), F.col("value"))
+    ends = lines.groupBy("file", "start").agg(F.max_by(head, F.when(head.isNotNull(), F.col("place"))).alias("ends"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("file", "start", F.last("ends", ignorenulls=True).over(before).alias("carried"))
+    upto = Window.partitionBy("file", "start").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    d = lines.withColumn("own", F.last(head, ignorenulls=True).over(upto)).join(carried, ["file", "start"])
+    d = d.where(head.isNull() & (F.col("value") != "") & ~F.col("value").startswith("#") & ~F.col("value").rlike(WIDTH_LINE))
+    d = d.select(*[c for c in lines.columns if c not in ("start", "place")], F.split(F.coalesce("own", "carried"), "\t").alias("head"))
+    return d.where(F.size("head") == F.size(F.split("value", "\t", -1)))
+
+
+def parse_header_lines(lines: DataFrame) -> DataFrame:
+    """Rows of ``read_header_lines`` as ``fields`` maps."""
+    return with_header(lines).select("file", F.map_from_arrays("head", F.split("value", "\t", -1)).alias("fields"))
+
+
 def header_block_values(rows: DataFrame) -> DataFrame:
     """Daily values of header-block rows, each with the qualifier in its ``_cd`` twin."""
     f = F.col("fields")
