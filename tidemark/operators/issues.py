@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import priority_of, water_year
-from tidemark.functions.shapes import exact_percentiles
 from tidemark.operators.flow import _against_used, _most_used
 from tidemark.schema import SOURCE_PRIORITY
 
@@ -91,10 +90,10 @@ def copy_checks(daily: DataFrame, chosen: DataFrame, min_cfs: float = 10.0) -> D
     m = _against_used(daily, chosen).where(F.col("used_cfs") >= min_cfs)
     gap = F.abs(F.col("cfs") - F.col("used_cfs"))
     m = m.withColumn("ratio", F.col("cfs") / F.col("used_cfs")).withColumn("off", ((gap > 5) & (gap / F.col("used_cfs") > 0.10)).cast("int"))
-    base = m.groupBy("gauge", "source").agg(F.count("*").alias("days"), F.avg("off").alias("share_off"), F.min("date").alias("first"), F.max("date").alias("last"))
+    base = m.groupBy("gauge", "source").agg(F.count("*").alias("days"), F.avg("off").alias("share_off"), F.min("date").alias("first"), F.max("date").alias("last"),
+                                            F.percentile("ratio", 0.5).alias("ratio"))
     used = _most_used(m, ["gauge", "source"], "used_source", "used_source").drop("_n")
-    mid = exact_percentiles(m, ["gauge", "source"], "ratio", {"median_ratio": 0.5}).drop("n").withColumnRenamed("median_ratio", "ratio")
-    return base.join(used, ["gauge", "source"]).join(mid, ["gauge", "source"])
+    return base.join(used, ["gauge", "source"])
 
 
 def unit_hint(df: DataFrame, ratio: str = "ratio", tolerance: float = 0.08) -> DataFrame:
