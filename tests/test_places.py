@@ -60,7 +60,7 @@ def test_first_named_reach_downstream(frame):
 def test_gauge_names(frame):
     d = frame([("Rio Ruidoso at Hollywood", "Rio Ruidoso"), ("Little Tesuque Cr", "Tesuque Creek"), ("Pecos River Trib", "Pecos River"), ("San Antonio Arroyo at Rio Grande confluence", "Rio Grande"), ("Pecos R nr Acme", "Pecos River (Upper)"), ("Acequia Madre", "Rio Pueblo"),
                ("Rio Peñasco at Dayton", "Rio Penasco")], "name string, river string")
-    out = d.select(network.names_the_river("name", "river").alias("strict"), network.is_river_gauge("name", "river").alias("loose")).collect()
+    out = d.select(network.opens_with_river("name", "river").alias("strict"), network.carries_river_word("name", "river").alias("loose")).collect()
     assert [x.strict for x in out] == [True, False, False, False, True, False, True]
     assert [x.loose for x in out] == [True, True, True, True, True, False, True]
 

@@ -130,25 +130,21 @@ def _lits(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def is_river_gauge(name: str, river: str) -> Column:
-    """The name carries a distinctive word of the river and is not a ditch, pond or reservoir."""
-    p = F.trim(plain(name))
-    tokens = F.filter(F.regexp_extract_all(plain(river), F.lit(r"([a-z]+)"), F.lit(1)), lambda w: ~F.array_contains(_lits(GENERIC_WORDS), w))
-    return ~p.rlike(NON_RIVER) & ((F.size(tokens) == 0) | F.exists(tokens, lambda w: F.contains(p, w)))
-
-
-def names_the_river(name: str, river: str) -> Column:
-    """The name starts with the river's name and goes on with a place word, a number or nothing."""
-    words = lambda c: F.regexp_extract_all(c, F.lit(r"([a-z0-9]+)"), F.lit(1))
-    g = words(F.replace(F.regexp_replace(plain(name), r"\(.*?\)", " "), F.lit("@"), F.lit(" at ")))
-    r = words(F.split_part(plain(river), F.lit(" ("), F.lit(1)))
-    typed = (F.size(r) > 1) & F.array_contains(_lits(STREAM_TYPES), F.try_element_at(r, F.lit(-1)))
-    n = F.when(typed, F.size(r) - 1).otherwise(F.size(r))
-    head = F.slice(g, 1, F.greatest(n, F.lit(0))) == F.slice(r, 1, F.greatest(n, F.lit(0)))
-    after = F.try_element_at(g, n + 1)
-    skip = F.coalesce(F.array_contains(_lits(STREAM_TYPES), after), F.lit(False))
-    follow = F.when(skip, F.try_element_at(g, n + 2)).otherwise(after)
-    return (n > 0) & (F.size(g) >= n) & head & (follow.isNull() | follow.isin(*PLACE_WORDS) | follow.rlike(r"^\d+$"))
+def carries_river_word(name: str, river: str) -> Column:
+    """A distinctive word of the river stands in the name, which is no ditch, pond or reservoir; a river of generic words fits all."""
+    at = F.trim(plain(name))
+    own = F.array_except(F.regexp_extract_all(plain(river), F.lit(r"([a-z]+)"), F.lit(1)), _lits(GENERIC_WORDS))
+    return ~at.rlike(NON_RIVER) & F.coalesce(F.reduce(own, F.lit(False), lambda had, w: had | F.contains(at, w)) | (F.size(own) == 0), F.lit(False))
+
+
+def opens_with_river(name: str, river: str) -> Column:
+    """The name starts with the river's words, its kind of stream left out, and goes on with a place word, a number or nothing."""
+    spaced = lambda c: F.concat(F.array_join(F.regexp_extract_all(c, F.lit(r"([a-z0-9]+)"), F.lit(1)), " "), F.lit(" "))
+    kinds = "|".join(STREAM_TYPES)
+    gauge = spaced(F.replace(F.regexp_replace(plain(name), r"\(.*?\)", " "), F.lit("@"), F.lit(" at ")))
+    words = F.regexp_replace(spaced(F.split_part(plain(river), F.lit(" ("), F.lit(1))), rf"(?<=. )(?:{kinds}) $", "")
+    rest = F.substring(gauge, F.length(words) + 1, F.length(gauge))
+    return (words != " ") & F.startswith(gauge, words) & rest.rlike(rf"^(?:(?:{kinds}) )?+(?:$|(?:{'|'.join(PLACE_WORDS)}) |\d+ )")
 
 
 def read_gauges(segments: DataFrame, flowlines: DataFrame, rivers: DataFrame, counties: DataFrame, series: DataFrame, states: Sequence[str] | None = None) -> DataFrame:
@@ -164,9 +160,9 @@ def read_gauges(segments: DataFrame, flowlines: DataFrame, rivers: DataFrame, co
         s = s.where(F.coalesce("state", F.lit("NM")).isin(*states))
     r = rivers.select("gnis_id", F.col("name").alias("river"), "label")
     f = flowlines.select("comid", "gnis_id", F.col("huc8").alias("_h"))
-    on = s.where(F.col("river_method") == "snap").join(f.select("comid", "gnis_id"), "comid").join(r, "gnis_id").where(is_river_gauge("name", "river"))
+    on = s.where(F.col("river_method") == "snap").join(f.select("comid", "gnis_id"), "comid").join(r, "gnis_id").where(carries_river_word("name", "river"))
     crossed = f.join(r, "gnis_id").select("gnis_id", "river", "label", F.col("_h").alias("huc8")).distinct()
-    below = s.where(F.col("river_method") == "downstream").join(crossed, (s["river_name"] == crossed["river"]) & (s["huc8"] == crossed["huc8"])).where(names_the_river("name", "river"))
+    below = s.where(F.col("river_method") == "downstream").join(crossed, (s["river_name"] == crossed["river"]) & (s["huc8"] == crossed["huc8"])).where(opens_with_river("name", "river"))
     cols = ["gnis_id", "label", "site_uid", "source", "name", "state", "totdasqkm", "river_method"]
     pick = lambda d, h: d.select(*cols, h.alias("segment"))
     return pick(on, F.col("huc8_name")).unionByName(pick(below, F.col("huc8_name")))

@@ -21,6 +21,9 @@ MIRRORS_USGS = ["usbr_hydrodata", "nrcs", "usace_cwms", "codwr", "iem_dcp", "nwp
 KIND_GROUPS = {"stream": "flow", "canal": "flow", "diversion": "flow", "return_flow": "flow", "reservoir": "reservoir", "lake": "reservoir",
                "well": "well", "spring": "spring", "snow": "met", "met": "met"}
 SAMPLING_SOURCES = ["wqp", "nmed_st2"]
+# The published wording of evidence.
+BY_METADATA, BY_ANCHOR = "usgs id in provider metadata", "both linked to "
+BY_WEATHER_KEY = {"ghcn": "same GHCN station id ", "wban": "same WBAN ", "icao": "same ICAO "}
 USGS_ID = r"^(?:USGS-)?(\d{8,15})$"
 
 
@@ -60,7 +63,7 @@ def metadata_links(sites: DataFrame) -> DataFrame:
     j = sites.where(F.col("source") != "usgs").select("site_uid", "source").join(ids, "site_uid").join(known, "n", "left_semi")
     return _links(j.select(F.col("site_uid").alias("site_uid_a"), F.concat(F.lit("usgs:"), "n").alias("site_uid_b"),
                            F.when(F.col("source").isin(*MIRRORS_USGS), "same_sensor").otherwise("same_location_different_sensor").alias("link_type"),
-                           F.lit("usgs id in provider metadata").alias("evidence"), F.lit(None).cast("double").alias("distance_m"), F.lit(0.95).alias("confidence")))
+                           F.lit(BY_METADATA).alias("evidence"), F.lit(None).cast("double").alias("distance_m"), F.lit(0.95).alias("confidence")))
 
 
 def weather_keys(sites: DataFrame) -> DataFrame:
@@ -92,7 +95,7 @@ def weather_links(sites: DataFrame) -> DataFrame:
     k = weather_keys(sites)
     a, b = k.alias("a"), k.alias("b")
     on = (F.col("a.kind") == F.col("b.kind")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.site_uid") < F.col("b.site_uid")) & (F.col("a.source") != F.col("b.source"))
-    names = F.when(F.col("a.kind") == "ghcn", "same GHCN station id ").when(F.col("a.kind") == "wban", "same WBAN ").otherwise("same ICAO ")
+    names = F.when(F.col("a.kind") == "ghcn", BY_WEATHER_KEY["ghcn"]).when(F.col("a.kind") == "wban", BY_WEATHER_KEY["wban"]).otherwise(BY_WEATHER_KEY["icao"])
     j = a.join(b, on).select(F.col("a.site_uid").alias("site_uid_a"), F.col("b.site_uid").alias("site_uid_b"), F.struct(F.col("a.rank").alias("r"), F.concat(names, "a.key").alias("e")).alias("w"))
     g = j.groupBy("site_uid_a", "site_uid_b").agg(F.array_sort(F.collect_set("w")).alias("w"))
     return _links(g.select("site_uid_a", "site_uid_b", F.lit("same_sensor").alias("link_type"), F.array_join(F.transform("w", lambda x: x["e"]), "; ").alias("evidence"),
@@ -176,7 +179,7 @@ def settle_by_anchor(links: DataFrame) -> DataFrame:
     j = j.where(~both | (F.col("xa") == F.col("xb")))
     same = (F.col("ka") == "same_sensor") & (F.col("kb") == "same_sensor")
     settled = j.select("site_uid_a", "site_uid_b", F.when(both, F.when(same, "same_sensor").otherwise("same_location_different_sensor")).otherwise(F.col("link_type")).alias("link_type"),
-                       F.when(both, F.concat(F.lit("both linked to "), "xa")).otherwise(F.col("evidence")).alias("evidence"), "distance_m", F.when(both, 0.95).otherwise(F.col("confidence")).alias("confidence"))
+                       F.when(both, F.concat(F.lit(BY_ANCHOR), "xa")).otherwise(F.col("evidence")).alias("evidence"), "distance_m", F.when(both, 0.95).otherwise(F.col("confidence")).alias("confidence"))
     return exact.unionByName(settled)
 
 

@@ -416,6 +416,10 @@ COLUMN_PATTERNS = [
 ]
 
 
+# Names that are dates or sites where no other pattern fits.
+DATE_WORD, NOT_DATE_WORD, SITE_NAME = "date", "update", r"(well|site|point|station).*(id|name|number|no)$|^pointid$"
+
+
 def guess_columns(names: Sequence[str], patterns: Sequence[tuple[str, str]] = tuple(COLUMN_PATTERNS)) -> dict[str, str | None]:
     """Role of each column from its name: parameter, ``date``, ``site`` or nothing."""
     import re
@@ -424,9 +428,9 @@ def guess_columns(names: Sequence[str], patterns: Sequence[tuple[str, str]] = tu
     for n in names:
         low = n.strip().lower()
         role = next((p for pat, p in patterns if re.match(pat, low)), None)
-        if role is None and "date" in low and "update" not in low:
+        if role is None and DATE_WORD in low and NOT_DATE_WORD not in low:
             role = "date"
-        if role is None and re.search(r"(well|site|point|station).*(id|name|number|no)$|^pointid$", low):
+        if role is None and re.search(SITE_NAME, low):
             role = "site"
         out[n] = role
     return out
