@@ -130,10 +130,14 @@ def test_water_balance_closes(frame):
 
 def test_state_line_totals_count_only_years_with_every_gauge(frame):
     rows = [(g, (D(y, 6, 1) + dt.timedelta(days=i)).isoformat(), float(y - 2000) * k) for g, k in (("a", 1), ("b", 2)) for y in range(2001, 2013) for i in range(30) if not (g == "b" and y == 2005)]
-    d = frame(rows, "gauge string, date date, cfs double")
+    other = [("c", (D(y, 6, 1) + dt.timedelta(days=i)).isoformat(), 5.0) for y in range(2001, 2013) for i in range(30)]
+    d = frame(rows, "gauge string, date date, cfs double").withColumn("river", F.lit("x")).unionByName(frame(other, "gauge string, date date, cfs double").withColumn("river", F.lit("y")))
     end = day("2012-06-30")
     w = normals.exit_windows(d, end, (10,))
     one = {r.gauge: r for r in normals.exit_ratings(w, end, (1991, 2020), 10, 5).collect()}
     assert one["a"].volume_af == 12 * 10 * 1.983471 and one["a"].n_years == 11 and one["b"].n_years == 10
-    tot = normals.exit_total(w, d.select("gauge").distinct(), end, (1991, 2020), 10, 5).first()
-    assert abs(tot.volume_af - 36 * 10 * 1.983471) < 1e-9 and tot.n_years == 10 and tot.cls == "much above normal"
+    tot = {r.river: r for r in normals.exit_total(w, d.select("river", "gauge").distinct(), end, (1991, 2020), 10, 5).collect()}
+    assert abs(tot["x"].volume_af - 36 * 10 * 1.983471) < 1e-9 and tot["x"].n_years == 10 and tot["x"].cls == "much above normal"
+    # the year the other river's gauge lacks counts here
+    assert tot["y"].n_years == 11 and tot["y"].volume_af == 50 * 1.983471
+    assert {(r.river, r.gauge, r.stale) for r in normals.exit_set(d).collect()} == {("x", "a", False), ("x", "b", False), ("y", "c", False)}
