@@ -1,7 +1,11 @@
 """Quality rules, decontamination, language profiles, page differencing and the URL filter on small tables."""
 
 import datetime as dt
+import functools
+import random
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +100,46 @@ def test_language_profiles(frame):
     assert {r.lang_pred for r in language.train_and_identify(frame([(1, "abc", None)], DOCS)).collect()} == {"und"}
 
 
+def brute_language(rows, size):
+    """Rank-order profiles with counters over strings: (held_out, language, score) of each row."""
+    def grams(text):
+        s = " " + " ".join(re.findall(r"[^\W\d_]+", text.lower())) + " "
+        found = [s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1) if s[i:i + n] != " " and (n < 3 or s[i + 1] != " ")]
+        return Counter(found) if s.strip() else Counter()
+
+    def first(counts):
+        number = lambda g: functools.reduce(lambda a, c: a << 21 | ord(c), g, 0)
+        return sorted(counts, key=lambda g: (-counts[g], number(g)))[:size]
+
+    held = [zlib.crc32(str(k).encode()) % 4 == 2 if k is not None else False for k, _, _ in rows]
+    train = {}
+    for (_, text, lang), out in zip(rows, held, strict=True):
+        if not out and lang is not None and text is not None:
+            train.setdefault(lang, Counter()).update(grams(text))
+    place = {lang: {g: i for i, g in enumerate(first(c))} for lang, c in train.items() if c}
+    result = []
+    for (_, text, _), out in zip(rows, held, strict=True):
+        own = first(grams(text or ""))
+        if not own or not any(map(str.isalpha, text)):
+            result.append((out, "und", 0.0))
+            continue
+        far, lang = min((sum(abs(p[g] - i) if g in p else size for i, g in enumerate(own)), lang) for lang, p in place.items())
+        result.append((out, lang, round(1 - far / (size * len(own)), 6)))
+    return result
+
+
+@pytest.mark.parametrize("size", [5, 60, 400])
+def test_language_against_brute_force(frame, size):
+    r = random.Random(size)
+    letters = {"aa": "abcdeé", "bb": "bcdfgß", "cç": "xyzabİ"}
+    word = lambda some: "".join(r.choice(some) for _ in range(r.randrange(1, 9)))
+    rows = [(i, " ".join(word(letters[lang]) for _ in range(r.randrange(1, 40))) + r.choice(["", " 12!", "\n\t_x_", " \u4e2d\u6587"]), lang) for i, lang in enumerate(list(letters) * 25)]
+    rows += [(200, None, "aa"), (201, "", "bb"), (202, "12 \u00b2\u00bd", "aa"), (None, "abc abc", "aa"), (203, "abc", None), (203, "abc", None), (204, "zzz " * 60_000, "cç"), (205, "a", "aa")]
+    df = frame(rows, DOCS).withColumn("score", F.lit("clash")).withColumn("n", F.monotonically_increasing_id())
+    got = Counter((x.doc_id, x.held_out, x.lang_pred, x.score) for x in language.train_and_identify(df, size).collect())
+    assert got == Counter((row[0], *b) for row, b in zip(rows, brute_language(rows, size), strict=True))
+
+
 def test_gram_counts_across_slabs(monkeypatch):
     text = "the cat sat on the mat " * 20
     whole = language.gram_counts(text)
