@@ -161,6 +161,24 @@ def test_page_lines():
     assert pages.page_lines(None) == [] and pages.page_lines("a < b") == [("a < b", pages.NEUTRAL)]
 
 
+@pytest.mark.parametrize("bits", [1 << 28, 60, 1])
+def test_common_lines_with_repeats(monkeypatch, bits):
+    """As long as the table's, a subsequence of both, whether rows are kept whole or pairs halved."""
+    monkeypatch.setattr(pages, "ROW_BITS", bits)
+    assert len(pages.common_lines([1, 2, 1, 3], [2, 1, 3])) == 3
+    for seed in range(1500):
+        r = random.Random(seed)
+        n = r.choice([2, 4, 9, 50])
+        a, b = ([r.randrange(n) for _ in range(r.randrange(16))] for _ in range(2))
+        got = [a[i] for i in sorted(pages.common_lines(a, b))]
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        rest = iter(b)
+        assert len(got) == table[-1][-1] and all(x in rest for x in got)
+
+
 def test_common_lines_against_dynamic_programming():
     import random
 

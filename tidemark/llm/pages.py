@@ -152,36 +152,74 @@ def page_lines(html: str | None) -> list[tuple[str, int]]:
     return [(t, CHROME if k[0] else OWN if within and k[within] else NEUTRAL) for t, k in zip(lines, kinds, strict=True)]
 
 
-def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``, where the k-th of equal lines stands for the k-th only.
+#: Bits of the rows kept for reading a subsequence back; longer pairs are halved first.
+ROW_BITS = 1 << 28
+
+
+def _step(rows: int, matches: dict[int, int], lines: list[int], keep: list[int] | None, full: int) -> int:
+    """Bit-parallel rows of the subsequence table: a zero bit is a place of ``b`` at which its length grows."""
+    for x in lines:
+        m = rows & matches.get(x, 0)
+        rows = ((rows + m) | (rows - m)) & full
+        if keep is not None:
+            keep.append(rows)
+    return rows
 
-    So every line has one partner at most, and the subsequence is a longest increasing one, in n log n steps however often a line
-    repeats."""
-    seen: dict[int, int] = {}
-    where: dict[tuple[int, int], int] = {}
+
+def _matches(b: list[int]) -> dict[int, int]:
+    at: dict[int, list[int]] = {}
     for j, x in enumerate(b):
-        k = seen[x] = seen.get(x, 0) + 1
-        where[x, k] = j
-    seen.clear()
-    tails: list[int] = []
-    ends: list[int] = []
-    before: dict[int, int] = {}
-    for i, x in enumerate(a):
-        k = seen[x] = seen.get(x, 0) + 1
-        j = where.get((x, k))
-        if j is None:
+        at.setdefault(x, []).append(j)
+    out = {}
+    for x, places in at.items():
+        bits = bytearray(places[-1] // 8 + 1)
+        for j in places:
+            bits[j >> 3] |= 1 << (j & 7)
+        out[x] = int.from_bytes(bits, "little")
+    return out
+
+
+def _growth(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each beginning of ``b``."""
+    full = (1 << len(b)) - 1
+    rows = _step(full, _matches(b), a, None, full)
+    bits = np.unpackbits(np.frombuffer(rows.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.concatenate(([0], np.cumsum(bits == 0)))
+
+
+def common_lines(a: list[int], b: list[int]) -> set[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``, lines that repeat included.
+
+    Equal beginnings and ends are taken off. The rest is a table of bits, a row for each line of ``a``, read back from its end; where
+    the rows would not fit, ``a`` is halved and ``b`` cut where both halves together have most in common, so memory stays bounded."""
+    out: set[int] = set()
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i, k, j, z = todo.pop()
+        while i < k and j < z and a[i] == b[j]:
+            out.add(i)
+            i, j = i + 1, j + 1
+        while i < k and j < z and a[k - 1] == b[z - 1]:
+            k, z = k - 1, z - 1
+            out.add(k)
+        if i == k or j == z:
+            continue
+        if (k - i) * (z - j) > ROW_BITS and k - i > 1:
+            mid = (i + k) // 2
+            best = int(np.argmax(_growth(a[i:mid], b[j:z]) + _growth(a[mid:k][::-1], b[j:z][::-1])[::-1]))
+            todo += [(i, mid, j, j + best), (mid, k, j + best, z)]
             continue
-        p = bisect.bisect_left(tails, j)
-        if p == len(tails):
-            tails.append(j)
-            ends.append(i)
-        else:
-            tails[p], ends[p] = j, i
-        before[i] = ends[p - 1] if p else -1
-    out, i = set(), ends[-1] if ends else -1
-    while i >= 0:
-        out.add(i)
-        i = before[i]
+        full, kept = (1 << (z - j)) - 1, []
+        _step(full, _matches(b[j:z]), a[i:k], kept, full)
+        row, col = k - i, z - j
+        while row and col:
+            if kept[row - 1] >> (col - 1) & 1:
+                col -= 1
+            else:
+                row -= 1
+                if not row or kept[row - 1] >> (col - 1) & 1:
+                    out.add(i + row)
+                    col -= 1
     return out
 
 
