@@ -193,3 +193,55 @@ def test_first_stop_on_long_ways(frame):
 
     got = {x.comid: x.stop for x in balance.first_stop_below(lines, frame([(s,) for s in stops], "comid bigint")).collect()}
     assert got == {i: walk(i) for i in down}
+
+
+def scattered(spark, n, reach, seed, **cols):
+    """n segments over a square of 1,000, some upright, some steep, some drawn twice."""
+    c = F.col
+    at = lambda k: F.pmod(F.xxhash64("id", F.lit(seed + k)), F.lit(100_000)) / 100.0
+    d = spark.range(n).select("id", at(1).alias("x0"), at(2).alias("y0"), at(3).alias("u"), at(4).alias("v"))
+    d = d.withColumn("x1", F.when(c("id") % 7 == 0, c("x0")).when(c("id") % 7 == 1, c("x0") + 1e-9).otherwise(c("x0") + (c("u") - 500) / 1000 * reach)).withColumn("y1", c("y0") + (c("v") - 500) / 1000 * reach)
+    d = d.select(*[F.expr(e).alias(k) for k, e in cols.items()], "x0", "y0", "x1", "y1")
+    return d.unionByName(d.limit(5))
+
+
+def test_features_within_finds_the_pairs_of_near_features(spark):
+    lines = scattered(spark, 60, 300, 10, line_id="id % 9")
+    ditches = scattered(spark, 120, 200, 20, feature_id="id", area="false")
+    boxes = spark.range(60).select((F.col("id") + 1000).alias("unit"), (F.col("id") * 131 % 900 + 0.5).alias("x0"), (F.col("id") * 71 % 900 + 0.5).alias("y0"), F.col("id").alias("k"))
+    boxes = boxes.withColumn("x1", F.col("x0") + 5 + F.col("k") * 7).withColumn("y1", F.col("y0") + 9 + F.col("k") % 8 * 40)
+    areas = spatial.box_edges(boxes).withColumnRenamed("poly_id", "feature_id").withColumn("area", F.lit(True))
+    features = ditches.unionByName(areas)
+    for radius, cell in ((3.0, None), (40.0, 25.0)):
+        want = {(r.feature_id, r.line_id) for r in spatial.near_features(features, lines, radius, cell).collect()}
+        got = [(r.feature_id, r.line_id) for r in spatial.features_within(features, lines, radius, cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+
+
+def test_rows_filed_under_buckets_are_not_broadcast(spark):
+    points = spark.range(50).select("id", (F.col("id") * 37 % 50).cast("double").alias("px"), (F.col("id") * 11 % 50).cast("double").alias("py"))
+    lines = scattered(spark, 20, 300, 30, line_id="id")
+    boxes = spatial.box_edges(spark.range(5).select(F.col("id").alias("unit"), F.lit(0.5).alias("x0"), (F.col("id") + 9.5).alias("x1"), F.lit(0.5).alias("y0"), F.lit(20.5).alias("y1")))
+    for df in (spatial.nearest_line(points, lines, "px", "py", ["id"], 200.0), spatial.near_lines(points, lines, "px", "py", ["id"], 200.0), spatial.within_or_nearest(points, boxes, "px", "py", ["id"], 5.0, 5.0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "Broadcast" in x]
+
+
+def test_points_of_one_place_share_its_distances(spark):
+    points = spark.createDataFrame([(k, 5.0, 5.0) for k in range(400)] + [(400, None, 5.0)], "id int, px double, py double")
+    lines = spark.createDataFrame([(k, 0.0, 8.0, 10.0, 8.0) for k in range(300, 0, -1)], "line_id int, x0 double, y0 double, x1 double, y1 double")
+    near = spatial.nearest_line(points, lines, "px", "py", ["id"], 4.0)
+    assert {(r.id, r.line_id, r.distance_m) for r in near.collect()} == {(k, 1, 3.0) for k in range(400)}
+    sizes = []
+    met = spatial._place_lines
+
+    def counted(places, drawn, *a):
+        sizes.append((places.count(), drawn.count()))
+        return met(places, drawn, *a)
+
+    spatial._place_lines = counted
+    try:
+        spatial.nearest_line(points, lines, "px", "py", ["id"], 4.0)
+    finally:
+        spatial._place_lines = met
+    assert sizes == [(1, 1)]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import haversine_m
+from tidemark.session import ensure_checkpoint_dir
 
 # The CONUS Albers equal-area projection on the GRS80 ellipsoid.
 ALBERS = dict(a=6378137.0, f=1 / 298.257222101, lat0=23.0, lon0=-96.0, sp1=29.5, sp2=45.5)
@@ -51,14 +52,22 @@ def box_edges(boxes: DataFrame, key: str = "unit") -> DataFrame:
 STRIP_EDGES = 128
 
 
-def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, ids: Sequence[str], cell: float = 0.5) -> DataFrame:
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast: sizes are estimated before rows are filed under buckets, so the planner would take
+    millions of them for a few megabytes and send them through the driver."""
+    return df.hint("merge")
+
+
+def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, ids: Sequence[str], cell: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     """(ids, poly_id) for every polygon a point lies in, by counting edges a ray to the right crosses.
 
+    Points and polygons may carry columns ``by``, among the ids; only those that agree in them meet.
+
     Points meet polygons through the grid cells of the polygon's bounding box, then only the edges of
     that polygon in the point's own horizontal strip; crossing counts combine before the shuffle. A
     polygon has a strip for every ``STRIP_EDGES`` of its edges, so the key (polygon, strip) stays small
     however many vertices a watershed has."""
-    box = edges.groupBy("poly_id").agg(
+    box = edges.groupBy("poly_id", *by).agg(
         F.min(F.least("x0", "x1")).alias("bx0"), F.max(F.greatest("x0", "x1")).alias("bx1"), F.min(F.least("y0", "y1")).alias("by0"), F.max(F.greatest("y0", "y1")).alias("by1"),
         F.ceil(F.count("*") / STRIP_EDGES).alias("strips"))
     box = box.withColumn("high", F.greatest((F.col("by1") - F.col("by0")) / F.col("strips"), F.lit(1e-12)))
@@ -69,12 +78,12 @@ def points_in_polygons(points: DataFrame, edges: DataFrame, x: str, y: str, ids:
     cells = (box.withColumn("cx", F.explode(F.sequence(F.floor(F.col("bx0") / cell), F.floor(F.col("bx1") / cell))))
              .withColumn("cy", F.explode(F.sequence(F.floor(F.col("by0") / cell), F.floor(F.col("by1") / cell)))))
     p = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("cx", F.floor(F.col("_px") / cell)).withColumn("cy", F.floor(F.col("_py") / cell))
-    cand = p.join(cells, ["cx", "cy"]).where(F.col("_px").between(F.col("bx0"), F.col("bx1")) & F.col("_py").between(F.col("by0"), F.col("by1"))).select(*ids, "_px", "_py", "poly_id", strip_of(F.col("_py")).alias("strip"))
-    strips = edges.where(F.col("y0") != F.col("y1")).join(box.select("poly_id", "by0", "high", "strips"), "poly_id")
-    strips = strips.withColumn("strip", F.explode(F.sequence(strip_of(F.least("y0", "y1")), strip_of(F.greatest("y0", "y1"))))).select("poly_id", "strip", "x0", "y0", "x1", "y1")
+    cand = p.join(merged(cells), ["cx", "cy", *by]).where(F.col("_px").between(F.col("bx0"), F.col("bx1")) & F.col("_py").between(F.col("by0"), F.col("by1"))).select(*ids, "_px", "_py", "poly_id", strip_of(F.col("_py")).alias("strip"))
+    strips = edges.where(F.col("y0") != F.col("y1")).join(merged(box.select("poly_id", *by, "by0", "high", "strips")), ["poly_id", *by])
+    strips = strips.withColumn("strip", F.explode(F.sequence(strip_of(F.least("y0", "y1")), strip_of(F.greatest("y0", "y1"))))).select("poly_id", *by, "strip", "x0", "y0", "x1", "y1")
     straddles = (F.col("y0") > F.col("_py")) != (F.col("y1") > F.col("_py"))
     right = F.col("_px") < F.col("x0") + (F.col("_py") - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
-    hit = cand.join(strips, ["poly_id", "strip"]).where(straddles & right)
+    hit = cand.join(merged(strips), ["poly_id", *by, "strip"]).where(straddles & right)
     return hit.groupBy(*ids, "poly_id").agg(F.count("*").alias("_k")).where(F.col("_k") % 2 == 1).drop("_k")
 
 
@@ -114,14 +123,26 @@ def filed(segments: DataFrame, cell: float, margin: float) -> DataFrame:
     return seg.withColumn("_by", F.explode(F.sequence(F.floor((F.least(ya, yb) - margin) / cell), F.floor((F.greatest(ya, yb) + margin) / cell))))
 
 
+def distinct_places(points: DataFrame, x: str, y: str) -> DataFrame:
+    return points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y).distinct()
+
+
+def _place_lines(places: DataFrame, lines: DataFrame, x: str, y: str, radius: float, line: str) -> DataFrame:
+    """(x, y, line, distance_m) within ``radius``. A place looks in one bucket only, so no pair is missed and none is met twice from different buckets."""
+    seg = filed(lines.select(line, "x0", "y0", "x1", "y1"), radius, radius * (1 + 1e-6))
+    p = places.withColumn("_bx", F.floor(F.col(x) / radius)).withColumn("_by", F.floor(F.col(y) / radius))
+    d = p.join(merged(seg), ["_bx", "_by"]).withColumn("_d", segment_distance(F.col(x), F.col(y))).where(F.col("_d") <= radius)
+    return d.groupBy(x, y, line).agg(F.min("_d").alias("distance_m"))
+
+
 def near_lines(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
     """Smallest distance from each point to each line within ``radius``, in the coordinates' units.
 
-    A point looks in one bucket only, so no pair is missed and none is met twice from different buckets."""
-    seg = filed(lines, radius, radius * (1 + 1e-6)).select(line, "x0", "y0", "x1", "y1", "_bx", "_by")
-    p = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumn("_bx", F.floor(F.col("_px") / radius)).withColumn("_by", F.floor(F.col("_py") / radius))
-    d = p.join(seg, ["_bx", "_by"]).withColumn("_d", segment_distance(F.col("_px"), F.col("_py"))).where(F.col("_d") <= radius)
-    return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m"))
+    Distances are computed between distinct places and distinct segments: points that share a place and lines drawn twice cost one."""
+    d = _place_lines(distinct_places(points, x, y), lines.select(line, "x0", "y0", "x1", "y1").distinct(), x, y, radius, line)
+    back = d.select(F.col(x).alias("_px"), F.col(y).alias("_py"), line, "distance_m")
+    p = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py"))
+    return p.join(merged(back), ["_px", "_py"]).groupBy(*ids, line).agg(F.min("distance_m").alias("distance_m"))
 
 
 def with_distance(pairs: DataFrame) -> DataFrame:
@@ -151,15 +172,16 @@ def near_segments(features: DataFrame, lines: DataFrame, ids: Sequence[str], rad
 
     Lines are filed with the radius around them, features without: the bucket that holds a feature's nearest point holds the line
     too. A pair may meet in several buckets; the least distance is a combinable aggregate. ``cell`` is the side of a bucket, the
-    radius unless given; with radius zero only what touches or crosses is found."""
+    radius unless given; with radius zero only what touches or crosses is found. Where the ids name the line, a feature meets that line only."""
     cell = cell or radius
+    on = [line] if line in ids else []
     own = filed(features.select(*ids, "x0", "y0", "x1", "y1"), cell, cell * 1e-6)
     other = filed(lines.select(line, "x0", "y0", "x1", "y1"), cell, radius * (1 + 1e-6) + cell * 1e-6)
     other = other.select(line, "_bx", "_by", *[F.col(k).alias(f"_{k}") for k in ("x0", "y0", "x1", "y1")])
     apart = lambda a, b: F.greatest(F.least(f"{a}0", f"{a}1") - F.greatest(f"{b}0", f"{b}1"), F.least(f"{b}0", f"{b}1") - F.greatest(f"{a}0", f"{a}1")) <= radius
-    d = with_distance(own.join(other, ["_bx", "_by"]).where(apart("x", "_x") & apart("y", "_y")))
+    d = with_distance(own.join(merged(other), [*on, "_bx", "_by"]).where(apart("x", "_x") & apart("y", "_y")))
     # a filter on the distance of each pair would be pushed into the join as one huge expression; a filter on the least one is not
-    return d.groupBy(*ids, line).agg(F.min("_d").alias("distance_m")).where(F.col("distance_m") <= radius)
+    return d.groupBy(*dict.fromkeys([*ids, line])).agg(F.min("_d").alias("distance_m")).where(F.col("distance_m") <= radius)
 
 
 def vertices(edges: DataFrame, *ids: str) -> DataFrame:
@@ -181,6 +203,42 @@ def near_features(features: DataFrame, lines: DataFrame, radius: float, cell: fl
     return outline.unionByName(held).groupBy("feature_id", line).agg(F.min("distance_m").alias("distance_m"))
 
 
+def features_within(features: DataFrame, lines: DataFrame, radius: float, cell: float | None = None, line: str = "line_id") -> DataFrame:
+    """(feature_id, line) of the pairs that ``near_features`` finds, without their distances.
+
+    Two that pass through one small cell, as wide as the radius from corner to corner, are within it; that settles the pairs where
+    lines or features lie close together from distinct cells alone. Only pairs that share a large bucket and no small cell are held
+    against each other edge by edge, and only areas still without a line against its vertices."""
+    cell, pair = cell or radius, ["feature_id", line]
+    edge = ["x0", "y0", "x1", "y1"]
+    small = radius / math.sqrt(2) * (1 - 1e-6)
+    lines = lines.select(line, *edge).distinct()
+    # where a steep edge crosses into the next column is not known to within a small cell
+    firm = (F.col("x0") == F.col("x1")) | (F.abs(F.col("y1") - F.col("y0")) <= 1000 * F.abs(F.col("x1") - F.col("x0")))
+    marks = filed(lines.where(firm), small, 0.0).select(line, "_bx", "_by").distinct()
+    shapes = features.select(*edge).distinct()
+    seen = filed(shapes.where(firm), small, 0.0).join(merged(marks), ["_bx", "_by"]).select(*edge, line).distinct()
+    ensure_checkpoint_dir(features.sparkSession)
+    sure = features.select("feature_id", *edge).join(merged(seen), edge).select(*pair).distinct().checkpoint()
+
+    buckets = filed(lines, cell, radius * (1 + 1e-6) + cell * 1e-6).select(line, "_bx", "_by").distinct()
+    shared = filed(shapes, cell, cell * 1e-6).join(merged(buckets), ["_bx", "_by"]).select(*edge, line).distinct()
+    open_ = features.select("feature_id", *edge).join(merged(shared), edge).join(merged(sure), pair, "left_anti").select(*pair, *edge).distinct()
+    exact = near_segments(open_, lines, pair, radius, line, cell).select(*pair)
+    sure = sure.unionByName(exact).checkpoint()
+
+    wide = cell * 16
+    areas = features.where("area").select("feature_id", *edge)
+    box = areas.groupBy("feature_id").agg(*[F.floor(f(g(f"{c}0", f"{c}1")) / wide).alias(f"{c}{k}") for c in "xy" for k, f, g in ((0, F.min, F.least), (1, F.max, F.greatest))])
+    box = box.withColumn("_bx", F.explode(F.sequence("x0", "x1"))).withColumn("_by", F.explode(F.sequence("y0", "y1"))).select("feature_id", "_bx", "_by")
+    ends = vertices(lines, line)
+    spots = ends.select(line, F.floor(F.col("vx") / wide).alias("_bx"), F.floor(F.col("vy") / wide).alias("_by")).distinct()
+    left = box.join(merged(spots), ["_bx", "_by"]).select(*pair).distinct().join(merged(sure), pair, "left_anti")
+    left = areas.join(merged(left), "feature_id").withColumnRenamed("feature_id", "poly_id")
+    held = points_in_polygons(ends, left, "vx", "vy", [line, "vx", "vy"], wide, [line])
+    return sure.unionByName(held.select(F.col("poly_id").alias("feature_id"), line).distinct())
+
+
 def meets_polygons(features: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
     """(feature_id, poly_id) of features that share a point with a polygon: an edge of one meets one of the other, or one holds a
     vertex of the other."""
@@ -190,9 +248,12 @@ def meets_polygons(features: DataFrame, polygons: DataFrame, cell: float) -> Dat
 
 
 def nearest_line(points: DataFrame, lines: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, line: str = "line_id") -> DataFrame:
-    """The one nearest line of each point within the radius, the smaller id on ties."""
-    n = near_lines(points, lines, x, y, ids, radius, line)
-    return n.groupBy(*ids).agg(F.min(F.struct("distance_m", line)).alias("n")).select(*ids, F.col(f"n.{line}").alias(line), F.col("n.distance_m").alias("distance_m"))
+    """The one nearest line of each point within the radius, the smaller id on ties; decided once for each distinct place."""
+    drawn = lines.groupBy("x0", "y0", "x1", "y1").agg(F.min(line).alias(line))
+    n = _place_lines(distinct_places(points, x, y), drawn, x, y, radius, line)
+    n = n.groupBy(F.col(x).alias("_px"), F.col(y).alias("_py")).agg(F.min(F.struct("distance_m", line)).alias("n"))
+    p = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).join(merged(n), ["_px", "_py"])
+    return p.groupBy(*ids).agg(F.min("n").alias("n")).select(*ids, F.col(f"n.{line}").alias(line), F.col("n.distance_m").alias("distance_m"))
 
 
 def snap_sites(sites: DataFrame, reaches: DataFrame, max_m: float = 500.0) -> DataFrame:
@@ -206,9 +267,10 @@ def snap_sites(sites: DataFrame, reaches: DataFrame, max_m: float = 500.0) -> Da
 
 
 def within_or_nearest(points: DataFrame, edges: DataFrame, x: str, y: str, ids: Sequence[str], radius: float, cell: float) -> DataFrame:
-    """Polygon a point lies in, else the nearest edge within the radius; ``match_type`` says which."""
-    inside = points_in_polygons(points, edges, x, y, ids, cell).groupBy(*ids).agg(F.min("poly_id").alias("poly_id")).withColumn("match_type", F.lit("within")).withColumn("distance_m", F.lit(0.0))
-    rest = points.join(inside.select(*ids), list(ids), "left_anti")
+    """Polygon a point lies in, else the nearest edge within the radius; ``match_type`` says which. Decided once for each distinct place."""
+    held = points_in_polygons(distinct_places(points, x, y), edges, x, y, [x, y], cell).groupBy(x, y).agg(F.min("poly_id").alias("poly_id"))
+    inside = points.select(*ids, x, y).join(merged(held), [x, y]).groupBy(*ids).agg(F.min("poly_id").alias("poly_id")).withColumn("match_type", F.lit("within")).withColumn("distance_m", F.lit(0.0))
+    rest = points.join(merged(inside.select(*ids)), list(ids), "left_anti")
     near = nearest_line(rest, edges, x, y, ids, radius, "poly_id").withColumn("match_type", F.lit("nearest"))
     return inside.unionByName(near)
 
@@ -224,7 +286,7 @@ def features_near_river(features: DataFrame, river_lines: DataFrame, segments: D
 
     ``features``: edge rows feature_id, name, area, x0, y0, x1, y1; ``segments``: edge rows segment, x0, y0, x1, y1. Only features
     near some river are held against the segments. Where no feature has a name the number of features counts."""
-    near = near_features(features, river_lines, radius, cell).select("feature_id", "line_id")
+    near = features_within(features, river_lines, radius, cell)
     some = features.join(near.select("feature_id").distinct(), "feature_id", "left_semi")
     meets = meets_polygons(some, segments.withColumnRenamed("segment", "poly_id"), cell or radius).withColumnRenamed("poly_id", "segment")
     named = F.when(F.upper(F.trim("name")) != "UNKNOWN", F.nullif(F.initcap(F.trim("name")), F.lit("")))
@@ -319,7 +381,7 @@ def segment_facts(river_lines: DataFrame, segments: DataFrame, towns: DataFrame,
     beside = near.join(inside, ["town", "lon", "lat"]).groupBy("line_id", F.col("poly_id").alias("segment")).agg(
         F.array_sort(F.collect_set(F.struct((-F.col("area")).alias("k"), F.col("town").alias("name")))).alias("t"))
     big = waterbodies.where(F.col("ftype").isin("Reservoir", "LakePond") & (F.col("area_km2") > least_area)).withColumn("area", F.lit(True))
-    close = near_features(big, river_lines, touch, cell).select("feature_id", "line_id")
+    close = features_within(big, river_lines, touch, cell)
     held = meets_polygons(big.join(close.select("feature_id").distinct(), "feature_id", "left_semi"), polygons, cell)
     names = big.where(F.trim("name") != "").select("feature_id", F.trim("name").alias("name"), "area_km2").distinct()
     # a name that several bodies bear counts once, at its largest
