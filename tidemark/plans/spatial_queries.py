@@ -146,7 +146,7 @@ def corridor(t):
     d = t.read("supplier").select(k.alias("unit"), F.concat(F.lit("District "), k % 23).alias("name"), F.abs("s_acctbal").alias("acres"), ((k * 6007) % 90000 + 0.19).alias("x0"), ((k * 9173) % 90000 + 0.23).alias("y0"))
     d = d.withColumn("x1", F.col("x0") + 4000 + F.col("unit") % 7 * 6000).withColumn("y1", F.col("y0") + 3000 + F.col("unit") % 5 * 8000)
     edges = s.box_edges(d).withColumnRenamed("poly_id", "feature_id").withColumn("area", F.lit(True))
-    near = s.near_features(edges, rivers(t), 900.0, 2000.0)
+    near = s.features_within(edges, rivers(t), 900.0, 2000.0)
     return near.join(d.select(F.col("unit").alias("feature_id"), "name", "acres"), "feature_id")
 
 
