@@ -67,7 +67,7 @@ def metadata_links(sites: DataFrame) -> DataFrame:
 
 
 def weather_keys(sites: DataFrame) -> DataFrame:
-    """The ids a weather site can be matched on: station id, WBAN number and airport code."""
+    """The ids a weather site can be matched on: station id, WBAN number and airport code. A WBAN of 99999 in an ISD id stands for none."""
     meta = lambda k: F.get_json_object("raw_metadata", f"$.{k}")
     src, nid = F.col("source"), F.col("native_id")
     ghcn = F.when(src.isin("noaa_ghcnh", "noaa_ghcnd"), nid)

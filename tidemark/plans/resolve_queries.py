@@ -59,7 +59,7 @@ WEATHER = """w AS (SELECT c_custkey // 4 AS g, ['noaa_ghcnh','noaa_ghcnd','noaa_
   ELSE CASE WHEN c_custkey // 4 % 3 = 0 THEN 'USC' || (c_custkey // 4) ELSE 'USW000' || lpad(CAST(c_custkey // 4 AS VARCHAR), 5, '0') END END AS nid, c_custkey FROM customer),
  ws AS (SELECT source || ':' || nid AS site_uid, * FROM w),
  wk AS (SELECT site_uid, source, 0 AS r, 'same GHCN station id ' || nid AS e FROM ws WHERE source IN ('noaa_ghcnh', 'noaa_ghcnd')
-  UNION ALL SELECT site_uid, source, 1, 'same WBAN ' || lpad(CAST(g AS VARCHAR), 5, '0') FROM ws WHERE nid LIKE 'USW000%' OR source IN ('noaa_isd', 'uscrn')
+  UNION ALL SELECT site_uid, source, 1, 'same WBAN ' || lpad(CAST(g AS VARCHAR), 5, '0') FROM ws WHERE nid LIKE 'USW000%' OR source = 'uscrn' OR (source = 'noaa_isd' AND lpad(CAST(g AS VARCHAR), 5, '0') <> '99999')
   UNION ALL SELECT site_uid, source, 2, 'same ICAO K' || lpad(CAST(g % 900 AS VARCHAR), 3, '0') FROM ws WHERE g % 5 = 0)"""
 
 
