@@ -141,3 +141,20 @@ def test_state_line_totals_count_only_years_with_every_gauge(frame):
     # the year the other river's gauge lacks counts here
     assert tot["y"].n_years == 11 and tot["y"].volume_af == 50 * 1.983471
     assert {(r.river, r.gauge, r.stale) for r in normals.exit_set(d).collect()} == {("x", "a", False), ("x", "b", False), ("y", "c", False)}
+
+
+def test_explorer_does_not_let_the_order_of_a_sum_decide_a_half(spark):
+    first = dt.date(2000, 1, 3)
+    rows = [("a", first, 29.55, 2), ("b", first, 29.549999999999997, 2), ("c", first, 29.5499, 2)]
+    seg = spark.createDataFrame(rows, "segment string, week_start date, mean_cfs double, n_gauges int")
+    assert {r.segment: r.v for r in flow.explorer(seg).collect()} == {"a": 29.6, "b": 29.6, "c": 29.5}
+
+
+def test_means_that_differ_by_the_order_of_their_sum_rank_as_equal(spark):
+    monday = lambda y: next(d for d in (dt.date(y, 1, 1) + dt.timedelta(63 + k) for k in range(7)) if d.weekday() == 0)
+    weeks, last = [("g", monday(y), 0.3) for y in (1995, 1996, 1997, 1998)], monday(2001)
+    w = spark.createDataFrame([*weeks, ("g", last, 0.1 + 0.2)], "gauge string, week_start date, mean_cfs double")
+    g = spark.createDataFrame([("g", "s")], "gauge string, segment string")
+    end = F.lit("2001-11-04").cast("date")
+    rate = lambda **k: {r.week_start: r.pct for r in normals.flow_vs_normal(w, g, end, 52, (1995, 1999), 3, 3, **k).collect()}
+    assert rate(places=9)[last] == 50.0 and rate()[last] == 100.0

@@ -164,10 +164,12 @@ def annual_peaks(daily: DataFrame) -> DataFrame:
 
 
 def explorer(segment_weeks: DataFrame, keys: Sequence[str] = ("segment",)) -> DataFrame:
-    """Every week of each segment's whole record, null where it has no value."""
+    """Every week of each segment's whole record, null where it has no value.
+
+    A mean is taken to six decimal places before it is rounded to one, so that the order of a sum does not decide a half."""
     span = segment_weeks.groupBy(*keys).agg(F.min("week_start").alias("a"), F.max("week_start").alias("b"))
     weeks = span.select(*keys, F.explode(F.sequence("a", "b", F.expr("INTERVAL 7 DAYS"))).alias("week_start"))
-    return weeks.join(segment_weeks.select(*keys, "week_start", F.round("mean_cfs", 1).alias("v"), "n_gauges"),
+    return weeks.join(segment_weeks.select(*keys, "week_start", F.round(F.col("mean_cfs").cast("decimal(18,6)"), 1).cast("double").alias("v"), "n_gauges"),
                       [*keys, "week_start"], "left")
 
 

@@ -144,7 +144,7 @@ def g11(t):
 
 @query("G12_explorer", f"""
 WITH {SEG}, b AS (SELECT segment, min(week_start) AS a, max(week_start) AS z FROM seg GROUP BY 1), cal AS (SELECT segment, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS week_start FROM b)
-SELECT c.segment, strftime(c.week_start, '%Y-%m-%d') AS week_start, round(mean_cfs, 1) AS v, n_gauges FROM cal c LEFT JOIN seg s ON s.segment = c.segment AND s.week_start = c.week_start""")
+SELECT c.segment, strftime(c.week_start, '%Y-%m-%d') AS week_start, round(CAST(mean_cfs AS DECIMAL(18, 6)), 1)::DOUBLE AS v, n_gauges FROM cal c LEFT JOIN seg s ON s.segment = c.segment AND s.week_start = c.week_start""")
 def g12(t):
     return f.explorer(f.segment_weekly(t.gauge_weeks, t.gauges))
 
