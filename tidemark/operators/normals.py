@@ -33,8 +33,12 @@ def weekly_bands(weeks: DataFrame, before: Column, baseline: tuple[int, int] = B
 
 
 def flow_vs_normal(weeks: DataFrame, gauges: DataFrame, as_of: Column, n_weeks: int = 52, baseline: tuple[int, int] = BASELINE,
-                   min_base: int = 20, min_fallback: int = 10) -> DataFrame:
-    """Every gauge-week of the last year with its bands and, where reported, percentile and class."""
+                   min_base: int = 20, min_fallback: int = 10, places: int | None = None) -> DataFrame:
+    """Every gauge-week of the last year with its bands and, where reported, percentile and class.
+
+    Means that agree to ``places`` decimal places count as equal, whatever the order they were summed in; as they are unless given."""
+    if places is not None:
+        weeks = weeks.withColumn("mean_cfs", F.round("mean_cfs", places))
     end = last_complete_week(as_of)
     start = F.date_sub(end, 7 * (n_weeks - 1))
     bands = weekly_bands(weeks, start, baseline, min_base, min_fallback)

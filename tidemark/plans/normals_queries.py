@@ -33,8 +33,8 @@ RATED = f"""zz AS (SELECT CAST(date_trunc('week', DATE '2001-11-05') AS DATE) -
  rated AS (SELECT g.*, gauges.segment, q.pct, {CLS} AS cls FROM g JOIN gauges ON gauges.gauge = g.gauge LEFT JOIN q ON q.gauge = g.gauge AND q.week_start = g.week_start)"""
 
 
-def rated(t):
-    return n.flow_vs_normal(t.gauge_weeks, t.gauges.drop("river"), day("2001-11-04"), 52, BASE, 4, 3)
+def rated(t, places=None):
+    return n.flow_vs_normal(t.gauge_weeks, t.gauges.drop("river"), day("2001-11-04"), 52, BASE, 4, 3, places)
 
 
 @query("I3_flow_vs_normal", f"""WITH {RATED} SELECT gauge, segment, strftime(week_start, '%Y-%m-%d') AS week_start, CAST(woy AS BIGINT) AS woy, basis, n_base, round(p10, 6) AS p10, round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75, round(p90, 6) AS p90,
@@ -46,9 +46,13 @@ def i3(t):
 SEGRATED = f"sr AS (SELECT segment, week_start, median(pct) AS pct, count(*) AS n_gauges FROM rated WHERE pct IS NOT NULL GROUP BY 1, 2), segrated AS (SELECT *, {CLS} AS cls FROM sr)"
 
 
-@query("I3_segment_rating", f"WITH {RATED}, {SEGRATED} SELECT segment, strftime(week_start, '%Y-%m-%d') AS week_start, round(pct, 6) AS pct, n_gauges, cls FROM segrated")
+# equal means of a week are equal whatever the order of their sum
+PLAIN_WEEKS = "gw AS (SELECT gauge, week_start, round(mean_cfs, 9) AS mean_cfs FROM gauge_weeks)"
+
+
+@query("I3_segment_rating", f"WITH {PLAIN_WEEKS}, {RATED.replace('gauge_weeks', 'gw')}, {SEGRATED} SELECT segment, strftime(week_start, '%Y-%m-%d') AS week_start, round(pct, 6) AS pct, n_gauges, cls FROM segrated")
 def i3s(t):
-    return n.segment_ratings(rated(t))
+    return n.segment_ratings(rated(t, 9))
 
 
 DRY = "d AS (SELECT c.gauge, c.date, year(c.date) AS y, c.cfs - CASE WHEN CAST(substr(c.gauge, 2) AS BIGINT) % 7 = 3 THEN 48 ELSE 4 END < 0.1 AS dry, g.segment FROM chosen c JOIN gauges g ON g.gauge = c.gauge)"
