@@ -107,3 +107,14 @@ def test_cell_weights_of_a_box_over_one_and_a_half_cells(frame):
     assert grids.polygon_cells(e, 1.0, 1.0).first().cells == 1.5
     assert grids.zonal_mean(cells, w).first().value == 20.0
     assert grids.zonal_mean(cells.withColumn("value", F.when(F.col("ix") == 0, F.col("value"))), w).first().value == 10.0
+
+
+def test_station_pairs_of_many_at_one_place_lie_in_many_parts(spark):
+    a = spark.range(30).select(F.concat(F.lit("s"), "id").alias("site_uid"), (33.0 + F.col("id") % 3 * 0.01).alias("lat"), F.lit(-107.0).alias("lon"), (F.col("id") * 100.0).alias("elevation_m"))
+    b = spark.range(40).select(F.concat(F.lit("o"), "id").alias("site_uid"), (33.0 + F.col("id") % 20 * 0.01).alias("lat"), F.lit(-107.0).alias("lon"), F.lit(1000.0).alias("elevation_m"))
+    b = b.unionByName(spark.createDataFrame([("none", None, None, 1000.0)], "site_uid string, lat double, lon double, elevation_m double"))
+    pairs = spatial.station_pairs(a, b)
+    rows = [(r.station, r.observer) for r in pairs.collect()]
+    near = lambda i, k: math.radians(abs(i % 3 - k % 20) * 0.01) * 6371 <= 12 and abs(i * 100 - 1000) <= 450
+    assert sorted(rows) == sorted((f"s{i}", f"o{k}") for i in range(30) for k in range(40) if near(i, k))
+    assert pairs.rdd.getNumPartitions() == 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -328,20 +328,30 @@ def reservoirs_on_river(registry: DataFrame, dams_near: DataFrame, min_af: float
 def station_pairs(a: DataFrame, b: DataFrame, max_km: float = 12.0, max_rise_m: float = 450.0) -> DataFrame:
     """Stations and observers within a distance and a height difference, through cells as high as the distance.
 
-    An observer is filed under as many cells east and west as the distance spans at its latitude;
-    cells wrap around at the date line."""
+    Distances are computed between distinct places. A place of observers is filed under as many cells east and west as the distance
+    spans at its latitude; cells wrap around at the date line. Pairs outgrow the rows they come from, so they are made in a fixed
+    number of parts: parts sized by the rows would be few."""
+    here = lambda df: df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    stations = here(a).select(F.col("site_uid").alias("station"), F.col("lat").alias("la"), F.col("lon").alias("lo"), F.col("elevation_m").alias("ea"))
+    observers = here(b).select(F.col("site_uid").alias("observer"), F.col("lat").alias("lb"), F.col("lon").alias("ob"), F.col("elevation_m").alias("eb"))
     across = int(360.0 * 111.0 // max_km)
     cell = 360.0 / across
-    l = (a.select(F.col("site_uid").alias("station"), F.col("lat").alias("la"), F.col("lon").alias("lo"), F.col("elevation_m").alias("ea"))
+    l = (stations.select("la", "lo").distinct()
          .withColumn("cx", F.pmod(F.floor((F.col("lo") + 180) / cell), F.lit(across))).withColumn("cy", F.floor(F.col("la") / cell)))
-    shrink = F.cos(F.radians(F.least(F.abs("lat") + max_km / 111.0, F.lit(90.0))))
+    shrink = F.cos(F.radians(F.least(F.abs("lb") + max_km / 111.0, F.lit(90.0))))
     reach = F.ceil(F.least(max_km / 111.0 / F.greatest(shrink, F.lit(1e-9)), F.lit(180.0)) / cell)
     ring = F.sequence(-reach, F.least(reach, across - 1 - reach))
-    r = (b.select(F.col("site_uid").alias("observer"), F.col("lat").alias("lb"), F.col("lon").alias("ob"), F.col("elevation_m").alias("eb"), ring.alias("ring"))
+    r = (observers.select("lb", "ob").distinct().withColumn("ring", ring)
          .withColumn("dx", F.explode("ring")).withColumn("dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
          .withColumn("cx", F.pmod(F.floor((F.col("ob") + 180) / cell) + F.col("dx"), F.lit(across))).withColumn("cy", F.floor(F.col("lb") / cell) + F.col("dy")).drop("ring", "dx", "dy"))
-    j = l.join(r, ["cx", "cy"]).withColumn("km", haversine_m("la", "lo", "lb", "ob") / 1000)
-    return j.where((F.col("km") <= max_km) & (F.abs(F.col("ea") - F.col("eb")) <= max_rise_m)).select("station", "observer", "km")
+    near = l.join(merged(r), ["cx", "cy"]).withColumn("km", haversine_m("la", "lo", "lb", "ob") / 1000).where(F.col("km") <= max_km).select("la", "lo", "lb", "ob", "km")
+    parts = 4 * int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a whole number as key: a join on doubles would shuffle once more, into parts sized by the rows
+    at = F.xxhash64(F.col("lb") + 0.0, F.col("ob") + 0.0)
+    s = stations.join(merged(near), ["la", "lo"]).withColumn("at", at).repartition(parts, "at")
+    o = observers.withColumn("at", at).select("at", "observer", "eb", F.col("lb").alias("lb2"), F.col("ob").alias("ob2")).repartition(parts, "at")
+    j = s.join(merged(o), "at").where((F.col("lb") - F.col("lb2") == 0) & (F.col("ob") - F.col("ob2") == 0))
+    return j.where(F.abs(F.col("ea") - F.col("eb")) <= max_rise_m).select("station", "observer", "km")
 
 
 def station_range(stations: DataFrame, range_edges: DataFrame, near_deg: float = 0.04) -> DataFrame:
