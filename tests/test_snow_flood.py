@@ -100,3 +100,18 @@ def test_rolling_heat_allows_one_missing_day(frame):
     d = frame(rows, "name string, segment string, has_max boolean, date date, value double")
     out = {r.year: r.value for r in status.heat_years(d).collect()}
     assert set(out) == {2018, 2019, 2020} and abs(out[2018] - (20.0 + 10.0 / 6)) < 1e-9
+
+
+def test_rolling_heat_reads_its_days_once_and_files_no_reading_twice(frame, spark):
+    """A window that ends on a day without a reading, in the next year too; days of a sensor pass one aggregate and two shuffles."""
+    days = [D(y, 6, 1) + dt.timedelta(days=i) for y in (2018, 2019, 2020) for i in range(70)] + [D(2018, 12, 26) + dt.timedelta(days=i) for i in range(6)] + [D(2019, 1, 5)]
+    rows = [("s", "w", x.isoformat(), "daily", stat, 50.0 if x.month == 12 else 20.0) for x in days for stat in ("mean", "max")] + [("t", "w", "2018-06-01", "daily", "mean", 1.0)]
+    q = frame(rows, "site_uid string, kind string, date date, interval string, statistic string, value double").withColumn("variable", F.lit("water_temp"))
+    sites = frame([("s", "s", "seg"), ("t", "t", "seg")], "site_uid string, name string, segment string")
+    d = status.temperature_days(q, sites)
+    assert {(r.name, r.has_max): r["count"] for r in d.groupBy("name", "has_max").count().collect()} == {("s", True): len(days), ("t", False): 1}
+    out = status.heat_years(d)
+    assert {(r.year, r.value, r.metric, r.years) for r in out.collect()} == {(2018, 50.0, "7DADM", 3), (2019, 50.0, "7DADM", 3), (2020, 20.0, "7DADM", 3)}
+    big = spark.range(10).select(F.col("id").cast("string").alias("site_uid"), F.lit("water_temp").alias("variable"), F.current_date().alias("date"), F.lit("daily").alias("interval"), F.lit("max").alias("statistic"), F.rand().alias("value"))
+    plan = status.heat_years(status.temperature_days(big, sites))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1 and "sequence(" not in plan

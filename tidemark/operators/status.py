@@ -107,26 +107,36 @@ def quality_days(obs: DataFrame, sites: DataFrame, zone: str = LOCAL_ZONE) -> Da
 def temperature_days(q: DataFrame, sites: DataFrame) -> DataFrame:
     """One value per sensor and day: the daily maximum where the sensor has any, else the mean."""
     d = q.where((F.col("variable") == "water_temp") & (F.col("interval") == "daily")).join(sites.select("site_uid", "name", "segment"), "site_uid")
-    kind = d.groupBy("name", "segment").agg(F.max(F.col("statistic") == "max").alias("has_max"))
-    d = d.join(kind, ["name", "segment"]).where(F.col("statistic") == F.when(F.col("has_max"), "max").otherwise("mean"))
-    return d.groupBy("name", "segment", "has_max", "date").agg(F.avg("value").alias("value"))
+    of = lambda k: [F.avg(F.when(F.col("statistic") == k, F.col("value"))).alias(k), F.count_if(F.col("statistic") == k).alias(f"n_{k}")]
+    # one row a sensor and day first, so the readings are read once and the window over a sensor is bounded by the calendar
+    d = d.groupBy("name", "segment", "date").agg(*of("max"), *of("mean"))
+    d = d.withColumn("has_max", F.max(F.col("n_max") > 0).over(Window.partitionBy("name", "segment")))
+    pick = lambda pre: F.when(F.col("has_max"), F.col(f"{pre}max")).otherwise(F.col(f"{pre}mean"))
+    return d.where(pick("n_") > 0).select("name", "segment", "has_max", "date", pick("").alias("value"))
 
 
 def heat_years(days: DataFrame, min_summer: int = 60, min_years: int = 3, span: int = 7, min_in_span: int = 6) -> DataFrame:
     """Yearly maximum of the seven-day mean, for sensors with enough years of summer days.
 
-    Each reading is filed under the days whose trailing window holds it, so every window, also one
-    that ends on a day without a reading, is one combinable aggregate."""
+    A sensor has one value a day, so its windows run over its own days in order, and nothing is filed under several days. A window
+    may end on days without a reading: those that follow a reading are taken with it, up to the next one. Summer days and maxima of
+    a year are one aggregate behind the same shuffle."""
     k = ["name", "segment", "has_max"]
     summer = F.month("date").isin(6, 7, 8, 9) & F.col("value").isNotNull()
-    per = days.groupBy(*k, F.year("date").alias("year")).agg(F.count_if(summer).alias("n"), F.max("date").alias("last"))
+    of_sensor = Window.partitionBy(*k).orderBy(F.unix_date("date"))
+    ahead = F.date_diff(F.lead("date").over(of_sensor), "date")
+    ends = []
+    for j in range(span - min_in_span + 1):
+        w = of_sensor.rangeBetween(j - span + 1, 0)
+        roll = F.when(F.count("value").over(w) >= min_in_span, F.avg("value").over(w))
+        end = F.struct(F.year(F.date_add("date", j)).alias("year"), (summer if j == 0 else F.lit(False)).alias("summer"), roll.alias("roll"))
+        # the day of the next row is that row's own end, and no window ends behind the last row
+        ends.append(end if j == 0 else F.when(ahead > j, end))
+    w = days.select(*k, F.array_compact(F.array(*ends)).alias("e")).select(*k, F.explode("e").alias("e"))
+    y = w.groupBy(*k, F.col("e.year").alias("year")).agg(F.count_if("e.summer").alias("n"), F.max("e.roll").alias("value"))
     good = F.col("n") >= min_summer
-    enough = per.groupBy(*k).agg(F.count_if(good).alias("years"), F.max("last").alias("last")).where(F.col("years") >= min_years)
-    w = days.withColumn("end", F.explode(F.sequence("date", F.date_add("date", span - 1)))).groupBy(*k, "end").agg(F.count("value").alias("c"), F.avg("value").alias("roll"))
-    w = w.where(F.col("c") >= min_in_span).join(enough, k).where(F.col("end") <= F.col("last"))
-    y = w.groupBy(*k, "years", F.year("end").alias("year")).agg(F.max("roll").alias("value"))
-    return (y.join(per.where(good).select(*k, "year"), [*k, "year"], "left_semi")
-            .select("name", "segment", "year", "value", F.when(F.col("has_max"), "7DADM").otherwise("7-day mean").alias("metric"), "years"))
+    y = y.withColumn("years", F.count_if(good).over(Window.partitionBy(*k))).where(good & (F.col("years") >= min_years) & F.col("value").isNotNull())
+    return y.select("name", "segment", "year", "value", F.when(F.col("has_max"), "7DADM").otherwise("7-day mean").alias("metric"), "years")
 
 
 def temperature_season(days: DataFrame, this_year: int, min_days: int = 365) -> DataFrame:
