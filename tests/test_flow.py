@@ -158,3 +158,13 @@ def test_means_that_differ_by_the_order_of_their_sum_rank_as_equal(spark):
     end = F.lit("2001-11-04").cast("date")
     rate = lambda **k: {r.week_start: r.pct for r in normals.flow_vs_normal(w, g, end, 52, (1995, 1999), 3, 3, **k).collect()}
     assert rate(places=9)[last] == 50.0 and rate()[last] == 100.0
+
+
+def test_drying_and_bands_read_their_days_once(frame, spark):
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Range (")
+    big = spark.range(10).select(F.col("id").cast("string").alias("gauge"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.rand().alias("cfs"))
+    g = frame([("1", "s")], "gauge string, segment string")
+    assert leaves(normals.drying(big, g)) == 1
+    # the weeks that make the bands, and those that are rated
+    weeks = big.select("gauge", F.col("date").alias("week_start"), F.col("cfs").alias("mean_cfs"))
+    assert leaves(normals.flow_vs_normal(weeks, g, day("2026-03-08"))) == 2

@@ -33,3 +33,9 @@ def test_query_agrees_with_its_sql(spark, name):
 def test_entry_returns_rows(spark):
     assert entry.entry(spark).columns == ["segment", "week_start", "mean_cfs", "n_gauges", "min_cfs", "max_cfs"]
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_the_overview_works_out_its_tables_once(spark):
+    """Its parts read the copies, the chosen days and the weeks from the shared folder, not from the readings again."""
+    assert not [f for f in entry.queries()["J36_overview"](spark, "/root/testdata/sf0.001").inputFiles() if "lineitem" in f]

@@ -112,6 +112,17 @@ def test_rolling_heat_reads_its_days_once_and_files_no_reading_twice(frame, spar
     assert {(r.name, r.has_max): r["count"] for r in d.groupBy("name", "has_max").count().collect()} == {("s", True): len(days), ("t", False): 1}
     out = status.heat_years(d)
     assert {(r.year, r.value, r.metric, r.years) for r in out.collect()} == {(2018, 50.0, "7DADM", 3), (2019, 50.0, "7DADM", 3), (2020, 20.0, "7DADM", 3)}
-    big = spark.range(10).select(F.col("id").cast("string").alias("site_uid"), F.lit("water_temp").alias("variable"), F.current_date().alias("date"), F.lit("daily").alias("interval"), F.lit("max").alias("statistic"), F.rand().alias("value"))
+    big = spark.range(10).select(F.col("id").cast("string").alias("site_uid"), F.lit("water_temp").alias("variable"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.lit("daily").alias("interval"), F.lit("max").alias("statistic"), F.rand().alias("value"))
     plan = status.heat_years(status.temperature_days(big, sites))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (") == 1 and "sequence(" not in plan
+
+
+def test_temperature_season_needs_enough_earlier_days(frame, spark):
+    first = D(2019, 1, 1)
+    rows = [("a", "s", (first + dt.timedelta(days=i)).isoformat(), float(i // 365)) for i in range(731)] + [("a", "s", "2021-01-01", 9.0), ("a", "s", "2022-01-02", 9.0)] + [("b", "s", "2019-01-01", 1.0), ("b", "s", "2021-01-01", 1.0)]
+    days = frame(rows, "name string, segment string, date date, value double")
+    out = {(r.name, r.doy): r for r in status.temperature_season(days, 2021).collect()}
+    assert len(out) == 365 and {n for n, _ in out} == {"a"}
+    assert (out["a", 1].p10, out["a", 1].p50, out["a", 1].this_year, out["a", 2].this_year) == (0.1, 0.5, 9.0, None)
+    big = spark.range(10).select(F.col("id").alias("name"), F.col("id").alias("segment"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.rand().alias("value"))
+    assert status.temperature_season(big, 2021)._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1

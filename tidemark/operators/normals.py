@@ -42,8 +42,9 @@ def flow_vs_normal(weeks: DataFrame, gauges: DataFrame, as_of: Column, n_weeks:
     end = last_complete_week(as_of)
     start = F.date_sub(end, 7 * (n_weeks - 1))
     bands = weekly_bands(weeks, start, baseline, min_base, min_fallback)
-    wins = bands.select("gauge").distinct().select("gauge", F.explode(F.sequence(start, end, F.expr("INTERVAL 7 DAYS"))).alias("week_start"))
-    grid = wins.withColumn("woy", week_of_year("week_start")).join(bands, ["gauge", "woy"])
+    # a band stands for the weeks of its week of year, so bands meet no list of weeks in a join
+    wins = F.filter(F.sequence(start, end, F.expr("INTERVAL 7 DAYS")), lambda w: week_of_year(w) == F.col("woy"))
+    grid = bands.withColumn("week_start", F.explode(wins))
     g = grid.join(weeks.select("gauge", "week_start", "mean_cfs"), ["gauge", "week_start"], "left").join(gauges, "gauge")
     return g.withColumn("pct", midrank_in(F.col("base"), F.col("mean_cfs"))).withColumn("cls", classify("pct")).drop("base")
 
@@ -68,8 +69,10 @@ def normally_dry(chosen: DataFrame, gauges: DataFrame, dry_cfs: float = 0.1, sha
 
 def drying(chosen: DataFrame, gauges: DataFrame, dry_cfs: float = 0.1, share: float = 0.9) -> DataFrame:
     """Per segment and year: days any gauge was dry, dry gauge-days, days with data, most gauges in a day."""
-    out = normally_dry(chosen, gauges, dry_cfs, share)
-    d = chosen.join(out.select("gauge"), "gauge", "left_anti").join(gauges, "gauge")
+    # a gauge has one value a day, so its window is bounded by the calendar
+    of_gauge = Window.partitionBy("gauge")
+    dry = F.col("cfs") < dry_cfs
+    d = chosen.withColumn("_share", F.count_if(dry).over(of_gauge) / F.count("*").over(of_gauge)).where(F.col("_share") < share).join(gauges, "gauge")
     day = d.groupBy("segment", "date").agg(F.count_if(F.col("cfs") < dry_cfs).alias("n_dry"), F.count("*").alias("n"))
     return day.groupBy("segment", F.year("date").alias("year")).agg(
         F.count_if(F.col("n_dry") > 0).alias("any_dry_days"), F.sum("n_dry").alias("gauge_dry_days"),

@@ -143,11 +143,12 @@ def temperature_season(days: DataFrame, this_year: int, min_days: int = 365) ->
     """Percentiles by day of year of earlier years beside this year's value."""
     k = ["name", "segment"]
     d = days.withColumn("doy", F.least(F.dayofyear("date"), F.lit(365)))
-    base = d.where(F.year("date") < this_year)
-    enough = base.groupBy(*k).agg(F.count("value").alias("n")).where(F.col("n") > min_days)
-    b = base.join(enough, k, "left_semi").groupBy(*k, "doy").agg(F.percentile("value", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"))
-    cur = d.where(F.year("date") == this_year).groupBy(*k, "doy").agg(F.avg("value").alias("this_year"))
-    return b.join(cur, [*k, "doy"], "left").select(*k, "doy", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"), "this_year")
+    past, now = F.year("date") < this_year, F.year("date") == this_year
+    # earlier years and this one in one aggregate: the days are read once
+    g = d.groupBy(*k, "doy").agg(F.percentile(F.when(past, F.col("value")), F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"), F.count_if(past).alias("days"),
+                                 F.count(F.when(past, F.col("value"))).alias("n"), F.avg(F.when(now, F.col("value"))).alias("this_year"))
+    b = g.withColumn("n", F.sum("n").over(Window.partitionBy(*k))).where((F.col("n") > min_days) & (F.col("days") > 0))
+    return b.select(*k, "doy", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"), "this_year")
 
 
 def salinity_days(q: DataFrame, sites: DataFrame) -> DataFrame:

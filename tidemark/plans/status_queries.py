@@ -139,6 +139,8 @@ def j32d(t):
 SELECT so.segment, round(flow, 6) AS flow, strftime(week, '%Y-%m-%d') AS week, spark, round(pct, 6) AS pct, cls, dry, dry_median::DOUBLE AS dry_median, round(temp, 6) AS temp, round(salinity, 6) AS salinity, salinity_decade, round(precip3_pct, 6) AS precip3_pct, round(dsci, 6) AS dsci
 FROM so LEFT JOIN fl USING (segment) LEFT JOIN rr USING (segment) LEFT JOIN dr USING (segment) LEFT JOIN tl USING (segment) LEFT JOIN sc USING (segment) LEFT JOIN ra USING (segment) LEFT JOIN dc USING (segment)""")
 def j36(t):
+    # six parts read these: each is worked out once, the later ones from the earlier
+    t.keep("copies", "chosen", "gauge_weeks")
     g = t.gauges
     seg = f.segment_weekly(t.gauge_weeks, g.select("gauge", "segment"))
     days = sensors(t)

@@ -5,12 +5,14 @@ adapters in SQL for the checks."""
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import fixed
+from tidemark.session import ensure_checkpoint_dir
 
 CTES: dict[str, str] = {
     # daily readings: fifteen copies (five stations, three publishers) of each gauge
@@ -154,6 +156,13 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def keep(self, *names: str) -> None:
+        """Write adapters to the shared folder, in order, and read them from there: for queries that use one many times."""
+        for name in names:
+            folder = f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+            getattr(self, name).write.parquet(folder)
+            setattr(self, name, self.spark.read.parquet(folder))
+
     @staticmethod
     def _publisher(second: str = "usbr_hydrodata"):
         return (F.when(F.col("l_returnflag") == "A", "usgs").when(F.col("l_returnflag") == "N", second)
