@@ -168,3 +168,23 @@ def test_drying_and_bands_read_their_days_once(frame, spark):
     # the weeks that make the bands, and those that are rated
     weeks = big.select("gauge", F.col("date").alias("week_start"), F.col("cfs").alias("mean_cfs"))
     assert leaves(normals.flow_vs_normal(weeks, g, day("2026-03-08"))) == 2
+
+
+def test_terms_take_the_best_copy_of_a_day(frame):
+    """Best source, then site; a stored mean before readings, the finest interval with enough of them, a null mean too; no window over the days."""
+    t0 = dt.datetime(2020, 1, 1, 7)
+    hours = lambda s, d, n, v: [(s, "discharge", (t0 + dt.timedelta(days=d, hours=i)).isoformat(" "), v, "hourly", "instantaneous") for i in range(n)]
+    quarters = lambda s, d, n, v: [(s, "discharge", (t0 + dt.timedelta(days=d, minutes=15 * i)).isoformat(" "), v, "15min", "instantaneous") for i in range(n)]
+    daily = lambda s, d, v: (s, "discharge", f"2020-01-0{1 + d} 00:00:00", v, "daily", "mean")
+    rows = [daily("codwr:1", 0, 1.0), daily("usgs:2", 0, 2.0), daily("usgs:1", 0, 3.0), *hours("usgs:1", 0, 24, 9.0), *hours("usgs:1", 1, 24, 4.0), *quarters("usgs:1", 1, 96, 5.0), *hours("usgs:1", 2, 24, 6.0),
+            *quarters("usgs:1", 2, 40, 7.0), *hours("usgs:1", 3, 11, 8.0), daily("codwr:1", 3, 10.0), daily("usgs:2", 4, None), daily("codwr:1", 4, 11.0)]
+    rows += [("codwr:1", "storage", "2020-01-01 05:00:00", v, "hourly", "instantaneous") for v in (1.0, 3.0)]
+    d = frame(rows, "site_uid string, variable string, datetime_utc timestamp, value double, interval string, statistic string").withColumn("qualifier", F.lit(None).cast("string"))
+    terms = frame([(r, "up", "inflow", "flow", "discharge", s) for r in ("a", "b") for s in ("codwr:1", "usgs:2", "usgs:1") if (r, s) != ("b", "usgs:1")] + [("a", "lake", "storage", "storage", "storage", "codwr:1")],
+                  "reach string, term string, role string, kind string, variable string, site_uid string")
+    out = balance.read_terms(d, terms)
+    got = {(r.reach, r.term, r.date.day): r.value for r in out.collect()}
+    assert got == {("a", "up", 1): 3.0, ("a", "up", 2): 5.0, ("a", "up", 3): 6.0, ("a", "up", 4): 10.0, ("a", "up", 5): None, ("a", "lake", 1): 2.0,
+                   ("b", "up", 1): 2.0, ("b", "up", 4): 10.0, ("b", "up", 5): None}
+    assert {(r.term, r.role, r.kind) for r in out.collect()} == {("up", "inflow", "flow"), ("lake", "storage", "storage")}
+    assert "WindowGroupLimit" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import water_year
-from tidemark.operators.flow import daily_flow, pick_copy
-from tidemark.schema import CFS_DAY_AF
+from tidemark.functions.columns import priority_of, water_year
+from tidemark.operators.flow import daily_means
+from tidemark.schema import CFS_DAY_AF, READINGS_PER_DAY, SOURCE_PRIORITY
 from tidemark.session import ensure_checkpoint_dir
 
 
@@ -59,10 +59,17 @@ def read_terms(df: DataFrame, terms: DataFrame) -> DataFrame:
     day's values; where a term has several copies the best source is used.
 
     ``terms`` has reach, term, role, kind, variable and site_uid (one row per copy)."""
-    flow = daily_flow(df).select("site_uid", F.lit("discharge").alias("variable"), "date", F.col("cfs").alias("value"))
+    # the order of copies is a matter of the terms, so a term's best copy of a day is a smallest number: an aggregate of plain numbers
+    # that is cut down before the shuffle, where a window would sort every day of every copy
+    order = Window.partitionBy("reach", "term").orderBy(priority_of(F.split_part("site_uid", F.lit(":"), F.lit(1)), SOURCE_PRIORITY), "site_uid", "variable", "role", "kind")
+    ranked = terms.select("reach", "term", "role", "kind", "variable", "site_uid", F.row_number().over(order).cast("bigint").alias("rank"))
+    slots = len(READINGS_PER_DAY) + 1
     other = (df.where(F.col("variable") != "discharge").groupBy("site_uid", "variable", F.to_date("datetime_utc").alias("date")).agg(F.avg("value").alias("value")))
-    j = flow.unionByName(other).join(terms, ["site_uid", "variable"]).withColumn("source", F.split_part("site_uid", F.lit(":"), F.lit(1)))
-    return pick_copy(j, ["reach", "term", "date"]).select("reach", "term", "role", "kind", "date", "value")
+    flow = daily_means(df).select("site_uid", F.lit("discharge").alias("variable"), "date", "value", "slot")
+    j = flow.unionByName(other.withColumn("slot", F.lit(0))).join(ranked, ["site_uid", "variable"])
+    place = F.col("rank") * slots + F.col("slot")
+    g = j.groupBy("reach", "term", "date").agg(F.min_by("value", place).alias("value"), F.min("rank").alias("rank"))
+    return g.join(ranked.select("reach", "term", "role", "kind", "rank"), ["reach", "term", "rank"]).select("reach", "term", "role", "kind", "date", "value")
 
 
 def _period(day, by: str):

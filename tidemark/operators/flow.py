@@ -36,6 +36,23 @@ def daily_flow(df: DataFrame, variable: str = "discharge", zone: str = LOCAL_ZON
     return g.where(keep).select("site_uid", "date", cfs.alias("cfs"), "qualifier")
 
 
+def daily_means(df: DataFrame, variable: str = "discharge", zone: str = LOCAL_ZONE, min_share: float = 0.5) -> DataFrame:
+    """The means ``daily_flow`` chooses from, one row per site, day and slot: 0 for the stored daily mean, then the intervals with
+    enough readings from the finest on. The row with the smallest slot is the day's value.
+
+    One sum and count a row, where ``daily_flow`` keeps one for every interval: for many sites and days this takes a third of the memory."""
+    is_day = (F.col("interval") == "daily") & (F.col("statistic") == "mean")
+    v = df.where((F.col("variable") == variable) & (is_day | F.col("interval").isin(*READINGS_PER_DAY)))
+    local = F.when(is_day, F.to_date("datetime_utc")).otherwise(F.to_date(F.from_utc_timestamp("datetime_utc", zone)))
+    fine = sorted(READINGS_PER_DAY, key=READINGS_PER_DAY.get, reverse=True)
+    slot, least = F.when(is_day, 0), F.lit(0.0)
+    for i, k in enumerate(fine, start=1):
+        slot = slot.when(F.col("interval") == k, i)
+        least = F.when(F.col("slot") == i, min_share * READINGS_PER_DAY[k]).otherwise(least)
+    g = v.groupBy("site_uid", local.alias("date"), slot.alias("slot")).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+    return g.where(F.col("n") >= least).drop("n")
+
+
 def despike(df: DataFrame) -> DataFrame:
     """Drop a sub-daily storage or elevation reading far from both neighbours on the same side."""
     n = neighbours(df, ["site_uid", "variable"], "datetime_utc", ["value"])
