@@ -117,3 +117,22 @@ def test_reprocess_reads_each_kind(spark, tmp_path):
     parse = lambda d: d.select(F.split("value", " ")[0].alias("site"), F.split("value", " ")[1].cast("double").alias("value"))
     out = r.reprocess(spark, str(tmp_path), {"daily": parse, "gw": parse})
     assert sorted((x.kind, x.site, x.value) for x in out.collect()) == [("daily", "0831", 1.0), ("gw", "0832", 2.0)]
+
+
+def test_lines_of_one_split_are_dealt_to_many_parts(spark, tmp_path, monkeypatch):
+    """Headers far above, inside and at the edge of blocks of a single split; no part holds most of its lines."""
+    monkeypatch.setattr(r, "LINES_PER_BLOCK", 64)
+    text = "".join(f"agency_cd\tsite_no\tv{k}\n5s\t15s\t14n\n" + "".join(f"USGS\t{k}\t{i}\n" for i in range(n)) for k, n in enumerate((300, 0, 62, 1, 2000)))
+    (tmp_path / "a.rdb").write_text("USGS\tbefore\t1\n" + text)
+    lines = r.read_header_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() == 1
+    got = r.parse_header_lines(lines)
+    assert sorted((int(k[1:]), int(x.fields["site_no"]), int(x.fields[k])) for x in got.collect() for k in x.fields if k[0] == "v") == [(k, k, i) for k, n in enumerate((300, 0, 62, 1, 2000)) for i in range(n)]
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        parts = [x["count"] for x in got.select("*").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(parts) == 2363 and max(parts) < 1000

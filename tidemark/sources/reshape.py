@@ -148,6 +148,9 @@ def parse_header_blocks(blocks: DataFrame, text: str = "value") -> DataFrame:
 # The first fields that mark a header line, and the line of field widths below one.
 HEADER_FIELDS = ["agency_cd", "site_no"]
 WIDTH_LINE = r"^\d+[sdn](\t\d+[sdn])*$"
+# lines of a split that are put in order together, a power of two, and the parts that the blocks of a split are dealt to
+LINES_PER_BLOCK = 16_384
+PARTS_PER_SPLIT = 4
 
 
 def read_header_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -159,19 +162,23 @@ def read_header_lines(spark: SparkSession, path: str) -> DataFrame:
 def with_header(lines: DataFrame) -> DataFrame:
     """Data lines with the header in force (``head``, an array), whatever splits the two lie in.
 
-    A file is read in splits, and a header may stand many splits before its last line. One pass keeps the last header of each split, a
-    row a split; a prefix over a file's splits carries it on; inside a split lines take the last header before them, else the carried
-    one. Groups are splits, so no task holds a file or a site's block. Lines before the first header are dropped, as are comments,
-    widths and lines that do not have the header's number of fields."""
+    A file is read in splits, and a header may stand many splits before its last line. Splits are cut into blocks of lines. One pass
+    over the headers keeps the last one of each block, a row a block; a prefix over a file's blocks carries it on; inside a block lines
+    take the last header before them, else the carried one. Blocks are dealt to a number of parts that follows the number of splits, so
+    a task holds some MB of lines however long files, sites' blocks and the whole input are. Lines before the first header are dropped,
+    as are comments, widths and lines that do not have the header's number of fields."""
+    parts = max(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), PARTS_PER_SPLIT * lines.rdd.getNumPartitions())
+    block = ["file", "start", "block"]
     first = F.split_part("value", F.lit("\t"), F.lit(1))
+    lines = lines.withColumn("block", F.shiftright("place", LINES_PER_BLOCK.bit_length() - 1))
     head = F.when(first.isin(*HEADER_FIELDS), F.col("value"))
-    ends = lines.groupBy("file", "start").agg(F.max_by(head, F.when(head.isNotNull(), F.col("place"))).alias("ends"))
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("file", "start", F.last("ends", ignorenulls=True).over(before).alias("carried"))
-    upto = Window.partitionBy("file", "start").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    d = lines.withColumn("own", F.last(head, ignorenulls=True).over(upto)).join(carried, ["file", "start"])
-    d = d.where(head.isNull() & (F.col("value") != "") & ~F.col("value").startswith("#") & ~F.col("value").rlike(WIDTH_LINE))
-    d = d.select(*[c for c in lines.columns if c not in ("start", "place")], F.split(F.coalesce("own", "carried"), "\t").alias("head"))
+    ends = lines.where(head.isNotNull()).groupBy(*block).agg(F.max_by("value", "place").alias("ends"))
+    before = Window.partitionBy("file").orderBy("start", "block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lines.select(*block).distinct().join(ends, block, "left").select(*block, F.last("ends", ignorenulls=True).over(before).alias("carried"))
+    upto = Window.partitionBy(*block).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    d = lines.where((F.col("value") != "") & ~F.col("value").startswith("#") & ~F.col("value").rlike(WIDTH_LINE)).repartition(parts, *block)
+    d = d.withColumn("own", F.last(head, ignorenulls=True).over(upto)).where(head.isNull()).join(carried, block)
+    d = d.select(*[c for c in lines.columns if c not in ("start", "place", "block")], F.split(F.coalesce("own", "carried"), "\t").alias("head"))
     return d.where(F.size("head") == F.size(F.split("value", "\t", -1)))
 
 
