@@ -240,3 +240,16 @@ def test_only_years_whose_files_changed_are_remade(frame, spark, tmp_path):
     shutil.rmtree(f"{source}/year=2022")
     assert run() == [2022] and ("b", 2022) not in totals()
     assert run("m2") == [2020, 2021, 2023] and len(totals()) == 3 and run("m2") == []
+
+
+def test_compaction_deals_rows_to_parts_that_follow_the_bytes(frame, spark, tmp_path, monkeypatch):
+    """One shuffle of the rows, by key, to more parts than the session's where there are more bytes."""
+    root, seen, whole = str(tmp_path / "obs"), [], maintain.compact
+    loads(frame, root)
+    rows = {tuple(x) for x in maintain.compact(archive.read_observations(spark, root)).collect()}
+    monkeypatch.setattr(maintain, "BYTES_PER_PART", 100)
+    monkeypatch.setattr(maintain, "compact", lambda d: seen.append(whole(d)) or seen[-1])
+    maintain.compact_archive(spark, root, "c1")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and seen[0].rdd.getNumPartitions() > 8
+    assert {tuple(x) for x in archive.read_observations(spark, root).collect()} == rows

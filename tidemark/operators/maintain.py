@@ -43,15 +43,23 @@ def compact_partitions(spark: SparkSession, root: str, staging: str, only: Seque
 
 
 PARTITIONS = ["source", "variable", "year"]
+# stored bytes that one task of a compaction puts in order
+BYTES_PER_PART = 8 << 20
 
 
 def compact_archive(spark: SparkSession, root: str, job: str) -> list[str]:
     """Compact the partitions of an archive with a manifest that are read from more than one file, and put the result in force.
 
-    ``job`` names the version; a job that was lost is run again under its name and goes on where it stopped."""
-    listed = manifest.files(spark, root).select(manifest.partition_of(F.col("path")).alias("partition"), F.regexp_extract("path", "/version=([^/]+)/", 1).alias("version"))
-    many = listed.join(manifest.live(spark, root), ["partition", "version"], "left_semi").groupBy("partition").count().where("count > 1")
-    return manifest.rewrite(spark, root, STORED, job, many, compact, PARTITIONS)
+    Rows are dealt by key to a number of parts that follows the bytes to be rewritten, so what a task sorts does not grow with the
+    archive; few keys are stored twice, so they are not sorted before the shuffle as well. A key's rows meet in one task: as many as
+    loads that held it. ``job`` names the version; a job that was lost is run again under its name and goes on where it stopped."""
+    listed = manifest.files(spark, root).select(manifest.partition_of(F.col("path")).alias("partition"), F.regexp_extract("path", "/version=([^/]+)/", 1).alias("version"), "size")
+    many = listed.join(manifest.live(spark, root), ["partition", "version"], "left_semi").groupBy("partition").agg(F.count("*").alias("count"), F.sum("size").alias("size")).where("count > 1")
+    size = many.agg(F.sum("size")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_PART))
+    # without the depth, a double that windows normalise: rows dealt by it as it is would be dealt a second time
+    place = [k for k in OBS_KEY if k != "depth_cm"]
+    return manifest.rewrite(spark, root, STORED, job, many, lambda d: compact(d.repartition(parts, *place)), PARTITIONS)
 
 
 def purge_archive(spark: SparkSession, root: str, registry: DataFrame, job: str) -> list[str]:
