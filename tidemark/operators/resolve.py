@@ -91,15 +91,20 @@ def key_stars(keys: DataFrame) -> DataFrame:
 
 
 def weather_links(sites: DataFrame) -> DataFrame:
-    """Links between different feeds that share an id, one row per pair with all the evidence."""
-    k = weather_keys(sites)
-    a, b = k.alias("a"), k.alias("b")
-    on = (F.col("a.kind") == F.col("b.kind")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.site_uid") < F.col("b.site_uid")) & (F.col("a.source") != F.col("b.source"))
-    names = F.when(F.col("a.kind") == "ghcn", BY_WEATHER_KEY["ghcn"]).when(F.col("a.kind") == "wban", BY_WEATHER_KEY["wban"]).otherwise(BY_WEATHER_KEY["icao"])
-    j = a.join(b, on).select(F.col("a.site_uid").alias("site_uid_a"), F.col("b.site_uid").alias("site_uid_b"), F.struct(F.col("a.rank").alias("r"), F.concat(names, "a.key").alias("e")).alias("w"))
-    g = j.groupBy("site_uid_a", "site_uid_b").agg(F.array_sort(F.collect_set("w")).alias("w"))
-    return _links(g.select("site_uid_a", "site_uid_b", F.lit("same_sensor").alias("link_type"), F.array_join(F.transform("w", lambda x: x["e"]), "; ").alias("evidence"),
-                           F.lit(None).cast("double").alias("distance_m"), F.when(F.col("w")[0]["r"] == 0, 0.98).otherwise(0.95).alias("confidence")))
+    """Links between different feeds that share an id, one row per pair with all the evidence.
+
+    Every key carries the keys of its site before and after it, so a pair is written once, at the first key it shares, with the
+    evidence of the later ones: keys are shuffled, pairs are not. A ``site_uid`` is of one source."""
+    names = F.when(F.col("kind") == "ghcn", BY_WEATHER_KEY["ghcn"]).when(F.col("kind") == "wban", BY_WEATHER_KEY["wban"]).otherwise(BY_WEATHER_KEY["icao"])
+    key = F.struct("rank", F.concat(names, "key").alias("evidence"))
+    held = weather_keys(sites).groupBy("site_uid", "source").agg(F.array_sort(F.collect_set(key)).alias("held"))
+    k = held.select("site_uid", "source", F.col("held.evidence").alias("all"), F.posexplode("held").alias("at", "key"))
+    k = k.select("site_uid", "source", "key.*", F.slice("all", 1, F.col("at")).alias("before"), F.slice("all", F.col("at") + 2, F.size("all")).alias("after"))
+    a, b = k.alias("a"), k.hint("merge").alias("b")
+    on = (F.col("a.evidence") == F.col("b.evidence")) & (F.col("a.site_uid") < F.col("b.site_uid")) & (F.col("a.source") != F.col("b.source")) & ~F.arrays_overlap("a.before", "b.before")
+    return a.join(b, on).select(F.col("a.site_uid").alias("site_uid_a"), F.col("b.site_uid").alias("site_uid_b"), F.lit("same_sensor").alias("link_type"),
+                                F.concat_ws("; ", "a.evidence", F.array_intersect("a.after", "b.after")).alias("evidence"), F.lit(None).cast("double").alias("distance_m"),
+                                F.when(F.col("a.rank") == 0, 0.98).otherwise(0.95).alias("confidence"))
 
 
 def gauge_id_links(sites: DataFrame) -> DataFrame:
