@@ -10,7 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, language, pages, quality, urls
+from tidemark.llm import contamination, language, pages, quality, queries, urls
 
 DOCS = "doc_id bigint, text string, lang string"
 PROSE = " ".join(f"word{i} then{i} comes{i} before{i} next{i}." for i in range(12))
@@ -45,6 +45,54 @@ def test_clean_lines_edges(frame):
     assert quality.reject(frame([], DOCS + ", n_chars bigint")).count() == 0
 
 
+def plain_line_fails(line):
+    """The line rules as patterns over the whole line, with nothing looked for beforehand."""
+    words, bare = quality.WORD.findall(line), line.strip(quality.SPACES).rstrip(quality.CLOSERS)
+    if sum(w in quality.NAV_MARKS for w in words) * 4 > len(words) or quality.NAVIGATION.search(line):
+        return "navigation"
+    if quality.BOILERPLATE.search(line):
+        return "boilerplate"
+    marked = sum(line.count(c) for c in quality.SYMBOLS)
+    if marked > 2 and marked * 5 > len(words) or len(words) > 2 and bare.count("!") * 3 > len(words):
+        return "punctuation"
+    return "" if bare.endswith(quality.LINE_ENDS) or quality.SENTENCE_END.search(line) else "punctuation"
+
+
+def plain_repeated(words):
+    windows = list(zip(words, words[1:], words[2:]))
+    count = Counter(windows)
+    return len({x for i, w in enumerate(windows) if count[w] > 1 for x in (i, i + 1, i + 2)}) if len(words) > 3 else 0
+
+
+def test_rules_and_repeats_against_plain_ones():
+    rng = random.Random(5)
+    parts = ["a", "b", "one two", "End.", "go!", "|", "»", "› ", "·", "/ ", "###", "<b>", "\t", "\x0b", "\x1c", "\xa0", " ", "Home", "sıgn in", "SKIP to content", "ALL RİGHTS reſerved", "cooKie", "COOKıE", "Cookies",
+             "Droits", "TOUS DROITS RÉSERVÉS", "under the MIT licence", "Under the sun", "Terms of use", "terms of trade", "©", "Copyright ©", "(C) 2024", "(c) x", "SPDX-License", "\ud800", "”", ")"]
+    lines = ["".join(rng.choice(parts) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randint(1, 9))) for _ in range(6000)]
+    lines = [x for x in lines if x.strip(quality.SPACES)]
+    want = [plain_line_fails(x) for x in lines]
+    assert [quality.line_fails(x) for x in lines] == want and min(Counter(want).values()) > 100
+    for _ in range(300):
+        some = rng.sample(lines, 8) + [" \t"]
+        text = "\n".join(rng.choices(some, k=12))
+        own = [x for x in text.split("\n") if x.strip(quality.SPACES)]
+        n, _, _, dup, repeat, left, gone, lost = quality.measure(text)
+        failed = [x for x in own if plain_line_fails(x)]
+        assert (n, repeat) == (len(quality.WORD.findall(text)), plain_repeated(quality.WORD.findall(text)))
+        assert (dup, gone, lost) == (len(own) - len(set(own)), len(failed), sum(len("".join(quality.WORD.findall(x))) for x in failed))
+        assert left == "\n".join(x for x in text.split("\n") if x not in failed)
+
+
+def test_counts_come_back_without_the_texts(spark, frame, tmp_path):
+    docs = frame([(1, PROSE + "\nhome", "en"), (2, None, "en")], DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op5_quality_rules(spark, str(tmp_path))
+    plan = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "MapInArrow" in x)
+    assert "lost_chars" in plan and "text#" not in plan.partition("[")[2]
+    whole = quality.clean_lines(docs.select("doc_id", "text")).select(*out.columns)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.collect()))
+
+
 # ---- decontamination --------------------------------------------------------
 
 

@@ -73,9 +73,10 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[p
     give_back()
 
 
-def add_columns(df: DataFrame, added: list[T.StructField], make: Callable[[dict[str, list]], dict], needs: list[str]) -> DataFrame:
-    """Columns computed per Arrow batch. Other columns pass through; one that bears the name of a new column is replaced."""
-    new = {f.name.lower() for f in added}
+def add_columns(df: DataFrame, added: list[T.StructField], make: Callable[[dict[str, list]], dict], needs: list[str], left_out: Iterable[str] = ()) -> DataFrame:
+    """Columns computed per Arrow batch. Other columns pass through, but for those left out; one that bears the name of a new column
+    is replaced."""
+    new = {f.name.lower() for f in added} | {c.lower() for c in left_out}
     keep = [c for c in df.columns if c.lower() not in new]
     src = {c: [x for x in df.columns if x.lower() == c.lower()][0] for c in needs}
     schema = T.StructType([df.schema[c] for c in keep] + added)

@@ -92,7 +92,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality.clean_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    out = quality.clean_lines(documents(spark, sf_dir).select("doc_id", "text"), texts=False)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "lost_chars")
 
 
