@@ -101,7 +101,7 @@ def weather_links(sites: DataFrame) -> DataFrame:
     k = held.select("site_uid", "source", F.col("held.evidence").alias("all"), F.posexplode("held").alias("at", "key"))
     k = k.select("site_uid", "source", "key.*", F.slice("all", 1, F.col("at")).alias("before"), F.slice("all", F.col("at") + 2, F.size("all")).alias("after"))
     a, b = k.alias("a"), k.hint("merge").alias("b")
-    on = (F.col("a.evidence") == F.col("b.evidence")) & (F.col("a.site_uid") < F.col("b.site_uid")) & (F.col("a.source") != F.col("b.source")) & ~F.arrays_overlap("a.before", "b.before")
+    on = (F.col("a.rank") == F.col("b.rank")) & (F.col("a.evidence") == F.col("b.evidence")) & (F.col("a.site_uid") < F.col("b.site_uid")) & (F.col("a.source") != F.col("b.source")) & ~F.arrays_overlap("a.before", "b.before")
     return a.join(b, on).select(F.col("a.site_uid").alias("site_uid_a"), F.col("b.site_uid").alias("site_uid_b"), F.lit("same_sensor").alias("link_type"),
                                 F.concat_ws("; ", "a.evidence", F.array_intersect("a.after", "b.after")).alias("evidence"), F.lit(None).cast("double").alias("distance_m"),
                                 F.when(F.col("a.rank") == 0, 0.98).otherwise(0.95).alias("confidence"))
